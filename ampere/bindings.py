@@ -59,8 +59,16 @@ EVENTS_ISSUE_HOURS = {"ERROR_FC": 10}
 RES_MINUTES = {"hour": 60, "quarterhour": 15}
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet table of the driver; the DataFrame (resolved schema, file
+    listing) is reused within one session."""
+    key = (id(spark._jsparkSession), sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _READS[key]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,33 +55,47 @@ def holidays_for_years(years: DataFrame, year: str = "year") -> DataFrame:
     return years.select(F.inline(F.array(*items)))
 
 
-def date_dimension(spine: DataFrame, day: str = "date_day",
-                   holidays: DataFrame | None = None) -> DataFrame:
-    """Calendar attributes of a date spine, left-joined with holidays.
-
-    ``week_of_year`` is the ISO week; ``day_of_week`` is 0 = Monday.
-    Holidays default to the rule calendar over the spine's years; they are
-    9 rows per year, so broadcasting them is bounded by the spine, not the data.
-    """
-    d = F.col(day)
-    if holidays is None:
-        holidays = holidays_for_years(spine.select(F.year(d).alias("year")).distinct())
-    hol = F.broadcast(holidays.select(F.col("date").alias("_hday"), "holiday_name"))
-    out = spine.join(hol, d == F.col("_hday"), "left")
+def holiday_name(day) -> Column:
+    """Name of the public holiday on ``day`` (null if none); pure expression,
+    so no holiday table has to be joined or broadcast."""
+    d = F.col(day) if isinstance(day, str) else day
+    easter = easter_sunday(F.year(d))
+    offset = F.datediff(d, easter)
+    name = F.lit(None).cast("string")
+    for mo, dd, nm in reversed(FIXED_HOLIDAYS):
+        name = F.when((F.month(d) == mo) & (F.dayofmonth(d) == dd), F.lit(nm)).otherwise(name)
+    for off, nm in reversed(EASTER_HOLIDAYS):
+        name = F.when(offset == off, F.lit(nm)).otherwise(name)
+    return name
+
+
+def calendar_columns(day, holiday: Column | None = None) -> list[Column]:
+    """H4-H7 + holiday flags of a DATE column, as the date dimension defines
+    them (ISO week; day_of_week 0 = Monday)."""
+    d = F.col(day) if isinstance(day, str) else day
+    hol = holiday_name(d) if holiday is None else holiday
     is_weekend = F.weekday(d) >= 5
-    return out.select(
-        d.alias(day),
-        F.year(d).alias("year"),
-        F.quarter(d).alias("quarter"),
-        F.month(d).alias("month"),
-        F.weekofyear(d).alias("week_of_year"),
-        F.weekday(d).alias("day_of_week"),
-        is_weekend.alias("is_weekend"),
-        season(F.month(d)).alias("season"),
-        F.col("_hday").isNotNull().alias("is_german_public_holiday"),
-        F.col("holiday_name"),
-        ((~is_weekend) & F.col("_hday").isNull()).alias("is_workday"),
-    )
+    return [
+        F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"),
+        F.weekofyear(d).alias("week_of_year"), F.weekday(d).alias("day_of_week"),
+        is_weekend.alias("is_weekend"), season(F.month(d)).alias("season"),
+        hol.isNotNull().alias("is_german_public_holiday"), hol.alias("holiday_name"),
+        ((~is_weekend) & hol.isNull()).alias("is_workday"),
+    ]
+
+
+def date_dimension(spine: DataFrame, day: str = "date_day") -> DataFrame:
+    """Calendar attributes of a date spine (holidays by rule, H22)."""
+    return spine.select(F.col(day), *calendar_columns(day))
+
+
+def holiday_join(spine: DataFrame, holidays: DataFrame, day: str = "date_day") -> DataFrame:
+    """Date dimension from a holiday *table* (e.g. the CSV seed, A23):
+    left join + ``IS NOT NULL`` flag. The seed has a handful of rows per year;
+    it is broadcast because its size is bounded by the calendar, not the data."""
+    hol = F.broadcast(holidays.select(F.col("date").alias("_hday"), F.col("holiday_name").alias("_hname")))
+    joined = spine.join(hol, F.col(day) == F.col("_hday"), "left")
+    return joined.select(F.col(day), *calendar_columns(day, holiday=F.col("_hname")))
 
 
 def dimension_for(df: DataFrame, ts: str = "timestamp", day: str = "date_day") -> DataFrame:

@@ -69,11 +69,16 @@ def stage_weather_forecast(raw: DataFrame) -> DataFrame:
                       "model", F.col("fetched_at").cast("timestamp").alias("fetched_at"))
 
 
-def route_by_signal(long: DataFrame, routing: DataFrame, table: str) -> DataFrame:
+def route_by_signal(long: DataFrame, routing, table: str) -> DataFrame:
     """Rows whose signal routes to ``table``; unknown signals are dropped.
 
-    ``routing`` is the (signal, table) catalogue — a handful of rows, so the
-    broadcast is bounded by the catalogue, not by the data.
+    ``routing`` is the (signal, table) catalogue, either as rows (list of
+    pairs) — then the route is an ``IN`` filter pushed into the scan — or as a
+    DataFrame (catalogue table), joined as a broadcast semi-join; the
+    catalogue has one row per signal, so its size is bounded by configuration.
     """
-    r = F.broadcast(routing.where(F.col("table") == table).select(F.col("signal").alias("_sig")))
-    return long.join(r, long["signal"] == r["_sig"], "left_semi")
+    if isinstance(routing, DataFrame):
+        r = F.broadcast(routing.where(F.col("table") == table).select(F.col("signal").alias("_sig")))
+        return long.join(r, long["signal"] == r["_sig"], "left_semi")
+    sigs = sorted({s for s, t in routing if t == table})
+    return long.where(F.col("signal").isin(*sigs))

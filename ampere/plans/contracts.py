@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ampere.config import Catalog, MARKET_TZ
 from ampere.functions.time import delivery_date, quarter_of_hour, to_local
 from ampere.operators.lags import lag_fanout, lag_self_join, same_hour_average
+from ampere.session import cut_lineage
 
 CALENDAR_COLUMNS = ["year", "quarter", "month", "week_of_year", "day_of_week", "is_weekend",
                     "is_german_public_holiday", "is_workday"]
@@ -60,9 +61,16 @@ def _horizon_columns(df: DataFrame, spec: ContractSpec, tz: str) -> DataFrame:
 
 
 def build_contract(features: DataFrame, spec: ContractSpec, method: str = "fanout",
-                   tz: str = MARKET_TZ) -> DataFrame:
-    """I12/I13 from the wide feature table (``fct_ml_features``)."""
+                   tz: str = MARKET_TZ, materialize: bool = True) -> DataFrame:
+    """I12/I13 from the wide feature table (``fct_ml_features``).
+
+    The lag step reads the base twice (target and source side); with
+    ``materialize`` the base is checkpointed once into the shared checkpoint
+    folder so the upstream DAG is not recomputed per consumer.
+    """
     base = _horizon_columns(features, spec, tz)
+    if materialize:
+        base = cut_lineage(base)
     # error terms are formed at the source row, then lagged (same as lagging both sides)
     err_cols = {}
     if spec.consumption:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampere.config import Catalog
-from ampere.functions.calendar import dimension_for
+from ampere.functions.calendar import calendar_columns, dimension_for
 from ampere.operators import reshape, staging
 from ampere.operators.merge import latest_per_key
 
@@ -107,8 +107,8 @@ class Warehouse:
                                                                  "value", "fetched_at"),
                                 ["timestamp", "region", "signal_name"], ["fetched_at"])
         wide = reshape.pivot_region_variable(latest, self.catalog)
-        dim = F.broadcast(dimension_for(wide))
-        return wide.join(dim, F.to_date("timestamp") == dim["date_day"], "left")
+        day = F.to_date("timestamp")
+        return wide.select("*", day.alias("date_day"), *calendar_columns(day))
 
     @cached_property
     def fct_ml_features(self) -> DataFrame:
@@ -124,8 +124,10 @@ class Warehouse:
                .join(self.fct_price_spreads, on, "left")
                .join(self.fct_weather, ["timestamp"], "left")
                .join(self.fct_weather_forecast, ["timestamp"], "left"))
-        dim = F.broadcast(self.dim_date)
-        return out.join(dim, F.to_date("timestamp") == dim["date_day"], "left")
+        # C4: calendar of the UTC date; the dimension's attributes are pure
+        # functions of the day, so they are computed in place of a dim join
+        day = F.to_date("timestamp")
+        return out.select("*", day.alias("date_day"), *calendar_columns(day))
 
     def product(self, name: str) -> DataFrame:
         return getattr(self, name)

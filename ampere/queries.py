@@ -40,7 +40,7 @@ def register(name: str, sql: str | None = None):
 # ---------------------------------------------------------------------------
 def warehouse(spark: SparkSession, sf_dir: str, resolution: str = "hour") -> Warehouse:
     sig = B.raw_signals(spark, sf_dir, resolution)
-    route = B.routing(spark)
+    route = B.EVENTS_CATALOG.table_of()
     raw = {
         "generation": route_by_signal(sig, route, "generation"),
         "prices": route_by_signal(sig, route, "prices"),
