@@ -16,7 +16,9 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            # two steps: the first removes last-ulp noise so that exact ties
+            # (e.g. a mean ending in ...5) round the same in every engine
+            c = F.round(F.round(c.cast("double"), digits + 3), digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.TimestampType):
@@ -25,6 +27,6 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
             # calendar days as midnight NTZ: same pandas/arrow type as SQL TIMESTAMP
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, T.DecimalType):
-            c = F.round(c.cast("double"), digits)
+            c = F.round(F.round(c.cast("double"), digits + 3), digits)
         cols.append(c.alias(f.name))
     return df.select(*cols)

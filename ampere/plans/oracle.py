@@ -24,7 +24,7 @@ def inlist(xs) -> str:
 
 def rounded(sql: str, doubles=(), digits: int = 6, dates=()) -> str:
     """Wrap a query: listed double columns rounded, listed DATE columns as TIMESTAMP."""
-    reps = [f'round("{c}", {digits}) AS "{c}"' for c in doubles]
+    reps = [f'round(round("{c}", {digits + 3}), {digits}) AS "{c}"' for c in doubles]
     reps += [f'CAST("{c}" AS TIMESTAMP) AS "{c}"' for c in dates]
     if not reps:
         return sql

@@ -76,3 +76,301 @@ def hourly_model_contract_self_join(spark, sf_dir):
 def quarter_hourly_model_contract(spark, sf_dir):
     """Quarter-hourly contract (lags 96/192/672 qh, quarter_of_hour)."""
     return build_contract(warehouse(spark, sf_dir, "quarterhour").fct_ml_features, QUARTER_HOURLY)
+
+
+# ---------------------------------------------------------------------------
+# shared pieces
+# ---------------------------------------------------------------------------
+from ampere.functions import calendar as CAL  # noqa: E402
+from ampere.functions import time as TM  # noqa: E402
+from ampere.operators import lags as LG  # noqa: E402
+from ampere.operators import reshape as RS  # noqa: E402
+from ampere.operators import windows as WN  # noqa: E402
+from ampere.operators.merge import latest_per_key, merge_latest  # noqa: E402
+
+W_H = "WITH " + O.staging_ctes("hour")
+W_ML = "WITH " + O.ml_features_ctes("hour")
+LOCAL_SQL = "((timestamp AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin')"
+
+
+def prices(spark, sf_dir, resolution="hour"):
+    return warehouse(spark, sf_dir, resolution).fct_market_prices
+
+
+def _dbl(names):
+    return list(names)
+
+
+# -- A/B/I staging, upsert, routing -----------------------------------------
+@register("stage_signals_valid", O.rounded(f"{W_H} SELECT timestamp, signal_name, value, unit, resolution FROM stg_gen",
+                                           ["value"]))
+def stage_signals_valid(spark, sf_dir):
+    """I1 (B1 B2 B3 B6): NaN->null, nulls dropped, generation validity rule."""
+    return warehouse(spark, sf_dir).stg_generation_load
+
+
+UPSERT_BASE_BEFORE = "2024-01-20 00:00:00"
+UPSERT_DELTA_FROM = "2024-01-15 00:00:00"
+
+
+@register("merge_latest_upsert", O.rounded(f"""WITH sig_rows AS ({O.signal_rows('hour')}),
+base AS ({O.latest(f"(SELECT * FROM sig_rows WHERE fetched_at < TIMESTAMP '{UPSERT_BASE_BEFORE}')",
+                   'timestamp, signal, resolution')}),
+delta AS (SELECT timestamp, signal, value + 1 AS value, 'MWh' AS unit, resolution, fetched_at, event_id
+          FROM sig_rows WHERE fetched_at >= TIMESTAMP '{UPSERT_DELTA_FROM}'),
+u AS (SELECT *, 0 AS d FROM base UNION ALL SELECT *, 1 AS d FROM delta),
+w AS ({O.latest('u', 'timestamp, signal, resolution', 'd DESC, fetched_at DESC, event_id DESC')})
+SELECT w.timestamp, w.signal, w.value, CASE WHEN b.timestamp IS NOT NULL THEN b.unit ELSE w.unit END AS unit,
+       w.resolution, w.fetched_at, w.event_id
+FROM w LEFT JOIN base b ON w.timestamp = b.timestamp AND w.signal = b.signal AND w.resolution = b.resolution""",
+                                           ["value"]))
+def merge_latest_upsert(spark, sf_dir):
+    """Keyed upsert of a revised delivery into an existing table;
+    ``value`` is updated, ``unit`` keeps the stored value for existing keys."""
+    rows = B.raw_signal_rows(spark, sf_dir)
+    key = ["timestamp", "signal", "resolution"]
+    base = latest_per_key(rows.where(F.col("fetched_at") < F.lit(UPSERT_BASE_BEFORE).cast("timestamp")),
+                          key, ["fetched_at", "event_id"])
+    delta = (rows.where(F.col("fetched_at") >= F.lit(UPSERT_DELTA_FROM).cast("timestamp"))
+                 .withColumn("value", F.col("value") + 1).withColumn("unit", F.lit("MWh")))
+    return merge_latest(base, delta, key, ["fetched_at", "event_id"],
+                        update_cols=["value", "fetched_at", "event_id"])
+
+
+@register("route_by_signal", O.rounded(f"""{W_H}
+SELECT timestamp, signal, value, resolution, 'generation' AS "table" FROM sig WHERE signal IN ({O.inlist(CAT.generation_load)})
+UNION ALL SELECT timestamp, signal, value, resolution, 'prices' FROM sig WHERE signal = {O.q(CAT.home_price)}
+UNION ALL SELECT timestamp, signal, value, resolution, 'neighbour_prices' FROM sig WHERE signal IN ({O.inlist(CAT.neighbours)})""",
+                                       ["value"]))
+def route_by_signal_q(spark, sf_dir):
+    """Long rows routed to their tables by the signal catalogue."""
+    wh = warehouse(spark, sf_dir)
+    parts = [wh.raw[t].select("timestamp", "signal", "value", "resolution", F.lit(t).alias("table"))
+             for t in ("generation", "prices", "neighbour_prices")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("latest_version_per_key", O.rounded(
+    f"{W_H} SELECT timestamp, region, signal_name, value, fetched_at FROM ({O.latest('stg_wxf', 'timestamp, region, signal_name', 'fetched_at DESC')})",
+    ["value"]))
+def latest_version_per_key(spark, sf_dir):
+    """Latest fetched forecast version per (timestamp, region, signal)."""
+    f = warehouse(spark, sf_dir).stg_weather_forecast
+    return latest_per_key(f.select("timestamp", "region", "signal_name", "value", "fetched_at"),
+                          ["timestamp", "region", "signal_name"], ["fetched_at"])
+
+
+# -- D1-D6 pivots, I6-I11 products ------------------------------------------
+GEN_COLS = list(CAT.generation_load.values()) + ["total_generation_mw"]
+FC_COLS = list(CAT.forecasts.values())
+PS_COLS = [f"{CAT.home_price.lower()}_price_eur_mwh"] + [f"{a}_{k}_eur_mwh" for a in CAT.neighbours.values()
+                                                          for k in ("price", "spread")]
+W_COLS = [n for _, _, n in CAT.weather_columns()]
+WF_COLS = [n for _, _, n in CAT.weather_columns("_forecast")]
+
+
+@register("pivot_generation_load", O.rounded(f"{W_H} {O.pivot_gen_sql()}", GEN_COLS))
+def pivot_generation_load(spark, sf_dir):
+    """Wide generation + load + total generation."""
+    return warehouse(spark, sf_dir).fct_generation_load
+
+
+@register("pivot_forecast", O.rounded(f"{W_H} {O.pivot_fc_sql()}", FC_COLS))
+def pivot_forecast(spark, sf_dir):
+    """Wide signal forecasts."""
+    return warehouse(spark, sf_dir).fct_generation_load_forecast
+
+
+@register("pivot_weather_region_var", O.rounded(f"{W_H} {O.pivot_weather_sql('stg_wx')}", W_COLS))
+def pivot_weather_region_var(spark, sf_dir):
+    """Region x variable pivot of weather actuals."""
+    return warehouse(spark, sf_dir).fct_weather
+
+
+@register("pivot_weather_forecast", O.rounded(f"{W_H} {O.pivot_weather_sql('stg_wxf', '_forecast')}", WF_COLS))
+def pivot_weather_forecast(spark, sf_dir):
+    """Forecast pivot, max over all fetched versions."""
+    return warehouse(spark, sf_dir).fct_weather_forecast
+
+
+@register("weather_forecast_features", O.rounded(f"""{W_H},
+lv AS ({O.latest('stg_wxf', 'timestamp, region, signal_name', 'fetched_at DESC')}),
+wp AS ({O.pivot_weather_sql('lv')}),
+yrs AS (SELECT DISTINCT year(CAST(timestamp AS DATE)) AS y FROM wp),
+{O.holidays_sql('yrs')}
+SELECT wp.*, CAST(wp.timestamp AS DATE) AS date_day, {O.calendar_select('CAST(wp.timestamp AS DATE)')}
+FROM wp LEFT JOIN holidays h ON CAST(wp.timestamp AS DATE) = h.date""", W_COLS, dates=["date_day"]))
+def weather_forecast_features(spark, sf_dir):
+    """I10 (E2 D5 C4): latest forecast version pivoted, with calendar."""
+    return warehouse(spark, sf_dir).fct_weather_forecast_features
+
+
+@register("price_spreads", O.rounded(f"{W_H} {O.spreads_sql()}", PS_COLS))
+def price_spreads(spark, sf_dir):
+    """I8 (C1 D6): home price, neighbour prices and spreads (home - neighbour)."""
+    return warehouse(spark, sf_dir).fct_price_spreads
+
+
+ML_DOUBLES = (["price_eur_mwh"] + [c for c in GEN_COLS if c != "signup_mw"] + FC_COLS + PS_COLS + W_COLS + WF_COLS)
+
+
+@register("ml_features_wide", O.rounded(f"{W_ML} SELECT * FROM ml", ML_DOUBLES, dates=["date_day"]))
+def ml_features_wide(spark, sf_dir):
+    """I11 (C2 C3 C4): market price left-joined with all facts and the calendar."""
+    return warehouse(spark, sf_dir).fct_ml_features
+
+
+# -- I5, C5 calendar over the orders date range ------------------------------
+def _orders_spine(spark, sf_dir):
+    o = B.table(spark, sf_dir, "orders")
+    bounds = o.agg(F.min(F.to_date("o_orderdate")).alias("start"), F.max(F.to_date("o_orderdate")).alias("end"))
+    return CAL.date_spine(bounds, end_exclusive=False)
+
+
+ORDERS_SPINE_SQL = ("spine AS (SELECT CAST(d AS DATE) AS date_day FROM (SELECT min(CAST(o_orderdate AS DATE)) lo, "
+                    "max(CAST(o_orderdate AS DATE)) hi FROM orders), generate_series(lo, hi, INTERVAL 1 DAY) t(d)),\n"
+                    "yrs AS (SELECT DISTINCT year(date_day) AS y FROM spine)")
+DIM_SQL = O.rounded(f"""WITH {ORDERS_SPINE_SQL},
+{O.holidays_sql('yrs')}
+SELECT s.date_day, {O.calendar_select('s.date_day')} FROM spine s LEFT JOIN holidays h ON s.date_day = h.date""",
+                    dates=["date_day"])
+
+
+@register("date_dimension", DIM_SQL)
+def date_dimension(spark, sf_dir):
+    """I5 (H25 H4-H7 H22): calendar over the orders date range, holidays by rule."""
+    return CAL.date_dimension(_orders_spine(spark, sf_dir))
+
+
+@register("holiday_join", DIM_SQL)
+def holiday_join(spark, sf_dir):
+    """Same dimension from a holiday *table* (rule-generated per year) by
+    broadcast left join + IS NOT NULL flag."""
+    spine = _orders_spine(spark, sf_dir)
+    hol = CAL.holidays_for_years(spine.select(F.year("date_day").alias("year")).distinct())
+    return CAL.holiday_join(spine, hol)
+
+
+# -- H1-H3, E1 ----------------------------------------------------------------
+@register("local_time_columns", O.rounded(f"""{W_H},
+p AS (SELECT timestamp, value AS price_eur_mwh, {LOCAL_SQL} AS lt FROM stg_prices)
+SELECT timestamp, price_eur_mwh, lt AS local_timestamp, CAST(lt AS DATE) AS local_date, hour(lt) AS hour,
+       isodow(CAST(lt AS DATE)) - 1 AS dow, month(lt) AS month, year(lt) AS year,
+       CASE WHEN month(lt) IN (12, 1, 2) THEN 'winter' WHEN month(lt) IN (3, 4, 5) THEN 'spring'
+            WHEN month(lt) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season FROM p""",
+                                          ["price_eur_mwh"], dates=["local_date"]))
+def local_time_columns(spark, sf_dir):
+    """H1-H3: market-local wall time and calendar helper columns."""
+    return TM.local_time_columns(prices(spark, sf_dir).select("timestamp", "price_eur_mwh"))
+
+
+@register("delivery_horizon", O.rounded(f"""{W_H}
+SELECT timestamp, value AS price_eur_mwh, CAST({LOCAL_SQL} AS DATE) AS delivery_date,
+       row_number() OVER (PARTITION BY CAST({LOCAL_SQL} AS DATE) ORDER BY timestamp) AS horizon FROM stg_prices""",
+                                        ["price_eur_mwh"], dates=["delivery_date"]))
+def delivery_horizon(spark, sf_dir):
+    """E1 (H2): product number within the local delivery day."""
+    return WN.horizon(prices(spark, sf_dir).select("timestamp", "price_eur_mwh"))
+
+
+# -- C6, E8, E9, E10/E11 -------------------------------------------------------
+PRICE_LAGS = {24: {"price_eur_mwh": "price_lag_24h"}, 48: {"price_eur_mwh": "price_lag_48h"},
+              168: {"price_eur_mwh": "price_lag_168h"}}
+LAG_SQL = O.rounded(f"""{W_H}
+SELECT t.timestamp, t.value AS price_eur_mwh, p1.value AS price_lag_24h, p2.value AS price_lag_48h,
+       p7.value AS price_lag_168h
+FROM stg_prices t
+LEFT JOIN stg_prices p1 ON p1.timestamp = t.timestamp - INTERVAL 24 HOUR
+LEFT JOIN stg_prices p2 ON p2.timestamp = t.timestamp - INTERVAL 48 HOUR
+LEFT JOIN stg_prices p7 ON p7.timestamp = t.timestamp - INTERVAL 168 HOUR""",
+                    ["price_eur_mwh", "price_lag_24h", "price_lag_48h", "price_lag_168h"])
+
+
+@register("lag_fanout", LAG_SQL)
+def lag_fanout_q(spark, sf_dir):
+    """Time-offset lags in two exchanges (fan-out + one join)."""
+    return LG.lag_fanout(prices(spark, sf_dir).select("timestamp", "price_eur_mwh"), PRICE_LAGS)
+
+
+@register("lag_self_join", LAG_SQL)
+def lag_self_join_q(spark, sf_dir):
+    """Time-offset lags as one self left join per offset."""
+    return LG.lag_self_join(prices(spark, sf_dir).select("timestamp", "price_eur_mwh"), PRICE_LAGS)
+
+
+@register("same_hour_avg_7d", O.rounded(f"""{W_H}
+SELECT t.timestamp, t.value AS price_eur_mwh,
+       ({' + '.join(f'p{k}.value' for k in range(1, 8))}) / 7.0 AS price_rolling_avg_7d_same_hour
+FROM stg_prices t
+{chr(10).join(f'LEFT JOIN stg_prices p{k} ON p{k}.timestamp = t.timestamp - INTERVAL {24 * k} HOUR' for k in range(1, 8))}""",
+                                        ["price_eur_mwh", "price_rolling_avg_7d_same_hour"]))
+def same_hour_avg_7d(spark, sf_dir):
+    """Exact 7-term same-hour mean (null if any of the 7 lags is null)."""
+    lags = {24 * k: {"price_eur_mwh": f"_p{k}"} for k in range(1, 8)}
+    j = LG.lag_fanout(prices(spark, sf_dir).select("timestamp", "price_eur_mwh"), lags)
+    return j.select("timestamp", "price_eur_mwh",
+                    LG.same_hour_average([f"_p{k}" for k in range(1, 8)]).alias("price_rolling_avg_7d_same_hour"))
+
+
+@register("rolling_mean_7d", O.rounded(f"""{W_H}
+SELECT timestamp, value AS price_eur_mwh,
+       avg(value) OVER (ORDER BY timestamp RANGE BETWEEN INTERVAL '604799999999 microseconds' PRECEDING AND CURRENT ROW)
+         AS price_rolling_mean_7d FROM stg_prices""", ["price_eur_mwh", "price_rolling_mean_7d"]))
+def rolling_mean_7d(spark, sf_dir):
+    """7-day time-range rolling mean, bucketed (week buckets, one halo copy)."""
+    p = prices(spark, sf_dir).select("timestamp", "price_eur_mwh")
+    return WN.rolling_mean_bucketed(p, "price_eur_mwh", "price_rolling_mean_7d", 7 * 86400)
+
+
+@register("lag_with_fallback", O.rounded(f"""{W_H}
+SELECT t.timestamp, t.value AS price_eur_mwh, coalesce(p1.value, p2.value, p7.value) AS price_lag_fallback,
+       coalesce(p1.value, p7.value) AS price_lag_24h_patched
+FROM stg_prices t
+LEFT JOIN stg_prices p1 ON p1.timestamp = t.timestamp - INTERVAL 24 HOUR
+LEFT JOIN stg_prices p2 ON p2.timestamp = t.timestamp - INTERVAL 48 HOUR
+LEFT JOIN stg_prices p7 ON p7.timestamp = t.timestamp - INTERVAL 168 HOUR""",
+                                         ["price_eur_mwh", "price_lag_fallback", "price_lag_24h_patched"]))
+def lag_with_fallback(spark, sf_dir):
+    """First non-null of 24/48/168 h lags; patch form lag_24 := coalesce(lag_24, lag_168)."""
+    p = prices(spark, sf_dir).select("timestamp", "price_eur_mwh")
+    j = LG.lag_fanout(p, {24: {"price_eur_mwh": "_l24"}, 48: {"price_eur_mwh": "_l48"},
+                          168: {"price_eur_mwh": "_l168"}})
+    return j.select("timestamp", "price_eur_mwh", F.coalesce("_l24", "_l48", "_l168").alias("price_lag_fallback"),
+                    F.coalesce("_l24", "_l168").alias("price_lag_24h_patched"))
+
+
+def _error_cols():
+    out = []
+    for var in CAT.weather_variables:
+        for alias in CAT.weather_regions.values():
+            b = f"{var}_{alias}"
+            if var in CAT.direction_variables:
+                out += [(f"sin(radians(wf.{b}_forecast - w.{b}))", f"{b}_error_sin"),
+                        (f"cos(radians(wf.{b}_forecast - w.{b}))", f"{b}_error_cos")]
+            else:
+                out.append((f"wf.{b}_forecast - w.{b}", f"{b}_error"))
+    return out
+
+
+@register("forecast_error_circular", O.rounded(f"""{W_H},
+w AS ({O.pivot_weather_sql('stg_wx')}), wf AS ({O.pivot_weather_sql('stg_wxf', '_forecast')})
+SELECT w.timestamp, {', '.join(f'{e} AS {n}' for e, n in _error_cols())}
+FROM w JOIN wf ON w.timestamp = wf.timestamp""", [n for _, n in _error_cols()]))
+def forecast_error_circular(spark, sf_dir):
+    """H12 + H9: forecast - actual per region/variable; wind-direction error as sin/cos."""
+    wh = warehouse(spark, sf_dir)
+    j = wh.fct_weather.join(wh.fct_weather_forecast, "timestamp")
+    cols = [F.col("timestamp")]
+    for var in CAT.weather_variables:
+        for alias in CAT.weather_regions.values():
+            b = f"{var}_{alias}"
+            e = F.col(f"{b}_forecast") - F.col(b)
+            if var in CAT.direction_variables:
+                s, c = TM.direction_sin_cos(e)
+                cols += [s.alias(f"{b}_error_sin"), c.alias(f"{b}_error_cos")]
+            else:
+                cols.append(e.alias(f"{b}_error"))
+    return j.select(*cols)
