@@ -52,7 +52,7 @@ def weighted_share(df: DataFrame, keys: Sequence, part: Sequence[str], whole: Se
         for c in cols:
             e = e + F.coalesce(F.col(c), F.lit(0.0))
         return e
-    return df.groupBy(*keys).agg((F.sum(rowsum(part)) / F.sum(rowsum(whole))).alias(out))
+    return df.groupBy(*keys).agg(F.try_divide(F.sum(rowsum(part)), F.sum(rowsum(whole))).alias(out))
 
 
 def period_comparison(long: DataFrame, key: str, value: str, period: Column, a, b,

@@ -374,3 +374,366 @@ def forecast_error_circular(spark, sf_dir):
             else:
                 cols.append(e.alias(f"{b}_error"))
     return j.select(*cols)
+
+
+# -- E3, E7, H10/H11, C9/C10 ----------------------------------------------------
+from ampere.functions import bins as BN  # noqa: E402
+from ampere.operators import analysis as AN  # noqa: E402
+
+SPINE_SQL = (f"{W_H},\nspine AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS timestamp "
+             f"FROM (SELECT min(timestamp) lo, max(timestamp) hi FROM stg_prices)),\n"
+             f"s AS (SELECT sp.timestamp, p.value FROM spine sp LEFT JOIN stg_prices p ON sp.timestamp = p.timestamp),\n"
+             f"ff AS (SELECT timestamp, 'hour' AS resolution, last_value(value IGNORE NULLS) OVER "
+             f"(ORDER BY timestamp ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS price_eur_mwh FROM s)")
+
+
+def _price_spine(spark, sf_dir):
+    p = prices(spark, sf_dir)
+    return WN.on_spine(p, "timestamp", "1 hour", ["resolution"]).select("timestamp", "resolution", "price_eur_mwh")
+
+
+@register("ffill_limit3", O.rounded(f"{SPINE_SQL} SELECT * FROM ff", ["price_eur_mwh"]))
+def ffill_limit3(spark, sf_dir):
+    """Bounded forward fill (3 rows) of the price on its hourly grid; window per series."""
+    return WN.forward_fill(_price_spine(spark, sf_dir), ["price_eur_mwh"], partition=["resolution"], limit=3)
+
+
+@register("ffill_limit3_bucketed", O.rounded(f"{SPINE_SQL} SELECT * FROM ff", ["price_eur_mwh"]))
+def ffill_limit3_bucketed(spark, sf_dir):
+    """E3 as scan-with-carry over day buckets (one long series over many tasks)."""
+    return WN.forward_fill_bucketed(_price_spine(spark, sf_dir), ["price_eur_mwh"], partition=["resolution"], limit=3)
+
+
+@register("drop_incomplete_days", O.rounded(f"""{SPINE_SQL}
+SELECT timestamp, resolution, price_eur_mwh FROM (
+  SELECT *, min(CASE WHEN price_eur_mwh IS NOT NULL THEN 1 ELSE 0 END)
+    OVER (PARTITION BY CAST(((timestamp AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin') AS DATE)) AS ok FROM ff)
+WHERE ok = 1""", ["price_eur_mwh"]))
+def drop_incomplete_days(spark, sf_dir):
+    """After the bounded fill, drop local days with any null price."""
+    f = WN.forward_fill_bucketed(_price_spine(spark, sf_dir), ["price_eur_mwh"], partition=["resolution"], limit=3)
+    return WN.complete_days(f, ["price_eur_mwh"])
+
+
+def _cyc_sql():
+    lt = "lt"
+    parts = []
+    for name, val, per, off in (("hour", f"hour({lt})", 24, 0), ("dow", f"(isodow(CAST({lt} AS DATE)) - 1)", 7, 0),
+                                ("month", f"month({lt})", 12, 1), ("hourf", f"(hour({lt}) + minute({lt}) / 60.0)", 24, 0)):
+        a = f"2 * pi() * ({val} - {off}) / {per}"
+        parts += [f"sin({a}) AS {name}_sin", f"cos({a}) AS {name}_cos"]
+    return ", ".join(parts)
+
+
+CYC_NAMES = [f"{n}_{f}" for n in ("hour", "dow", "month", "hourf") for f in ("sin", "cos")]
+
+
+@register("cyclic_time_features", O.rounded(f"""WITH {O.staging_ctes('quarterhour')},
+p AS (SELECT timestamp, value AS price_eur_mwh, {LOCAL_SQL} AS lt FROM stg_prices)
+SELECT timestamp, price_eur_mwh, {_cyc_sql()} FROM p""", ["price_eur_mwh"] + CYC_NAMES))
+def cyclic_time_features(spark, sf_dir):
+    """sin/cos of local hour/24, dow/7, (month-1)/12 and fractional hour."""
+    p = prices(spark, sf_dir, "quarterhour").select("timestamp", "price_eur_mwh")
+    lt = TM.to_local("timestamp")
+    cols = [F.col("timestamp"), F.col("price_eur_mwh")]
+    for name, val, per, off in (("hour", F.hour(lt), 24, 0), ("dow", F.weekday(F.to_date(lt)), 7, 0),
+                                ("month", F.month(lt), 12, 1), ("hourf", F.hour(lt) + F.minute(lt) / 60.0, 24, 0)):
+        s, c = TM.cyclic(val, per, off)
+        cols += [s.alias(f"{name}_sin"), c.alias(f"{name}_cos")]
+    return p.select(*cols)
+
+
+@register("hour_to_quarter_broadcast", O.rounded(f"""WITH {O.staging_ctes('quarterhour')},
+hsig AS ({O.latest(f"({O.signal_rows('hour')})", 'timestamp, signal, resolution')}),
+hp AS (SELECT timestamp, value FROM hsig WHERE signal = {O.q(CAT.home_price)} AND value IS NOT NULL)
+SELECT q.timestamp, q.value AS price_eur_mwh, hp.value AS hourly_price_eur_mwh, q.value - hp.value AS deviation
+FROM stg_prices q LEFT JOIN hp ON date_trunc('hour', q.timestamp) = hp.timestamp""",
+                                             ["price_eur_mwh", "hourly_price_eur_mwh", "deviation"]))
+def hour_to_quarter_broadcast(spark, sf_dir):
+    """Hourly value mapped onto its four quarter-hours (join on the
+    UTC hour) and the quarter-hour deviation from it (Stage-2 target)."""
+    q = prices(spark, sf_dir, "quarterhour")
+    h = prices(spark, sf_dir, "hour")
+    needed = h.join(q.select(F.date_trunc("HOUR", "timestamp").alias("timestamp")).distinct(), "timestamp", "left_semi")
+    j = q.join(needed.select(F.col("timestamp").alias("_h"), F.col("price_eur_mwh").alias("hourly_price_eur_mwh")),
+               F.date_trunc("HOUR", q["timestamp"]) == F.col("_h"), "left")
+    return j.select("timestamp", "price_eur_mwh", "hourly_price_eur_mwh",
+                    (F.col("price_eur_mwh") - F.col("hourly_price_eur_mwh")).alias("deviation"))
+
+
+# -- D11, E6, D21, D18, regimes on the multi-year orders series -----------------
+DAILY_SQL = ("daily AS (SELECT CAST(o_orderdate AS TIMESTAMP) AS timestamp, sum(o_totalprice) AS value, "
+             "count(*) AS n_orders FROM orders GROUP BY 1)")
+PERIOD_SQL = {"day": "CAST(date_trunc('day', timestamp) AS DATE)",
+              "week": "CAST(date_trunc('week', timestamp) AS DATE) + 6",
+              "month": "CAST(date_trunc('month', timestamp) AS DATE)",
+              "year": "CAST(date_trunc('year', timestamp) AS DATE)"}
+
+
+def _resample(unit):
+    sql = O.rounded(f"WITH {DAILY_SQL} SELECT {PERIOD_SQL[unit]} AS period, avg(value) AS value, "
+                    f"avg(n_orders) AS n_orders FROM daily GROUP BY 1", ["value", "n_orders"], dates=["period"])
+
+    @register(f"resample_{unit}", sql)
+    def q(spark, sf_dir, _u=unit):
+        return AN.resample_mean(B.daily_orders(spark, sf_dir), "timestamp", ["value", "n_orders"], _u)
+    q.__doc__ = f"D11: mean per {unit} bin (week: Mon-Sun labelled Sunday)."
+    return q
+
+
+for _u in AN.RESAMPLE_UNITS:
+    _resample(_u)
+
+
+@register("annual_yoy_change", O.rounded(f"""WITH {DAILY_SQL},
+y AS (SELECT year(timestamp) AS year, avg(value) AS value FROM daily GROUP BY 1)
+SELECT year, value, value - lag(value) OVER (ORDER BY year) AS yoy_change FROM y""", ["value", "yoy_change"]))
+def annual_yoy_change(spark, sf_dir):
+    """Yearly mean and change from the previous year (window over the year table)."""
+    y = B.daily_orders(spark, sf_dir).groupBy(F.year("timestamp").alias("year")).agg(F.avg("value").alias("value"))
+    return AN.year_over_year(y, "year", "value")
+
+
+@register("volatility_cv_by_month", O.rounded(f"""WITH {DAILY_SQL}
+SELECT CAST(date_trunc('month', timestamp) AS DATE) AS month, stddev_samp(value) AS std, avg(value) AS mean,
+       stddev_samp(value) / avg(value) AS cv FROM daily GROUP BY 1""", ["std", "mean", "cv"], dates=["month"]))
+def volatility_cv_by_month(spark, sf_dir):
+    """Sample standard deviation and coefficient of variation per month."""
+    d = B.daily_orders(spark, sf_dir)
+    return d.groupBy(F.to_date(F.date_trunc("MONTH", "timestamp")).alias("month")).agg(
+        F.stddev_samp("value").alias("std"), F.avg("value").alias("mean"),
+        (F.stddev_samp("value") / F.avg("value")).alias("cv"))
+
+
+@register("weekday_weekend_gap", O.rounded(f"""WITH {DAILY_SQL}
+SELECT year(timestamp) AS year,
+       avg(value) FILTER (WHERE isodow(timestamp) - 1 < 5) - avg(value) FILTER (WHERE isodow(timestamp) - 1 = 6) AS gap
+FROM daily GROUP BY 1""", ["gap"]))
+def weekday_weekend_gap(spark, sf_dir):
+    """Mean on weekdays minus mean on Sundays, per year."""
+    d = B.daily_orders(spark, sf_dir)
+    dow = F.weekday("timestamp")
+    return AN.conditional_gap(d, [F.year("timestamp").alias("year")], "value", dow < 5, dow == 6)
+
+
+REGIME_BREAKS = ("1997-01-01", "2000-01-01")
+REGIME_SQL = (f"CASE WHEN timestamp < TIMESTAMP '{REGIME_BREAKS[0]}' THEN 'early' "
+              f"WHEN timestamp < TIMESTAMP '{REGIME_BREAKS[1]}' THEN 'middle' ELSE 'late' END")
+
+
+def regime(ts="timestamp"):
+    """Regime label from two break points."""
+    t = F.col(ts)
+    return (F.when(t < F.lit(REGIME_BREAKS[0]).cast("timestamp"), "early")
+             .when(t < F.lit(REGIME_BREAKS[1]).cast("timestamp"), "middle").otherwise("late"))
+
+
+PCTS = (0.05, 0.25, 0.5, 0.75, 0.95)
+DESC_COLS = ["mean", "std", "min", "max"] + [f"p{int(q * 100):02d}" for q in PCTS]
+
+
+def _describe_sql(value, key_expr, key_name, src):
+    ps = ", ".join(f"quantile_cont({value}, {q}) AS p{int(q * 100):02d}" for q in PCTS)
+    return (f"SELECT {key_expr} AS {key_name}, count({value}) AS count, avg({value}) AS mean, "
+            f"stddev_samp({value}) AS std, min({value}) AS min, {ps}, max({value}) AS max FROM {src} GROUP BY 1")
+
+
+@register("regime_describe", O.rounded(f"WITH {DAILY_SQL} {_describe_sql('value', REGIME_SQL, 'regime', 'daily')}",
+                                       DESC_COLS))
+def regime_describe(spark, sf_dir):
+    """H24 + D22: describe (count, mean, std, min, percentiles, max) per regime."""
+    d = B.daily_orders(spark, sf_dir).withColumn("regime", regime())
+    return AN.describe(d, ["regime"], "value", PCTS)
+
+
+@register("regime_mode_per_year", """SELECT year, mode, mode_count FROM (
+  SELECT year, o_orderpriority AS mode, n AS mode_count,
+         row_number() OVER (PARTITION BY year ORDER BY n DESC, o_orderpriority) AS rn
+  FROM (SELECT year(o_orderdate) AS year, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2)) WHERE rn = 1""")
+def regime_mode_per_year(spark, sf_dir):
+    """Most frequent category per year (ties: smallest), two aggregates."""
+    o = B.table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), "o_orderpriority")
+    return AN.mode_per_group(o, ["year"], "o_orderpriority")
+
+
+# -- D9, D10, D26, D27 on the hourly price ----------------------------------------
+LOCAL_DAY_SQL = f"CAST({LOCAL_SQL} AS DATE)"
+
+
+def _local_prices(spark, sf_dir):
+    return TM.local_time_columns(prices(spark, sf_dir).select("timestamp", "price_eur_mwh"))
+
+
+@register("heatmap_dow_hour", O.rounded(f"""{W_H}
+SELECT isodow({LOCAL_DAY_SQL}) - 1 AS dow,
+       {', '.join(f'avg(value) FILTER (WHERE hour({LOCAL_SQL}) = {h}) AS h{h:02d}' for h in range(24))}
+FROM stg_prices GROUP BY 1""", [f"h{h:02d}" for h in range(24)]))
+def heatmap_dow_hour(spark, sf_dir):
+    """Mean price by local day-of-week x hour, unstacked."""
+    return AN.heatmap(_local_prices(spark, sf_dir), "dow", "hour", "price_eur_mwh", range(24), "avg", "h")\
+        .select("dow", *[F.col(f"h{h}").alias(f"h{h:02d}") for h in range(24)])
+
+
+@register("season_hour_median", O.rounded(f"""{W_H}
+SELECT CASE WHEN month({LOCAL_SQL}) IN (12, 1, 2) THEN 'winter' WHEN month({LOCAL_SQL}) IN (3, 4, 5) THEN 'spring'
+            WHEN month({LOCAL_SQL}) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season,
+       {', '.join(f'quantile_cont(value, 0.5) FILTER (WHERE hour({LOCAL_SQL}) = {h}) AS h{h:02d}' for h in range(24))}
+FROM stg_prices GROUP BY 1""", [f"h{h:02d}" for h in range(24)]))
+def season_hour_median(spark, sf_dir):
+    """Median price by season x local hour, unstacked."""
+    return AN.heatmap(_local_prices(spark, sf_dir), "season", "hour", "price_eur_mwh", range(24), "median", "h")\
+        .select("season", *[F.col(f"h{h}").alias(f"h{h:02d}") for h in range(24)])
+
+
+@register("negative_share_by_period", O.rounded(f"""{W_H}
+SELECT {LOCAL_DAY_SQL} AS local_date, avg(CASE WHEN value < 0 THEN 1.0 ELSE 0.0 END) * 100 AS pct_negative,
+       avg(CASE WHEN value > 0 THEN 1.0 ELSE 0.0 END) * 100 AS pct_positive FROM stg_prices GROUP BY 1""",
+                                                ["pct_negative", "pct_positive"], dates=["local_date"]))
+def negative_share_by_period(spark, sf_dir):
+    """Share of negative / positive prices per local day (in %)."""
+    p = _local_prices(spark, sf_dir)
+    return AN.share_where(p, ["local_date"], {"pct_negative": F.col("price_eur_mwh") < 0,
+                                              "pct_positive": F.col("price_eur_mwh") > 0})
+
+
+THRESHOLDS = (200.0, 300.0, 400.0, 500.0)
+
+
+@register("threshold_exceedance", O.rounded(f"""{W_H}
+SELECT t.threshold, count(*) FILTER (WHERE p.value > t.threshold) AS hours,
+       count(*) FILTER (WHERE p.value > t.threshold) * 100.0 / count(p.value) AS pct
+FROM stg_prices p, (VALUES {', '.join(f'({t})' for t in THRESHOLDS)}) t(threshold) GROUP BY 1""",
+                                            ["threshold", "pct"]))
+def threshold_exceedance(spark, sf_dir):
+    """Hours above each price threshold, count and %, one pass."""
+    return AN.threshold_table(prices(spark, sf_dir), "price_eur_mwh", THRESHOLDS)
+
+
+# -- D13/D15, D14, D16/D17, D19, D20, D25 ------------------------------------------
+REN = ["click_mw", "view_mw"]
+GEN_NO_STORAGE = ["click_mw", "view_mw", "signup_mw"]
+
+
+def _rowsum_sql(cols, alias="g"):
+    return " + ".join(f"coalesce({alias}.{c}, 0)" for c in cols)
+
+
+@register("renewable_share_weighted", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()})
+SELECT CAST(((g.timestamp AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin') AS DATE) AS local_date,
+       sum({_rowsum_sql(REN)}) / sum({_rowsum_sql(GEN_NO_STORAGE)}) AS renewable_share,
+       avg({_rowsum_sql(REN)}) AS renewable_mean_mw, avg({_rowsum_sql(['signup_mw'])}) AS fossil_mean_mw
+FROM g GROUP BY 1""", ["renewable_share", "renewable_mean_mw", "fossil_mean_mw"], dates=["local_date"]))
+def renewable_share_weighted(spark, sf_dir):
+    """D13 + D15: energy-weighted renewable share (ratio of sums) and group means per local day."""
+    g = warehouse(spark, sf_dir).fct_generation_load.withColumn("local_date", TM.delivery_date("timestamp"))
+
+    def rs(cols):
+        e = F.lit(0.0)
+        for c in cols:
+            e = e + F.coalesce(F.col(c), F.lit(0.0))
+        return e
+    return g.groupBy("local_date").agg(F.try_divide(F.sum(rs(REN)), F.sum(rs(GEN_NO_STORAGE))).alias("renewable_share"),
+                                       F.avg(rs(REN)).alias("renewable_mean_mw"),
+                                       F.avg(rs(["signup_mw"])).alias("fossil_mean_mw"))
+
+
+@register("net_export_proxy", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()})
+SELECT CAST(timestamp AS DATE) AS day, avg(total_generation_mw) AS mean_generation_mw, avg(error_mw) AS mean_load_mw,
+       avg(total_generation_mw) - avg(error_mw) AS net_export_proxy_mw FROM g GROUP BY 1""",
+                                        ["mean_generation_mw", "mean_load_mw", "net_export_proxy_mw"], dates=["day"]))
+def net_export_proxy(spark, sf_dir):
+    """Mean generation minus mean load per day."""
+    g = warehouse(spark, sf_dir).fct_generation_load
+    return g.groupBy(F.to_date("timestamp").alias("day")).agg(
+        F.avg("total_generation_mw").alias("mean_generation_mw"), F.avg("error_mw").alias("mean_load_mw"),
+        (F.avg("total_generation_mw") - F.avg("error_mw")).alias("net_export_proxy_mw"))
+
+
+MID_SQL = ("mid AS (SELECT min(timestamp) + (max(timestamp) - min(timestamp)) / 2 AS m FROM stg_gen)")
+
+
+def _halves(spark, sf_dir):
+    s = warehouse(spark, sf_dir).stg_generation_load
+    mid = s.agg((F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).alias("_m")).withColumn("_one", F.lit(1))
+    j = s.withColumn("_one", F.lit(1)).join(F.broadcast(mid), "_one")
+    return j.withColumn("period", F.when(F.col("timestamp") < F.col("_m"), "A").otherwise("B")).drop("_one", "_m")
+
+
+@register("two_period_mix_change", O.rounded(f"""{W_H}, {MID_SQL}
+SELECT signal_name, avg(value) FILTER (WHERE timestamp < m) AS mean_a, avg(value) FILTER (WHERE timestamp >= m) AS mean_b,
+       avg(value) FILTER (WHERE timestamp >= m) - avg(value) FILTER (WHERE timestamp < m) AS change
+FROM stg_gen, mid GROUP BY 1""", ["mean_a", "mean_b", "change"]))
+def two_period_mix_change(spark, sf_dir):
+    """Mean per source in the first and second half of the range, and the change."""
+    return AN.period_comparison(_halves(spark, sf_dir), "signal_name", "value", F.col("period"), "A", "B")
+
+
+@register("hourly_mix_change", O.rounded(f"""{W_H}, {MID_SQL}
+SELECT signal_name, hour({LOCAL_SQL}) AS hour, avg(value) FILTER (WHERE timestamp < m) AS mean_a,
+       avg(value) FILTER (WHERE timestamp >= m) AS mean_b,
+       avg(value) FILTER (WHERE timestamp >= m) - avg(value) FILTER (WHERE timestamp < m) AS change
+FROM stg_gen, mid GROUP BY 1, 2""", ["mean_a", "mean_b", "change"]))
+def hourly_mix_change(spark, sf_dir):
+    """The same comparison per local hour of day."""
+    h = _halves(spark, sf_dir).withColumn("hour", F.hour(TM.to_local("timestamp")))
+    return AN.period_comparison(h, "signal_name", "value", F.col("period"), "A", "B", extra_keys=["hour"])
+
+
+TEMP = "temperature_2m_brandenburg"
+BIN_LO, BIN_HI, BIN_W = 0.0, 600.0, 25.0
+
+
+@register("temperature_response_bins", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()}), w AS ({O.pivot_weather_sql('stg_wx')}),
+j AS (SELECT w.{TEMP} AS x, g.error_mw AS y FROM w JOIN g ON w.timestamp = g.timestamp
+      WHERE w.{TEMP} > {BIN_LO} AND w.{TEMP} <= {BIN_HI}),
+b AS (SELECT CAST(ceil((x - {BIN_LO}) / {BIN_W}) - 1 AS BIGINT) AS bin, y FROM j)
+SELECT bin, {BIN_LO} + bin * {BIN_W} AS bin_left, {BIN_LO} + (bin + 1) * {BIN_W} AS bin_right,
+       avg(y) AS mean_load_mw, count(y) AS n FROM b GROUP BY bin""", ["bin_left", "bin_right", "mean_load_mw"]))
+def temperature_response_bins(spark, sf_dir):
+    """D19 + H18: mean load per right-closed temperature bin (explicit edges)."""
+    wh = warehouse(spark, sf_dir)
+    j = wh.fct_weather.select("timestamp", F.col(TEMP).alias("x")).join(
+        wh.fct_generation_load.select("timestamp", F.col("error_mw").alias("y")), "timestamp")
+    idx, left, right = BN.fixed_bins("x", BIN_LO, BIN_HI, BIN_W)
+    b = j.select(idx.alias("bin"), "y").where(F.col("bin").isNotNull())
+    return b.groupBy("bin").agg((F.lit(BIN_LO) + F.col("bin") * BIN_W).alias("bin_left"),
+                                (F.lit(BIN_LO) + (F.col("bin") + 1) * BIN_W).alias("bin_right"),
+                                F.avg("y").alias("mean_load_mw"), F.count("y").alias("n"))
+
+
+@register("supply_curve_bins", O.rounded(f"""{W_ML},
+s AS (SELECT total_generation_mw AS x, price_eur_mwh AS y FROM ml WHERE total_generation_mw IS NOT NULL),
+mm AS (SELECT min(x) lo, max(x) hi FROM s),
+b AS (SELECT LEAST(GREATEST(CAST(ceil((x - lo) / ((hi - lo) / 30.0)) AS BIGINT) - 1, 0), 29) AS bin, y, lo, hi FROM s, mm)
+SELECT bin, quantile_cont(y, 0.5) AS median_price, count(*) AS n,
+       CASE WHEN bin = 0 THEN any_value(lo) - (any_value(hi) - any_value(lo)) * 0.001
+            ELSE any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 30.0 END AS bin_left,
+       any_value(lo) + (bin + 1) * (any_value(hi) - any_value(lo)) / 30.0 AS bin_right
+FROM b GROUP BY bin""", ["median_price", "bin_left", "bin_right"]))
+def supply_curve_bins(spark, sf_dir):
+    """D20 + H19: median price per equal-width bin (30) of total generation."""
+    ml = warehouse(spark, sf_dir).fct_ml_features.select("total_generation_mw", "price_eur_mwh")
+    s = ml.where(F.col("total_generation_mw").isNotNull())
+    b = BN.equal_width_bins(s, "total_generation_mw", 30)
+    return b.groupBy("bin").agg(F.median("price_eur_mwh").alias("median_price"), F.count(F.lit(1)).alias("n"),
+                                F.first("bin_left").alias("bin_left"), F.first("bin_right").alias("bin_right"))
+
+
+HEAT_BELOW, COOL_ABOVE = 150.0, 300.0
+
+
+@register("elasticity_slopes", O.rounded(f"""{W_ML}
+SELECT regr_slope(CASE WHEN {TEMP} < {HEAT_BELOW} THEN price_eur_mwh END, CASE WHEN {TEMP} < {HEAT_BELOW} THEN {TEMP} END) AS heating_slope,
+       regr_count(CASE WHEN {TEMP} < {HEAT_BELOW} THEN price_eur_mwh END, CASE WHEN {TEMP} < {HEAT_BELOW} THEN {TEMP} END) AS heating_n,
+       regr_slope(CASE WHEN {TEMP} > {COOL_ABOVE} THEN price_eur_mwh END, CASE WHEN {TEMP} > {COOL_ABOVE} THEN {TEMP} END) AS cooling_slope,
+       regr_count(CASE WHEN {TEMP} > {COOL_ABOVE} THEN price_eur_mwh END, CASE WHEN {TEMP} > {COOL_ABOVE} THEN {TEMP} END) AS cooling_n
+FROM ml""", ["heating_slope", "cooling_slope"]))
+def elasticity_slopes(spark, sf_dir):
+    """Slope of price on temperature below / above comfort thresholds, one pass."""
+    ml = warehouse(spark, sf_dir).fct_ml_features
+    x, y = F.col(TEMP), F.col("price_eur_mwh")
+    heat, cool = x < HEAT_BELOW, x > COOL_ABOVE
+    return ml.agg(F.regr_slope(F.when(heat, y), F.when(heat, x)).alias("heating_slope"),
+                  F.regr_count(F.when(heat, y), F.when(heat, x)).alias("heating_n"),
+                  F.regr_slope(F.when(cool, y), F.when(cool, x)).alias("cooling_slope"),
+                  F.regr_count(F.when(cool, y), F.when(cool, x)).alias("cooling_n"))
