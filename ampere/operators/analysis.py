@@ -146,9 +146,14 @@ def slope(df: DataFrame, keys: Sequence, y: str, x: str, where: Column | None =
 
 
 def deviation_from_cell_mean(df: DataFrame, value: str, cell: Sequence[str], out: str = "deviation") -> DataFrame:
-    """Value minus the mean of its (e.g. hour, season) cell — a window
-    partitioned by the cell keys, so it scales with the number of cells."""
-    return df.withColumn(out, F.col(value) - F.avg(value).over(Window.partitionBy(*cell)))
+    """Value minus the mean of its (e.g. hour, season) cell.
+
+    Cell means come from a partially aggregated ``groupBy`` (one row per cell,
+    bounded by the cell definition) broadcast back — no window, so a cell
+    holding a large share of the rows is never gathered into one task."""
+    means = df.groupBy(*cell).agg(F.avg(value).alias("_cell_mean"))
+    return (df.join(F.broadcast(means), list(cell), "left")
+              .withColumn(out, F.col(value) - F.col("_cell_mean")).drop("_cell_mean"))
 
 
 def top_k(df: DataFrame, order: Column, k: int) -> DataFrame:

@@ -737,3 +737,440 @@ def elasticity_slopes(spark, sf_dir):
                   F.regr_count(F.when(heat, y), F.when(heat, x)).alias("heating_n"),
                   F.regr_slope(F.when(cool, y), F.when(cool, x)).alias("cooling_slope"),
                   F.regr_count(F.when(cool, y), F.when(cool, x)).alias("cooling_n"))
+
+
+# -- spreads: D22/D35, D38, D24, E5 ---------------------------------------------
+from ampere.operators import metrics as MT  # noqa: E402
+from ampere.operators import quality as QL  # noqa: E402
+from ampere.operators import splits as SP  # noqa: E402
+
+SPREAD_SQL = ("sp AS (SELECT np.timestamp, np.signal_name AS neighbour, np.value AS neighbour_price, "
+              "p.value AS home_price, p.value - np.value AS spread FROM stg_nb np JOIN stg_prices p "
+              "ON np.timestamp = p.timestamp AND np.resolution = p.resolution)")
+
+
+def _spreads_long(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    n = wh.stg_neighbour_prices.select("timestamp", "resolution", F.col("signal_name").alias("neighbour"),
+                                       F.col("value").alias("neighbour_price"))
+    p = wh.stg_prices.select("timestamp", "resolution", F.col("value").alias("home_price"))
+    return (n.join(p, ["timestamp", "resolution"])
+             .withColumn("spread", F.col("home_price") - F.col("neighbour_price")).drop("resolution"))
+
+
+@register("spread_stats", O.rounded(f"""{W_H}, {SPREAD_SQL}
+SELECT neighbour, count(spread) AS count, avg(spread) AS mean, stddev_samp(spread) AS std, min(spread) AS min,
+       {', '.join(f'quantile_cont(spread, {q}) AS p{int(q * 100):02d}' for q in PCTS)}, max(spread) AS max,
+       avg(abs(spread)) AS mean_abs_spread FROM sp GROUP BY 1""", DESC_COLS + ["mean_abs_spread"]))
+def spread_stats(spark, sf_dir):
+    """D22 + D35: spread distribution per neighbour and mean absolute spread."""
+    s = _spreads_long(spark, sf_dir)
+    d = AN.describe(s, ["neighbour"], "spread", PCTS)
+    m = s.groupBy("neighbour").agg(F.avg(F.abs("spread")).alias("mean_abs_spread"))
+    return d.join(m, "neighbour")
+
+
+@register("feature_selection_summary", O.rounded(f"""{W_H}, {SPREAD_SQL}
+SELECT s.neighbour, corr(s.neighbour_price, s.home_price) AS level_corr, corr(s.spread, s2.home_price) AS lead1_corr,
+       avg(s.spread) AS mean_spread, stddev_samp(s.spread) AS std_spread,
+       avg(CASE WHEN s.spread > 0 THEN 1.0 ELSE 0.0 END) * 100 AS pct_positive
+FROM sp s LEFT JOIN sp s2 ON s2.neighbour = s.neighbour AND s2.timestamp = s.timestamp + INTERVAL 1 HOUR
+GROUP BY 1""", ["level_corr", "lead1_corr", "mean_spread", "std_spread", "pct_positive"]))
+def feature_selection_summary(spark, sf_dir):
+    """Per neighbour level correlation, correlation with the next hour's
+    home price (time-based lead via fan-out), mean, std, % positive."""
+    s = _spreads_long(spark, sf_dir)
+    j = LG.lag_fanout(s, {-1: {"home_price": "_next_home"}}, partition=["neighbour"])
+    return j.groupBy("neighbour").agg(
+        F.corr("neighbour_price", "home_price").alias("level_corr"), F.corr("spread", "_next_home").alias("lead1_corr"),
+        F.avg("spread").alias("mean_spread"), F.stddev_samp("spread").alias("std_spread"),
+        (F.avg((F.col("spread") > 0).cast("double")) * 100).alias("pct_positive"))
+
+
+ZONES = PS_COLS[0:1] + [c for c in PS_COLS if c.endswith("_price_eur_mwh") and c != PS_COLS[0]]
+
+
+def _corr_sql():
+    parts = []
+    for i, a in enumerate(ZONES):
+        for b in ZONES[i:]:
+            parts.append(f"SELECT {O.q(a)} AS a, {O.q(b)} AS b, corr({a}, {b}) AS corr FROM ps")
+            if a != b:
+                parts.append(f"SELECT {O.q(b)} AS a, {O.q(a)} AS b, corr({a}, {b}) AS corr FROM ps")
+    return " UNION ALL ".join(parts)
+
+
+@register("zone_correlation_matrix", O.rounded(f"{W_H}, ps AS ({O.spreads_sql()}) {_corr_sql()}", ["corr"]))
+def zone_correlation_matrix(spark, sf_dir):
+    """Pairwise price correlations of all zones, long form, one pass."""
+    return AN.pairwise_corr(warehouse(spark, sf_dir).fct_price_spreads, ZONES)
+
+
+@register("lead1_spread_correlation", O.rounded(f"""{W_H}, {SPREAD_SQL}
+SELECT neighbour, corr(spread, nxt) AS lead1_corr FROM (
+  SELECT neighbour, spread, lead(spread) OVER (PARTITION BY neighbour ORDER BY timestamp) AS nxt FROM sp) GROUP BY 1""",
+                                                ["lead1_corr"]))
+def lead1_spread_correlation(spark, sf_dir):
+    """E5 + D23: correlation of each spread with its next observation (row lead per series)."""
+    return AN.lead_correlation(_spreads_long(spark, sf_dir), "spread", "spread", partition=["neighbour"])
+
+
+# -- coverage, profile, top-k (G3 D29 L6 L8 F2 F3) -------------------------------
+@register("coverage_histogram", f"""{W_H}
+SELECT signal, rows, count(*) AS groups FROM (
+  SELECT signal, CAST(timestamp AS DATE) AS day, count(*) AS rows FROM sig GROUP BY 1, 2) GROUP BY 1, 2""")
+def coverage_histogram(spark, sf_dir):
+    """Rows per (signal, day) and how many days have each count."""
+    s = B.raw_signals(spark, sf_dir)
+    c = s.groupBy("signal", F.to_date("timestamp").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    return c.groupBy("signal", "rows").agg(F.count(F.lit(1)).alias("groups"))
+
+
+@register("missing_days", f"""{W_H},
+d AS (SELECT DISTINCT signal, CAST(timestamp AS DATE) AS day FROM sig),
+b AS (SELECT signal, min(day) lo, max(day) hi FROM d GROUP BY 1),
+spine AS (SELECT signal, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM b)
+SELECT CAST(s.day AS TIMESTAMP) AS day, s.signal FROM spine s ANTI JOIN d ON s.signal = d.signal AND s.day = d.day""")
+def missing_days(spark, sf_dir):
+    """Calendar days inside each signal's range without any row."""
+    return QL.missing_days(B.raw_signals(spark, sf_dir), "timestamp", ["signal"])
+
+
+@register("missing_hours", f"""{W_H},
+b AS (SELECT signal, min(timestamp) lo, max(timestamp) hi FROM sig GROUP BY 1),
+spine AS (SELECT signal, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS timestamp FROM b)
+SELECT s.signal, s.timestamp FROM spine s ANTI JOIN sig ON s.signal = sig.signal AND s.timestamp = sig.timestamp""")
+def missing_hours(spark, sf_dir):
+    """Expected-vs-actual hourly coverage: hours absent per signal (grid minus rows)."""
+    s = B.raw_signals(spark, sf_dir).select("signal", "timestamp")
+    grid = WN.time_spine(s, "timestamp", "1 hour", ["signal"])
+    return grid.join(s, ["signal", "timestamp"], "left_anti")
+
+
+@register("signal_profile_zero_neg_null", f"""{W_H}
+SELECT signal, count(*) AS rows, count(*) FILTER (WHERE value IS NULL) AS nulls,
+       count(*) FILTER (WHERE value = 0) AS zeros, count(*) FILTER (WHERE value < 0) AS negatives,
+       count(*) FILTER (WHERE value > 0 AND value < 100) AS low_positive FROM sig GROUP BY 1""")
+def signal_profile_zero_neg_null(spark, sf_dir):
+    """L8 (B14 D30): rows, nulls, zeros, negatives, (0,100) values per signal."""
+    return QL.profile(B.raw_signals(spark, sf_dir), ["signal"], "value")
+
+
+@register("topk_price_hours", O.rounded(f"""{W_H}
+SELECT timestamp, value AS price_eur_mwh FROM stg_prices ORDER BY value DESC, timestamp LIMIT 10""", ["price_eur_mwh"]))
+def topk_price_hours(spark, sf_dir):
+    """the ten most expensive hours (top-k is the feature)."""
+    p = prices(spark, sf_dir).select("timestamp", "price_eur_mwh")
+    return AN.top_k(p, [F.col("price_eur_mwh").desc(), F.col("timestamp")], 10)
+
+
+@register("signal_value_counts", """SELECT upper(event_type) AS signal, count(*) AS count FROM events GROUP BY 1""")
+def signal_value_counts(spark, sf_dir):
+    """landed rows per signal (revisions included), frequency table."""
+    return AN.value_counts(B.raw_signal_rows(spark, sf_dir), "signal")
+
+
+# -- data quality L1-L5 -----------------------------------------------------------
+@register("dq_unique_combination", f"""WITH sig_rows AS ({O.signal_rows('hour')}),
+sig AS ({O.latest('sig_rows', 'timestamp, signal, resolution')}),
+r AS (SELECT count(*) AS k, coalesce(sum(n - 1), 0) AS extra FROM (SELECT count(*) n FROM sig_rows GROUP BY timestamp, signal, resolution HAVING count(*) > 1)),
+s AS (SELECT count(*) AS k, coalesce(sum(n - 1), 0) AS extra FROM (SELECT count(*) n FROM sig GROUP BY timestamp, signal, resolution HAVING count(*) > 1))
+SELECT 'unique_combination' AS "check", 'raw_rows' AS "table", 'timestamp,signal,resolution' AS key, k AS n_violations FROM r
+UNION ALL SELECT 'duplicate_rows', 'raw_rows', 'timestamp,signal,resolution', CAST(extra AS BIGINT) FROM r
+UNION ALL SELECT 'unique_combination', 'raw_signals', 'timestamp,signal,resolution', k FROM s
+UNION ALL SELECT 'duplicate_rows', 'raw_signals', 'timestamp,signal,resolution', CAST(extra AS BIGINT) FROM s""")
+def dq_unique_combination(spark, sf_dir):
+    """Key uniqueness of landed rows (revisions) and of the upserted table."""
+    key = ["timestamp", "signal", "resolution"]
+    return QL.unique_combination(B.raw_signal_rows(spark, sf_dir), "raw_rows", key).unionByName(
+        QL.unique_combination(B.raw_signals(spark, sf_dir), "raw_signals", key))
+
+
+@register("dq_not_null_accepted", f"""{W_H}
+SELECT 'not_null' AS "check", 'stg_generation_load' AS "table", 'timestamp' AS key, count(*) FILTER (WHERE timestamp IS NULL) AS n_violations FROM stg_gen UNION ALL SELECT 'not_null' AS "check", 'stg_generation_load' AS "table", 'signal_name' AS key, count(*) FILTER (WHERE signal_name IS NULL) AS n_violations FROM stg_gen UNION ALL SELECT 'not_null' AS "check", 'stg_generation_load' AS "table", 'value' AS key, count(*) FILTER (WHERE value IS NULL) AS n_violations FROM stg_gen UNION ALL SELECT 'not_null' AS "check", 'stg_generation_load' AS "table", 'resolution' AS key, count(*) FILTER (WHERE resolution IS NULL) AS n_violations FROM stg_gen
+UNION ALL SELECT 'accepted_values', 'stg_generation_load', 'resolution',
+  count(*) FILTER (WHERE resolution IS NOT NULL AND resolution NOT IN ('hour', 'quarterhour')) FROM stg_gen
+UNION ALL SELECT 'accepted_values', 'stg_generation_load', 'signal_name',
+  count(*) FILTER (WHERE signal_name IS NOT NULL AND signal_name NOT IN ({O.inlist(CAT.generation_load)})) FROM stg_gen
+UNION ALL SELECT 'accepted_values', 'stg_generation_load', 'unit',
+  count(*) FILTER (WHERE unit IS NOT NULL AND unit NOT IN ('MW')) FROM stg_gen""")
+def dq_not_null_accepted(spark, sf_dir):
+    """L2 + L4 fused in one pass over the staging view."""
+    s = warehouse(spark, sf_dir).stg_generation_load
+    return QL.not_null_and_accepted(s, "stg_generation_load", ["timestamp", "signal_name", "value", "resolution"],
+                                    {"resolution": ["hour", "quarterhour"], "signal_name": list(CAT.generation_load),
+                                     "unit": ["MW"]})
+
+
+@register("dq_facts_in_dim", f"""{W_H},
+dim AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date_day
+        FROM (SELECT min(CAST(timestamp AS DATE)) lo, max(CAST(timestamp AS DATE)) hi FROM stg_prices)),
+g AS ({O.pivot_gen_sql()}), gf AS ({O.pivot_fc_sql()}), w AS ({O.pivot_weather_sql('stg_wx')}),
+wf AS ({O.pivot_weather_sql('stg_wxf', '_forecast')}),
+f AS (SELECT 'fct_generation_load' AS t, CAST(timestamp AS DATE) AS d FROM g
+      UNION ALL SELECT 'fct_generation_load_forecast', CAST(timestamp AS DATE) FROM gf
+      UNION ALL SELECT 'fct_weather', CAST(timestamp AS DATE) FROM w
+      UNION ALL SELECT 'fct_weather_forecast', CAST(timestamp AS DATE) FROM wf),
+bad AS (SELECT t, d FROM f ANTI JOIN dim ON f.d = dim.date_day),
+tabs AS (SELECT * FROM (VALUES ('fct_generation_load'), ('fct_generation_load_forecast'), ('fct_weather'),
+                               ('fct_weather_forecast')) v(t))
+SELECT 'relationships' AS "check", tabs.t AS "table", 'date_day' AS key, count(bad.d) AS n_violations
+FROM tabs LEFT JOIN bad ON tabs.t = bad.t GROUP BY tabs.t""")
+def dq_facts_in_dim(spark, sf_dir):
+    """L5 (C8 G1): fact days missing from the date dimension, per fact table (null-safe anti join, union)."""
+    wh = warehouse(spark, sf_dir)
+    dim = wh.dim_date
+    out = None
+    for name in ("fct_generation_load", "fct_generation_load_forecast", "fct_weather", "fct_weather_forecast"):
+        r = QL.missing_in_dimension(wh.product(name), name, F.to_date("timestamp"), dim)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# -- D37 daily summary, G5 splice ----------------------------------------------------
+GEN_MIX = [c for c in CAT.generation.values()]
+
+
+@register("daily_energy_summary", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()}),
+gd AS (SELECT CAST(timestamp AS DATE) AS target_date, {', '.join(f'avg({c}) AS {c}' for c in GEN_MIX)},
+       sum({_rowsum_sql(REN, 'g')}) * 100.0 / nullif(sum({_rowsum_sql(GEN_NO_STORAGE, 'g')}), 0) AS renewable_share
+       FROM g GROUP BY 1),
+pd AS (SELECT CAST(timestamp AS DATE) AS target_date, avg(value) AS avg_price FROM stg_prices GROUP BY 1)
+SELECT gd.*, pd.avg_price FROM gd LEFT JOIN pd ON gd.target_date = pd.target_date""",
+                                            GEN_MIX + ["renewable_share", "avg_price"], dates=["target_date"]))
+def daily_energy_summary(spark, sf_dir):
+    """Per day generation mix (mean per source), mean price, renewable share (%)."""
+    wh = warehouse(spark, sf_dir)
+    g = wh.fct_generation_load
+
+    def rs(cols):
+        e = F.lit(0.0)
+        for c in cols:
+            e = e + F.coalesce(F.col(c), F.lit(0.0))
+        return e
+    gd = g.groupBy(F.to_date("timestamp").alias("target_date")).agg(
+        *[F.avg(c).alias(c) for c in GEN_MIX],
+        F.try_divide(F.sum(rs(REN)) * 100.0, F.sum(rs(GEN_NO_STORAGE))).alias("renewable_share"))
+    pd_ = wh.stg_prices.groupBy(F.to_date("timestamp").alias("target_date")).agg(F.avg("value").alias("avg_price"))
+    return gd.join(pd_, "target_date", "left")
+
+
+@register("history_forecast_splice", O.rounded(f"""{W_H},
+nw AS (SELECT date_trunc('day', max(timestamp)) - INTERVAL 7 DAY AS now FROM stg_prices)
+SELECT timestamp, value, 'observed' AS source FROM stg_prices, nw WHERE timestamp <= now AND timestamp > now - INTERVAL 7 DAY
+UNION ALL SELECT timestamp, value, 'forecast' FROM stg_fc, nw
+WHERE signal_name = {O.q(CAT.home_price + '_FC')} AND timestamp > now""", ["value"]))
+def history_forecast_splice(spark, sf_dir):
+    """7-day observed buffer up to "now" + forecast rows after it (disjoint
+    filters, no duplicate at the boundary); "now" derived from the data."""
+    wh = warehouse(spark, sf_dir)
+    obs = wh.stg_prices
+    now = obs.agg((F.date_trunc("DAY", F.max("timestamp")) - F.expr("INTERVAL 7 DAYS")).alias("_now")).withColumn("_one", F.lit(1))
+    o = (obs.withColumn("_one", F.lit(1)).join(F.broadcast(now), "_one")
+            .where((F.col("timestamp") <= F.col("_now")) & (F.col("timestamp") > F.col("_now") - F.expr("INTERVAL 7 DAYS")))
+            .select("timestamp", "value", F.lit("observed").alias("source")))
+    fc = wh.stg_generation_load_forecast.where(F.col("signal_name") == CAT.home_price + "_FC")
+    f = (fc.withColumn("_one", F.lit(1)).join(F.broadcast(now), "_one").where(F.col("timestamp") > F.col("_now"))
+           .select("timestamp", "value", F.lit("forecast").alias("source")))
+    return o.unionByName(f)
+
+
+# -- J1, J2, J4 -----------------------------------------------------------------------
+HOLDOUT_DAYS = 7
+
+
+@register("temporal_split_counts", f"""{W_H},
+c AS (SELECT max(timestamp) - INTERVAL {HOLDOUT_DAYS} DAY AS cut FROM stg_prices)
+SELECT CASE WHEN timestamp >= cut THEN 'test' ELSE 'trainval' END AS role, count(*) AS n,
+       min(timestamp) AS first_ts, max(timestamp) AS last_ts FROM stg_prices, c GROUP BY 1""")
+def temporal_split_counts(spark, sf_dir):
+    """Hold-out = last N days (cut = max(ts) - N days); rows per role."""
+    s = SP.temporal_split(prices(spark, sf_dir), holdout_days=HOLDOUT_DAYS)
+    return s.groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first_ts"),
+                                 F.max("timestamp").alias("last_ts"))
+
+
+WINDOWS_SQL = """b AS (SELECT CAST(min(timestamp) AS DATE) + 7 AS fs, CAST(max(timestamp) AS DATE) - 9 AS ho,
+                  CAST(max(timestamp) AS DATE) + 1 AS he FROM stg_prices),
+st AS (SELECT fs AS s FROM b
+       UNION SELECT CAST(unnest(generate_series(fs + CAST(7 - (isodow(fs) - 1) AS INTEGER), ho - 1, INTERVAL 7 DAY)) AS DATE) FROM b
+       UNION SELECT ho FROM b
+       UNION SELECT CAST(unnest(generate_series(ho + CAST(7 - (isodow(ho) - 1) AS INTEGER), he - 1, INTERVAL 7 DAY)) AS DATE) FROM b),
+win AS (SELECT row_number() OVER (ORDER BY s) AS window_id, s AS start,
+               coalesce(lead(s) OVER (ORDER BY s), he) AS "end", s >= ho AS in_holdout FROM st, b)"""
+
+
+def _windows(spark, sf_dir):
+    p = prices(spark, sf_dir)
+    bounds = p.agg(F.date_add(F.to_date(F.min("timestamp")), 7).alias("first_start"),
+                   F.date_sub(F.to_date(F.max("timestamp")), 9).alias("holdout_start"),
+                   F.date_add(F.to_date(F.max("timestamp")), 1).alias("holdout_end"))
+    return SP.prediction_windows(bounds)
+
+
+@register("prediction_windows", O.rounded(f"""{W_H}, {WINDOWS_SQL}
+SELECT w.window_id, w.start, w."end", w.in_holdout, count(p.timestamp) AS n_rows
+FROM win w LEFT JOIN stg_prices p ON CAST(p.timestamp AS DATE) >= w.start AND CAST(p.timestamp AS DATE) < w."end"
+GROUP BY 1, 2, 3, 4""", dates=["start", "end"]))
+def prediction_windows_q(spark, sf_dir):
+    """Weekly expanding prediction windows (first start, Mondays, hold-out
+    restart) with the number of rows each window predicts."""
+    win = _windows(spark, sf_dir)
+    tagged = SP.assign_window(prices(spark, sf_dir), win)
+    counts = tagged.groupBy("window_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return win.join(counts, "window_id", "left").select("window_id", "start", "end", "in_holdout",
+                                                        F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+CV_SPLITS, CV_GAP = 3, 24
+
+
+@register("ts_cv_folds", f"""{W_H},
+r AS (SELECT timestamp, row_number() OVER (ORDER BY timestamp) - 1 AS idx, count(*) OVER () AS n FROM stg_prices),
+f AS (SELECT r.*, fold, n - ({CV_SPLITS} - fold + 1) * (n // {CV_SPLITS + 1}) AS ts0, n // {CV_SPLITS + 1} AS t
+      FROM r, (VALUES (1), (2), (3)) v(fold)),
+x AS (SELECT *, CASE WHEN idx >= ts0 AND idx < ts0 + t THEN 'test' WHEN idx < ts0 - {CV_GAP} THEN 'train' END AS role FROM f)
+SELECT fold, role, count(*) AS n, min(timestamp) AS first_ts, max(timestamp) AS last_ts FROM x
+WHERE role IS NOT NULL GROUP BY 1, 2""")
+def ts_cv_folds(spark, sf_dir):
+    """Expanding time-series CV folds with a gap (global row index by
+    bucket counts + prefix sum, no one-task window); rows per (fold, role)."""
+    f = SP.ts_cv_folds(prices(spark, sf_dir).select("timestamp"), CV_SPLITS, CV_GAP)
+    return f.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first_ts"),
+                                         F.max("timestamp").alias("last_ts"))
+
+
+# -- K metrics on a predictions table ------------------------------------------------------
+PRED_SQL = f"""{WINDOWS_SQL},
+pr AS (SELECT t.timestamp, t.value AS y,
+              ({' + '.join(f'p{k}.value' for k in range(1, 8))}) / 7.0 AS pred, p1.value AS ref
+       FROM stg_prices t
+       {chr(10).join(f'LEFT JOIN stg_prices p{k} ON p{k}.timestamp = t.timestamp - INTERVAL {24 * k} HOUR' for k in range(1, 8))}),
+pw AS (SELECT w.window_id, pr.* FROM pr JOIN win w ON CAST(pr.timestamp AS DATE) >= w.start AND CAST(pr.timestamp AS DATE) < w."end"
+       WHERE pr.y IS NOT NULL AND pr.pred IS NOT NULL AND pr.ref IS NOT NULL),
+fl AS (SELECT *, coalesce((pred - lag(pred) OVER w) * (y - lag(y) OVER w) > 0, false) AS dir_hit,
+              coalesce((ref - lag(ref) OVER w) * (y - lag(y) OVER w) > 0, false) AS bdir_hit,
+              (pred > ref) = (y > ref) AS dev_hit
+       FROM pw WINDOW w AS (PARTITION BY window_id ORDER BY timestamp))"""
+
+
+def _predictions(spark, sf_dir):
+    """Long predictions table: model = exact same-hour 7-day mean, reference = 24 h persistence."""
+    p = prices(spark, sf_dir).select("timestamp", F.col("price_eur_mwh").alias("y"))
+    j = LG.lag_fanout(p, {24 * k: {"y": f"_p{k}"} for k in range(1, 8)})
+    pr = j.select("timestamp", "y", LG.same_hour_average([f"_p{k}" for k in range(1, 8)]).alias("pred"),
+                  F.col("_p1").alias("ref")).na.drop(subset=["y", "pred", "ref"])
+    return SP.assign_window(pr, _windows(spark, sf_dir)).select("window_id", "timestamp", "y", "pred", "ref")
+
+
+@register("regression_metrics", O.rounded(f"""{W_H}, {PRED_SQL}
+SELECT window_id, count(*) AS n, avg(abs(pred - y)) AS mae, sqrt(avg((pred - y) * (pred - y))) AS rmse,
+       1 - sum((pred - y) * (pred - y)) / (var_pop(y) * count(y)) AS r2 FROM pw GROUP BY 1""", ["mae", "rmse", "r2"]))
+def regression_metrics(spark, sf_dir):
+    """K1: MAE, RMSE, R^2 (1 - SSres/SStot) per prediction window."""
+    pr = _predictions(spark, sf_dir)
+    return pr.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), *MT.error_aggregates("y", "pred"))
+
+
+@register("directional_metrics", O.rounded(f"""{W_H}, {PRED_SQL}
+SELECT window_id, avg(CASE WHEN dir_hit THEN 1.0 ELSE 0.0 END) AS directional_accuracy,
+       avg(CASE WHEN dev_hit THEN 1.0 ELSE 0.0 END) AS deviation_directional_accuracy FROM fl GROUP BY 1""",
+                                           ["directional_accuracy", "deviation_directional_accuracy"]))
+def directional_metrics(spark, sf_dir):
+    """K2 + K3: directional accuracy (first row a miss, ties misses) and deviation-directional accuracy."""
+    f = MT.with_direction_flags(_predictions(spark, sf_dir), ["window_id"], "timestamp", "y", "pred", "ref")
+    return f.groupBy("window_id").agg(F.avg(F.col("_dir_hit").cast("double")).alias("directional_accuracy"),
+                                      F.avg(F.col("_dev_hit").cast("double")).alias("deviation_directional_accuracy"))
+
+
+@register("peak_mae", O.rounded(f"""{W_H}, {PRED_SQL},
+q AS (SELECT window_id, quantile_cont(y, 0.9) AS q FROM pw GROUP BY 1)
+SELECT pw.window_id, avg(abs(pred - y)) AS peak_mae, count(*) AS n_peak FROM pw JOIN q ON pw.window_id = q.window_id
+WHERE y > q.q GROUP BY 1""", ["peak_mae"]))
+def peak_mae(spark, sf_dir):
+    """K4: MAE over hours strictly above the window's 0.9 quantile."""
+    return MT.peak_mae(_predictions(spark, sf_dir), ["window_id"], "y", "pred", 0.9)
+
+
+@register("persistence_report_by_window", O.rounded(f"""{W_H}, {PRED_SQL}
+SELECT window_id, count(*) AS n, avg(abs(pred - y)) AS mae, sqrt(avg((pred - y) * (pred - y))) AS rmse,
+       1 - sum((pred - y) * (pred - y)) / (var_pop(y) * count(y)) AS r2,
+       avg(CASE WHEN dir_hit THEN 1.0 ELSE 0.0 END) AS directional_accuracy,
+       avg(CASE WHEN dev_hit THEN 1.0 ELSE 0.0 END) AS deviation_directional_accuracy,
+       avg(abs(ref - y)) AS baseline_mae, sqrt(avg((ref - y) * (ref - y))) AS baseline_rmse,
+       1 - sum((ref - y) * (ref - y)) / (var_pop(y) * count(y)) AS baseline_r2,
+       avg(CASE WHEN bdir_hit THEN 1.0 ELSE 0.0 END) AS baseline_directional_accuracy,
+       avg(abs(ref - y)) - avg(abs(pred - y)) AS mae_improvement,
+       (avg(abs(ref - y)) - avg(abs(pred - y))) / avg(abs(ref - y)) * 100 AS mae_improvement_pct
+FROM fl GROUP BY 1""", ["mae", "rmse", "r2", "directional_accuracy", "deviation_directional_accuracy", "baseline_mae",
+                        "baseline_rmse", "baseline_r2", "baseline_directional_accuracy", "mae_improvement",
+                        "mae_improvement_pct"]))
+def persistence_report_by_window(spark, sf_dir):
+    """Full report per window incl. the 24 h persistence baseline and improvement."""
+    return MT.report(_predictions(spark, sf_dir), ["window_id"], "timestamp", "y", "pred", ref="ref",
+                     with_baseline=True)
+
+
+# -- D40, D41, D43, A15 -----------------------------------------------------------------------
+@register("histogram_density_by_regime", O.rounded(f"""WITH {DAILY_SQL},
+s AS (SELECT {REGIME_SQL} AS regime, value AS x FROM daily),
+mm AS (SELECT min(x) lo, max(x) hi FROM s),
+b AS (SELECT regime, LEAST(GREATEST(CAST(ceil((x - lo) / ((hi - lo) / 120.0)) AS BIGINT) - 1, 0), 119) AS bin, lo, hi FROM s, mm),
+n AS (SELECT regime, count(*) AS nr FROM s GROUP BY 1)
+SELECT b.regime, bin, count(*) * 1.0 / (any_value(n.nr) * ((any_value(hi) - any_value(lo)) / 120.0)) AS density
+FROM b JOIN n ON b.regime = n.regime GROUP BY 1, 2""", ["density"]))
+def histogram_density_by_regime(spark, sf_dir):
+    """Density histogram (120 equal bins over the value range) per regime:
+    count / (rows of the regime * nominal bin width)."""
+    d = B.daily_orders(spark, sf_dir).select(regime().alias("regime"), F.col("value").alias("x"))
+    b = BN.equal_width_bins(d, "x", 120)
+    n = d.groupBy("regime").agg(F.count(F.lit(1)).alias("_nr"))
+    mm = d.agg(((F.max("x") - F.min("x")) / 120.0).alias("_w")).withColumn("_one", F.lit(1))
+    c = b.groupBy("regime", "bin").agg(F.count(F.lit(1)).alias("_c"))
+    c = c.join(F.broadcast(n), "regime").withColumn("_one", F.lit(1)).join(F.broadcast(mm), "_one")
+    return c.select("regime", "bin", (F.col("_c") / (F.col("_nr") * F.col("_w"))).alias("density"))
+
+
+@register("share_vs_season_average", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()}),
+d AS (SELECT CAST(((timestamp AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin') AS DATE) AS local_date,
+             sum({_rowsum_sql(REN)}) / nullif(sum({_rowsum_sql(GEN_NO_STORAGE)}), 0) AS share FROM g GROUP BY 1),
+s AS (SELECT *, CASE WHEN month(local_date) IN (12, 1, 2) THEN 'winter' WHEN month(local_date) IN (3, 4, 5) THEN 'spring'
+             WHEN month(local_date) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season FROM d),
+a AS (SELECT season, avg(share) AS season_avg FROM s GROUP BY 1)
+SELECT s.local_date, s.season, s.share, a.season_avg, s.share - a.season_avg AS vs_season FROM s JOIN a ON s.season = a.season""",
+                                               ["share", "season_avg", "vs_season"], dates=["local_date"]))
+def share_vs_season_average(spark, sf_dir):
+    """Daily renewable share against the average share of its season."""
+    g = warehouse(spark, sf_dir).fct_generation_load.withColumn("local_date", TM.delivery_date("timestamp"))
+    d = AN.weighted_share(g, ["local_date"], REN, GEN_NO_STORAGE, "share").withColumn("season", TM.season(F.month("local_date")))
+    a = d.groupBy("season").agg(F.avg("share").alias("season_avg"))
+    return d.join(F.broadcast(a), "season").select("local_date", "season", "share", "season_avg",
+                                                   (F.col("share") - F.col("season_avg")).alias("vs_season"))
+
+
+@register("deviation_from_typical", O.rounded(f"""{W_H},
+p AS (SELECT timestamp, value, hour({LOCAL_SQL}) AS hour,
+             CASE WHEN month({LOCAL_SQL}) IN (12, 1, 2) THEN 'winter' WHEN month({LOCAL_SQL}) IN (3, 4, 5) THEN 'spring'
+                  WHEN month({LOCAL_SQL}) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season FROM stg_prices)
+SELECT timestamp, value AS price_eur_mwh, hour, season, value - avg(value) OVER (PARTITION BY hour, season) AS deviation FROM p""",
+                                              ["price_eur_mwh", "deviation"]))
+def deviation_from_typical(spark, sf_dir):
+    """Price minus the mean of its (local hour, season) cell."""
+    p = _local_prices(spark, sf_dir).select("timestamp", "price_eur_mwh", "hour", "season")
+    return AN.deviation_from_cell_mean(p, "price_eur_mwh", ["hour", "season"])
+
+
+LOADED_BEFORE = "2024-01-20 00:00:00"
+
+
+@register("skip_existing_partitions", f"""WITH sig_rows AS ({O.signal_rows('hour')}),
+inc AS (SELECT DISTINCT CAST(timestamp AS DATE) AS day, resolution FROM sig_rows),
+ex AS (SELECT DISTINCT CAST(timestamp AS DATE) AS day, resolution FROM sig_rows WHERE fetched_at < TIMESTAMP '{LOADED_BEFORE}')
+SELECT CAST(day AS TIMESTAMP) AS day, resolution FROM inc ANTI JOIN ex USING (day, resolution)""")
+def skip_existing_partitions(spark, sf_dir):
+    """Incoming (day, resolution) partitions not yet in the lake (anti join
+    against the partitions present); ``force`` would skip this filter."""
+    from ampere.sources.lake import partitions_to_write
+    rows = B.raw_signal_rows(spark, sf_dir)
+    existing = rows.where(F.col("fetched_at") < F.lit(LOADED_BEFORE).cast("timestamp"))
+    return partitions_to_write(rows, existing)
