@@ -1174,3 +1174,63 @@ def skip_existing_partitions(spark, sf_dir):
     rows = B.raw_signal_rows(spark, sf_dir)
     existing = rows.where(F.col("fetched_at") < F.lit(LOADED_BEFORE).cast("timestamp"))
     return partitions_to_write(rows, existing)
+
+
+# -- M1-M3 streaming (availableNow over the events file) -------------------------------------
+import uuid  # noqa: E402
+
+from ampere.session import ensure_checkpoint_dir  # noqa: E402
+from ampere.streaming import ingest as SI  # noqa: E402
+
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def _events_stream(spark, sf_dir):
+    from pyspark.sql.types import _parse_datatype_string
+    s = SI.file_stream(spark, sf_dir, _parse_datatype_string(EVENTS_SCHEMA), glob="events.parquet")
+    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ampere-{name}-{uuid.uuid4().hex}"
+
+
+@register("stream_upsert_available_now", O.rounded(f"""WITH sig_rows AS ({O.signal_rows('hour')})
+{O.latest('sig_rows', 'timestamp, signal, resolution')}""", ["value"]))
+def stream_upsert_available_now(spark, sf_dir):
+    """M1: file stream -> foreachBatch keyed upsert into a versioned table."""
+    ev = _events_stream(spark, sf_dir)
+    rows = ev.select(TM.floor_minutes("ts", 60).alias("timestamp"), F.upper("event_type").alias("signal"),
+                     (F.col("value") - B.VALUE_OFFSET).alias("value"), F.lit("MW").alias("unit"),
+                     F.lit("hour").alias("resolution"), F.col("ts").alias("fetched_at"), "event_id")
+    root = _scratch(spark, "stream-upsert")
+    q = SI.upsert_stream(rows, f"{root}/table", f"{root}/_checkpoint", ["timestamp", "signal", "resolution"],
+                         ["fetched_at", "event_id"])
+    q.awaitTermination()
+    return SI.read_version(spark, f"{root}/table")
+
+
+@register("stream_dedup_first_wins")
+def stream_dedup_first_wins(spark, sf_dir):
+    """M2: streaming de-duplication of revisions within the watermark (first
+    arrival wins, so values depend on arrival order: rows-only check)."""
+    ev = _events_stream(spark, sf_dir).withColumn("timestamp", F.date_trunc("HOUR", "ts"))
+    d = SI.dedup_stream(ev, ["timestamp", "event_type"], "ts", "2 hours")
+    root = _scratch(spark, "stream-dedup")
+    SI.run_available_now(d.select("timestamp", "event_type", "value", "ts"), f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_hourly_rollup", O.rounded("""WITH w AS (
+  SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type,
+         count(*) AS n, sum(value) AS total, avg(value) AS mean FROM events GROUP BY 1, 2, 3),
+wm AS (SELECT max(ts) - INTERVAL 2 HOUR AS wm FROM events)
+SELECT w.* FROM w, wm WHERE window_end <= wm""", ["total", "mean"]))
+def stream_hourly_rollup(spark, sf_dir):
+    """M3: tumbling hourly windows with a 2 h watermark in append mode; windows
+    whose end is past the final watermark stay open and are not emitted."""
+    ev = _events_stream(spark, sf_dir)
+    r = SI.windowed_rollup(ev, "ts", ["event_type"], "value", "1 hour", "2 hours")
+    root = _scratch(spark, "stream-rollup")
+    SI.run_available_now(r, f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out")
