@@ -1234,3 +1234,92 @@ def stream_hourly_rollup(spark, sf_dir):
     root = _scratch(spark, "stream-rollup")
     SI.run_available_now(r, f"{root}/out", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/out")
+
+
+# -- A2, A3, A5, A6, A9-A12 landed payloads ------------------------------------------------
+from ampere.sources import payloads as PL  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+
+def _chunks(spark, sf_dir):
+    """Weekly signal chunks as landed JSON payloads (one per signal x week)."""
+    s = B.raw_signals(spark, sf_dir).withColumn("chunk_start", F.date_trunc("WEEK", "timestamp"))
+    return PL.series_payload(s, ["signal", "chunk_start"])
+
+
+@register("series_payload_parse", O.rounded(f"{W_H} SELECT signal, timestamp, value FROM sig", ["value"]))
+def series_payload_parse(spark, sf_dir):
+    """A2/A4: parse landed weekly series payloads back to (signal, timestamp, value)."""
+    return PL.parse_series_payload(_chunks(spark, sf_dir), keep=["signal"])
+
+
+CHUNK_SQL = f"""{W_H},
+idx AS (SELECT DISTINCT signal, date_trunc('week', timestamp) AS chunk_start FROM sig),
+rng AS (SELECT min(timestamp) + INTERVAL 10 DAY AS s, max(timestamp) - INTERVAL 10 DAY AS e FROM sig),
+fr AS (SELECT signal, coalesce(max(chunk_start) FILTER (WHERE chunk_start <= s), min(chunk_start)) AS f FROM idx, rng GROUP BY 1)
+SELECT idx.signal, idx.chunk_start FROM idx JOIN fr ON idx.signal = fr.signal, rng
+WHERE idx.chunk_start >= fr.f AND idx.chunk_start <= rng.e"""
+
+
+@register("chunk_selection", CHUNK_SQL)
+def chunk_selection(spark, sf_dir):
+    """A3: chunks to fetch for a range: last chunk starting at/before the range
+    start (else the first), through all chunks starting at/before the end."""
+    s = B.raw_signals(spark, sf_dir)
+    idx = s.select("signal", F.date_trunc("WEEK", "timestamp").alias("chunk_start")).distinct()
+    rng = s.agg((F.min("timestamp") + F.expr("INTERVAL 10 DAYS")).alias("_s"),
+                (F.max("timestamp") - F.expr("INTERVAL 10 DAYS")).alias("_e")).withColumn("_one", F.lit(1))
+    idx = idx.withColumn("_one", F.lit(1)).join(F.broadcast(rng), "_one").drop("_one")
+    return PL.select_chunks(idx, F.col("_s"), F.col("_e"), ["signal"]).select("signal", "chunk_start")
+
+
+@register("props_permissive_parse", """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events WHERE props IS NULL OR json_valid(props)""")
+def props_permissive_parse(spark, sf_dir):
+    """A5: permissive JSON parse of a text column; unparsable rows go to a quarantine frame."""
+    good, _quarantine = PL.parse_permissive(B.table(spark, sf_dir, "events"), "props",
+                                            T.StructType([T.StructField("k", T.LongType())]), keep=["event_id"])
+    return good
+
+
+VARS = list(CAT.weather_variables)
+
+
+@register("weather_response_parse", O.rounded(f"""{W_H},
+rd AS (SELECT DISTINCT region, CAST(timestamp AS DATE) AS day FROM stg_wx),
+grid AS (SELECT region, CAST(day AS TIMESTAMP) + to_hours(h) AS timestamp, v AS signal_type
+         FROM rd, range(24) t(h), (VALUES {', '.join(f"('{v}')" for v in VARS)}) vv(v))
+SELECT g.timestamp, g.region, g.signal_type, x.value FROM grid g
+LEFT JOIN stg_wx x ON x.timestamp = g.timestamp AND x.region = g.region AND x.signal_name = g.signal_type""",
+                                              ["value"]))
+def weather_response_parse(spark, sf_dir):
+    """Per (region, day) API-shaped responses (start, end, interval, one
+    value array per variable) turned back into long rows on the full grid."""
+    w = warehouse(spark, sf_dir).stg_weather.withColumn("day", F.to_date("timestamp")).withColumn("h", F.hour("timestamp"))
+    arrays = [F.array(*[F.max(F.when((F.col("h") == h) & (F.col("signal_name") == v), F.col("value"))) for h in range(24)])
+              for v in VARS]
+    resp = w.groupBy("region", "day").agg(F.array(*arrays).alias("_vars")).select(F.struct(
+        F.col("region"), F.unix_seconds(F.to_timestamp("day")).alias("start"),
+        (F.unix_seconds(F.to_timestamp("day")) + 86400).alias("end"), F.lit(3600).alias("interval_s"),
+        F.col("_vars").alias("vars")).alias("response"))
+    return PL.weather_response_to_long(resp, VARS)
+
+
+HYBRID_CUTOVER = "2024-01-15"
+
+
+@register("hybrid_forecast_range", O.rounded(f"""WITH f AS ({O.weather_forecast_rows()})
+SELECT timestamp, timestamp - INTERVAL 18 HOUR AS issue_timestamp, region, signal_type, value, 'icon_seamless' AS model, fetched_at
+FROM f WHERE NOT (CAST(timestamp AS DATE) - 1 >= DATE '{HYBRID_CUTOVER}')
+UNION ALL
+SELECT timestamp, CAST(CAST(timestamp AS DATE) - 1 AS TIMESTAMP) AS issue_timestamp, region, signal_type, value,
+       'ecmwf_ifs' AS model, fetched_at
+FROM f WHERE CAST(timestamp AS DATE) - 1 >= DATE '{HYBRID_CUTOVER}'""", ["value"]))
+def hybrid_forecast_range(spark, sf_dir):
+    """Stitched forecasts (issue = valid - 18 h) before the cut-over,
+    single-run forecasts (issue = D-1 00:00 UTC) from it on, per delivery day."""
+    f = B.raw_weather_forecast(spark, sf_dir)
+    stitched = f.withColumn("issue_timestamp", PL.stitched_issue()).withColumn("model", F.lit("icon_seamless"))
+    single = f.withColumn("issue_timestamp", PL.single_run_issue()).withColumn("model", F.lit("ecmwf_ifs"))
+    out = PL.hybrid_day_forecast(stitched, single, HYBRID_CUTOVER)
+    return out.select("timestamp", "issue_timestamp", "region", "signal_type", "value", "model", "fetched_at")
