@@ -1179,7 +1179,7 @@ def skip_existing_partitions(spark, sf_dir):
 # -- M1-M3 streaming (availableNow over the events file) -------------------------------------
 import uuid  # noqa: E402
 
-from ampere.session import ensure_checkpoint_dir  # noqa: E402
+from ampere.session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from ampere.streaming import ingest as SI  # noqa: E402
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -1323,3 +1323,48 @@ def hybrid_forecast_range(spark, sf_dir):
     single = f.withColumn("issue_timestamp", PL.single_run_issue()).withColumn("model", F.lit("ecmwf_ifs"))
     out = PL.hybrid_day_forecast(stitched, single, HYBRID_CUTOVER)
     return out.select("timestamp", "issue_timestamp", "region", "signal_type", "value", "model", "fetched_at")
+
+
+# -- J3/J8 two-stage expanding-window backtest, J10 report ----------------------------------
+from ampere.plans import backtest as BT  # noqa: E402
+
+S1_FEATURES = ["price_lag_24h", "price_lag_48h", "price_lag_168h", "click_price_lag_24h", "view_price_lag_24h",
+               "hour_sin", "hour_cos", "workday"]
+S2_FEATURES = ["qoh_sin", "qoh_cos", "price_lag_96qh", "price_lag_192qh"]
+
+
+def _backtest(spark, sf_dir):
+    h = build_contract(warehouse(spark, sf_dir).fct_ml_features, HOURLY)
+    s, c = TM.cyclic(F.hour("local_timestamp"), 24)
+    h = h.select("timestamp", "price_eur_mwh", "price_lag_24h", "price_lag_48h", "price_lag_168h",
+                 "click_price_lag_24h", "view_price_lag_24h", s.alias("hour_sin"), c.alias("hour_cos"),
+                 F.col("is_workday").cast("double").alias("workday"), F.lit("hour").alias("series"))
+    h = cut_lineage(WN.forward_fill_bucketed(h, S1_FEATURES[:5], partition=["series"], limit=3), "bt-hourly")  # E3, B18
+    q = build_contract(warehouse(spark, sf_dir, "quarterhour").fct_ml_features, QUARTER_HOURLY)
+    s, c = TM.cyclic(F.col("quarter_of_hour"), 4)
+    q = cut_lineage(q.select("timestamp", "price_eur_mwh", "price_lag_96qh", "price_lag_192qh", s.alias("qoh_sin"),
+                             c.alias("qoh_cos")), "bt-quarter")
+    win = _windows(spark, sf_dir)
+    s1, s2 = BT.two_stage(h, q, win, S1_FEATURES, S2_FEATURES)
+    inh = win.select("window_id", "in_holdout")
+    a = s1.select(F.lit("hour").alias("stage"), "window_id", "timestamp", F.col("price_eur_mwh").alias("y"), "pred",
+                  F.col("price_lag_24h").alias("baseline"), "n_train")
+    b = s2.select(F.lit("quarterhour").alias("stage"), "window_id", "timestamp", F.col("price_eur_mwh").alias("y"), "pred",
+                  F.col("price_lag_96qh").alias("baseline"), "n_train")
+    return a.unionByName(b).join(F.broadcast(inh), "window_id")
+
+
+@register("two_stage_backtest")
+def two_stage_backtest(spark, sf_dir):
+    """Weekly expanding-window two-stage forecast (ridge on exact
+    expanding Gram sums); long predictions table with persistence baseline."""
+    return _backtest(spark, sf_dir)
+
+
+@register("backtest_report")
+def backtest_report(spark, sf_dir):
+    """Per stage and window MAE/RMSE/R^2/directional accuracy of
+    the forecast and of the persistence baseline."""
+    p = _backtest(spark, sf_dir).na.drop(subset=["y", "pred", "baseline"])
+    return MT.report(p, ["stage", "window_id", "in_holdout"], "timestamp", "y", "pred", ref="baseline",
+                     with_baseline=True)
