@@ -1368,3 +1368,134 @@ def backtest_report(spark, sf_dir):
     p = _backtest(spark, sf_dir).na.drop(subset=["y", "pred", "baseline"])
     return MT.report(p, ["stage", "window_id", "in_holdout"], "timestamp", "y", "pred", ref="baseline",
                      with_baseline=True)
+
+
+# -- small inventory items: D8 D12 D31-D34 D42 L9-L11 B21 J16 F4 A24-A27 ------------------------
+@register("group_mean_calendar", O.rounded(f"""{W_H}
+SELECT month({LOCAL_SQL}) AS month, hour({LOCAL_SQL}) AS hour, isodow(CAST({LOCAL_SQL} AS DATE)) - 1 AS dow,
+       avg(value) AS avg_price_eur_mwh FROM stg_prices GROUP BY 1, 2, 3""", ["avg_price_eur_mwh"]))
+def group_mean_calendar(spark, sf_dir):
+    """Mean price by local (month, hour, day-of-week)."""
+    p = _local_prices(spark, sf_dir)
+    return AN.group_mean(p, ["month", "hour", "dow"], ["price_eur_mwh"])
+
+
+@register("row_sum_generation", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()})
+SELECT timestamp, {_rowsum_sql(GEN_MIX)} AS generation_sum_mw FROM g""", ["generation_sum_mw"]))
+def row_sum_generation(spark, sf_dir):
+    """Row-wise sum over generation columns, nulls counted as 0."""
+    g = warehouse(spark, sf_dir).fct_generation_load
+    e = F.lit(0.0)
+    for c in GEN_MIX:
+        e = e + F.coalesce(F.col(c), F.lit(0.0))
+    return g.select("timestamp", e.alias("generation_sum_mw"))
+
+
+@register("unit_consistency", f"""{W_H}
+SELECT signal_name, min(unit) AS unit, count(DISTINCT unit) AS n_units FROM stg_gen GROUP BY 1""")
+def unit_consistency(spark, sf_dir):
+    """First unit and number of distinct units per signal."""
+    return QL.unit_consistency(warehouse(spark, sf_dir).stg_generation_load, "signal_name", "unit")
+
+
+@register("duplicate_key_count", f"""WITH r AS ({O.signal_rows('hour')})
+SELECT signal, count(*) - count(DISTINCT timestamp) AS duplicates FROM r GROUP BY 1""")
+def duplicate_key_count(spark, sf_dir):
+    """Landed rows minus distinct keys per signal (revisions)."""
+    r = B.raw_signal_rows(spark, sf_dir)
+    return r.groupBy("signal").agg((F.count(F.lit(1)) - F.countDistinct("timestamp")).alias("duplicates"))
+
+
+@register("signal_time_range", O.rounded(f"""{W_H}
+SELECT signal, min(timestamp) AS first_ts, max(timestamp) AS last_ts, quantile_cont(value, 0.5) AS median_value,
+       count(DISTINCT CAST(timestamp AS DATE)) AS n_days FROM sig GROUP BY 1""", ["median_value"]))
+def signal_time_range(spark, sf_dir):
+    """first/last instant, median and number of distinct days per signal."""
+    s = B.raw_signals(spark, sf_dir)
+    return s.groupBy("signal").agg(F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
+                                   F.median("value").alias("median_value"),
+                                   F.countDistinct(F.to_date("timestamp")).alias("n_days"))
+
+
+@register("incomplete_days", f"""{W_H}
+SELECT signal, CAST(CAST(timestamp AS DATE) AS TIMESTAMP) AS day, count(*) AS rows FROM sig GROUP BY 1, 2 HAVING count(*) <> 24""")
+def incomplete_days(spark, sf_dir):
+    """(signal, day) groups whose row count is not 24 (HAVING)."""
+    return QL.coverage(B.raw_signals(spark, sf_dir), "timestamp", ["signal"], 24)
+
+
+@register("forecast_availability", f"""{W_H}
+SELECT CAST(CAST(timestamp AS DATE) AS TIMESTAMP) AS day, count(*) AS rows,
+       coalesce(bool_or(value IS NOT NULL), false) AS any_value FROM stg_wxf GROUP BY 1""")
+def forecast_availability(spark, sf_dir):
+    """Per target day, forecast rows and whether any value is present
+    (the inference path raises when either is missing)."""
+    f = warehouse(spark, sf_dir).stg_weather_forecast.withColumn("day", F.to_date("timestamp"))
+    return f.groupBy("day").agg(F.count(F.lit(1)).alias("rows"),
+                                F.coalesce(F.max(F.col("value").isNotNull()), F.lit(False)).alias("any_value"))
+
+
+@register("freshness", f"""{W_H}
+SELECT signal_name, max(fetched_at) AS latest_fetch,
+       round(round(epoch(max(timestamp)) - epoch(max(fetched_at)), 9), 6) AS lead_s FROM stg_fc GROUP BY 1""")
+def freshness(spark, sf_dir):
+    """Newest fetch per forecast signal and how far the newest valid time
+    lies beyond it (seconds)."""
+    f = warehouse(spark, sf_dir).stg_generation_load_forecast
+    return f.groupBy("signal_name").agg(
+        F.max("fetched_at").alias("latest_fetch"),
+        ((F.unix_micros(F.max("timestamp")) - F.unix_micros(F.max("fetched_at"))) / 1e6).alias("lead_s"))
+
+
+SOURCE_COLUMNS = ["click_mw", "view_mw", "signup_mw"]
+
+
+@register("source_selection", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()})
+SELECT timestamp, 'view_mw' AS source, view_mw AS value FROM g""", ["value"]))
+def source_selection(spark, sf_dir):
+    """One generation source chosen by name (validated against the
+    catalogue), as (timestamp, source, value) via unpivot + filter."""
+    name = "view_mw"
+    if name not in SOURCE_COLUMNS:
+        raise ValueError(f"unknown source {name}")
+    g = warehouse(spark, sf_dir).fct_generation_load
+    return RS.unpivot(g, ["timestamp"], SOURCE_COLUMNS, "source", "value").where(F.col("source") == name)
+
+
+SELECT_HOUR = 0
+
+
+@register("hour_selection", O.rounded(f"""{W_H}
+SELECT timestamp, value AS price_eur_mwh FROM stg_prices WHERE hour({LOCAL_SQL}) = {SELECT_HOUR}""", ["price_eur_mwh"]))
+def hour_selection(spark, sf_dir):
+    """One local hour of each day (0 is a valid choice; None = all 24)."""
+    hour = SELECT_HOUR
+    p = prices(spark, sf_dir).select("timestamp", "price_eur_mwh")
+    return p if hour is None else p.where(F.hour(TM.to_local("timestamp")) == hour)
+
+
+@register("season_ordered_means", O.rounded(f"""{W_H}
+SELECT CASE WHEN month({LOCAL_SQL}) IN (12, 1, 2) THEN 'winter' WHEN month({LOCAL_SQL}) IN (3, 4, 5) THEN 'spring'
+            WHEN month({LOCAL_SQL}) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season,
+       CASE WHEN month({LOCAL_SQL}) IN (12, 1, 2) THEN 0 WHEN month({LOCAL_SQL}) IN (3, 4, 5) THEN 1
+            WHEN month({LOCAL_SQL}) IN (6, 7, 8) THEN 2 ELSE 3 END AS season_rank,
+       avg(value) AS avg_price FROM stg_prices GROUP BY 1, 2""", ["avg_price"]))
+def season_ordered_means(spark, sf_dir):
+    """mean price per season with the categorical sort key (winter..autumn)."""
+    p = _local_prices(spark, sf_dir)
+    return p.groupBy("season").agg(F.avg("price_eur_mwh").alias("avg_price")).withColumn(
+        "season_rank", TM.season_order("season"))
+
+
+READ_FROM, READ_TO = "2024-01-08 00:00:00", "2024-01-15 00:00:00"
+
+
+@register("bounded_feature_read", O.rounded(f"""{W_ML}
+SELECT timestamp, price_eur_mwh, CAST(((timestamp AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin') AS TIMESTAMP) AS local_timestamp
+FROM ml WHERE timestamp >= TIMESTAMP '{READ_FROM}' AND timestamp < TIMESTAMP '{READ_TO}'""", ["price_eur_mwh"]))
+def bounded_feature_read(spark, sf_dir):
+    """Feature table read with half-open UTC bounds, local time added."""
+    ml = warehouse(spark, sf_dir).fct_ml_features
+    r = ml.where((F.col("timestamp") >= F.lit(READ_FROM).cast("timestamp")) &
+                 (F.col("timestamp") < F.lit(READ_TO).cast("timestamp")))
+    return r.select("timestamp", "price_eur_mwh", TM.to_local("timestamp").alias("local_timestamp"))
