@@ -1499,3 +1499,18 @@ def bounded_feature_read(spark, sf_dir):
     r = ml.where((F.col("timestamp") >= F.lit(READ_FROM).cast("timestamp")) &
                  (F.col("timestamp") < F.lit(READ_TO).cast("timestamp")))
     return r.select("timestamp", "price_eur_mwh", TM.to_local("timestamp").alias("local_timestamp"))
+
+
+from ampere.plans import tuning as TU  # noqa: E402
+
+
+@register("random_search_cv")
+def random_search_cv(spark, sf_dir):
+    """Seeded random search of the ridge strength over 3
+    expanding CV folds (gap 24 rows), best trial refit and scored on the hold-out."""
+    h = build_contract(warehouse(spark, sf_dir).fct_ml_features, HOURLY)
+    s, c = TM.cyclic(F.hour("local_timestamp"), 24)
+    h = h.select("timestamp", "price_eur_mwh", "price_lag_24h", "price_lag_48h", "price_lag_168h",
+                 "click_price_lag_24h", "view_price_lag_24h", s.alias("hour_sin"), c.alias("hour_cos"),
+                 F.col("is_workday").cast("double").alias("workday"))
+    return TU.random_search_cv(cut_lineage(h, "tuning"), S1_FEATURES, "price_eur_mwh", n_trials=10, n_splits=3, gap=24)
