@@ -19,14 +19,13 @@ def equal_width_bins(df: DataFrame, x: str, n: int) -> DataFrame:
     """``n`` equal-width right-closed bins over [min, max]; the first
     bin's left edge is widened by 0.1 % of the range so the minimum falls in.
 
-    Two passes: a one-row aggregate (min, max) joined back (broadcast of one
-    row), then per-row arithmetic. Adds ``bin``, ``bin_left``, ``bin_right``,
-    ``bin_mid``.
+    Two passes: the (min, max) of the column as one scalar subquery (computed
+    once, used as a value), then per-row arithmetic. Adds ``bin``,
+    ``bin_left``, ``bin_right``, ``bin_mid``.
     """
-    mm = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi")).withColumn("_one", F.lit(1))
+    mm = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    out = df.withColumn("_lo", mm.getField("lo")).withColumn("_hi", mm.getField("hi"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(n)
-    # equi-join on a constant key with the one-row bounds table (broadcast hash join)
-    out = df.withColumn("_one", F.lit(1)).join(F.broadcast(mm), "_one").drop("_one")
     k = F.least(F.greatest(F.ceil((F.col(x) - F.col("_lo")) / w) - 1, F.lit(0)), F.lit(n - 1))
     out = out.withColumn("bin", F.when(F.col(x).isNotNull(), k).cast("int"))
     left = F.col("_lo") + F.col("bin") * w

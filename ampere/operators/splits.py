@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 def temporal_split(df: DataFrame, ts: str = "timestamp", holdout_start: str | None = None,
                    holdout_days: int = 90) -> DataFrame:
     """``role`` = 'test' for ts >= cut, else 'trainval'; cut = given date
-    or max(ts) - holdout_days (one-row aggregate joined on a constant key)."""
+    or max(ts) - holdout_days (scalar subquery)."""
     if holdout_start is not None:
         cut = F.lit(holdout_start).cast("timestamp")
         return df.withColumn("role", F.when(F.col(ts) >= cut, "test").otherwise("trainval"))
-    mx = df.agg((F.max(ts) - F.make_dt_interval(F.lit(holdout_days))).alias("_cut")).withColumn("_one", F.lit(1))
-    j = df.withColumn("_one", F.lit(1)).join(F.broadcast(mx), "_one")
-    return j.withColumn("role", F.when(F.col(ts) >= F.col("_cut"), "test").otherwise("trainval")).drop("_one", "_cut")
+    cut = df.agg(F.max(ts) - F.make_dt_interval(F.lit(holdout_days))).scalar()
+    return df.withColumn("role", F.when(F.col(ts) >= cut, "test").otherwise("trainval"))
 
 
 def prediction_windows(bounds: DataFrame, first: str = "first_start", holdout: str = "holdout_start",
@@ -78,9 +77,11 @@ def ts_cv_folds(df: DataFrame, n_splits: int, gap: int, order: str = "timestamp"
     ``fold`` (1..k) and ``role`` ('train' | 'test')."""
     part = list(partition)
     idx = global_row_index(df, order, part)
-    n = idx.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    j = idx.join(F.broadcast(n), part) if part else idx.withColumn("_one", F.lit(1)).join(
-        F.broadcast(n.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    if part:
+        n = idx.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+        j = idx.join(n, part)   # one row per series; AQE broadcasts it when small
+    else:
+        j = idx.withColumn("_n", idx.agg(F.count(F.lit(1))).scalar())
     t = F.floor(F.col("_n") / (n_splits + 1))
     folds = F.sequence(F.lit(1), F.lit(n_splits))
     j = j.withColumn("fold", F.explode(folds))

@@ -91,11 +91,10 @@ def tag_buckets(df: DataFrame, windows: DataFrame, ts: str = "timestamp") -> Dat
     """window_id of each row (null outside all windows) and its training
     bucket (0 before the first window, else the window id)."""
     days = windows.select("window_id", F.explode(F.sequence("start", F.date_sub("end", 1))).alias("_day"))
-    first = windows.agg(F.min("start").alias("_first")).withColumn("_one", F.lit(1))
-    j = (df.join(F.broadcast(days), F.to_date(F.col(ts)) == F.col("_day"), "left").drop("_day")
-           .withColumn("_one", F.lit(1)).join(F.broadcast(first), "_one").drop("_one"))
-    bucket = F.when(F.to_date(F.col(ts)) < F.col("_first"), F.lit(0)).otherwise(F.col("window_id"))
-    return j.withColumn("bucket", bucket).drop("_first")
+    first = windows.agg(F.min("start")).scalar()
+    j = df.join(F.broadcast(days), F.to_date(F.col(ts)) == F.col("_day"), "left").drop("_day")
+    bucket = F.when(F.to_date(F.col(ts)) < first, F.lit(0)).otherwise(F.col("window_id"))
+    return j.withColumn("bucket", bucket)
 
 
 def expanding_fit_predict(df: DataFrame, windows: DataFrame, features: Sequence[str], y: str,

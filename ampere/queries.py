@@ -654,9 +654,8 @@ MID_SQL = ("mid AS (SELECT min(timestamp) + (max(timestamp) - min(timestamp)) /
 
 def _halves(spark, sf_dir):
     s = warehouse(spark, sf_dir).stg_generation_load
-    mid = s.agg((F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).alias("_m")).withColumn("_one", F.lit(1))
-    j = s.withColumn("_one", F.lit(1)).join(F.broadcast(mid), "_one")
-    return j.withColumn("period", F.when(F.col("timestamp") < F.col("_m"), "A").otherwise("B")).drop("_one", "_m")
+    mid = s.agg(F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).scalar()
+    return s.withColumn("period", F.when(F.col("timestamp") < mid, "A").otherwise("B"))
 
 
 @register("two_period_mix_change", O.rounded(f"""{W_H}, {MID_SQL}
@@ -965,13 +964,11 @@ def history_forecast_splice(spark, sf_dir):
     filters, no duplicate at the boundary); "now" derived from the data."""
     wh = warehouse(spark, sf_dir)
     obs = wh.stg_prices
-    now = obs.agg((F.date_trunc("DAY", F.max("timestamp")) - F.expr("INTERVAL 7 DAYS")).alias("_now")).withColumn("_one", F.lit(1))
-    o = (obs.withColumn("_one", F.lit(1)).join(F.broadcast(now), "_one")
-            .where((F.col("timestamp") <= F.col("_now")) & (F.col("timestamp") > F.col("_now") - F.expr("INTERVAL 7 DAYS")))
+    now = obs.agg(F.date_trunc("DAY", F.max("timestamp")) - F.expr("INTERVAL 7 DAYS")).scalar()
+    o = (obs.where((F.col("timestamp") <= now) & (F.col("timestamp") > now - F.expr("INTERVAL 7 DAYS")))
             .select("timestamp", "value", F.lit("observed").alias("source")))
     fc = wh.stg_generation_load_forecast.where(F.col("signal_name") == CAT.home_price + "_FC")
-    f = (fc.withColumn("_one", F.lit(1)).join(F.broadcast(now), "_one").where(F.col("timestamp") > F.col("_now"))
-           .select("timestamp", "value", F.lit("forecast").alias("source")))
+    f = fc.where(F.col("timestamp") > now).select("timestamp", "value", F.lit("forecast").alias("source"))
     return o.unionByName(f)
 
 
@@ -1125,10 +1122,9 @@ def histogram_density_by_regime(spark, sf_dir):
     d = B.daily_orders(spark, sf_dir).select(regime().alias("regime"), F.col("value").alias("x"))
     b = BN.equal_width_bins(d, "x", 120)
     n = d.groupBy("regime").agg(F.count(F.lit(1)).alias("_nr"))
-    mm = d.agg(((F.max("x") - F.min("x")) / 120.0).alias("_w")).withColumn("_one", F.lit(1))
-    c = b.groupBy("regime", "bin").agg(F.count(F.lit(1)).alias("_c"))
-    c = c.join(F.broadcast(n), "regime").withColumn("_one", F.lit(1)).join(F.broadcast(mm), "_one")
-    return c.select("regime", "bin", (F.col("_c") / (F.col("_nr") * F.col("_w"))).alias("density"))
+    width = d.agg((F.max("x") - F.min("x")) / 120.0).scalar()
+    c = b.groupBy("regime", "bin").agg(F.count(F.lit(1)).alias("_c")).join(F.broadcast(n), "regime")
+    return c.select("regime", "bin", (F.col("_c") / (F.col("_nr") * width)).alias("density"))
 
 
 @register("share_vs_season_average", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()}),
@@ -1267,10 +1263,9 @@ def chunk_selection(spark, sf_dir):
     start (else the first), through all chunks starting at/before the end."""
     s = B.raw_signals(spark, sf_dir)
     idx = s.select("signal", F.date_trunc("WEEK", "timestamp").alias("chunk_start")).distinct()
-    rng = s.agg((F.min("timestamp") + F.expr("INTERVAL 10 DAYS")).alias("_s"),
-                (F.max("timestamp") - F.expr("INTERVAL 10 DAYS")).alias("_e")).withColumn("_one", F.lit(1))
-    idx = idx.withColumn("_one", F.lit(1)).join(F.broadcast(rng), "_one").drop("_one")
-    return PL.select_chunks(idx, F.col("_s"), F.col("_e"), ["signal"]).select("signal", "chunk_start")
+    rng = s.agg(F.struct((F.min("timestamp") + F.expr("INTERVAL 10 DAYS")).alias("s"),
+                         (F.max("timestamp") - F.expr("INTERVAL 10 DAYS")).alias("e"))).scalar()
+    return PL.select_chunks(idx, rng.getField("s"), rng.getField("e"), ["signal"]).select("signal", "chunk_start")
 
 
 @register("props_permissive_parse", """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k

@@ -45,17 +45,21 @@ def select_chunks(index: DataFrame, start, end, key: Sequence[str] = (), chunk:
     s = start if isinstance(start, Column) else F.lit(start).cast("timestamp")
     e = end if isinstance(end, Column) else F.lit(end).cast("timestamp")
     c = F.col(chunk)
-    first = index.groupBy(*key).agg(F.coalesce(F.max(F.when(c <= s, c)), F.min(c)).alias("_from"))
-    j = index.join(F.broadcast(first), list(key)) if key else index.withColumn("_one", F.lit(1)).join(
-        F.broadcast(first.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    frm = F.coalesce(F.max(F.when(c <= s, c)), F.min(c))
+    if key:
+        j = index.join(F.broadcast(index.groupBy(*key).agg(frm.alias("_from"))), list(key))
+    else:
+        j = index.withColumn("_from", index.agg(frm).scalar())
     return j.where((c >= F.col("_from")) & (c <= e)).drop("_from")
 
 
 def parse_permissive(df: DataFrame, text: str, schema: T.StructType, keep: Sequence[str] = ()):
     """A5: parse JSON text; rows that do not parse go to a quarantine frame
     instead of failing the job. Returns (good, quarantine)."""
-    parsed = df.select(*keep, F.col(text), F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"}).alias("_j"))
-    bad = F.col(text).isNotNull() & F.col("_j").isNull()
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = df.select(*keep, F.col(text), F.from_json(F.col(text), with_corrupt, opts).alias("_j"))
+    bad = F.col("_j._corrupt_record").isNotNull()
     fields = [F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields]
     good = parsed.where(~bad).select(*keep, *fields)
     quarantine = parsed.where(bad).select(*keep, F.col(text).alias("_corrupt_record"))
