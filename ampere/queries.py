@@ -1509,3 +1509,122 @@ def random_search_cv(spark, sf_dir):
                  "click_price_lag_24h", "view_price_lag_24h", s.alias("hour_sin"), c.alias("hour_cos"),
                  F.col("is_workday").cast("double").alias("workday"))
     return TU.random_search_cv(cut_lineage(h, "tuning"), S1_FEATURES, "price_eur_mwh", n_trials=10, n_splits=3, gap=24)
+
+
+# -- remaining inventory rows: C7 D7/I14 D39 E4/H23 B17 B19/B20 J17 J18 K8 ------------------------
+@register("series_vs_national_mean", O.rounded(f"""WITH {O.staging_ctes('hour')},
+nat AS (SELECT timestamp, avg(value) AS national_mean FROM stg_wx WHERE signal_name = 'temperature_2m' GROUP BY 1)
+SELECT x.timestamp, x.region, x.value, nat.national_mean, x.value - nat.national_mean AS vs_national
+FROM stg_wx x JOIN nat ON x.timestamp = nat.timestamp WHERE x.signal_name = 'temperature_2m'""",
+                                             ["value", "national_mean", "vs_national"]))
+def series_vs_national_mean(spark, sf_dir):
+    """Regional series joined (inner) with the national aggregate per timestamp."""
+    w = warehouse(spark, sf_dir).stg_weather.where(F.col("signal_name") == "temperature_2m")
+    nat = w.groupBy("timestamp").agg(F.avg("value").alias("national_mean"))
+    return (w.join(nat, "timestamp").select("timestamp", "region", "value", "national_mean",
+                                             (F.col("value") - F.col("national_mean")).alias("vs_national")))
+
+
+WIDE_SIGNALS = sorted(CAT.generation_load)
+
+
+@register("wide_local_frame", O.rounded(f"""{W_H}
+SELECT timestamp, {', '.join(f"max(value) FILTER (WHERE signal_name = '{s}') AS {s}" for s in WIDE_SIGNALS)},
+       any_value({LOCAL_SQL}) AS local_timestamp, hour(any_value({LOCAL_SQL})) AS hour
+FROM stg_gen GROUP BY timestamp""", WIDE_SIGNALS))
+def wide_local_frame(spark, sf_dir):
+    """I14 (A1 D7 H3): long signals -> dynamic wide pivot (key uniqueness
+    checked first: duplicates are an error) -> local-time helper columns."""
+    s = warehouse(spark, sf_dir).stg_generation_load
+    dups = s.groupBy("timestamp", "signal_name").count().where("count > 1").limit(1).count()
+    if dups:
+        raise ValueError("duplicate (timestamp, signal) rows: pivot would be ambiguous")
+    wide = RS.pivot_dynamic(s, ["timestamp"], "signal_name", "value", WIDE_SIGNALS)
+    lt = TM.to_local("timestamp")
+    return wide.select("timestamp", *WIDE_SIGNALS, lt.alias("local_timestamp"), F.hour(lt).alias("hour"))
+
+
+@register("summary_transpose", O.rounded(f"""{W_H}, {SPREAD_SQL},
+s AS (SELECT neighbour, avg(spread) AS stat_mean, stddev_samp(spread) AS stat_std, min(spread) AS stat_min,
+             max(spread) AS stat_max FROM sp GROUP BY 1)
+UNPIVOT s ON stat_mean, stat_std, stat_min, stat_max INTO NAME stat VALUE value""", ["value"]).replace(
+    "SELECT * REPLACE", "SELECT neighbour, regexp_replace(stat, '^stat_', '') AS stat, * EXCLUDE (neighbour, stat) REPLACE"))
+def summary_transpose(spark, sf_dir):
+    """Transpose of a per-neighbour summary to long form, prefix stripped from names."""
+    s = _spreads_long(spark, sf_dir).groupBy("neighbour").agg(
+        F.avg("spread").alias("stat_mean"), F.stddev_samp("spread").alias("stat_std"),
+        F.min("spread").alias("stat_min"), F.max("spread").alias("stat_max"))
+    long = RS.unpivot(s, ["neighbour"], ["stat_mean", "stat_std", "stat_min", "stat_max"], "stat", "value")
+    return long.withColumn("stat", F.regexp_replace("stat", "^stat_", ""))
+
+
+@register("row_lag_and_wind_total", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()})
+SELECT timestamp, click_mw + view_mw AS wind_total_mw,
+       lag(view_mw, 24) OVER (ORDER BY timestamp) AS view_mw_lag_24,
+       lag(view_mw, 168) OVER (ORDER BY timestamp) AS view_mw_lag_168 FROM g""",
+                                                ["wind_total_mw", "view_mw_lag_24", "view_mw_lag_168"]))
+def row_lag_and_wind_total(spark, sf_dir):
+    """E4 + H23 (X11 contract): null-propagating sum of two sources and *row*-based
+    shift(24)/shift(168) over one resolution's series."""
+    g = warehouse(spark, sf_dir).fct_generation_load
+    out = g.select("timestamp", "resolution", (F.col("click_mw") + F.col("view_mw")).alias("wind_total_mw"), "view_mw")
+    out = LG.row_lag(out, "view_mw", 24, "view_mw_lag_24", partition=["resolution"])
+    out = LG.row_lag(out, "view_mw", 168, "view_mw_lag_168", partition=["resolution"])
+    return out.drop("resolution", "view_mw")
+
+
+@register("resolution_by_date", f"""WITH sig_rows AS ({O.signal_rows('hour')})
+SELECT CASE WHEN timestamp >= TIMESTAMP '2024-01-20 00:00:00' THEN 'quarterhour' ELSE 'hour' END AS resolution,
+       count(*) AS n FROM sig_rows GROUP BY 1""")
+def resolution_by_date(spark, sf_dir):
+    """Product resolution from the cut-over instant on (rows per resolution)."""
+    r = B.raw_signal_rows(spark, sf_dir)
+    return r.groupBy(TM.resolution_by_date("timestamp", "2024-01-20 00:00:00").alias("resolution")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("clipped_prices", O.rounded(f"""{W_H}
+SELECT timestamp, value AS price_eur_mwh, least(greatest(value, 0.0), 300.0) AS price_clipped FROM stg_prices""",
+                                      ["price_eur_mwh", "price_clipped"]))
+def clipped_prices(spark, sf_dir):
+    """Clip to [lo, hi] (null stays null)."""
+    p = prices(spark, sf_dir).select("timestamp", "price_eur_mwh")
+    v = F.col("price_eur_mwh")
+    return p.withColumn("price_clipped", F.when(v.isNotNull(), F.least(F.greatest(v, F.lit(0.0)), F.lit(300.0))))
+
+
+@register("sampled_prices")
+def sampled_prices(spark, sf_dir):
+    """1 % Bernoulli sample with a fixed seed (sampling is the feature;
+    rows-only check)."""
+    return B.raw_signal_rows(spark, sf_dir).sample(fraction=0.01, seed=42)
+
+
+@register("backtest_report_nested")
+def backtest_report_nested(spark, sf_dir):
+    """Model report as one nested row per stage: overall metrics, MAPE,
+    baseline and the per-window list (to_json-able, written by A28)."""
+    p = _backtest(spark, sf_dir).na.drop(subset=["y", "pred", "baseline"])
+    per_w = MT.report(p, ["stage", "window_id", "in_holdout"], "timestamp", "y", "pred", ref="baseline",
+                      with_baseline=True)
+    overall = MT.report(p.where("in_holdout"), ["stage"], "window_id", "y", "pred", ref="baseline", with_baseline=True)
+    mape = p.where("in_holdout").groupBy("stage").agg(MT.mape("y", "pred").alias("mape"))
+    windows = per_w.groupBy("stage").agg(F.sort_array(F.collect_list(F.struct("window_id", "n", "mae", "rmse", "r2")))
+                                         .alias("windows"))
+    o = overall.join(mape, "stage")
+    return o.select("stage", F.struct(*[c for c in o.columns if c != "stage"]).alias("holdout")).join(windows, "stage")
+
+
+@register("generation_backtest")
+def generation_backtest(spark, sf_dir):
+    """The same expanding-window model for a generation target
+    (wind total = two sources) with 24 h / 168 h lags and lag fallback."""
+    g = warehouse(spark, sf_dir).fct_generation_load.where(F.col("resolution") == "hour")
+    g = g.select("timestamp", (F.col("click_mw") + F.col("view_mw")).alias("wind_total_mw"))
+    j = LG.lag_fanout(g, {24: {"wind_total_mw": "lag_24"}, 168: {"wind_total_mw": "lag_168"}})
+    j = j.withColumn("lag_24", F.coalesce("lag_24", "lag_168"))   # E11 patch
+    s, c = TM.cyclic(F.hour(TM.to_local("timestamp")), 24)
+    j = j.select("timestamp", "wind_total_mw", "lag_24", "lag_168", s.alias("hour_sin"), c.alias("hour_cos"))
+    out = BT.expanding_fit_predict(j, _windows(spark, sf_dir), ["lag_24", "lag_168", "hour_sin", "hour_cos"],
+                                   "wind_total_mw")
+    return out.select("window_id", "timestamp", "wind_total_mw", "pred", "n_train")
