@@ -55,33 +55,52 @@ def holidays_for_years(years: DataFrame, year: str = "year") -> DataFrame:
     return years.select(F.inline(F.array(*items)))
 
 
+def easter_sunday_sql(year: str) -> str:
+    """Easter Sunday as one Spark SQL expression over the SQL expression ``year``
+    (same computus as :func:`easter_sunday`; parsed once, not built from
+    hundreds of Column objects)."""
+    y = f"({year})"
+    a, b, c = f"pmod({y}, 19)", f"({y} div 100)", f"pmod({y}, 100)"
+    d, e = f"({b} div 4)", f"pmod({b}, 4)"
+    f_ = f"(({b} + 8) div 25)"
+    g = f"(({b} - {f_} + 1) div 3)"
+    h = f"pmod(19 * {a} + {b} - {d} - {g} + 15, 30)"
+    i, k = f"({c} div 4)", f"pmod({c}, 4)"
+    ll = f"pmod(32 + 2 * {e} + 2 * {i} - {h} - {k}, 7)"
+    m = f"(({a} + 11 * {h} + 22 * {ll}) div 451)"
+    n = f"({h} + {ll} - 7 * {m} + 114)"
+    return f"make_date(CAST({y} AS INT), CAST({n} div 31 AS INT), CAST(pmod({n}, 31) + 1 AS INT))"
+
+
+def holiday_name_sql(day: str) -> str:
+    """Public-holiday name of the DATE expression ``day`` (NULL if none), SQL text."""
+    easter = easter_sunday_sql(f"year({day})")
+    cases = [f"WHEN month({day}) = {mo} AND dayofmonth({day}) = {dd} THEN '{nm}'" for mo, dd, nm in FIXED_HOLIDAYS]
+    cases += [f"WHEN datediff({day}, {easter}) = {off} THEN '{nm}'" for off, nm in EASTER_HOLIDAYS]
+    return "CASE " + " ".join(cases) + " END"
+
+
 def holiday_name(day) -> Column:
     """Name of the public holiday on ``day`` (null if none); pure expression,
-    so no holiday table has to be joined or broadcast."""
-    d = F.col(day) if isinstance(day, str) else day
-    easter = easter_sunday(F.year(d))
-    offset = F.datediff(d, easter)
-    name = F.lit(None).cast("string")
-    for mo, dd, nm in reversed(FIXED_HOLIDAYS):
-        name = F.when((F.month(d) == mo) & (F.dayofmonth(d) == dd), F.lit(nm)).otherwise(name)
-    for off, nm in reversed(EASTER_HOLIDAYS):
-        name = F.when(offset == off, F.lit(nm)).otherwise(name)
-    return name
-
-
-def calendar_columns(day, holiday: Column | None = None) -> list[Column]:
-    """H4-H7 + holiday flags of a DATE column, as the date dimension defines
-    them (ISO week; day_of_week 0 = Monday)."""
-    d = F.col(day) if isinstance(day, str) else day
-    hol = holiday_name(d) if holiday is None else holiday
-    is_weekend = F.weekday(d) >= 5
-    return [
-        F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"),
-        F.weekofyear(d).alias("week_of_year"), F.weekday(d).alias("day_of_week"),
-        is_weekend.alias("is_weekend"), season(F.month(d)).alias("season"),
-        hol.isNotNull().alias("is_german_public_holiday"), hol.alias("holiday_name"),
-        ((~is_weekend) & hol.isNull()).alias("is_workday"),
-    ]
+    so no holiday table has to be joined or broadcast. ``day`` is a column
+    name or SQL expression of DATE type."""
+    return F.expr(holiday_name_sql(day))
+
+
+def calendar_columns(day: str, holiday: Column | None = None) -> list[Column]:
+    """H4-H7 + holiday flags of a DATE column (name or SQL expression), as the
+    date dimension defines them (ISO week; day_of_week 0 = Monday)."""
+    hol = holiday_name_sql(day) if holiday is None else None
+    exprs = [f"year({day}) AS year", f"quarter({day}) AS quarter", f"month({day}) AS month",
+             f"weekofyear({day}) AS week_of_year", f"weekday({day}) AS day_of_week",
+             f"weekday({day}) >= 5 AS is_weekend",
+             f"CASE WHEN month({day}) IN (12, 1, 2) THEN 'winter' WHEN month({day}) IN (3, 4, 5) THEN 'spring' "
+             f"WHEN month({day}) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season"]
+    cols = [F.expr(e) for e in exprs]
+    h = F.expr(hol) if holiday is None else holiday
+    cols += [h.isNotNull().alias("is_german_public_holiday"), h.alias("holiday_name"),
+             ((F.expr(f"weekday({day})") < 5) & h.isNull()).alias("is_workday")]
+    return cols
 
 
 def date_dimension(spine: DataFrame, day: str = "date_day") -> DataFrame:

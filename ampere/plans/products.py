@@ -107,8 +107,7 @@ class Warehouse:
                                                                  "value", "fetched_at"),
                                 ["timestamp", "region", "signal_name"], ["fetched_at"])
         wide = reshape.pivot_region_variable(latest, self.catalog)
-        day = F.to_date("timestamp")
-        return wide.select("*", day.alias("date_day"), *calendar_columns(day))
+        return wide.select("*", F.to_date("timestamp").alias("date_day"), *calendar_columns("to_date(timestamp)"))
 
     @cached_property
     def fct_ml_features(self) -> DataFrame:
@@ -126,8 +125,7 @@ class Warehouse:
                .join(self.fct_weather_forecast, ["timestamp"], "left"))
         # C4: calendar of the UTC date; the dimension's attributes are pure
         # functions of the day, so they are computed in place of a dim join
-        day = F.to_date("timestamp")
-        return out.select("*", day.alias("date_day"), *calendar_columns(day))
+        return out.select("*", F.to_date("timestamp").alias("date_day"), *calendar_columns("to_date(timestamp)"))
 
     def product(self, name: str) -> DataFrame:
         return getattr(self, name)
