@@ -723,9 +723,9 @@ HEAT_BELOW, COOL_ABOVE = 150.0, 300.0
 
 @register("elasticity_slopes", O.rounded(f"""{W_ML}
 SELECT regr_slope(CASE WHEN {TEMP} < {HEAT_BELOW} THEN price_eur_mwh END, CASE WHEN {TEMP} < {HEAT_BELOW} THEN {TEMP} END) AS heating_slope,
-       regr_count(CASE WHEN {TEMP} < {HEAT_BELOW} THEN price_eur_mwh END, CASE WHEN {TEMP} < {HEAT_BELOW} THEN {TEMP} END) AS heating_n,
+       CAST(regr_count(CASE WHEN {TEMP} < {HEAT_BELOW} THEN price_eur_mwh END, CASE WHEN {TEMP} < {HEAT_BELOW} THEN {TEMP} END) AS BIGINT) AS heating_n,
        regr_slope(CASE WHEN {TEMP} > {COOL_ABOVE} THEN price_eur_mwh END, CASE WHEN {TEMP} > {COOL_ABOVE} THEN {TEMP} END) AS cooling_slope,
-       regr_count(CASE WHEN {TEMP} > {COOL_ABOVE} THEN price_eur_mwh END, CASE WHEN {TEMP} > {COOL_ABOVE} THEN {TEMP} END) AS cooling_n
+       CAST(regr_count(CASE WHEN {TEMP} > {COOL_ABOVE} THEN price_eur_mwh END, CASE WHEN {TEMP} > {COOL_ABOVE} THEN {TEMP} END) AS BIGINT) AS cooling_n
 FROM ml""", ["heating_slope", "cooling_slope"]))
 def elasticity_slopes(spark, sf_dir):
     """Slope of price on temperature below / above comfort thresholds, one pass."""
@@ -1025,7 +1025,7 @@ CV_SPLITS, CV_GAP = 3, 24
 @register("ts_cv_folds", f"""{W_H},
 r AS (SELECT timestamp, row_number() OVER (ORDER BY timestamp) - 1 AS idx, count(*) OVER () AS n FROM stg_prices),
 f AS (SELECT r.*, fold, n - ({CV_SPLITS} - fold + 1) * (n // {CV_SPLITS + 1}) AS ts0, n // {CV_SPLITS + 1} AS t
-      FROM r, (VALUES (1), (2), (3)) v(fold)),
+      FROM r, (SELECT CAST(f AS BIGINT) AS fold FROM (VALUES (1), (2), (3)) v(f))),
 x AS (SELECT *, CASE WHEN idx >= ts0 AND idx < ts0 + t THEN 'test' WHEN idx < ts0 - {CV_GAP} THEN 'train' END AS role FROM f)
 SELECT fold, role, count(*) AS n, min(timestamp) AS first_ts, max(timestamp) AS last_ts FROM x
 WHERE role IS NOT NULL GROUP BY 1, 2""")
@@ -1472,8 +1472,8 @@ def hour_selection(spark, sf_dir):
 @register("season_ordered_means", O.rounded(f"""{W_H}
 SELECT CASE WHEN month({LOCAL_SQL}) IN (12, 1, 2) THEN 'winter' WHEN month({LOCAL_SQL}) IN (3, 4, 5) THEN 'spring'
             WHEN month({LOCAL_SQL}) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season,
-       CASE WHEN month({LOCAL_SQL}) IN (12, 1, 2) THEN 0 WHEN month({LOCAL_SQL}) IN (3, 4, 5) THEN 1
-            WHEN month({LOCAL_SQL}) IN (6, 7, 8) THEN 2 ELSE 3 END AS season_rank,
+       CAST(CASE WHEN month({LOCAL_SQL}) IN (12, 1, 2) THEN 0 WHEN month({LOCAL_SQL}) IN (3, 4, 5) THEN 1
+            WHEN month({LOCAL_SQL}) IN (6, 7, 8) THEN 2 ELSE 3 END AS BIGINT) AS season_rank,
        avg(value) AS avg_price FROM stg_prices GROUP BY 1, 2""", ["avg_price"]))
 def season_ordered_means(spark, sf_dir):
     """mean price per season with the categorical sort key (winter..autumn)."""
