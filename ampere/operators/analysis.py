@@ -37,8 +37,10 @@ def group_mean(df: DataFrame, keys: Sequence[Column | str], values: Sequence[str
 
 def heatmap(df: DataFrame, row: str, col: str, value: str, col_values: Sequence,
             agg: str = "avg", prefix: str = "c") -> DataFrame:
-    """Two-key aggregate unstacked into a matrix (explicit columns)."""
-    f = {"avg": F.avg, "median": F.median}[agg]
+    """Two-key aggregate unstacked into a matrix (explicit columns).
+    ``agg='median_approx'`` uses the bounded-memory quantile sketch."""
+    f = {"avg": F.avg, "median": F.median,
+         "median_approx": lambda c: F.percentile_approx(c, 0.5, 10000)}[agg]
     return df.groupBy(row).agg(*[f(F.when(F.col(col) == v, F.col(value))).alias(f"{prefix}{v}")
                                  for v in col_values])
 
@@ -72,9 +74,17 @@ def conditional_gap(df: DataFrame, keys: Sequence, value: str, cond_a: Column, c
 
 
 def describe(df: DataFrame, keys: Sequence, value: str,
-             percentiles: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95)) -> DataFrame:
-    """Count, mean, sample std, min, exact percentiles (linear), max."""
-    p = F.percentile(F.col(value), list(percentiles))
+             percentiles: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95), approx: bool = False,
+             accuracy: int = 10000) -> DataFrame:
+    """Count, mean, sample std, min, percentiles, max.
+
+    Exact percentiles (linear interpolation, as pandas) keep a value -> count
+    map per group: memory grows with the *distinct* values of a group (bounded
+    for prices on a 0.01 grid). For continuous values in very large groups use
+    ``approx=True``: a mergeable quantile sketch of fixed size per group
+    (relative rank error ~ 1/accuracy)."""
+    p = (F.percentile_approx(F.col(value), list(percentiles), accuracy) if approx
+         else F.percentile(F.col(value), list(percentiles)))
     aggs = [F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
             F.min(value).alias("min"), p.alias("_p"), F.max(value).alias("max")]
     out = df.groupBy(*keys).agg(*aggs)

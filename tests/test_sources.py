@@ -87,3 +87,24 @@ def test_report_and_seed(spark):
         f.write("date,holiday_name\n2024-01-01,Neujahr\n")
     s = AR.read_seed_csv(spark, os.path.join(root, "seed.csv")).first()
     assert s["date"] == dt.date(2024, 1, 1) and s["holiday_name"] == "Neujahr"
+
+
+def test_stream_upsert_touches_only_batch_days_and_is_idempotent(spark):
+    from pyspark.sql import types as T
+    from ampere.streaming import ingest as SI
+    root = tempfile.mkdtemp(prefix="stream-", dir="/tmp")
+    src = f"{root}/in"
+    schema = T.StructType([T.StructField("timestamp", T.TimestampType()), T.StructField("signal", T.StringType()),
+                           T.StructField("value", T.DoubleType()), T.StructField("fetched_at", T.TimestampType())])
+    d1 = [(START, "S", 1.0, START), (START + dt.timedelta(days=1), "S", 2.0, START)]
+    spark.createDataFrame(d1, schema).write.parquet(f"{src}/f1")
+
+    def run():
+        stream = SI.file_stream(spark, f"{src}/*", schema)
+        SI.upsert_stream(stream, f"{root}/table", f"{root}/ckpt", ["timestamp", "signal"], ["fetched_at"]).awaitTermination()
+    run()
+    later = START + dt.timedelta(hours=5)
+    spark.createDataFrame([(START + dt.timedelta(days=1), "S", 20.0, later)], schema).write.parquet(f"{src}/f2")
+    run()
+    out = {r["timestamp"]: r["value"] for r in spark.read.parquet(f"{root}/table").collect()}
+    assert out == {START: 1.0, START + dt.timedelta(days=1): 20.0}
