@@ -38,7 +38,20 @@ def register(name: str, sql: str | None = None):
 # ---------------------------------------------------------------------------
 # warehouse over the events binding
 # ---------------------------------------------------------------------------
+_WAREHOUSES: dict = {}
+
+
 def warehouse(spark: SparkSession, sf_dir: str, resolution: str = "hour") -> Warehouse:
+    """The products over the test binding, built once per (session, data
+    directory, resolution) and shared by every query — the DataFrame plans
+    play the role of the platform's materialised tables."""
+    key = (id(spark._jsparkSession), sf_dir, resolution)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = _build_warehouse(spark, sf_dir, resolution)
+    return _WAREHOUSES[key]
+
+
+def _build_warehouse(spark: SparkSession, sf_dir: str, resolution: str) -> Warehouse:
     sig = B.raw_signals(spark, sf_dir, resolution)
     route = B.EVENTS_CATALOG.table_of()
     raw = {

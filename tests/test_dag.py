@@ -16,8 +16,8 @@ def test_dependency_order_respects_refs():
 
 
 def test_materialize_writes_tables_and_views(spark):
-    from ampere.queries import warehouse
-    wh = warehouse(spark, SF)
+    from ampere.queries import _build_warehouse
+    wh = _build_warehouse(spark, SF, "hour")   # fresh: materialize() swaps products for stored tables
     out = tempfile.mkdtemp(prefix="dag-", dir="/tmp")
     written = materialize(wh, out, ["stg_prices", "stg_neighbour_prices", "fct_market_prices", "fct_price_spreads"])
     assert set(written) == {"fct_market_prices", "fct_price_spreads"}
