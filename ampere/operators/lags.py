@@ -51,6 +51,22 @@ def lag_fanout(df: DataFrame, lags: Mapping[int, Mapping[str, str]], ts: str = "
     return df.join(folded, [ts, *partition], "left")
 
 
+def lag_range_window(df: DataFrame, lags: Mapping[int, Mapping[str, str]], ts: str = "timestamp",
+                     partition: Sequence[str] = ()) -> DataFrame:
+    """Third form: ``max(c) over (partition by series order by epoch range
+    between k and k preceding)`` — an exact-offset frame, one sort per series,
+    no join. Each series is ordered inside one task, so it suits many
+    moderate series (signals x regions), not one very long series."""
+    epoch = F.unix_seconds(F.col(ts))
+    out = df
+    for hours, cols in lags.items():
+        k = hours * 3600
+        w = Window.partitionBy(*partition).orderBy(epoch).rangeBetween(-k, -k)
+        for c, o in cols.items():
+            out = out.withColumn(o, F.max(c).over(w))
+    return out
+
+
 def same_hour_average(cols: Sequence[str]) -> Column:
     """Exact arithmetic mean — null if any term is null (unlike ``avg``)."""
     total = F.col(cols[0])

@@ -314,6 +314,13 @@ def lag_self_join_q(spark, sf_dir):
     return LG.lag_self_join(prices(spark, sf_dir).select("timestamp", "price_eur_mwh"), PRICE_LAGS)
 
 
+@register("lag_range_window", LAG_SQL)
+def lag_range_window_q(spark, sf_dir):
+    """Exact-offset range frames per series (third physical form)."""
+    p = prices(spark, sf_dir).select("timestamp", "resolution", "price_eur_mwh")
+    return LG.lag_range_window(p, PRICE_LAGS, partition=["resolution"]).drop("resolution")
+
+
 @register("same_hour_avg_7d", O.rounded(f"""{W_H}
 SELECT t.timestamp, t.value AS price_eur_mwh,
        ({' + '.join(f'p{k}.value' for k in range(1, 8))}) / 7.0 AS price_rolling_avg_7d_same_hour

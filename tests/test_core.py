@@ -52,6 +52,8 @@ def test_lag_fanout_equals_self_join(spark):
     a = rows_of(LG.lag_fanout(df, lags).select("timestamp", "v", "l24", "l48", "l168"))
     b = rows_of(LG.lag_self_join(df, lags).select("timestamp", "v", "l24", "l48", "l168"))
     assert a == b
+    c = rows_of(LG.lag_range_window(df, lags).select("timestamp", "v", "l24", "l48", "l168"))
+    assert c == a
     r = {x[0]: x for x in a}
     t = T0 + dt.timedelta(hours=50)
     assert r[t][2] == 26.0 and r[t][3] == 2.0
