@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,29 +57,33 @@ def holidays_for_years(years: DataFrame, year: str = "year") -> DataFrame:
     return years.select(F.inline(F.array(*items)))
 
 
-def easter_sunday_sql(year: str) -> str:
-    """Easter Sunday as one Spark SQL expression over the SQL expression ``year``
-    (same computus as :func:`easter_sunday`; parsed once, not built from
-    hundreds of Column objects)."""
-    y = f"({year})"
-    a, b, c = f"pmod({y}, 19)", f"({y} div 100)", f"pmod({y}, 100)"
-    d, e = f"({b} div 4)", f"pmod({b}, 4)"
-    f_ = f"(({b} + 8) div 25)"
-    g = f"(({b} - {f_} + 1) div 3)"
-    h = f"pmod(19 * {a} + {b} - {d} - {g} + 15, 30)"
-    i, k = f"({c} div 4)", f"pmod({c}, 4)"
-    ll = f"pmod(32 + 2 * {e} + 2 * {i} - {h} - {k}, 7)"
-    m = f"(({a} + 11 * {h} + 22 * {ll}) div 451)"
-    n = f"({h} + {ll} - 7 * {m} + 114)"
-    return f"make_date(CAST({y} AS INT), CAST({n} div 31 AS INT), CAST(pmod({n}, 31) + 1 AS INT))"
+def easter_date(year: int) -> dt.date:
+    """Gregorian Easter Sunday (same computus as :func:`easter_sunday`)."""
+    a, b, c = year % 19, year // 100, year % 100
+    d, e = b // 4, b % 4
+    g = (b - (b + 8) // 25 + 1) // 3
+    h = (19 * a + b - d - g + 15) % 30
+    i, k = c // 4, c % 4
+    ll = (32 + 2 * e + 2 * i - h - k) % 7
+    m = (a + 11 * h + 22 * ll) // 451
+    n = h + ll - 7 * m + 114
+    return dt.date(year, n // 31, n % 31 + 1)
+
+
+EASTER_YEARS = range(1900, 2200)
+# Easter Sunday per year, generated from the rule above (constant map literal)
+_EASTER_MAP_SQL = "map(" + ", ".join(f"{y}, DATE'{easter_date(y).isoformat()}'" for y in EASTER_YEARS) + ")"
+_FIXED_MAP_SQL = "map(" + ", ".join(f"{mo * 100 + dd}, '{nm}'" for mo, dd, nm in FIXED_HOLIDAYS) + ")"
+_EASTER_OFFSET_MAP_SQL = "map(" + ", ".join(f"{off}, '{nm}'" for off, nm in EASTER_HOLIDAYS) + ")"
 
 
 def holiday_name_sql(day: str) -> str:
-    """Public-holiday name of the DATE expression ``day`` (NULL if none), SQL text."""
-    easter = easter_sunday_sql(f"year({day})")
-    cases = [f"WHEN month({day}) = {mo} AND dayofmonth({day}) = {dd} THEN '{nm}'" for mo, dd, nm in FIXED_HOLIDAYS]
-    cases += [f"WHEN datediff({day}, {easter}) = {off} THEN '{nm}'" for off, nm in EASTER_HOLIDAYS]
-    return "CASE " + " ".join(cases) + " END"
+    """Public-holiday name of the DATE expression ``day`` (NULL if none), SQL
+    text: two lookups in constant maps (fixed dates by month*100+day, Easter
+    offsets by days from that year's Easter Sunday). Years 1900-2199."""
+    easter = f"try_element_at({_EASTER_MAP_SQL}, year({day}))"
+    return (f"coalesce(try_element_at({_FIXED_MAP_SQL}, month({day}) * 100 + dayofmonth({day})), "
+            f"try_element_at({_EASTER_OFFSET_MAP_SQL}, datediff({day}, {easter})))")
 
 
 def holiday_name(day) -> Column:

@@ -168,3 +168,10 @@ def test_prediction_windows(spark):
     assert sum(1 for r in w if r["in_holdout"]) == 14
     assert w[-1]["end"] == dt.date(2026, 4, 1)
     assert all(a["end"] == b_["start"] for a, b_ in zip(w, w[1:]))
+
+
+def test_easter_python_rule_equals_spark_rule(spark):
+    years = spark.range(1900, 2200).select(F.col("id").cast("int").alias("y"))
+    got = {r["y"]: r["e"] for r in years.select("y", CAL.easter_sunday("y").alias("e")).collect()}
+    assert all(got[y] == CAL.easter_date(y) for y in CAL.EASTER_YEARS)
+    assert CAL.easter_date(2024) == dt.date(2024, 3, 31) and CAL.easter_date(2019) == dt.date(2019, 4, 21)
