@@ -27,16 +27,23 @@ def with_partition_columns(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 
 def write_day_partitions(df: DataFrame, path: str, ts: str = "timestamp",
-                         extra: Sequence[str] = ("resolution",)) -> None:
+                         extra: Sequence[str] = ("resolution",), files_per_partition: int = 1,
+                         max_records_per_file: int = 5_000_000) -> None:
     """One directory per (year, month, day[, resolution]); dynamic
     partition overwrite replaces only the days present in ``df`` (idempotent
-    re-delivery of a day). Rows are clustered by partition before the write so
-    each task writes few files."""
+    re-delivery of a day).
+
+    Rows are hash-spread over ``files_per_partition`` buckets inside each day
+    so one day is written by several tasks (size it so a file is ~128-512 MB
+    at the target volume); ``max_records_per_file`` caps any single file."""
     extra = [c for c in extra if c in df.columns]
     parts = PARTITION_COLS + extra
     out = with_partition_columns(df, ts)
-    (out.repartition(*parts).sortWithinPartitions(ts)
+    spread = [F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))] \
+        if files_per_partition > 1 else []
+    (out.repartition(*[F.col(c) for c in parts], *spread).sortWithinPartitions(ts)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*parts).parquet(path))
 
 

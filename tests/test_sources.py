@@ -57,7 +57,7 @@ def test_lake_roundtrip_pruning_and_idempotent_day_overwrite(spark):
     root = tempfile.mkdtemp(prefix="lake-", dir="/tmp")
     rows = [(START + dt.timedelta(hours=h), "SOLAR", float(h), "MW", "hour") for h in range(48)]
     df = spark.createDataFrame(rows, LK.SIGNAL_SCHEMA)
-    LK.write_day_partitions(df, root)
+    LK.write_day_partitions(df, root, files_per_partition=3)
     LK.write_day_partitions(df.where(F.to_date("timestamp") == F.lit("2024-01-16").cast("date"))
                             .withColumn("value", F.col("value") + 100), root)
     back = LK.scan_range(spark, root, "2024-01-15", "2024-01-16", LK.SIGNAL_SCHEMA)
