@@ -58,7 +58,7 @@ def read_version(spark: SparkSession, root: str, below: int | None = None) -> Da
 
 def upsert_stream(source: DataFrame, table_root: str, checkpoint: str, key: Sequence[str],
                   order: Sequence[str], update_cols: Sequence[str] | None = None, ts: str = "timestamp",
-                  partition_col: str = "day"):
+                  partition_col: str = "day", files_per_partition: int = 4):
     """M1: incremental keyed upsert of a file stream (``availableNow``) into a
     day-partitioned Parquet table, touching only the days in each batch.
 
@@ -83,8 +83,10 @@ def upsert_stream(source: DataFrame, table_root: str, checkpoint: str, key: Sequ
                               order, update_cols)
         stage = f"{table_root}/_staging/{epoch_id}"
         merged.write.mode("overwrite").parquet(stage)
-        (spark.read.parquet(stage).repartition(partition_col).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_root))
+        staged = spark.read.parquet(stage)
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(files_per_partition))
+        (staged.repartition(F.col(partition_col), spread).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_root))
 
     return (source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
