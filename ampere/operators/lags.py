@@ -58,13 +58,13 @@ def lag_range_window(df: DataFrame, lags: Mapping[int, Mapping[str, str]], ts: s
     no join. Each series is ordered inside one task, so it suits many
     moderate series (signals x regions), not one very long series."""
     epoch = F.unix_seconds(F.col(ts))
-    out = df
+    frames = []
     for hours, cols in lags.items():
         k = hours * 3600
         w = Window.partitionBy(*partition).orderBy(epoch).rangeBetween(-k, -k)
-        for c, o in cols.items():
-            out = out.withColumn(o, F.max(c).over(w))
-    return out
+        frames += [F.max(c).over(w).alias(o) for c, o in cols.items()]
+    # one select: all frames share partitioning and order -> one sort, one Window pass
+    return df.select("*", *frames)
 
 
 def same_hour_average(cols: Sequence[str]) -> Column:

@@ -22,10 +22,8 @@ def forward_fill(df: DataFrame, columns: Sequence[str], order: str = "timestamp"
     """``ffill(limit)``: a null takes the last non-null value of the
     previous ``limit`` rows (row-based); longer gaps keep their tail null."""
     w = Window.partitionBy(*partition).orderBy(order).rowsBetween(-limit, 0)
-    out = df
-    for c in columns:
-        out = out.withColumn(c, F.last(c, ignorenulls=True).over(w))
-    return out
+    filled = {c: F.last(c, ignorenulls=True).over(w).alias(c) for c in columns}
+    return df.select(*[filled.get(c, F.col(c)) for c in df.columns])   # one Window pass
 
 
 def _bucket_frame(df: DataFrame, order: str, partition: Sequence[str], bucket: Column):
@@ -65,12 +63,13 @@ def forward_fill_bucketed(df: DataFrame, columns: Sequence[str], order: str = "t
     per_b = per_b.select(*part, "_b", "_off", *carries)
     t = t.join(per_b, [*part, "_b"]).withColumn("_gi", F.col("_off") + F.col("_r"))
     wr = Window.partitionBy(*part, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    t = t.select("*", *[F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("_gi").alias("i"), F.col(c).alias("v"))))
+                        .over(wr).alias(f"_w_{c}") for c in columns])          # one Window pass
+    filled = {}
     for c in columns:
-        within = F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("_gi").alias("i"), F.col(c).alias("v")))).over(wr)
-        last = F.coalesce(within, F.col(f"_c_{c}"))
-        t = t.withColumn(c, F.when(F.col(c).isNotNull(), F.col(c))
-                         .when(F.col("_gi") - last["i"] <= limit, last["v"]))
-    return t.drop("_b", "_r", "_gi", "_off", *[f"_c_{c}" for c in columns])
+        last = F.coalesce(F.col(f"_w_{c}"), F.col(f"_c_{c}"))
+        filled[c] = F.when(F.col(c).isNotNull(), F.col(c)).when(F.col("_gi") - last["i"] <= limit, last["v"]).alias(c)
+    return t.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 
 def previous_row_bucketed(df: DataFrame, columns: Sequence[str], order: str = "timestamp",
