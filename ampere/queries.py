@@ -1649,3 +1649,19 @@ def generation_backtest(spark, sf_dir):
     out = BT.expanding_fit_predict(j, _windows(spark, sf_dir), ["lag_24", "lag_168", "hour_sin", "hour_cos"],
                                    "wind_total_mw")
     return out.select("window_id", "timestamp", "wind_total_mw", "pred", "n_train")
+
+
+@register("random_search_cv_stage2")
+def random_search_cv_stage2(spark, sf_dir):
+    """Stage-2 (quarter-hour deviation) random search with a per-fold
+    Stage-1 refit; CV MAE of the reconstructed price per trial."""
+    h = build_contract(warehouse(spark, sf_dir).fct_ml_features, HOURLY)
+    s, c = TM.cyclic(F.hour("local_timestamp"), 24)
+    h = cut_lineage(h.select("timestamp", "price_eur_mwh", "price_lag_24h", "price_lag_48h", "price_lag_168h",
+                             "click_price_lag_24h", "view_price_lag_24h", s.alias("hour_sin"), c.alias("hour_cos"),
+                             F.col("is_workday").cast("double").alias("workday")), "tuning2-h")
+    q = build_contract(warehouse(spark, sf_dir, "quarterhour").fct_ml_features, QUARTER_HOURLY)
+    s, c = TM.cyclic(F.col("quarter_of_hour"), 4)
+    q = cut_lineage(q.select("timestamp", "price_eur_mwh", "price_lag_96qh", "price_lag_192qh", s.alias("qoh_sin"),
+                             c.alias("qoh_cos")), "tuning2-q")
+    return TU.random_search_cv_stage2(h, q, S1_FEATURES, S2_FEATURES, n_trials=10, n_splits=2, gap=4)
