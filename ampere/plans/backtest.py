@@ -122,5 +122,5 @@ def two_stage(hourly: DataFrame, quarter: DataFrame, windows: DataFrame, f1: Seq
     q = q.withColumn("deviation", F.col(y) - F.col("stage1_pred"))
     s2 = expanding_fit_predict(q, windows, f2, "deviation", ts, ridge,
                                train_filter=F.col("bucket") >= 1)
-    s2 = s2.withColumn("pred", F.col("stage1_pred") + F.col("pred"))
+    s2 = s2.withColumn("stage2_pred", F.col("pred")).withColumn("pred", F.col("stage1_pred") + F.col("stage2_pred"))
     return s1, s2
