@@ -65,6 +65,10 @@ def test_lake_roundtrip_pruning_and_idempotent_day_overwrite(spark):
     assert back.where(F.col("value") >= 100).count() == 24
     assert LK.read_day(spark, root, "2024-01-15").count() == 24
     assert LK.scan_range(spark, root, "2024-02-01", "2024-02-02").count() == 0
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "timestamp" in pushed                      # exact time bounds reach the Parquet reader
 
 
 def test_artifact_versions(spark):
