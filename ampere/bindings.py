@@ -76,9 +76,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def raw_signal_rows(spark, sf_dir, resolution: str = "hour") -> DataFrame:
-    """Landed signal rows, revisions included (input of the upsert)."""
+def raw_signal_rows(spark, sf_dir, resolution: str = "hour", signals=None) -> DataFrame:
+    """Landed signal rows, revisions included (input of the upsert). With
+    ``signals`` the selection is an ``IN`` filter on the stored column, which
+    the Parquet reader applies (pushed filter), before any projection."""
     e = events(spark, sf_dir)
+    if signals is not None:
+        e = e.where(F.col("event_type").isin(*[s.lower() for s in signals]))
     return e.select(floor_minutes("ts", RES_MINUTES[resolution]).alias("timestamp"),
                     F.upper("event_type").alias("signal"),
                     (F.col("value") - VALUE_OFFSET).alias("value"),
@@ -86,9 +90,9 @@ def raw_signal_rows(spark, sf_dir, resolution: str = "hour") -> DataFrame:
                     F.col("ts").alias("fetched_at"), "event_id")
 
 
-def raw_signals(spark, sf_dir, resolution: str = "hour") -> DataFrame:
+def raw_signals(spark, sf_dir, resolution: str = "hour", signals=None) -> DataFrame:
     """``raw_*`` signal table after the keyed upsert (one row per key)."""
-    rows = raw_signal_rows(spark, sf_dir, resolution)
+    rows = raw_signal_rows(spark, sf_dir, resolution, signals)
     merged = latest_per_key(rows, ["timestamp", "signal", "resolution"], ["fetched_at", "event_id"])
     return merged.select("timestamp", "signal", "value", "unit", "resolution")
 

@@ -52,12 +52,12 @@ def warehouse(spark: SparkSession, sf_dir: str, resolution: str = "hour") -> War
 
 
 def _build_warehouse(spark: SparkSession, sf_dir: str, resolution: str) -> Warehouse:
-    sig = B.raw_signals(spark, sf_dir, resolution)
-    route = B.EVENTS_CATALOG.table_of()
+    # each raw table reads only its own signals (IN filter pushed into the scan)
+    tables = {t: sorted({s for s, tt in CAT.table_of() if tt == t}) for t in ("generation", "prices", "neighbour_prices")}
     raw = {
-        "generation": route_by_signal(sig, route, "generation"),
-        "prices": route_by_signal(sig, route, "prices"),
-        "neighbour_prices": route_by_signal(sig, route, "neighbour_prices"),
+        "generation": B.raw_signals(spark, sf_dir, resolution, tables["generation"]),
+        "prices": B.raw_signals(spark, sf_dir, resolution, tables["prices"]),
+        "neighbour_prices": B.raw_signals(spark, sf_dir, resolution, tables["neighbour_prices"]),
         "signal_forecast": B.raw_signal_forecast(spark, sf_dir, resolution),
         "weather": B.raw_weather(spark, sf_dir),
         "weather_forecast": B.raw_weather_forecast(spark, sf_dir),
@@ -157,8 +157,9 @@ UNION ALL SELECT timestamp, signal, value, resolution, 'neighbour_prices' FROM s
                                        ["value"]))
 def route_by_signal_q(spark, sf_dir):
     """Long rows routed to their tables by the signal catalogue."""
-    wh = warehouse(spark, sf_dir)
-    parts = [wh.raw[t].select("timestamp", "signal", "value", "resolution", F.lit(t).alias("table"))
+    sig = B.raw_signals(spark, sf_dir)
+    route = CAT.table_of()
+    parts = [route_by_signal(sig, route, t).select("timestamp", "signal", "value", "resolution", F.lit(t).alias("table"))
              for t in ("generation", "prices", "neighbour_prices")]
     out = parts[0]
     for p in parts[1:]:
