@@ -46,18 +46,25 @@ def merge_latest(base: DataFrame | None, delta: DataFrame, key: Sequence[str],
     if base is None:
         return latest_per_key(delta, key, order, payload=cols)
     update_cols = list(update_cols) if update_cols is not None else [c for c in cols if c not in key]
+    keep = [c for c in cols if c not in key and c not in update_cols]
     tagged = (base.select(*cols).withColumn("_is_delta", F.lit(0))
               .unionByName(delta.select(*cols).withColumn("_is_delta", F.lit(1))))
-    winner = latest_per_key(tagged, key, ["_is_delta", *order], payload=cols)
-    keep = [c for c in cols if c not in key and c not in update_cols]
-    if keep:
-        # unlisted columns keep their old value where the key already existed
-        old = base.select(*key, F.lit(True).alias("_had"), *[F.col(c).alias(f"_old_{c}") for c in keep])
-        winner = winner.join(old, key, "left")
-        for c in keep:
-            winner = winner.withColumn(c, F.when(F.col("_had"), F.col(f"_old_{c}")).otherwise(F.col(c)))
-        winner = winner.drop("_had", *[f"_old_{c}" for c in keep])
-    return winner.drop("_is_delta").select(*cols)
+    if not keep:
+        winner = latest_per_key(tagged, key, ["_is_delta", *order], payload=cols)
+        return winner.drop("_is_delta").select(*cols)
+    # one aggregate: the winning row, plus the stored values of the columns an
+    # update must not change (no second join against the base)
+    payload = [c for c in cols if c not in key and c not in order]
+    best = F.max(F.struct(F.col("_is_delta").alias("_o_d"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                          *[F.col(c) for c in payload])).alias("_best")
+    old = F.max(F.when(F.col("_is_delta") == 0, F.struct(*[F.col(c) for c in keep]))).alias("_old")
+    g = tagged.groupBy(*key).agg(best, old)
+    sel = {c: F.col(c) for c in key}
+    sel.update({c: F.col(f"_best._o{i}").alias(c) for i, c in enumerate(order)})
+    for c in payload:
+        sel[c] = (F.when(F.col("_old").isNotNull(), F.col(f"_old.{c}")).otherwise(F.col(f"_best.{c}")).alias(c)
+                  if c in keep else F.col(f"_best.{c}").alias(c))
+    return g.select(*[sel[c] for c in cols])
 
 
 def drop_revisions_first_wins(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
