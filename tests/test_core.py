@@ -175,3 +175,22 @@ def test_easter_python_rule_equals_spark_rule(spark):
     got = {r["y"]: r["e"] for r in years.select("y", CAL.easter_sunday("y").alias("e")).collect()}
     assert all(got[y] == CAL.easter_date(y) for y in CAL.EASTER_YEARS)
     assert CAL.easter_date(2024) == dt.date(2024, 3, 31) and CAL.easter_date(2019) == dt.date(2019, 4, 21)
+
+
+def test_first_wins_batch_twin_and_epoch(spark):
+    from ampere.operators.merge import drop_revisions_first_wins
+    rows = [(T0, "S", 1.0, "MW", "hour", T0 + dt.timedelta(minutes=5)),
+            (T0, "S", 2.0, "MW", "hour", T0 + dt.timedelta(minutes=1))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    first = drop_revisions_first_wins(df, KEY, ["fetched_at"]).first()
+    latest = latest_per_key(df, KEY, ["fetched_at"]).first()
+    assert first["value"] == 2.0 and latest["value"] == 1.0
+    ms = spark.createDataFrame([(1705276800000,)], "ms long").select(TM.epoch_ms_to_ts("ms").alias("t")).first()["t"]
+    assert ms == dt.datetime(2024, 1, 15)
+
+
+def test_live_forecast_stamp(spark):
+    from ampere.sources.payloads import live_forecast_stamp
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 15, 13),)], "timestamp timestamp")
+    r = live_forecast_stamp(df).first()
+    assert r["issue_timestamp"] == dt.datetime(2024, 1, 15) and r["fetched_at"] is not None
