@@ -20,6 +20,15 @@ BASE_CONF = {
     "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Sizing for large volumes: scan splits and AQE's post-shuffle target both
+    # ~128 MB so a task's partition fits comfortably in executor memory; the
+    # initial shuffle partition count should be high (e.g. total shuffle
+    # bytes / 128 MB: ~8k for 1 TB shuffled) and AQE coalesces small ones.
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # a partition 5x the median and > 256 MB is split by the skew-join rule
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
 }
 
 
