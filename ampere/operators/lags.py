@@ -19,6 +19,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ampere.functions.time import shift_hours
 
@@ -36,17 +37,29 @@ def lag_self_join(df: DataFrame, lags: Mapping[int, Mapping[str, str]], ts: str
 
 def lag_fanout(df: DataFrame, lags: Mapping[int, Mapping[str, str]], ts: str = "timestamp",
                partition: Sequence[str] = ()) -> DataFrame:
-    """Same result as :func:`lag_self_join` in two exchanges."""
+    """Same result as :func:`lag_self_join` in two exchanges.
+
+    Each source row is emitted once per offset carrying only *that* offset's
+    values (an ``array<double>`` whose length differs per offset), so the
+    shuffled rows hold exactly the lagged values and nothing else; values are
+    cast back to their column types after the fold. Non-numeric columns fall
+    back to one struct per offset."""
     partition = list(partition)
-    needed = sorted({c for cols in lags.values() for c in cols})
-    items = []
-    for hours, cols in lags.items():
-        items.append(F.struct(F.lit(hours).alias("_k"), shift_hours(ts, hours).alias("_t"),
-                              *[(F.col(c) if c in cols else F.lit(None).cast(df.schema[c].dataType)).alias(c)
-                                for c in needed]))
-    fan = df.select(*partition, F.inline(F.array(*items)))
-    aggs = [F.max(F.when(F.col("_k") == hours, F.col(c))).alias(o)
-            for hours, cols in lags.items() for c, o in cols.items()]
+    numeric = all(isinstance(df.schema[c].dataType, NumericType) for cols in lags.values() for c in cols)
+    if numeric:
+        items = [F.struct(F.lit(h).alias("_k"), shift_hours(ts, h).alias("_t"),
+                          F.array(*[F.col(c).cast("double") for c in cols]).alias("_v"))
+                 for h, cols in lags.items()]
+        fan = df.select(*partition, F.inline(F.array(*items)))
+        aggs = [F.max(F.when(F.col("_k") == h, F.col("_v")[i])).cast(df.schema[c].dataType).alias(o)
+                for h, cols in lags.items() for i, (c, o) in enumerate(cols.items())]
+    else:
+        needed = sorted({c for cols in lags.values() for c in cols})
+        items = [F.struct(F.lit(h).alias("_k"), shift_hours(ts, h).alias("_t"),
+                          *[(F.col(c) if c in cols else F.lit(None).cast(df.schema[c].dataType)).alias(c)
+                            for c in needed]) for h, cols in lags.items()]
+        fan = df.select(*partition, F.inline(F.array(*items)))
+        aggs = [F.max(F.when(F.col("_k") == h, F.col(c))).alias(o) for h, cols in lags.items() for c, o in cols.items()]
     folded = fan.groupBy(F.col("_t").alias(ts), *partition).agg(*aggs)
     return df.join(folded, [ts, *partition], "left")
 
