@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -11,22 +10,22 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles, widen integers to BIGINT, instants and days to naive UTC (NTZ).
 
     Makes results comparable with an SQL oracle independent of summation order.
+    Doubles are rounded in two steps: the first removes last-ulp noise so that
+    exact ties (e.g. a mean ending in ...5) round the same in every engine.
+    Built as one ``selectExpr`` (a single call, however wide the result).
     """
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            # two steps: the first removes last-ulp noise so that exact ties
-            # (e.g. a mean ending in ...5) round the same in every engine
-            c = F.round(F.round(c.cast("double"), digits + 3), digits)
-        elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("bigint")
-        elif isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        elif isinstance(f.dataType, T.DateType):
+        c = "`" + f.name.replace("`", "``") + "`"
+        t = f.dataType
+        if isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
+            e = f"round(round(CAST({c} AS DOUBLE), {digits + 3}), {digits})"
+        elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
+            e = f"CAST({c} AS BIGINT)"
+        elif isinstance(t, (T.TimestampType, T.DateType)):
             # calendar days as midnight NTZ: same pandas/arrow type as SQL TIMESTAMP
-            c = c.cast("timestamp_ntz")
-        elif isinstance(f.dataType, T.DecimalType):
-            c = F.round(F.round(c.cast("double"), digits + 3), digits)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"CAST({c} AS TIMESTAMP_NTZ)"
+        else:
+            e = c
+        exprs.append(f"{e} AS {c}")
+    return df.selectExpr(*exprs)
