@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,9 +113,26 @@ def windowed_rollup(source: DataFrame, event_time: str, keys: Sequence[str], val
                       "n", "total", "mean")
 
 
-def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append"):
-    """Drive a streaming query over everything available, then stop (file sink)."""
+def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append",
+                      flush_timeout_s: float = 30.0):
+    """Drive a streaming query over everything available, then stop (file sink).
+
+    After ``processAllAvailable()`` the query is kept running until a batch
+    without input rows has completed: that no-data batch applies the
+    watermark advanced by the last data batch and emits the windows it closes,
+    so the output does not depend on batch timing. Bounded by
+    ``flush_timeout_s``."""
     q = (df.writeStream.format(fmt).outputMode(mode).option("path", path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+         .option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start())
+    try:
+        q.processAllAvailable()
+        deadline = time.monotonic() + flush_timeout_s
+        while time.monotonic() < deadline:
+            prog = q.recentProgress
+            if not prog or prog[-1]["numInputRows"] == 0:
+                break
+            time.sleep(0.1)
+        q.processAllAvailable()
+    finally:
+        q.stop()
     return q

@@ -112,3 +112,26 @@ def test_stream_upsert_touches_only_batch_days_and_is_idempotent(spark):
     run()
     out = {r["timestamp"]: r["value"] for r in spark.read.parquet(f"{root}/table").collect()}
     assert out == {START: 1.0, START + dt.timedelta(days=1): 20.0}
+
+
+def test_stream_rollup_watermark_drops_late_rows(spark):
+    from pyspark.sql import types as T
+    from ampere.streaming import ingest as SI
+    root = tempfile.mkdtemp(prefix="rollup-", dir="/tmp")
+    schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("k", T.StringType()),
+                           T.StructField("v", T.DoubleType())])
+    t = dt.datetime(2024, 1, 1)
+    first = [(t + dt.timedelta(minutes=10), "a", 1.0), (t + dt.timedelta(hours=5), "a", 2.0)]
+    spark.createDataFrame(first, schema).write.parquet(f"{root}/in/f1")
+
+    def run():
+        s = SI.file_stream(spark, f"{root}/in/*", schema, max_files_per_trigger=1)
+        SI.run_available_now(SI.windowed_rollup(s, "ts", ["k"], "v", "1 hour", "2 hours"), f"{root}/out", f"{root}/ckpt")
+        return {(r["window_start"], r["n"]) for r in spark.read.parquet(f"{root}/out").collect()}
+    out1 = run()
+    assert out1 == {(t, 1)}                      # 05:00 window still open (watermark 03:00)
+    late = [(t + dt.timedelta(minutes=20), "a", 9.0),       # behind the watermark: dropped
+            (t + dt.timedelta(hours=9), "a", 3.0)]          # moves the watermark to 07:00
+    spark.createDataFrame(late, schema).write.parquet(f"{root}/in/f2")
+    out2 = run()
+    assert out2 == {(t, 1), (t + dt.timedelta(hours=5), 1)}
