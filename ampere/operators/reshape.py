@@ -72,9 +72,13 @@ def price_spreads(neighbours: DataFrame, home: DataFrame, catalog: Catalog) -> D
 
 
 def pivot_dynamic(df: DataFrame, keys: Sequence[str], pivot_col: str, value: str,
-                  values: Sequence[str] | None = None) -> DataFrame:
-    """Wide pivot with ``first`` — callers check key uniqueness first (L1),
-    duplicates are an error in the source semantics."""
+                  values: Sequence[str] | None = None, check_unique: bool = True) -> DataFrame:
+    """Wide pivot with ``first``; duplicate (keys, pivot value) rows are an
+    error (checked with one aggregate + ``limit(1)`` job before pivoting)."""
+    if check_unique:
+        dup = df.groupBy(*keys, pivot_col).count().where("count > 1").limit(1).count()
+        if dup:
+            raise ValueError(f"duplicate ({', '.join(keys)}, {pivot_col}) rows: the pivot would be ambiguous")
     g = df.groupBy(*keys)
     g = g.pivot(pivot_col, list(values)) if values is not None else g.pivot(pivot_col)
     return g.agg(F.first(value))

@@ -1558,10 +1558,7 @@ def wide_local_frame(spark, sf_dir):
     """I14 (A1 D7 H3): long signals -> dynamic wide pivot (key uniqueness
     checked first: duplicates are an error) -> local-time helper columns."""
     s = warehouse(spark, sf_dir).stg_generation_load
-    dups = s.groupBy("timestamp", "signal_name").count().where("count > 1").limit(1).count()
-    if dups:
-        raise ValueError("duplicate (timestamp, signal) rows: pivot would be ambiguous")
-    wide = RS.pivot_dynamic(s, ["timestamp"], "signal_name", "value", WIDE_SIGNALS)
+    wide = RS.pivot_dynamic(s, ["timestamp"], "signal_name", "value", WIDE_SIGNALS)   # raises on duplicates
     lt = TM.to_local("timestamp")
     return wide.select("timestamp", *WIDE_SIGNALS, lt.alias("local_timestamp"), F.hour(lt).alias("hour"))
 

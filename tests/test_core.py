@@ -194,3 +194,12 @@ def test_live_forecast_stamp(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 15, 13),)], "timestamp timestamp")
     r = live_forecast_stamp(df).first()
     assert r["issue_timestamp"] == dt.datetime(2024, 1, 15) and r["fetched_at"] is not None
+
+
+def test_dynamic_pivot_rejects_duplicates(spark):
+    ok = spark.createDataFrame([(T0, "A", 1.0), (T0, "B", 2.0)], "timestamp timestamp, s string, v double")
+    r = RS.pivot_dynamic(ok, ["timestamp"], "s", "v").first()
+    assert r["A"] == 1.0 and r["B"] == 2.0
+    dup = spark.createDataFrame([(T0, "A", 1.0), (T0, "A", 3.0)], "timestamp timestamp, s string, v double")
+    with pytest.raises(ValueError):
+        RS.pivot_dynamic(dup, ["timestamp"], "s", "v")
