@@ -112,9 +112,13 @@ def complete_days(df: DataFrame, columns: Sequence[str], ts: str = "timestamp",
     ok = F.lit(True)
     for c in columns:
         ok = ok & F.col(c).isNotNull()
-    w = Window.partitionBy(*partition, "_day")
-    return (df.withColumn("_day", day).withColumn("_ok", F.min(ok.cast("int")).over(w))
-              .where(F.col("_ok") == 1).drop("_ok", "_day"))
+    # per-(series, day) flag by a partially aggregated groupBy, then a semi
+    # join: no task ever holds a whole day; the flag table (one row per series
+    # and day) is small enough for AQE to broadcast
+    tagged = df.withColumn("_day", day)
+    good = (tagged.groupBy(*partition, "_day").agg(F.min(ok.cast("int")).alias("_ok"))
+                  .where(F.col("_ok") == 1).drop("_ok"))
+    return tagged.join(good, [*partition, "_day"], "left_semi").drop("_day")
 
 
 def rolling_mean(df: DataFrame, value: str, out: str, seconds: int, ts: str = "timestamp",
