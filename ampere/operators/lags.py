@@ -102,6 +102,24 @@ def lag_with_fallback(df: DataFrame, value: str, horizons: Sequence[int], out: s
     return joined.withColumn(out, F.coalesce(*picks)).drop(*[f"_fb_{h}" for h in horizons])
 
 
+def row_lag_indexed(df: DataFrame, lags: Mapping[int, Mapping[str, str]], order: str = "timestamp",
+                    partition: Sequence[str] = ()) -> DataFrame:
+    """E4 (row-based ``shift(n)``) without ordering a whole series in one
+    task: a global row index from per-day counts and a prefix sum over the
+    small day table (``splits.global_row_index``), then the same fan-out fold
+    as :func:`lag_fanout` keyed on ``row_idx + n``. Exact."""
+    from ampere.operators.splits import global_row_index
+    part = list(partition)
+    idx = global_row_index(df, order, part)
+    items = [F.struct(F.lit(n).alias("_k"), (F.col("row_idx") + n).alias("_t"),
+                      F.array(*[F.col(c).cast("double") for c in cols]).alias("_v")) for n, cols in lags.items()]
+    fan = idx.select(*part, F.inline(F.array(*items)))
+    aggs = [F.max(F.when(F.col("_k") == n, F.col("_v")[i])).cast(df.schema[c].dataType).alias(o)
+            for n, cols in lags.items() for i, (c, o) in enumerate(cols.items())]
+    folded = fan.groupBy(F.col("_t").alias("row_idx"), *part).agg(*aggs)
+    return idx.join(folded, ["row_idx", *part], "left").drop("row_idx")
+
+
 def row_lag(df: DataFrame, value: str, n: int, out: str, order: str = "timestamp",
             partition: Sequence[str] = ()) -> DataFrame:
     """Row-based ``shift(n)`` within a series (not time-based, see X11).

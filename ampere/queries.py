@@ -1587,8 +1587,8 @@ def row_lag_and_wind_total(spark, sf_dir):
     shift(24)/shift(168) over one resolution's series."""
     g = warehouse(spark, sf_dir).fct_generation_load
     out = g.select("timestamp", "resolution", (F.col("click_mw") + F.col("view_mw")).alias("wind_total_mw"), "view_mw")
-    out = LG.row_lag(out, "view_mw", 24, "view_mw_lag_24", partition=["resolution"])
-    out = LG.row_lag(out, "view_mw", 168, "view_mw_lag_168", partition=["resolution"])
+    out = LG.row_lag_indexed(out, {24: {"view_mw": "view_mw_lag_24"}, 168: {"view_mw": "view_mw_lag_168"}},
+                             partition=["resolution"])
     return out.drop("resolution", "view_mw")
 
 

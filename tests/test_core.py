@@ -203,3 +203,12 @@ def test_dynamic_pivot_rejects_duplicates(spark):
     dup = spark.createDataFrame([(T0, "A", 1.0), (T0, "A", 3.0)], "timestamp timestamp, s string, v double")
     with pytest.raises(ValueError):
         RS.pivot_dynamic(dup, ["timestamp"], "s", "v")
+
+
+def test_row_lag_indexed_equals_window_shift(spark):
+    rows = [(T0 + dt.timedelta(hours=i * (1 + (i % 3 == 0))), float(i) if i % 4 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "timestamp timestamp, v double").withColumn("k", F.lit("s"))
+    a = LG.row_lag(LG.row_lag(df, "v", 24, "l24", partition=["k"]), "v", 1, "l1", partition=["k"])
+    b = LG.row_lag_indexed(df, {24: {"v": "l24"}, 1: {"v": "l1"}}, partition=["k"])
+    cols = ["timestamp", "v", "l24", "l1"]
+    assert sorted(tuple(r) for r in a.select(*cols).collect()) == sorted(tuple(r) for r in b.select(*cols).collect())
