@@ -183,8 +183,9 @@ def year_over_year(df: DataFrame, year: str, value: str, out: str = "yoy_change"
 
 def lead_correlation(df: DataFrame, x: str, y: str, order: str = "timestamp",
                      partition: Sequence[str] = (), out: str = "lead1_corr") -> DataFrame:
-    """E5: corr(x_t, y_{t+1}) per series (row-based lead)."""
-    w = Window.partitionBy(*partition).orderBy(order)
-    led = df.withColumn("_lead", F.lead(y, 1).over(w))
+    """E5: corr(x_t, y_{next row}) per series. The next row comes from the
+    global-row-index fold (a row lag of -1), so no series is ordered in one task."""
+    from ampere.operators.lags import row_lag_indexed
+    led = row_lag_indexed(df, {-1: {y: "_lead"}}, order, partition)
     g = led.groupBy(*partition) if partition else led.groupBy()
     return g.agg(F.corr(x, "_lead").alias(out))
