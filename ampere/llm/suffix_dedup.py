@@ -3,21 +3,24 @@
 A byte goes if it is covered by a string of ``length`` bytes that also starts
 at another place of the corpus. Places are found in four steps, all exact.
 
-1. Every window of ``length`` bytes names an anchor: the ``GRAM`` bytes in it
-   with the least hash. Equal windows name equal anchors at equal offsets, so
-   only anchors whose bytes occur again can lie in repeated windows. Anchors
-   are counted by hash (partial counts first) and the unique ones are left.
-2. All windows around an anchor lie in its context, ``length - GRAM`` bytes
-   to the left and right. Where a whole context occurs again, all of it is
-   covered. Only contexts that differ go on, one row for each distinct one.
-3. Windows whose anchor lies at offsets ``j * STEP`` and up share the bytes
-   that all these windows have in common; contexts that share them with no
+1. Every window of ``length`` bytes names an anchor: the first of the ``GRAM``
+   bytes in it with the least hash. Equal windows name equal anchors at equal
+   offsets, so only anchors whose bytes occur again can lie in repeated
+   windows. Anchors are counted by hash (partial counts first) and the unique
+   ones are left.
+2. The windows that name one anchor are neighbours; the bytes they span are
+   its context, and every window lies in one context only. Where a whole
+   context occurs again, all of it is covered. Only the contexts of anchors
+   that have different ones go on, one row for each distinct context.
+3. The windows whose anchor lies at offsets ``j * STEP`` and up share the
+   bytes that all of them have in common; contexts that share these with no
    other cannot hold a repeated window there and are left.
-4. What remains is grouped by the shared bytes, and each group's suffixes are
-   sorted by linear grouping construction (:func:`suffix_order`); runs of
-   suffixes that agree in ``length`` bytes are the repeated windows. Groups
-   beyond ``GROUP_ROWS`` contexts are not sorted in one task: their windows
-   are counted by content, which is exact as well.
+4. What remains is grouped by the shared bytes, which count as one symbol from
+   here on, and each group's suffixes are sorted by linear grouping
+   construction (:func:`suffix_order`); runs of suffixes that agree over a
+   window are the repeated windows. Groups beyond ``GROUP_ROWS`` rows are not
+   sorted in one task: their windows are counted by content, which is exact
+   as well.
 
 Spans are merged per document and the texts read once more to cut them.
 
@@ -41,10 +44,10 @@ from ampere.llm.common import stored
 
 LENGTH = 200
 #: Bytes of an anchor; longer ones match less by chance but stand denser.
-GRAM = 72
+GRAM = 56
 #: Offsets that one round of step 3 takes together.
-STEP = 43
-#: Contexts that one task sorts together.
+STEP = 29
+#: Contexts that are sorted together at most.
 GROUP_ROWS = 2_000
 #: Bytes hashed at a time.
 SLICE = 1 << 20
@@ -116,32 +119,25 @@ def suffix_order(strings: list[bytes]) -> list[tuple[int, int]]:
     return order
 
 
-def repeated_spans(contexts: list[bytes], copies: list[int], origin: list[tuple], length: int) -> list[list[tuple[int, int]]]:
-    """For each context the spans covered by windows that occur again.
+def repeated_windows(strings: list[bytes], copies: list[int], width: int) -> list[list[int]]:
+    """For each string the starts of its windows of ``width`` that occur again.
 
-    ``copies``: how often the context occurs; ``origin``: where it begins
-    (document, position). Two windows are the same place if their contexts
-    occur once each and begin in one document at the matching distance.
+    ``copies``: in how many places each string stands; no two of all these
+    places overlap in a window.
     """
-    order = suffix_order(contexts)
-    spans: list[list[tuple[int, int]]] = [[] for _ in contexts]
+    found: list[list[int]] = [[] for _ in strings]
     run: list[tuple[int, int]] = []
+    last = None
 
     def settle() -> None:
-        if len(run) == 1 and copies[run[0][0]] < 2:
-            return
-        if all(copies[c] < 2 for c, _ in run):
-            if len({(origin[c][0], origin[c][1] + i) for c, i in run}) < 2:
-                return
-        for c, i in run:
-            spans[c].append((i, i + length))
+        if len(run) > 1 or copies[run[0][0]] > 1:
+            for c, i in run:
+                found[c].append(i)
 
-    last = None
-    for c, i in order:
-        s = contexts[c]
-        if len(s) - i < length:
+    for c, i in suffix_order(strings):
+        window = strings[c][i:i + width]
+        if len(window) < width:
             continue
-        window = s[i:i + length]
         if window != last:
             if run:
                 settle()
@@ -149,7 +145,7 @@ def repeated_spans(contexts: list[bytes], copies: list[int], origin: list[tuple]
         run.append((c, i))
     if run:
         settle()
-    return [merge(x) for x in spans]
+    return found
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -197,28 +193,24 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return x if w == width else pick(x[:len(x) - (width - w)], x[width - w:])
 
 
-def anchors(h: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
-    """Positions that are least in some window of ``width`` hashes.
-
-    ``first`` flags the positions at which a window of one document starts.
-    """
-    small = (h >> np.uint64(32)).astype(np.uint32)
-    least = np.where(first, _sliding(small, width, np.minimum), np.uint32(0))
-    pad = np.zeros(width - 1, dtype=np.uint32)
-    most = _sliding(np.concatenate([pad, least, pad]), width, np.maximum)
-    return np.nonzero((most == small) & (small > 0))[0]
+def window_owners(h: np.ndarray, width: int) -> np.ndarray:
+    """For every window of ``width`` hashes the place of the first least one."""
+    ranked = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
+    return (_sliding(ranked, width, np.minimum) & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def _anchor_rows(texts: list[bytes], length: int, gram: int, tables, slice_bytes: int) -> Iterator[tuple]:
-    """(text, position, hash, left, right, context hash) in arrays, slice by slice."""
+    """(text, position, hash, left, right, context hash) in arrays, slice by slice.
+
+    ``left`` and ``right``: how far the context reaches from the position.
+    """
     import xxhash
 
-    reach, width = length - gram, length - gram + 1
-    todo: list[tuple[int, int, int]] = []  # text, from, to: slices overlap by a window
+    width = length - gram + 1
+    todo: list[tuple[int, int, int]] = []  # text, from, to: each window lies in one slice
     for k, t in enumerate(texts):
-        for lo in range(0, max(1, len(t) - length + 1), slice_bytes - length):
-            if len(t) >= length:
-                todo.append((k, lo, min(len(t), lo + slice_bytes)))
+        for lo in range(0, len(t) - length + 1, slice_bytes - length + 1):
+            todo.append((k, lo, min(len(t), lo + slice_bytes)))
     at = 0
     while at < len(todo):
         size, upto = 0, at
@@ -227,43 +219,38 @@ def _anchor_rows(texts: list[bytes], length: int, gram: int, tables, slice_bytes
             upto += 1
         part = todo[at:upto]
         at = upto
-        buf = np.frombuffer(b"".join(texts[k][lo:hi] for k, lo, hi in part), dtype=np.uint8)
-        h = gram_hashes(buf, gram, tables)
+        buf = b"".join(texts[k][lo:hi] for k, lo, hi in part)
+        h = gram_hashes(np.frombuffer(buf, dtype=np.uint8), gram, tables)
+        owner = window_owners(h, width)
         ends = np.cumsum([hi - lo for _, lo, hi in part])
         starts = ends - [hi - lo for _, lo, hi in part]
         flags = np.zeros(len(h) + 1, dtype=np.int32)
         np.add.at(flags, starts, 1)
         np.add.at(flags, ends - length + 1, -1)
-        first = np.cumsum(flags[:len(h) - width + 1]) > 0
-        pos = anchors(h, first, width)
-        owner = np.searchsorted(ends, pos, "right")
-        k = np.array([p[0] for p in part])[owner]
-        p = pos - starts[owner] + np.array([q[1] for q in part])[owner]
-        n = np.array([len(t) for t in texts])[k]
-        left, right = np.minimum(p, reach), np.minimum(n - p, length)
-        c = np.fromiter((xxhash.xxh64_intdigest(texts[i][a:b]) for i, a, b in zip(k.tolist(), (p - left).tolist(), (p + right).tolist())),
+        whole = np.cumsum(flags[:len(owner)]) > 0  # windows inside one text
+        w = np.nonzero(whole)[0]
+        new = np.ones(len(w), dtype=bool)
+        new[1:] = (owner[w[1:]] != owner[w[:-1]]) | (w[1:] != w[:-1] + 1)
+        first = w[new]
+        last = w[np.append(np.nonzero(new)[0][1:] - 1, len(w) - 1)]
+        pos = owner[first]
+        which = np.searchsorted(ends, pos, "right")
+        p = pos - starts[which] + np.array([q[1] for q in part])[which]
+        stop, left = last + length, pos - first
+        c = np.fromiter((xxhash.xxh64_intdigest(buf[a:b], x) for a, b, x in zip(first.tolist(), stop.tolist(), left.tolist())),
                         dtype=np.uint64, count=len(p))
-        yield k, p, h[pos].view(np.int64), left, right, c.view(np.int64)
+        yield np.array([q[0] for q in part])[which], p, h[pos].view(np.int64), left, stop - pos, c.view(np.int64)
 
 
 def anchor_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``docs(key, b)`` to (key, pos, h, l, r, c), one row per anchor.
-
-    Anchors in the overlap of two slices come twice; the caller's counts must
-    not take that for a repetition, so the second is left out here.
-    """
+    """``docs(key, b)`` to (key, pos, h, l, r, c), one row per context."""
     key_type, slice_bytes = docs.schema["key"].dataType.simpleString(), SLICE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables(slice_bytes + length, gram)
         for batch in batches:
             texts = [t or b"" for t in batch.column("b").to_pylist()]
-            seen_long: set[tuple[int, int]] = set()
             for k, p, h, left, right, c in _anchor_rows(texts, length, gram, tables, slice_bytes):
-                if any(len(texts[i]) > slice_bytes for i in np.unique(k)):
-                    new = [(i, q) not in seen_long and not seen_long.add((i, q)) for i, q in zip(k.tolist(), p.tolist())]
-                    new = np.array(new, dtype=bool)
-                    k, p, h, left, right, c = (x[new] for x in (k, p, h, left, right, c))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").take(pa.array(k)), pa.array(p, pa.int32()), pa.array(h, pa.int64()),
                      pa.array(left, pa.int16()), pa.array(right, pa.int16()), pa.array(c, pa.int64())],
@@ -292,78 +279,104 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``texts(key, b)`` to merged spans (key, start, stop) of repeated bytes."""
-    reach = length - gram
     table = stored(anchor_table(texts.select("key", "b").filter(F.length("b") >= length), length, gram), "sa-anchors")
     again = (table.groupBy("h").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("mixed"))
              .filter("n > 1").select("h", "mixed"))
-    rows = stored(table.join(again, "h"), "sa-repeated")
+    rows = stored(table.join(again.hint("shuffle_hash"), "h"), "sa-repeated")
     contexts = stored(rows.groupBy("h", "c", "l", "r", "mixed").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "pos")).alias("one")), "sa-contexts")
-    whole = rows.join(contexts.filter("n > 1").select("h", "c"), ["h", "c"], "left_semi").select(
-        "key", (F.col("pos") - F.col("l")).alias("start"), (F.col("pos") + F.col("r")).alias("stop")).filter(
-        F.col("stop") - F.col("start") >= length)
-    parts = _differing(contexts.filter("mixed"), texts, length, gram, reach)
-    return merged(whole.unionByName(parts))
+    whole = rows.join(contexts.filter("n > 1").select("h", "c").hint("shuffle_hash"), ["h", "c"], "left_semi").select(
+        "key", (F.col("pos") - F.col("l")).alias("start"), (F.col("pos") + F.col("r")).alias("stop"))
+    return merged(whole.unionByName(_differing(contexts.filter("mixed"), texts, length, gram)))
 
 
 def merged(spans: DataFrame) -> DataFrame:
     """Maximal runs of (key, start, stop) per key."""
     by = Window.partitionBy("key").orderBy("start", "stop")
     reached = F.max("stop").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    return (spans.distinct().withColumn("new", F.coalesce((F.col("start") > reached).cast("int"), F.lit(1)))
+    return (spans.withColumn("new", F.coalesce((F.col("start") > reached).cast("int"), F.lit(1)))
             .withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
             .groupBy("key", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
             .select("key", "start", "stop"))
 
 
-def _differing(contexts: DataFrame, texts: DataFrame, length: int, gram: int, reach: int) -> DataFrame:
+def _differing(contexts: DataFrame, texts: DataFrame, length: int, gram: int) -> DataFrame:
     """Steps 3 and 4: the repeated windows of contexts that differ."""
+    reach = length - gram
     want = contexts.select(F.col("one.key").alias("key"), F.struct(
         F.col("h"), F.col("one.pos").alias("pos"), F.col("l"), F.col("r"), F.col("n")).alias("w"))
     want = stored(want.groupBy(F.col("key").alias("k")).agg(F.collect_list("w").alias("w")), "sa-wanted")
     entries = want.agg(F.sum(F.size("w"))).first()[0] or 0
     side = F.broadcast(want) if entries <= BROADCAST_SPANS // 4 else want
     cut = (texts.join(side, F.col("key") == F.col("k")).select("key", "b", F.explode("w").alias("w"))
-           .select("key", "w.*", F.expr("substring(b, w.pos - w.l + 1, w.l + w.r)").alias("ctx")))
-    cut = stored(cut.withColumn("l", F.col("l").cast("int")).withColumn("r", F.col("r").cast("int")), "sa-bytes")
+           .select("key", "w.h", "w.pos", F.col("w.l").cast("int").alias("l"), F.col("w.r").cast("int").alias("r"), "w.n",
+                   F.expr("substring(b, w.pos - w.l + 1, w.l + w.r)").alias("ctx")))
+    # the offsets of the windows of a context are length - r to l; steps that it has no window in are left out
     steps = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(min(a + STEP - 1, reach)).alias("hi"))
                       for a in range(0, reach + 1, STEP)])
-    # windows with lo <= offset <= hi, as far as this context has them
+    steps = F.filter(steps, lambda s: (s["lo"] <= F.col("l")) & (s["hi"] >= length - F.col("r")))
     parts = (cut.withColumn("s", F.explode(steps))
-             .withColumn("lo", F.greatest(F.col("s.lo"), F.lit(length) - F.col("r")))
-             .withColumn("hi", F.least(F.col("s.hi"), F.col("l"))).filter("lo <= hi")
-             # of all windows of the step, whatever the context has: anchor at s.lo to s.hi
-             .withColumn("shared", F.expr(f"substring(ctx, l - s.lo + 1, {length} - s.hi + s.lo)"))
-             .filter(F.expr(f"l >= s.lo and r >= {length} - s.hi"))
-             .withColumn("g", F.xxhash64("h", "s.lo", "shared"))
-             .withColumn("from", F.col("l") - F.col("hi"))
-             .withColumn("ctx", F.expr(f"substring(ctx, l - hi + 1, hi - lo + {length})"))
-             .select("g", "key", (F.col("pos") - F.col("l") + F.col("from")).alias("at"), "n", "ctx"))
-    sizes = parts.groupBy("g").agg(F.count("*").alias("rows"), F.max("n").alias("most")).filter("rows > 1")
-    sizes = stored(sizes.select("g", "rows"), "sa-groups")
-    small = parts.join(sizes.filter(F.col("rows") <= GROUP_ROWS), "g")
+             .withColumn("lo", F.greatest(F.col("s.lo"), length - F.col("r")))
+             .withColumn("hi", F.least(F.col("s.hi"), F.col("l")))
+             .withColumn("core", F.expr(f"{length} - s.hi + s.lo")))
+    # 0xFF, which no UTF-8 text holds, stands for the shared bytes
+    parts = stored(parts.select(
+        F.expr("xxhash64(h, s.lo, substring(ctx, l - s.lo + 1, core))").alias("g"), "key",
+        (F.col("pos") - F.col("hi")).alias("at"), "n", F.expr("s.hi - s.lo + 1").alias("width"),
+        F.expr("concat(substring(ctx, l - hi + 1, hi - s.lo), X'FF', substring(ctx, l - s.lo + core + 1, s.hi - lo))")
+        .alias("ctx")), "sa-parts")
+    sizes = stored(parts.groupBy("g").agg(F.count("*").alias("rows")).filter("rows > 1"), "sa-groups")
+    small = parts.join(sizes.filter(F.col("rows") <= GROUP_ROWS).select("g").hint("shuffle_hash"), "g", "left_semi")
     key_type = texts.schema["key"].dataType.simpleString()
 
-    def sort_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        where = list(zip(pdf["key"], pdf["at"]))
-        spans = repeated_spans([bytes(x) for x in pdf["ctx"]], pdf["n"].tolist(), where, length)
-        out = [(k, a + x, a + y) for (k, a), found in zip(where, spans) for x, y in found]
-        return pd.DataFrame(out, columns=["key", "start", "stop"])
-
-    found = small.groupBy("g").applyInPandas(sort_group, f"key {key_type}, start int, stop int")
-    large = parts.join(sizes.filter(F.col("rows") > GROUP_ROWS), "g").withColumn(
-        "o", F.explode(F.sequence(F.lit(0), F.length("ctx") - length)))
+    def sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups stand together, in order; one is held at a time."""
+        group, rows = None, []
+        for batch in batches:
+            out: list[tuple] = []
+            for g, *row in zip(*(batch.column(c).to_pylist() for c in ("g", "key", "at", "n", "width", "ctx"))):
+                if g != group and rows:
+                    out += _spans_of_group(rows, length)
+                    rows = []
+                group = g
+                rows.append(row)
+            yield _spans_batch(out)
+        if rows:
+            yield _spans_batch(_spans_of_group(rows, length))
+
+    def _spans_batch(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["key", "start", "stop"]).astype(
+            {"start": "int32", "stop": "int32"} | ({} if out else {"key": "int64"})), preserve_index=False)
+
+    found = small.repartition("g").sortWithinPartitions("g").mapInArrow(
+        sort_groups, f"key {key_type}, start int, stop int")
+    large = parts.join(sizes.filter(F.col("rows") > GROUP_ROWS).select("g"), "g", "left_semi").withColumn(
+        "o", F.explode(F.sequence(F.lit(0), F.length("ctx") - F.col("width"))))
     windows = stored(large.select("g", "key", (F.col("at") + F.col("o")).alias("start"), "n",
-                                  F.md5(F.expr(f"substring(ctx, o + 1, {length})")).alias("w")), "sa-windows")
-    # how many places a window has: its largest count, or more than one place
-    several = windows.groupBy("g", "w").agg(
-        F.max("n").alias("n"), (F.min(F.struct("key", "start")) != F.max(F.struct("key", "start"))).alias("two")
-    ).filter("n > 1 or two").select("g", "w")
+                                  F.md5(F.expr("substring(ctx, o + 1, width)")).alias("w")), "sa-windows")
+    several = windows.groupBy("g", "w").agg(F.sum("n").alias("n")).filter("n > 1").select("g", "w")
     counted = windows.join(several, ["g", "w"], "left_semi").select(
         "key", "start", (F.col("start") + length).cast("int").alias("stop"))
     return stored(found.unionByName(counted), "sa-found")
 
 
+def _spans_of_group(rows: list, length: int) -> list[tuple]:
+    """The repeated spans of one group's (key, at, n, width, ctx) rows."""
+    alike: dict[bytes, list] = {}
+    for row in rows:
+        alike.setdefault(row[4], []).append(row)
+    strings, width = list(alike), rows[0][3]
+    if len(strings) == 1:
+        windows = [list(range(len(strings[0]) - width + 1))] if sum(r[2] for r in rows) > 1 else [[]]
+    else:
+        windows = repeated_windows(strings, [sum(r[2] for r in alike[s]) for s in strings], width)
+    out = []
+    for s, starts in zip(strings, windows):
+        spans = merge([(i, i + length) for i in starts])
+        out += [(key, at + a, at + b) for key, at, *_ in alike[s] for a, b in spans]
+    return out
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id",
                    text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the bytes left).
