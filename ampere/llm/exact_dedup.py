@@ -63,8 +63,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = stored(keyed.select(
         "id", "survives", (full if digest_all else F.when(F.col("survives"), full)).alias("text_sha256")),
         "dedup-digests")
-    copies = (rows.filter("survives").groupBy("text_sha256")
-              .agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"))
+    # stored, so that both sides of the join are plain shuffles and a hot text's rows can be split among tasks
+    copies = stored(rows.filter("survives").groupBy("text_sha256")
+                    .agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"),
+                    "dedup-copies")
     return (rows.join(copies, "text_sha256", "left")
             .select("id", F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256")
