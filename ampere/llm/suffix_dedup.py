@@ -306,9 +306,8 @@ def _differing(contexts: DataFrame, texts: DataFrame, length: int, gram: int) ->
     want = contexts.select(F.col("one.key").alias("key"), F.struct(
         F.col("h"), F.col("one.pos").alias("pos"), F.col("l"), F.col("r"), F.col("n")).alias("w"))
     want = stored(want.groupBy(F.col("key").alias("k")).agg(F.collect_list("w").alias("w")), "sa-wanted")
-    entries = want.agg(F.sum(F.size("w"))).first()[0] or 0
-    side = F.broadcast(want) if entries <= BROADCAST_SPANS // 4 else want
-    cut = (texts.join(side, F.col("key") == F.col("k")).select("key", "b", F.explode("w").alias("w"))
+    # a document has one row here; the texts that have one are shuffled by key, at every size alike
+    cut = (texts.join(want, F.col("key") == F.col("k")).select("key", "b", F.explode("w").alias("w"))
            .select("key", "w.h", "w.pos", F.col("w.l").cast("int").alias("l"), F.col("w.r").cast("int").alias("r"), "w.n",
                    F.expr("substring(b, w.pos - w.l + 1, w.l + w.r)").alias("ctx")))
     # the offsets of the windows of a context are length - r to l; steps that it has no window in are left out
