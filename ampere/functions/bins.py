@@ -26,7 +26,8 @@ def equal_width_bins(df: DataFrame, x: str, n: int) -> DataFrame:
     mm = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
     out = df.withColumn("_lo", mm.getField("lo")).withColumn("_hi", mm.getField("hi"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(n)
-    k = F.least(F.greatest(F.ceil((F.col(x) - F.col("_lo")) / w) - 1, F.lit(0)), F.lit(n - 1))
+    # a constant column has bins of no width: all rows fall into the first
+    k = F.least(F.greatest(F.coalesce(F.ceil(F.try_divide(F.col(x) - F.col("_lo"), w)) - 1, F.lit(0)), F.lit(0)), F.lit(n - 1))
     out = out.withColumn("bin", F.when(F.col(x).isNotNull(), k).cast("int"))
     left = F.col("_lo") + F.col("bin") * w
     left = F.when(F.col("bin") == 0, F.col("_lo") - (F.col("_hi") - F.col("_lo")) * F.lit(0.001)).otherwise(left)

@@ -115,12 +115,12 @@ def threshold_table(df: DataFrame, value: str, thresholds: Sequence[float]) -> D
     """Count and % of rows above each threshold (one pass; thresholds
     are a literal array exploded per row-group, not a cross join of data)."""
     aggs = []
-    for t in thresholds:
-        aggs += [F.count_if(F.col(value) > t).alias(f"n_{int(t)}")]
+    for i, t in enumerate(thresholds):
+        aggs += [F.count_if(F.col(value) > t).alias(f"n_{i}")]
     n = F.count(F.col(value))
     wide = df.agg(n.alias("_n"), *aggs)
-    rows = [F.struct(F.lit(float(t)).alias("threshold"), F.col(f"n_{int(t)}").alias("hours"),
-                     (F.col(f"n_{int(t)}") / F.col("_n") * 100.0).alias("pct")) for t in thresholds]
+    rows = [F.struct(F.lit(float(t)).alias("threshold"), F.col(f"n_{i}").alias("hours"),
+                     F.try_divide(F.col(f"n_{i}") * 100.0, F.col("_n")).alias("pct")) for i, t in enumerate(thresholds)]
     return wide.select(F.inline(F.array(*rows)))
 
 
@@ -158,11 +158,12 @@ def slope(df: DataFrame, keys: Sequence, y: str, x: str, where: Column | None =
 def deviation_from_cell_mean(df: DataFrame, value: str, cell: Sequence[str], out: str = "deviation") -> DataFrame:
     """Value minus the mean of its (e.g. hour, season) cell.
 
-    Cell means come from a partially aggregated ``groupBy`` (one row per cell,
-    bounded by the cell definition) broadcast back — no window, so a cell
-    holding a large share of the rows is never gathered into one task."""
+    Cell means come from a partially aggregated ``groupBy`` (one row per cell)
+    joined back — no window, so a cell holding a large share of the rows is
+    never gathered into one task. Adaptive execution broadcasts the means if
+    they are small; cells are arbitrary, so no broadcast is forced."""
     means = df.groupBy(*cell).agg(F.avg(value).alias("_cell_mean"))
-    return (df.join(F.broadcast(means), list(cell), "left")
+    return (df.join(means, list(cell), "left")
               .withColumn(out, F.col(value) - F.col("_cell_mean")).drop("_cell_mean"))
 
 
@@ -172,8 +173,8 @@ def top_k(df: DataFrame, order: Column, k: int) -> DataFrame:
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """sorted frequency table."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    """frequency table, most frequent first (ties by value)."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), col)
 
 
 def year_over_year(df: DataFrame, year: str, value: str, out: str = "yoy_change") -> DataFrame:

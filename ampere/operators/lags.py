@@ -19,7 +19,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from ampere.functions.time import shift_hours
 
@@ -39,31 +38,39 @@ def lag_fanout(df: DataFrame, lags: Mapping[int, Mapping[str, str]], ts: str = "
                partition: Sequence[str] = ()) -> DataFrame:
     """Same result as :func:`lag_self_join` in two exchanges.
 
-    Each source row is emitted once per offset carrying only *that* offset's
-    values (an ``array<double>`` whose length differs per offset), so the
-    shuffled rows hold exactly the lagged values and nothing else; values are
-    cast back to their column types after the fold. Non-numeric columns fall
-    back to one struct per offset."""
+    Each source row is emitted once per offset with that offset's values in
+    their own types (the other offsets' columns are null), so integers and
+    decimals keep every digit."""
     partition = list(partition)
-    numeric = all(isinstance(df.schema[c].dataType, NumericType) for cols in lags.values() for c in cols)
-    if numeric:
-        items = [F.struct(F.lit(h).alias("_k"), shift_hours(ts, h).alias("_t"),
-                          F.array(*[F.col(c).cast("double") for c in cols]).alias("_v"))
-                 for h, cols in lags.items()]
-        fan = df.select(*partition, F.inline(F.array(*items)))
-        aggs = [F.max(F.when(F.col("_k") == h, F.col("_v")[i])).cast(df.schema[c].dataType).alias(o)
-                for h, cols in lags.items() for i, (c, o) in enumerate(cols.items())]
-    else:
-        needed = sorted({c for cols in lags.values() for c in cols})
-        items = [F.struct(F.lit(h).alias("_k"), shift_hours(ts, h).alias("_t"),
-                          *[(F.col(c) if c in cols else F.lit(None).cast(df.schema[c].dataType)).alias(c)
-                            for c in needed]) for h, cols in lags.items()]
-        fan = df.select(*partition, F.inline(F.array(*items)))
-        aggs = [F.max(F.when(F.col("_k") == h, F.col(c))).alias(o) for h, cols in lags.items() for c, o in cols.items()]
+    fan, aggs = _fan(df, lags, partition, lambda h: shift_hours(ts, h))
     folded = fan.groupBy(F.col("_t").alias(ts), *partition).agg(*aggs)
     return df.join(folded, [ts, *partition], "left")
 
 
+def _fan(df: DataFrame, lags: Mapping[int, Mapping[str, str]], partition: Sequence[str], at) -> tuple[DataFrame, list[Column]]:
+    """The rows (partition, _k, _t, values) of every offset, and the aggregates that fold them.
+
+    Offsets with the same column types share value columns; a value stands in
+    an array of its own type, so nothing is cast."""
+    kinds = {h: tuple(df.schema[c].dataType.simpleString() for c in cols) for h, cols in lags.items()}
+    slots = {k: f"_v{i}" for i, k in enumerate(sorted({t for ts_ in kinds.values() for t in ts_}))}
+    def array_of(h, cols, t):
+        own = [F.col(c) for c in cols if df.schema[c].dataType.simpleString() == t]
+        return F.array(*own) if own else F.lit(None)
+    items = [F.struct(F.lit(h).alias("_k"), at(h).alias("_t"),
+                      *[array_of(h, cols, t).cast(f"array<{t}>").alias(s) for t, s in slots.items()])
+             for h, cols in lags.items()]
+    fan = df.select(*partition, F.inline(F.array(*items)))
+    aggs = []
+    for h, cols in lags.items():
+        seen: dict[str, int] = {}
+        for c, out in cols.items():
+            t = df.schema[c].dataType.simpleString()
+            i = seen[t] = seen.get(t, -1) + 1
+            aggs.append(F.max(F.when(F.col("_k") == h, F.col(slots[t])[i])).alias(out))
+    return fan, aggs
+
+
 def lag_range_window(df: DataFrame, lags: Mapping[int, Mapping[str, str]], ts: str = "timestamp",
                      partition: Sequence[str] = ()) -> DataFrame:
     """Third form: ``max(c) over (partition by series order by epoch range
@@ -111,11 +118,7 @@ def row_lag_indexed(df: DataFrame, lags: Mapping[int, Mapping[str, str]], order:
     from ampere.operators.splits import global_row_index
     part = list(partition)
     idx = global_row_index(df, order, part)
-    items = [F.struct(F.lit(n).alias("_k"), (F.col("row_idx") + n).alias("_t"),
-                      F.array(*[F.col(c).cast("double") for c in cols]).alias("_v")) for n, cols in lags.items()]
-    fan = idx.select(*part, F.inline(F.array(*items)))
-    aggs = [F.max(F.when(F.col("_k") == n, F.col("_v")[i])).cast(df.schema[c].dataType).alias(o)
-            for n, cols in lags.items() for i, (c, o) in enumerate(cols.items())]
+    fan, aggs = _fan(idx, lags, part, lambda n: F.col("row_idx") + n)
     folded = fan.groupBy(F.col("_t").alias("row_idx"), *part).agg(*aggs)
     return idx.join(folded, ["row_idx", *part], "left").drop("row_idx")
 

@@ -828,11 +828,11 @@ def zone_correlation_matrix(spark, sf_dir):
 
 @register("lead1_spread_correlation", O.rounded(f"""{W_H}, {SPREAD_SQL}
 SELECT neighbour, corr(spread, nxt) AS lead1_corr FROM (
-  SELECT neighbour, spread, lead(spread) OVER (PARTITION BY neighbour ORDER BY timestamp) AS nxt FROM sp) GROUP BY 1""",
+  SELECT neighbour, spread, lead(home_price) OVER (PARTITION BY neighbour ORDER BY timestamp) AS nxt FROM sp) GROUP BY 1""",
                                                 ["lead1_corr"]))
 def lead1_spread_correlation(spark, sf_dir):
-    """E5 + D23: correlation of each spread with its next observation (row lead per series)."""
-    return AN.lead_correlation(_spreads_long(spark, sf_dir), "spread", "spread", partition=["neighbour"])
+    """E5 + D23: correlation of each spread with the next row's home price (row lead per series)."""
+    return AN.lead_correlation(_spreads_long(spark, sf_dir), "spread", "home_price", partition=["neighbour"])
 
 
 # -- coverage, profile, top-k (G3 D29 L6 L8 F2 F3) -------------------------------
@@ -1204,7 +1204,8 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 def _events_stream(spark, sf_dir):
     from pyspark.sql.types import _parse_datatype_string
-    s = SI.file_stream(spark, sf_dir, _parse_datatype_string(EVENTS_SCHEMA), glob="events.parquet")
+    # a glob names the table whether it is one file or a folder of part files
+    s = SI.file_stream(spark, f"{sf_dir}/events.parquet*", _parse_datatype_string(EVENTS_SCHEMA))
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -1626,7 +1627,7 @@ def backtest_report_nested(spark, sf_dir):
     p = _backtest(spark, sf_dir).na.drop(subset=["y", "pred", "baseline"])
     per_w = MT.report(p, ["stage", "window_id", "in_holdout"], "timestamp", "y", "pred", ref="baseline",
                       with_baseline=True)
-    overall = MT.report(p.where("in_holdout"), ["stage"], "window_id", "y", "pred", ref="baseline", with_baseline=True)
+    overall = MT.report(p.where("in_holdout"), ["stage"], "timestamp", "y", "pred", ref="baseline", with_baseline=True)
     mape = p.where("in_holdout").groupBy("stage").agg(MT.mape("y", "pred").alias("mape"))
     windows = per_w.groupBy("stage").agg(F.sort_array(F.collect_list(F.struct("window_id", "n", "mae", "rmse", "r2")))
                                          .alias("windows"))

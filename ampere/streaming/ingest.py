@@ -13,7 +13,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,24 +38,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions (``v=<n>`` with a ``_SUCCESS`` marker) of a table."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_version(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
-    vs = [v for v in versions(spark, root) if below is None or v < below]
-    return spark.read.parquet(f"{root}/v={vs[-1]}") if vs else None
-
-
 def upsert_stream(source: DataFrame, table_root: str, checkpoint: str, key: Sequence[str],
                   order: Sequence[str], update_cols: Sequence[str] | None = None, ts: str = "timestamp",
                   partition_col: str = "day", files_per_partition: int = 4):
@@ -113,26 +94,13 @@ def windowed_rollup(source: DataFrame, event_time: str, keys: Sequence[str], val
                       "n", "total", "mean")
 
 
-def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append",
-                      flush_timeout_s: float = 30.0):
+def run_available_now(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append"):
     """Drive a streaming query over everything available, then stop (file sink).
 
-    After ``processAllAvailable()`` the query is kept running until a batch
-    without input rows has completed: that no-data batch applies the
-    watermark advanced by the last data batch and emits the windows it closes,
-    so the output does not depend on batch timing. Bounded by
-    ``flush_timeout_s``."""
+    With ``availableNow`` the query itself runs the batch without input rows
+    that applies the watermark of the last data batch, so the windows it
+    closes are emitted before it ends; there is no time limit."""
     q = (df.writeStream.format(fmt).outputMode(mode).option("path", path)
-         .option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start())
-    try:
-        q.processAllAvailable()
-        deadline = time.monotonic() + flush_timeout_s
-        while time.monotonic() < deadline:
-            prog = q.recentProgress
-            if not prog or prog[-1]["numInputRows"] == 0:
-                break
-            time.sleep(0.1)
-        q.processAllAvailable()
-    finally:
-        q.stop()
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
     return q
