@@ -70,18 +70,21 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(u, v)``: (node, root), root the least node.
 
     Alternating large-star and small-star steps; each round is two joins on
-    hashed node ids (skewed nodes are split by adaptive execution) and is
-    written to the checkpoint folder, so no lineage grows and no list of
-    links reaches the driver. Raises if ``max_rounds`` don't suffice.
+    hashed node ids and is written to the checkpoint folder, so no lineage
+    grows and no list of links reaches the driver. The least neighbours are
+    stored too: both sides of a join are then plain shuffles, and adaptive
+    execution can split the rows of a node with very many links. Raises if
+    ``max_rounds`` don't suffice.
     """
     cur = stored(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                  .distinct(), "edges")
     state = None
     for _ in range(max_rounds):
         both = cur.union(cur.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, "large-star")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u <> v")
