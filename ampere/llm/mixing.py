@@ -6,9 +6,11 @@ replacement. A source's target is served by whole epochs (every row once
 more) and then by rows in key order until their sizes, summed from the
 start, reach what is left; the row at the edge gives the words still missing.
 
-The running sum is taken in two steps: keys fall into equal ranges, ranges
-are summed and accumulated, and rows are accumulated within their range. No
-task sees a whole source. Targets come from one row per source.
+The running sum is taken in two steps: rows are dealt by range of source and
+key to partitions of like size, which are written down with their number;
+partitions are summed and accumulated, and rows are accumulated within their
+partition. No task sees a whole source, however its keys are spread. Targets
+come from one row per source.
 
 Defined cases: null texts have size 0 and are never taken; a null source is
 a source of its own, ordered last; sources of size 0 have target 0; ties of
@@ -27,8 +29,8 @@ from ampere.llm.common import BROADCAST_IDS, stored, words_of
 
 #: Times that a source may be repeated at most.
 MAX_EPOCHS = 3
-#: Rows that one range of keys holds, on average, at most.
-ROWS_PER_RANGE = 20_000
+#: Rows (four numbers each) that one range of keys holds, on average, at most.
+ROWS_PER_RANGE = 200_000
 
 
 def quality_weight(text: Column) -> Column:
@@ -80,13 +82,16 @@ def mix_sources(docs: DataFrame, weight: Column | None = None, id_col: str = "do
     targets = stored(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, max_epochs),
                      "mix-targets").withColumnRenamed("source", "s")
     n = max(1, math.ceil(rows.count() / ROWS_PER_RANGE))
-    rows = rows.withColumn("rng", F.floor((1 - F.exp(-F.col("key"))) * n))
+    # ranges are found by sampling; rows alike in all else are told apart by a stored number, so they part as well
+    rows = stored(stored(rows.withColumn("nth", F.monotonically_increasing_id()), "mix-numbered")
+                  .repartitionByRange(n, "source", "key", "id", "size", "nth")
+                  .withColumn("rng", F.spark_partition_id()), "mix-ranges")
     ranges = rows.groupBy("source", "rng").agg(F.sum("size").alias("n"))
     start = ranges.select(
         F.col("source").alias("s2"), F.col("rng").alias("r2"),
         F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("rng")
                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
-    within = Window.partitionBy("source", "rng").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "rng").orderBy("key", "id", "size", "nth").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
     # one row per source and range, and one per source: sides that adaptive execution broadcasts if they are small
     rows = (rows.join(start, F.col("source").eqNullSafe(F.col("s2")) & (F.col("rng") == F.col("r2")))
