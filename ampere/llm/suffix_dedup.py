@@ -280,8 +280,9 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_places(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``texts(key, b)`` to merged spans (key, start, stop) of repeated bytes."""
     table = stored(anchor_table(texts.select("key", "b").filter(F.length("b") >= length), length, gram), "sa-anchors")
-    again = (table.groupBy("h").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("mixed"))
-             .filter("n > 1").select("h", "mixed"))
+    # stored, so that both sides of the join are plain shuffles and a hot anchor's rows can be split among tasks
+    again = stored(table.groupBy("h").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("mixed"))
+                   .filter("n > 1").select("h", "mixed"), "sa-again")
     rows = stored(table.join(again.hint("shuffle_hash"), "h"), "sa-repeated")
     contexts = stored(rows.groupBy("h", "c", "l", "r", "mixed").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "pos")).alias("one")), "sa-contexts")
