@@ -80,8 +80,11 @@ _EASTER_OFFSET_MAP_SQL = "map(" + ", ".join(f"{off}, '{nm}'" for off, nm in EAST
 def holiday_name_sql(day: str) -> str:
     """Public-holiday name of the DATE expression ``day`` (NULL if none), SQL
     text: two lookups in constant maps (fixed dates by month*100+day, Easter
-    offsets by days from that year's Easter Sunday). Years 1900-2199."""
-    easter = f"try_element_at({_EASTER_MAP_SQL}, year({day}))"
+    offsets by days from that year's Easter Sunday). Years outside 1900-2199
+    raise instead of losing their Easter holidays; null days give null."""
+    easter = (f"CASE WHEN year({day}) NOT BETWEEN {EASTER_YEARS[0]} AND {EASTER_YEARS[-1]} "
+              f"THEN CAST(raise_error('no Easter date for year ' || year({day})) AS DATE) "
+              f"ELSE try_element_at({_EASTER_MAP_SQL}, year({day})) END")
     return (f"coalesce(try_element_at({_FIXED_MAP_SQL}, month({day}) * 100 + dayofmonth({day})), "
             f"try_element_at({_EASTER_OFFSET_MAP_SQL}, datediff({day}, {easter})))")
 

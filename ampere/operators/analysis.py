@@ -75,8 +75,8 @@ def conditional_gap(df: DataFrame, keys: Sequence, value: str, cond_a: Column, c
 
 def describe(df: DataFrame, keys: Sequence, value: str,
              percentiles: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95), approx: bool = False,
-             accuracy: int = 10000) -> DataFrame:
-    """Count, mean, sample std, min, percentiles, max.
+             accuracy: int = 10000, extra: Sequence[Column] = ()) -> DataFrame:
+    """Count, mean, sample std, min, percentiles, max, and ``extra`` aggregates of the same pass.
 
     Exact percentiles (linear interpolation, as pandas) keep a value -> count
     map per group: memory grows with the *distinct* values of a group (bounded
@@ -86,7 +86,7 @@ def describe(df: DataFrame, keys: Sequence, value: str,
     p = (F.percentile_approx(F.col(value), list(percentiles), accuracy) if approx
          else F.percentile(F.col(value), list(percentiles)))
     aggs = [F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"), p.alias("_p"), F.max(value).alias("max")]
+            F.min(value).alias("min"), p.alias("_p"), F.max(value).alias("max"), *extra]
     out = df.groupBy(*keys).agg(*aggs)
     for i, q in enumerate(percentiles):
         out = out.withColumn(f"p{int(round(q * 100)):02d}", F.col("_p")[i])

@@ -82,3 +82,18 @@ def route_by_signal(long: DataFrame, routing, table: str) -> DataFrame:
         return long.join(r, long["signal"] == r["_sig"], "left_semi")
     sigs = sorted({s for s, t in routing if t == table})
     return long.where(F.col("signal").isin(*sigs))
+
+
+def routed(long: DataFrame, routing: list[tuple[str, str]], out: str = "table") -> DataFrame:
+    """A22 for all tables in one pass: each row once per table its signal routes to.
+
+    The catalogue's signals are an ``IN`` filter pushed into the scan; the tables
+    of a signal come from a constant map, so the rows are read once.
+    """
+    tables: dict[str, list[str]] = {}
+    for signal, table in routing:
+        tables.setdefault(signal, []).append(table)
+    lookup = F.create_map(*[c for s, ts in sorted(tables.items())
+                            for c in (F.lit(s), F.array(*map(F.lit, sorted(set(ts)))))])
+    return (long.where(F.col("signal").isin(*sorted(tables)))
+                .withColumn(out, F.explode(lookup[F.col("signal")])))

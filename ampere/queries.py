@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ampere import bindings as B
 from ampere.functions.output import tidy
-from ampere.operators.staging import route_by_signal
+from ampere.operators.staging import routed
 from ampere.plans import oracle as O
 from ampere.plans.contracts import build_contract, hourly_spec, quarter_hourly_spec
 from ampere.plans.products import Warehouse
@@ -157,14 +157,8 @@ UNION ALL SELECT timestamp, signal, value, resolution, 'neighbour_prices' FROM s
                                        ["value"]))
 def route_by_signal_q(spark, sf_dir):
     """Long rows routed to their tables by the signal catalogue."""
-    sig = B.raw_signals(spark, sf_dir)
-    route = CAT.table_of()
-    parts = [route_by_signal(sig, route, t).select("timestamp", "signal", "value", "resolution", F.lit(t).alias("table"))
-             for t in ("generation", "prices", "neighbour_prices")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return routed(B.raw_signals(spark, sf_dir), CAT.table_of()).select(
+        "timestamp", "signal", "value", "resolution", "table")
 
 
 @register("latest_version_per_key", O.rounded(
@@ -658,16 +652,27 @@ def renewable_share_weighted(spark, sf_dir):
                                        F.avg(rs(["signup_mw"])).alias("fossil_mean_mw"))
 
 
-@register("net_export_proxy", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()})
-SELECT CAST(timestamp AS DATE) AS day, avg(total_generation_mw) AS mean_generation_mw, avg(error_mw) AS mean_load_mw,
-       avg(total_generation_mw) - avg(error_mw) AS net_export_proxy_mw FROM g GROUP BY 1""",
-                                        ["mean_generation_mw", "mean_load_mw", "net_export_proxy_mw"], dates=["day"]))
+GEN_SOURCES = list(CAT.generation.values())
+
+
+@register("net_export_proxy", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()}),
+m AS (SELECT date_trunc('month', timestamp) AS mo, {' + '.join(f'coalesce(avg({c}), 0)' for c in GEN_SOURCES)} AS total
+      FROM g GROUP BY 1),
+a AS (SELECT year(mo) AS year, avg(total) AS mean_generation_mw FROM m GROUP BY 1),
+l AS (SELECT year(timestamp) AS year, avg(error_mw) AS mean_load_mw FROM g GROUP BY 1)
+SELECT a.year, mean_generation_mw, mean_load_mw, mean_generation_mw - mean_load_mw AS net_export_proxy_mw
+FROM a JOIN l ON a.year = l.year""", ["mean_generation_mw", "mean_load_mw", "net_export_proxy_mw"]))
 def net_export_proxy(spark, sf_dir):
-    """Mean generation minus mean load per day."""
+    """Per year the mean over months of the summed monthly means of all
+    sources, minus the mean load. Load sums and counts travel through the monthly
+    aggregate, so the rows are read once."""
     g = warehouse(spark, sf_dir).fct_generation_load
-    return g.groupBy(F.to_date("timestamp").alias("day")).agg(
-        F.avg("total_generation_mw").alias("mean_generation_mw"), F.avg("error_mw").alias("mean_load_mw"),
-        (F.avg("total_generation_mw") - F.avg("error_mw")).alias("net_export_proxy_mw"))
+    total = sum((F.coalesce(F.avg(c), F.lit(0.0)) for c in GEN_SOURCES[1:]), F.coalesce(F.avg(GEN_SOURCES[0]), F.lit(0.0)))
+    m = g.groupBy(F.date_trunc("MONTH", "timestamp").alias("mo")).agg(
+        total.alias("total"), F.sum("error_mw").alias("load"), F.count("error_mw").alias("n"))
+    y = m.groupBy(F.year("mo").alias("year")).agg(
+        F.avg("total").alias("mean_generation_mw"), F.try_divide(F.sum("load"), F.sum("n")).alias("mean_load_mw"))
+    return y.withColumn("net_export_proxy_mw", F.col("mean_generation_mw") - F.col("mean_load_mw"))
 
 
 MID_SQL = ("mid AS (SELECT min(timestamp) + (max(timestamp) - min(timestamp)) / 2 AS m FROM stg_gen)")
@@ -783,11 +788,9 @@ SELECT neighbour, count(spread) AS count, avg(spread) AS mean, stddev_samp(sprea
        {', '.join(f'quantile_cont(spread, {q}) AS p{int(q * 100):02d}' for q in PCTS)}, max(spread) AS max,
        avg(abs(spread)) AS mean_abs_spread FROM sp GROUP BY 1""", DESC_COLS + ["mean_abs_spread"]))
 def spread_stats(spark, sf_dir):
-    """D22 + D35: spread distribution per neighbour and mean absolute spread."""
-    s = _spreads_long(spark, sf_dir)
-    d = AN.describe(s, ["neighbour"], "spread", PCTS)
-    m = s.groupBy("neighbour").agg(F.avg(F.abs("spread")).alias("mean_abs_spread"))
-    return d.join(m, "neighbour")
+    """D22 + D35: spread distribution per neighbour and mean absolute spread, in one aggregate."""
+    return AN.describe(_spreads_long(spark, sf_dir), ["neighbour"], "spread", PCTS,
+                       extra=[F.avg(F.abs("spread")).alias("mean_abs_spread")])
 
 
 @register("feature_selection_summary", O.rounded(f"""{W_H}, {SPREAD_SQL}
@@ -1300,6 +1303,15 @@ def props_permissive_parse(spark, sf_dir):
     return good
 
 
+@register("props_quarantine", """SELECT event_id, props AS "_corrupt_record"
+FROM events WHERE props IS NOT NULL AND NOT json_valid(props)""")
+def props_quarantine(spark, sf_dir):
+    """A5: the rows of the same parse that are no JSON, with their text."""
+    _good, quarantine = PL.parse_permissive(B.table(spark, sf_dir, "events"), "props",
+                                            T.StructType([T.StructField("k", T.LongType())]), keep=["event_id"])
+    return quarantine
+
+
 VARS = list(CAT.weather_variables)
 
 

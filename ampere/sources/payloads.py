@@ -47,7 +47,7 @@ def select_chunks(index: DataFrame, start, end, key: Sequence[str] = (), chunk:
     c = F.col(chunk)
     frm = F.coalesce(F.max(F.when(c <= s, c)), F.min(c))
     if key:
-        j = index.join(F.broadcast(index.groupBy(*key).agg(frm.alias("_from"))), list(key))
+        j = index.join(index.groupBy(*key).agg(frm.alias("_from")), list(key))
     else:
         j = index.withColumn("_from", index.agg(frm).scalar())
     return j.where((c >= F.col("_from")) & (c <= e)).drop("_from")

@@ -32,6 +32,33 @@ def test_constant_groups_and_bins(spark):
     assert got == [(0.2, 1), (0.7, 0)]
 
 
+def test_years_without_an_easter_date_raise(spark):
+    import pytest
+    from ampere.functions.calendar import easter_date, holiday_name
+    last = easter_date(2199) + dt.timedelta(days=1)
+    df = spark.createDataFrame([(1, last), (2, dt.date(1900, 4, 16)), (3, None)], "i int, d date")
+    assert {r.i: r.h for r in df.select("i", holiday_name("d").alias("h")).collect()} == {1: "Ostermontag", 2: "Ostermontag", 3: None}
+    with pytest.raises(Exception, match="no Easter date for year 2200"):
+        spark.createDataFrame([(dt.date(2200, 4, 7),)], "d date").select(holiday_name("d")).collect()
+
+
+def test_one_pass_routing_equals_one_filter_per_table(spark):
+    from ampere.operators.staging import route_by_signal, routed
+    routing = [("a", "x"), ("b", "x"), ("b", "y"), ("c", "z")]
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2), ("c", 3), ("d", 4), (None, 5)], "signal string, v int")
+    want = sorted((r.signal, r.v, t) for t in "xyz" for r in route_by_signal(df, routing, t).collect())
+    assert sorted(map(tuple, routed(df, routing).collect())) == want
+
+
+def test_unparsable_rows_are_all_in_the_quarantine(spark, tmp_path):
+    from ampere.queries import QUERIES
+    rows = [(1, '{"k": 3}'), (2, "not json"), (3, None), (4, "{broken"), (5, '{"k": 7}')]
+    spark.createDataFrame(rows, "event_id long, props string").write.parquet(f"{tmp_path}/events.parquet")
+    good = {r.event_id for r in QUERIES["props_permissive_parse"](spark, str(tmp_path)).collect()}
+    bad = {r.event_id: r["_corrupt_record"] for r in QUERIES["props_quarantine"](spark, str(tmp_path)).collect()}
+    assert good == {1, 3, 5} and bad == {2: "not json", 4: "{broken"}
+
+
 def test_streams_read_a_folder_table(spark, tmp_path):
     from ampere.queries import QUERIES
     src = "/root/testdata/sf0.001"
