@@ -42,15 +42,16 @@ def prediction_windows(bounds: DataFrame, first: str = "first_start", holdout: s
                 .withColumn("window_id", F.col("window_id") + 1).drop("_end", "_ho"))
 
 
-def assign_window(df: DataFrame, windows: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Rows tagged with the window whose [start, end) holds their (UTC) date.
+def assign_window(df: DataFrame, windows: DataFrame, ts: str = "timestamp", day: Column | None = None) -> DataFrame:
+    """Rows tagged with the window whose [start, end) holds their day (default: the UTC date).
 
     Windows are expanded to one row per day (bounded by the calendar span) and
     joined on the day — an equi-join instead of a range join.
     """
     days = windows.select("window_id", "start", "end", "in_holdout",
                           F.explode(F.sequence("start", F.date_sub("end", 1))).alias("_day"))
-    return df.join(F.broadcast(days), F.to_date(F.col(ts)) == F.col("_day")).drop("_day")
+    day = F.to_date(F.col(ts)) if day is None else day
+    return df.join(F.broadcast(days), day == F.col("_day")).drop("_day")
 
 
 def global_row_index(df: DataFrame, order: str, partition: Sequence[str] = (),

@@ -1001,18 +1001,20 @@ HOLDOUT_DAYS = 7
 
 
 @register("temporal_split_counts", f"""{W_H},
-c AS (SELECT max(timestamp) - INTERVAL {HOLDOUT_DAYS} DAY AS cut FROM stg_prices)
-SELECT CASE WHEN timestamp >= cut THEN 'test' ELSE 'trainval' END AS role, count(*) AS n,
+c AS (SELECT max({LOCAL_SQL}) - INTERVAL {HOLDOUT_DAYS} DAY AS cut FROM stg_prices)
+SELECT CASE WHEN {LOCAL_SQL} >= cut THEN 'test' ELSE 'trainval' END AS role, count(*) AS n,
        min(timestamp) AS first_ts, max(timestamp) AS last_ts FROM stg_prices, c GROUP BY 1""")
 def temporal_split_counts(spark, sf_dir):
-    """Hold-out = last N days (cut = max(ts) - N days); rows per role."""
-    s = SP.temporal_split(prices(spark, sf_dir), holdout_days=HOLDOUT_DAYS)
+    """Hold-out = last N days of local time (cut = max - N days); rows per role."""
+    p = prices(spark, sf_dir).withColumn("local_timestamp", TM.to_local("timestamp"))
+    s = SP.temporal_split(p, "local_timestamp", holdout_days=HOLDOUT_DAYS)
     return s.groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first_ts"),
                                  F.max("timestamp").alias("last_ts"))
 
 
-WINDOWS_SQL = """b AS (SELECT CAST(min(timestamp) AS DATE) + 7 AS fs, CAST(max(timestamp) AS DATE) - 9 AS ho,
-                  CAST(max(timestamp) AS DATE) + 1 AS he FROM stg_prices),
+LOCAL_DAY_SQL = f"CAST({LOCAL_SQL} AS DATE)"
+WINDOWS_SQL = f"""b AS (SELECT min({LOCAL_DAY_SQL}) + 7 AS fs, max({LOCAL_DAY_SQL}) - 9 AS ho,
+                  max({LOCAL_DAY_SQL}) + 1 AS he FROM stg_prices),
 st AS (SELECT fs AS s FROM b
        UNION SELECT CAST(unnest(generate_series(fs + CAST(7 - (isodow(fs) - 1) AS INTEGER), ho - 1, INTERVAL 7 DAY)) AS DATE) FROM b
        UNION SELECT ho FROM b
@@ -1022,22 +1024,22 @@ win AS (SELECT row_number() OVER (ORDER BY s) AS window_id, s AS start,
 
 
 def _windows(spark, sf_dir):
-    p = prices(spark, sf_dir)
-    bounds = p.agg(F.date_add(F.to_date(F.min("timestamp")), 7).alias("first_start"),
-                   F.date_sub(F.to_date(F.max("timestamp")), 9).alias("holdout_start"),
-                   F.date_add(F.to_date(F.max("timestamp")), 1).alias("holdout_end"))
-    return SP.prediction_windows(bounds)
+    d = TM.delivery_date("timestamp")
+    bounds = prices(spark, sf_dir).agg(F.date_add(F.min(d), 7).alias("first_start"),
+                                       F.date_sub(F.max(d), 9).alias("holdout_start"),
+                                       F.date_add(F.max(d), 1).alias("holdout_end"))
+    return cut_lineage(SP.prediction_windows(bounds), "windows")   # one row per week, read several times
 
 
 @register("prediction_windows", O.rounded(f"""{W_H}, {WINDOWS_SQL}
 SELECT w.window_id, w.start, w."end", w.in_holdout, count(p.timestamp) AS n_rows
-FROM win w LEFT JOIN stg_prices p ON CAST(p.timestamp AS DATE) >= w.start AND CAST(p.timestamp AS DATE) < w."end"
+FROM win w LEFT JOIN stg_prices p ON {LOCAL_DAY_SQL} >= w.start AND {LOCAL_DAY_SQL} < w."end"
 GROUP BY 1, 2, 3, 4""", dates=["start", "end"]))
 def prediction_windows_q(spark, sf_dir):
     """Weekly expanding prediction windows (first start, Mondays, hold-out
     restart) with the number of rows each window predicts."""
     win = _windows(spark, sf_dir)
-    tagged = SP.assign_window(prices(spark, sf_dir), win)
+    tagged = SP.assign_window(prices(spark, sf_dir), win, day=TM.delivery_date("timestamp"))
     counts = tagged.groupBy("window_id").agg(F.count(F.lit(1)).alias("n_rows"))
     return win.join(counts, "window_id", "left").select("window_id", "start", "end", "in_holdout",
                                                         F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
@@ -1067,7 +1069,7 @@ pr AS (SELECT t.timestamp, t.value AS y,
               ({' + '.join(f'p{k}.value' for k in range(1, 8))}) / 7.0 AS pred, p1.value AS ref
        FROM stg_prices t
        {chr(10).join(f'LEFT JOIN stg_prices p{k} ON p{k}.timestamp = t.timestamp - INTERVAL {24 * k} HOUR' for k in range(1, 8))}),
-pw AS (SELECT w.window_id, pr.* FROM pr JOIN win w ON CAST(pr.timestamp AS DATE) >= w.start AND CAST(pr.timestamp AS DATE) < w."end"
+pw AS (SELECT w.window_id, pr.* FROM pr JOIN win w ON {LOCAL_DAY_SQL} >= w.start AND {LOCAL_DAY_SQL} < w."end"
        WHERE pr.y IS NOT NULL AND pr.pred IS NOT NULL AND pr.ref IS NOT NULL),
 fl AS (SELECT *, coalesce((pred - lag(pred) OVER w) * (y - lag(y) OVER w) > 0, false) AS dir_hit,
               coalesce((ref - lag(ref) OVER w) * (y - lag(y) OVER w) > 0, false) AS bdir_hit,
@@ -1081,7 +1083,7 @@ def _predictions(spark, sf_dir):
     j = LG.lag_fanout(p, {24 * k: {"y": f"_p{k}"} for k in range(1, 8)})
     pr = j.select("timestamp", "y", LG.same_hour_average([f"_p{k}" for k in range(1, 8)]).alias("pred"),
                   F.col("_p1").alias("ref")).na.drop(subset=["y", "pred", "ref"])
-    return SP.assign_window(pr, _windows(spark, sf_dir)).select("window_id", "timestamp", "y", "pred", "ref")
+    return SP.assign_window(pr, _windows(spark, sf_dir), day=TM.delivery_date("timestamp")).select("window_id", "timestamp", "y", "pred", "ref")
 
 
 @register("regression_metrics", O.rounded(f"""{W_H}, {PRED_SQL}
@@ -1358,30 +1360,72 @@ def hybrid_forecast_range(spark, sf_dir):
 # -- J3/J8 two-stage expanding-window backtest, J10 report ----------------------------------
 from ampere.plans import backtest as BT  # noqa: E402
 
-S1_FEATURES = ["price_lag_24h", "price_lag_48h", "price_lag_168h", "click_price_lag_24h", "view_price_lag_24h",
-               "hour_sin", "hour_cos", "workday"]
-S2_FEATURES = ["qoh_sin", "qoh_cos", "price_lag_96qh", "price_lag_192qh"]
+CYCLES = ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos"]
+FLAGS = ["is_weekend", "is_german_public_holiday", "is_workday"]
+# contract columns that the events binding has for whole days (the others are never complete there, so E7 would
+# leave nothing); gaps of the first list are filled
+S1_FILL = ["price_lag_24h", "price_lag_48h", "price_lag_168h", "price_rolling_avg_7d_same_hour", "click_price_lag_24h",
+           "view_price_lag_24h", "signup_price_lag_24h", "error_lag_48h", "purchase_lag_48h", "error_forecast_mw"]
+S2_FILL = ["price_lag_96qh", "price_lag_192qh", "purchase_lag_192qh"]
+S1_FEATURES = [*S1_FILL, "horizon", *FLAGS, *CYCLES]
+S2_FEATURES = [*S2_FILL, "quarter_of_hour", "horizon", *FLAGS, *CYCLES]
+
+
+def _model_frame(spark, sf_dir, resolution="hour"):
+    """The model's columns of a contract, short gaps filled, whole local days only (E3, E7, H10, H11), stored."""
+    hourly = resolution == "hour"
+    c = build_contract(warehouse(spark, sf_dir, resolution).fct_ml_features, HOURLY if hourly else QUARTER_HOURLY)
+    lt = F.col("local_timestamp")
+    hour = F.hour(lt) + (F.lit(0.0) if hourly else F.minute(lt) / 60.0)
+    for name, val, per, off in (("hour", hour, 24, 0), ("dow", F.weekday(lt), 7, 0), ("month", F.month(lt), 12, 1)):
+        sn, cs = TM.cyclic(val, per, off)
+        c = c.withColumn(f"{name}_sin", sn).withColumn(f"{name}_cos", cs)
+    fill, feats = (S1_FILL, S1_FEATURES) if hourly else (S2_FILL, S2_FEATURES)
+    # stored first: the fill and the day filter read their input several times
+    c = cut_lineage(c.select("timestamp", "delivery_date", "resolution", "price_eur_mwh",
+                             *[F.col(f).cast("double").alias(f) for f in feats]), f"bt-contract-{resolution}")
+    return cut_lineage(BT.model_frame(c, fill, ["price_eur_mwh", *feats], partition=["resolution"]), f"bt-{resolution}")
+
+
+def _model_sql(spec, name, fill) -> str:
+    """CTEs ``{name}``: the same frame in SQL (timestamp, day, y, the filled columns)."""
+    cols = ", ".join(f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in fill)
+    null = " OR ".join(f"{c} IS NULL" for c in ["y", *fill])
+    return f"""{name}_f AS (SELECT timestamp, CAST(delivery_date AS DATE) AS day, price_eur_mwh AS y, {cols}
+    FROM ({O.contract_sql(spec)}) WINDOW w AS (ORDER BY timestamp ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)),
+{name} AS (SELECT * FROM {name}_f WHERE day NOT IN (SELECT day FROM {name}_f WHERE {null}))"""
+
+
+HX_SQL = _model_sql(HOURLY, "hx", S1_FILL)
+STATUS_SQL = f"""{HX_SQL}, {_model_sql(QUARTER_HOURLY, "qx", S2_FILL)},
+wc AS (SELECT win.*, (SELECT count(*) FROM hx WHERE day >= start AND day < "end") AS n_hourly,
+              (SELECT count(*) FROM qx WHERE day >= start AND day < "end") AS n_quarter,
+              start <= greatest((SELECT min(day) FROM hx), (SELECT min(day) FROM qx)) AS early FROM win),
+ws AS (SELECT *, CASE WHEN early THEN 'before_data' WHEN n_hourly = 0 THEN 'no_hourly_rows'
+                      WHEN n_quarter = 0 THEN 'no_quarter_rows' END AS skip FROM wc),
+wst AS (SELECT window_id, start, "end", in_holdout, n_hourly, n_quarter,
+               coalesce(skip, CASE WHEN NOT in_holdout THEN 'warm_up'
+                                   WHEN coalesce(sum(CASE WHEN skip IS NULL THEN n_quarter END) OVER
+                                        (ORDER BY window_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0
+                                   THEN 'no_stage2_training' ELSE 'predicted' END) AS status FROM ws)"""
+
+
+def _frames(spark, sf_dir):
+    """(hourly frame, quarter-hour frame, windows with their status); the status table has one row per week."""
+    h, q = _model_frame(spark, sf_dir), _model_frame(spark, sf_dir, "quarterhour")
+    return h, q, cut_lineage(BT.window_status(_windows(spark, sf_dir), h, q), "bt-windows")
 
 
 def _backtest(spark, sf_dir):
-    h = build_contract(warehouse(spark, sf_dir).fct_ml_features, HOURLY)
-    s, c = TM.cyclic(F.hour("local_timestamp"), 24)
-    h = h.select("timestamp", "price_eur_mwh", "price_lag_24h", "price_lag_48h", "price_lag_168h",
-                 "click_price_lag_24h", "view_price_lag_24h", s.alias("hour_sin"), c.alias("hour_cos"),
-                 F.col("is_workday").cast("double").alias("workday"), F.lit("hour").alias("series"))
-    h = cut_lineage(WN.forward_fill_bucketed(h, S1_FEATURES[:5], partition=["series"], limit=3), "bt-hourly")  # E3, B18
-    q = build_contract(warehouse(spark, sf_dir, "quarterhour").fct_ml_features, QUARTER_HOURLY)
-    s, c = TM.cyclic(F.col("quarter_of_hour"), 4)
-    q = cut_lineage(q.select("timestamp", "price_eur_mwh", "price_lag_96qh", "price_lag_192qh", s.alias("qoh_sin"),
-                             c.alias("qoh_cos")), "bt-quarter")
-    win = _windows(spark, sf_dir)
-    s1, s2 = BT.two_stage(h, q, win, S1_FEATURES, S2_FEATURES)
-    inh = win.select("window_id", "in_holdout")
+    # windows without Stage-2 training rows are reported by backtest_windows instead of ending the query
+    h, q, status = _frames(spark, sf_dir)
+    s1, s2 = BT.two_stage(h, q, status.select("window_id", "start", "end"), S1_FEATURES, S2_FEATURES,
+                          day="delivery_date", status=status, strict=False)
     a = s1.select(F.lit("hour").alias("stage"), "window_id", "timestamp", F.col("price_eur_mwh").alias("y"), "pred",
                   F.col("price_lag_24h").alias("baseline"), "n_train")
     b = s2.select(F.lit("quarterhour").alias("stage"), "window_id", "timestamp", F.col("price_eur_mwh").alias("y"), "pred",
                   F.col("price_lag_96qh").alias("baseline"), "n_train")
-    return a.unionByName(b).join(F.broadcast(inh), "window_id")
+    return a.unionByName(b).join(F.broadcast(status.select("window_id", "in_holdout")), "window_id")
 
 
 @register("two_stage_backtest")
@@ -1391,11 +1435,75 @@ def two_stage_backtest(spark, sf_dir):
     return _backtest(spark, sf_dir)
 
 
+@register("backtest_windows", O.rounded(f"""WITH {O.staging_ctes('hour')}, {WINDOWS_SQL}, {STATUS_SQL}
+SELECT * FROM wst""", dates=["start", "end"]))
+def backtest_windows(spark, sf_dir):
+    """Every window, its complete rows of both frames, and whether (or why not) it is predicted."""
+    return _frames(spark, sf_dir)[2]
+
+
+@register("backtest_rows", O.rounded(f"""WITH {O.staging_ctes('hour')}, {WINDOWS_SQL}, {STATUS_SQL}
+SELECT 'hour' AS stage, w.window_id, x.timestamp, x.y, x.price_lag_24h AS baseline,
+       (SELECT count(*) FROM hx t WHERE t.day < w.start) AS n_train, w.in_holdout
+FROM hx x JOIN wst w ON x.day >= w.start AND x.day < w."end" WHERE w.status IN ('warm_up', 'predicted')""",
+                                     ["y", "baseline"]))
+def backtest_rows(spark, sf_dir):
+    """The hourly rows that the two-stage backtest predicts, with their training size and baseline."""
+    return _backtest(spark, sf_dir).where("stage = 'hour'").drop("pred")
+
+
+ONE_FEATURE_SQL = f"""{WINDOWS_SQL}, {HX_SQL},
+fit AS (SELECT w.window_id, w.start, w."end", w.in_holdout, count(*) AS n_train,
+               regr_slope(y, price_lag_24h) AS b, regr_intercept(y, price_lag_24h) AS a
+        FROM win w JOIN hx ON hx.day < w.start GROUP BY 1, 2, 3, 4),
+pw AS (SELECT f.window_id, f.in_holdout, x.timestamp, x.y, f.a + f.b * x.price_lag_24h AS pred,
+              x.price_lag_24h AS ref, f.n_train
+       FROM hx x JOIN fit f ON x.day >= f.start AND x.day < f."end"),
+fl AS (SELECT *, coalesce((pred - lag(pred) OVER w) * (y - lag(y) OVER w) > 0, false) AS dir_hit,
+              coalesce((ref - lag(ref) OVER w) * (y - lag(y) OVER w) > 0, false) AS bdir_hit,
+              (pred > ref) = (y > ref) AS dev_hit
+       FROM pw WINDOW w AS (PARTITION BY window_id ORDER BY timestamp))"""
+
+
+def _one_feature(spark, sf_dir):
+    win = _windows(spark, sf_dir)
+    out = BT.expanding_fit_predict(_model_frame(spark, sf_dir), win, ["price_lag_24h"], "price_eur_mwh", ridge=0.0,
+                                   day="delivery_date").where("n_train > 0")
+    return out.join(F.broadcast(win.select("window_id", "in_holdout")), "window_id").select(
+        "window_id", "in_holdout", "timestamp", F.col("price_eur_mwh").alias("y"), "pred",
+        F.col("price_lag_24h").alias("ref"), "n_train")
+
+
+@register("one_feature_backtest", O.rounded(f"""{W_H}, {ONE_FEATURE_SQL} SELECT * FROM pw""", ["y", "pred", "ref"]))
+def one_feature_backtest(spark, sf_dir):
+    """The expanding-window fit with one feature and no ridge, which SQL can check by linear regression."""
+    return _one_feature(spark, sf_dir)
+
+
+@register("one_feature_backtest_report", O.rounded(f"""{W_H}, {ONE_FEATURE_SQL}
+SELECT window_id, in_holdout, count(*) AS n, avg(abs(pred - y)) AS mae, sqrt(avg((pred - y) * (pred - y))) AS rmse,
+       1 - sum((pred - y) * (pred - y)) / nullif(var_pop(y) * count(y), 0) AS r2,
+       avg(CASE WHEN dir_hit THEN 1.0 ELSE 0.0 END) AS directional_accuracy,
+       avg(CASE WHEN dev_hit THEN 1.0 ELSE 0.0 END) AS deviation_directional_accuracy,
+       avg(abs(ref - y)) AS baseline_mae, sqrt(avg((ref - y) * (ref - y))) AS baseline_rmse,
+       1 - sum((ref - y) * (ref - y)) / nullif(var_pop(y) * count(y), 0) AS baseline_r2,
+       avg(CASE WHEN bdir_hit THEN 1.0 ELSE 0.0 END) AS baseline_directional_accuracy,
+       avg(abs(ref - y)) - avg(abs(pred - y)) AS mae_improvement,
+       100 * (avg(abs(ref - y)) - avg(abs(pred - y))) / nullif(avg(abs(ref - y)), 0) AS mae_improvement_pct
+FROM fl GROUP BY 1, 2""", ["mae", "rmse", "r2", "directional_accuracy", "deviation_directional_accuracy", "baseline_mae",
+                           "baseline_rmse", "baseline_r2", "baseline_directional_accuracy", "mae_improvement",
+                           "mae_improvement_pct"]))
+def one_feature_backtest_report(spark, sf_dir):
+    """Every metric of the report on the one-feature backtest, per window."""
+    return MT.report(_one_feature(spark, sf_dir), ["window_id", "in_holdout"], "timestamp", "y", "pred", ref="ref",
+                     with_baseline=True)
+
+
 @register("backtest_report")
 def backtest_report(spark, sf_dir):
-    """Per stage and window MAE/RMSE/R^2/directional accuracy of
-    the forecast and of the persistence baseline."""
-    p = _backtest(spark, sf_dir).na.drop(subset=["y", "pred", "baseline"])
+    """Per stage and hold-out window MAE/RMSE/R^2/directional accuracy of
+    the forecast and of the persistence baseline (skipped windows: backtest_windows)."""
+    p = _backtest(spark, sf_dir).where("in_holdout").na.drop(subset=["y", "pred", "baseline"])
     return MT.report(p, ["stage", "window_id", "in_holdout"], "timestamp", "y", "pred", ref="baseline",
                      with_baseline=True)
 
@@ -1538,12 +1646,7 @@ from ampere.plans import tuning as TU  # noqa: E402
 def random_search_cv(spark, sf_dir):
     """Seeded random search of the ridge strength over 3
     expanding CV folds (gap 24 rows), best trial refit and scored on the hold-out."""
-    h = build_contract(warehouse(spark, sf_dir).fct_ml_features, HOURLY)
-    s, c = TM.cyclic(F.hour("local_timestamp"), 24)
-    h = h.select("timestamp", "price_eur_mwh", "price_lag_24h", "price_lag_48h", "price_lag_168h",
-                 "click_price_lag_24h", "view_price_lag_24h", s.alias("hour_sin"), c.alias("hour_cos"),
-                 F.col("is_workday").cast("double").alias("workday"))
-    return TU.random_search_cv(cut_lineage(h, "tuning"), S1_FEATURES, "price_eur_mwh", n_trials=10, n_splits=3, gap=24)
+    return TU.random_search_cv(_model_frame(spark, sf_dir), S1_FEATURES, "price_eur_mwh", n_trials=10, n_splits=3, gap=24)
 
 
 # -- remaining inventory rows: C7 D7/I14 D39 E4/H23 B17 B19/B20 J17 J18 K8 ------------------------
@@ -1636,7 +1739,7 @@ def sampled_prices(spark, sf_dir):
 def backtest_report_nested(spark, sf_dir):
     """Model report as one nested row per stage: overall metrics, MAPE,
     baseline and the per-window list (to_json-able, written by A28)."""
-    p = _backtest(spark, sf_dir).na.drop(subset=["y", "pred", "baseline"])
+    p = cut_lineage(_backtest(spark, sf_dir).where("in_holdout").na.drop(subset=["y", "pred", "baseline"]), "bt-scored")
     per_w = MT.report(p, ["stage", "window_id", "in_holdout"], "timestamp", "y", "pred", ref="baseline",
                       with_baseline=True)
     overall = MT.report(p.where("in_holdout"), ["stage"], "timestamp", "y", "pred", ref="baseline", with_baseline=True)
@@ -1656,9 +1759,10 @@ def generation_backtest(spark, sf_dir):
     j = LG.lag_fanout(g, {24: {"wind_total_mw": "lag_24"}, 168: {"wind_total_mw": "lag_168"}})
     j = j.withColumn("lag_24", F.coalesce("lag_24", "lag_168"))   # E11 patch
     s, c = TM.cyclic(F.hour(TM.to_local("timestamp")), 24)
-    j = j.select("timestamp", "wind_total_mw", "lag_24", "lag_168", s.alias("hour_sin"), c.alias("hour_cos"))
+    j = j.select("timestamp", TM.delivery_date("timestamp").alias("delivery_date"), "wind_total_mw", "lag_24", "lag_168",
+                 s.alias("hour_sin"), c.alias("hour_cos"))
     out = BT.expanding_fit_predict(j, _windows(spark, sf_dir), ["lag_24", "lag_168", "hour_sin", "hour_cos"],
-                                   "wind_total_mw")
+                                   "wind_total_mw", day="delivery_date")
     return out.select("window_id", "timestamp", "wind_total_mw", "pred", "n_train")
 
 
@@ -1666,13 +1770,5 @@ def generation_backtest(spark, sf_dir):
 def random_search_cv_stage2(spark, sf_dir):
     """Stage-2 (quarter-hour deviation) random search with a per-fold
     Stage-1 refit; CV MAE of the reconstructed price per trial."""
-    h = build_contract(warehouse(spark, sf_dir).fct_ml_features, HOURLY)
-    s, c = TM.cyclic(F.hour("local_timestamp"), 24)
-    h = cut_lineage(h.select("timestamp", "price_eur_mwh", "price_lag_24h", "price_lag_48h", "price_lag_168h",
-                             "click_price_lag_24h", "view_price_lag_24h", s.alias("hour_sin"), c.alias("hour_cos"),
-                             F.col("is_workday").cast("double").alias("workday")), "tuning2-h")
-    q = build_contract(warehouse(spark, sf_dir, "quarterhour").fct_ml_features, QUARTER_HOURLY)
-    s, c = TM.cyclic(F.col("quarter_of_hour"), 4)
-    q = cut_lineage(q.select("timestamp", "price_eur_mwh", "price_lag_96qh", "price_lag_192qh", s.alias("qoh_sin"),
-                             c.alias("qoh_cos")), "tuning2-q")
+    h, q = _model_frame(spark, sf_dir), _model_frame(spark, sf_dir, "quarterhour")
     return TU.random_search_cv_stage2(h, q, S1_FEATURES, S2_FEATURES, n_trials=10, n_splits=2, gap=4)

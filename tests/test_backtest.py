@@ -72,3 +72,26 @@ def test_two_stage_acceptance_on_seasonal_series(spark):
     q_mae = np.mean([abs(r["pred"] - r["price_eur_mwh"]) for r in rows if r["pred"] is not None])
     q_s1 = np.mean([abs(r["stage1_pred"] - r["price_eur_mwh"]) for r in rows if r["pred"] is not None])
     assert q_mae < q_s1   # Stage 2 improves on broadcasting the hourly forecast
+
+
+def test_window_status_and_rows_without_target(spark):
+    """Every window has a state; a row without a target is predicted, one without a feature stays with a null."""
+    d = dt.date(2024, 1, 1)
+    win = spark.createDataFrame([(1, d, d + dt.timedelta(7), False), (2, d + dt.timedelta(7), d + dt.timedelta(14), False),
+                                 (3, d + dt.timedelta(14), d + dt.timedelta(21), True),
+                                 (4, d + dt.timedelta(21), d + dt.timedelta(28), True)],
+                                "window_id int, start date, end date, in_holdout boolean")
+    days = [(dt.datetime(2024, 1, 1) + dt.timedelta(days=i), d + dt.timedelta(i), float(i), 2.0 * i) for i in range(28)]
+    days[20] = (*days[20][:3], None)
+    days[21] = (*days[21][:2], None, 42.0)
+    h = spark.createDataFrame(days, "timestamp timestamp, delivery_date date, x double, y double")
+    q = h.where("delivery_date not between '2024-01-08' and '2024-01-14'")
+    status = BT.window_status(win, h, q)
+    assert {r["window_id"]: r["status"] for r in status.collect()} == {
+        1: "before_data", 2: "no_quarter_rows", 3: "no_stage2_training", 4: "predicted"}
+    with pytest.raises(ValueError, match="2024-01-15"):
+        BT.two_stage(h, q, win, ["x"], ["x"], y="y", day="delivery_date", status=status)
+    out = {r["delivery_date"]: r for r in BT.expanding_fit_predict(h, win, ["x"], "y", ridge=0.0,
+                                                                   day="delivery_date").collect()}
+    assert len(out) == 28 and out[days[20][1]]["pred"] == pytest.approx(40.0)
+    assert out[days[21][1]]["pred"] is None and out[days[22][1]]["n_train"] == 20
