@@ -4,12 +4,14 @@ The pages of a host are merged into a style tree: an element is known by the
 tags and classes on the way to it. For each element of the tree two entropies
 over the host's pages are taken from counted rows: that of its presentation
 (the sequences of child elements it shows), and that of its content (a text
-found on all pages says nothing, one found on a single page all). Branches
-whose combined importance is low are templates and are removed from every
-page, unless they are inside the page's article. Parts that are boilerplate
-by their element, role or class name (menus, footers, adverts, comments and
-so on) are removed in any case. If a page marks its article, only that is
-taken.
+found on all pages says nothing, one found on a single page all). A
+branch is a template if its combined importance is low and no element with
+text in it is important or too rare to judge; templates are removed from
+every page, inside articles and outside. Parts that are boilerplate by their
+element, role or class name (menus, footers, adverts, comments and so on) are
+removed in any case. A marked article is one more sign: of what stays, only
+the article is taken, unless most of the text stands outside of it (as with
+teasers). A page that consists of templates alone is left to names and marks.
 
 Hosts of fewer than ``MIN_PAGES`` pages have no entropy to speak of and go by
 names alone.
@@ -216,7 +218,11 @@ def host_of(url: Column) -> Column:
 
 
 def style_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """Distinct (host, path, kind, digest) of every page: what the tree merges."""
+    """Distinct (host, path, kind, digest) of every page: what the tree merges.
+
+    Kind 0 is a style, 1 a text in the branch, 2 says that the element has
+    text of its own.
+    """
 
     @F.pandas_udf("array<struct<path:string, kind:int, digest:bigint>>")
     def nodes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -225,10 +231,11 @@ def style_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
             for s in sources:
                 page = Page(s or "")
                 found = {(p, 0, _digest(" ".join(c))) for p, c in page.children.items() if p}
-                for path, text, inside in page.blocks:
+                for path, text, _ in page.blocks:
                     d = _digest(text)
                     parts = path.split("/")
-                    found.update(("/".join(parts[:k]), 1, d) for k in range(2, len(parts) + 1) if not inside)
+                    found.update(("/".join(parts[:k]), 1, d) for k in range(2, len(parts) + 1))
+                    found.add((path, 2, 0))
                 out.append([{"path": p, "kind": k, "digest": d} for p, k, d in found])
             yield pd.Series(out)
 
@@ -242,28 +249,51 @@ def low_branches(nodes: DataFrame, pages: DataFrame) -> DataFrame:
     With m pages of the host and c pages showing one style or text: the
     presentation's importance is the entropy of the styles to base m; a
     text's is ``1 - log_m c``, averaged over the texts shown in the branch.
+    A branch stays if an element with text in it is important, or has too few
+    texts to tell.
     """
     counts = nodes.groupBy("host", "path", "kind", "digest").agg(F.count("*").alias("c"))
     by_path = counts.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("shown"),
         F.sum(F.when(F.col("kind") == 0, F.col("c") * F.log("c"))).alias("style_sum"),
         F.sum(F.when(F.col("kind") == 1, F.col("c"))).alias("texts"),
-        F.sum(F.when(F.col("kind") == 1, F.col("c") * F.log("c"))).alias("text_sum"))
+        F.sum(F.when(F.col("kind") == 1, F.col("c") * F.log("c"))).alias("text_sum"),
+        F.max(F.col("kind") == 2).alias("own"))
     m = pages.groupBy("host").agg(F.count("*").alias("m")).filter(F.col("m") >= MIN_PAGES)
-    p = by_path.join(m, "host").withColumn("base", F.log("m"))
+    p = by_path.filter("texts > 0").join(m, "host").withColumn("base", F.log("m"))
     style = F.coalesce((F.log("shown") - F.col("style_sum") / F.col("shown")) / F.col("base"), F.lit(0.0))
     content = 1 - F.col("text_sum") / F.col("texts") / F.col("base")
-    return (p.filter(F.col("texts") >= MIN_PAGES)
-            .withColumn("importance", (1 - CONTENT_WEIGHT) * style + CONTENT_WEIGHT * content)
-            .filter(F.col("importance") < LEAST).select("host", "path"))
+    importance = (1 - CONTENT_WEIGHT) * style + CONTENT_WEIGHT * content
+    # stored: read for the low branches and for those that must stay
+    p = stored(p.select("host", "path", "own", ((F.col("texts") >= MIN_PAGES) & (importance < LEAST)).alias("is_low")),
+               "style-branches")
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
+    stay = p.filter("own and not is_low").select("host", F.explode(above).alias("path")).distinct()
+    return p.filter("is_low").select("host", "path").join(stay, ["host", "path"], "left_anti")
+
+
+def _in_branch(path: str, low: set[str]) -> bool:
+    at = path.find("/", 1)
+    while at > 0:
+        if path[:at] in low:
+            return True
+        at = path.find("/", at + 1)
+    return path in low
 
 
 def main_text(source: str | None, low: set[str]) -> str:
     """The blocks that stay, in page order."""
     page = Page(source or "")
+    blocks = page.blocks
+    if low:
+        where = {path: _in_branch(path, low) for path in {b[0] for b in blocks}}
+        blocks = [b for b in blocks if not where[b[0]]] or blocks
     if page.marks_article:
-        return "\n\n".join(t for _, t, inside in page.blocks if inside)
-    return "\n\n".join(t for path, t, _ in page.blocks if not any(path == b or path.startswith(b + "/") for b in low))
+        inside = sum(len(t) for _, t, i in blocks if i)
+        if 2 * inside >= sum(len(t) for _, t, _ in blocks):
+            blocks = [b for b in blocks if b[2]]
+    return "\n\n".join(t for _, t, _ in blocks)
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

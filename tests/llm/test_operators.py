@@ -252,6 +252,23 @@ def test_html_whole_table(spark):
         assert r.n_chars == len(r.text)
 
 
+def test_style_tree_and_article_marks(spark):
+    from ampere.llm.html_extract import extract_main_text
+    teasers = ("<html><body><div class=x1><p>Story {0} is told here at some length, first part</p><p>and story {0} goes on</p>"
+               "</div><article><p>Teaser {0}</p></article><article><p>More {0}</p></article></body></html>")
+    inside = ("<html><body><p>Outside</p><article><div class=x2><p>Read us on paper as well</p></div><h1>Title {0}</h1>"
+              "<p>Story {0} first</p><p>Story {0} second</p></article></body></html>")
+    long = ("<html><body><div class=x3>" + "".join(f"<p>Template line {k}</p>" for k in range(30))
+            + "</div><div class=x4><p>Story {0}</p></div></body></html>")
+    data = [(k, f"http://{h}.example/", page.format(k)) for h, page, first in (
+        ("teasers", teasers, 0), ("inside", inside, 100), ("long", long, 200)) for k in range(first, first + 20)]
+    got = {r.page_id: r.text for r in extract_main_text(
+        spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert got[3].startswith("Story 3 is told here at some length, first part\n\nand story 3 goes on")
+    assert got[103] == "Title 103\n\nStory 103 first\n\nStory 103 second"
+    assert got[203] == "Story 203"
+
+
 # --- 6 packing ------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["docs", "odd"])
