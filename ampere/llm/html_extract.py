@@ -2,7 +2,7 @@
 
 The pages of a host are merged into a style tree: an element is known by the
 tags and classes on the way to it. For each element of the tree two entropies
-over the host's pages are taken from counted rows: that of its presentation
+over the host's distinct pages are taken from counted rows: that of its presentation
 (the sequences of child elements it shows), and that of its content (a text
 found on all pages says nothing, one found on a single page all). A
 branch is a template if its combined importance is low and no element with
@@ -13,13 +13,13 @@ removed in any case. A marked article is one more sign: of what stays, only
 the article is taken, unless most of the text stands outside of it (as with
 teasers). A page that consists of templates alone is left to names and marks.
 
-Hosts of fewer than ``MIN_PAGES`` pages have no entropy to speak of and go by
-names alone.
+Hosts of fewer than ``MIN_PAGES`` distinct pages have no entropy to speak of
+and go by names and marks alone. Copies of a page count once in the tree.
 
 Defined cases: null html gives an empty text; unclosed tags, comments and
 quotes end where a browser would end them or at the end of the page; a null
-or malformed url belongs to the host ''; repeated rows are pages of their
-own; long pages are read whole.
+or malformed url belongs to the host ''; repeated rows give a row each; long
+pages are read whole.
 """
 
 from __future__ import annotations
@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from ampere.llm.common import stored
 
-#: Pages that a branch must stand on before it can be removed.
+#: Distinct pages that a host must have, and texts that a branch must show on
+#: them, before the branch can be removed.
 MIN_PAGES = 8
 #: Weight of a branch's content against its presentation, and the least
 #: importance that stays.
@@ -218,49 +219,62 @@ def host_of(url: Column) -> Column:
 
 
 def style_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """Distinct (host, path, kind, digest) of every page: what the tree merges.
+    """Distinct (host, path, kind, digest) of every distinct page: what the tree merges.
 
     Kind 0 is a style, 1 a text in the branch, 2 says that the element has
-    text of its own.
+    text of its own; path '' stands for the page. Copies are reduced to one
+    by their styles, paths and text digests, before branches are spelled out.
     """
 
-    @F.pandas_udf("array<struct<path:string, kind:int, digest:bigint>>")
-    def nodes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("string")
+    def tree(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for sources in batches:
             out = []
             for s in sources:
                 page = Page(s or "")
-                found = {(p, 0, _digest(" ".join(c))) for p, c in page.children.items() if p}
-                for path, text, _ in page.blocks:
-                    d = _digest(text)
+                # neither paths nor digests hold white space
+                lines = [f"0 {_digest(' '.join(c))} {p}" for p, c in sorted(page.children.items()) if p]
+                out.append("\n".join(lines + [f"1 {_digest(text)} {path}" for path, text, _ in page.blocks]))
+            yield pd.Series(out, dtype="str")
+
+    @F.pandas_udf("array<struct<path:string, kind:int, digest:bigint>>")
+    def nodes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for trees in batches:
+            out = []
+            for t in trees:
+                found = {("", 2, 0)}
+                for kind, d, path in (x.split(" ") for x in t.split("\n") if x):
+                    if kind == "0":
+                        found.add((path, 0, int(d)))
+                        continue
                     parts = path.split("/")
-                    found.update(("/".join(parts[:k]), 1, d) for k in range(2, len(parts) + 1))
+                    found.update(("/".join(parts[:k]), 1, int(d)) for k in range(2, len(parts) + 1))
                     found.add((path, 2, 0))
                 out.append([{"path": p, "kind": k, "digest": d} for p, k, d in found])
             yield pd.Series(out)
 
-    return (pages.select(host_of(F.col(url_col)).alias("host"), F.explode(nodes(F.col(html_col))).alias("x"))
-            .select("host", "x.*"))
+    distinct = pages.select(host_of(F.col(url_col)).alias("host"), tree(F.col(html_col)).alias("tree")).distinct()
+    return distinct.select("host", F.explode(nodes("tree")).alias("x")).select("host", "x.*")
 
 
-def low_branches(nodes: DataFrame, pages: DataFrame) -> DataFrame:
+def low_branches(nodes: DataFrame) -> DataFrame:
     """(host, path) of the branches to remove, from counted rows.
 
-    With m pages of the host and c pages showing one style or text: the
+    With m distinct pages of the host and c of them showing one style or text: the
     presentation's importance is the entropy of the styles to base m; a
     text's is ``1 - log_m c``, averaged over the texts shown in the branch.
     A branch stays if an element with text in it is important, or has too few
     texts to tell.
     """
     counts = nodes.groupBy("host", "path", "kind", "digest").agg(F.count("*").alias("c"))
-    by_path = counts.groupBy("host", "path").agg(
+    by_path = stored(counts.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("shown"),
         F.sum(F.when(F.col("kind") == 0, F.col("c") * F.log("c"))).alias("style_sum"),
         F.sum(F.when(F.col("kind") == 1, F.col("c"))).alias("texts"),
         F.sum(F.when(F.col("kind") == 1, F.col("c") * F.log("c"))).alias("text_sum"),
-        F.max(F.col("kind") == 2).alias("own"))
-    m = pages.groupBy("host").agg(F.count("*").alias("m")).filter(F.col("m") >= MIN_PAGES)
-    p = by_path.filter("texts > 0").join(m, "host").withColumn("base", F.log("m"))
+        F.max(F.when(F.col("kind") == 2, F.col("c"))).alias("own")), "style-paths")
+    m = by_path.filter("path = ''").select("host", F.col("own").alias("m")).filter(F.col("m") >= MIN_PAGES)
+    p = by_path.filter("texts > 0 and path <> ''").join(m, "host").withColumn("base", F.log("m"))
     style = F.coalesce((F.log("shown") - F.col("style_sum") / F.col("shown")) / F.col("base"), F.lit(0.0))
     content = 1 - F.col("text_sum") / F.col("texts") / F.col("base")
     importance = (1 - CONTENT_WEIGHT) * style + CONTENT_WEIGHT * content
@@ -269,7 +283,7 @@ def low_branches(nodes: DataFrame, pages: DataFrame) -> DataFrame:
                "style-branches")
     parts = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
-    stay = p.filter("own and not is_low").select("host", F.explode(above).alias("path")).distinct()
+    stay = p.filter("own > 0 and not is_low").select("host", F.explode(above).alias("path")).distinct()
     return p.filter("is_low").select("host", "path").join(stay, ["host", "path"], "left_anti")
 
 
@@ -300,7 +314,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """id, url, text and n_chars of every page."""
     pages = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                          host_of(F.col(url_col)).alias("host"))
-    low = stored(low_branches(style_nodes(pages, "url", "html"), pages.select("host")), "style-tree")
+    low = stored(low_branches(style_nodes(pages, "url", "html")), "style-tree")
     few = low.limit(BROADCAST_BRANCHES + 1).count() <= BROADCAST_BRANCHES
     low = low.groupBy(F.col("host").alias("h")).agg(F.collect_list("path").alias("low"))
     rows = pages.join(F.broadcast(low) if few else low, F.col("host") == F.col("h"), "left")

@@ -269,6 +269,21 @@ def test_style_tree_and_article_marks(spark):
     assert got[203] == "Story 203"
 
 
+def test_style_tree_counts_copies_once(spark):
+    from ampere.llm.html_extract import extract_main_text
+    page = ("<html><body><div class=x1><p>Welcome to the site</p></div><div class=content><p>Story {0} first</p>"
+            "<p>Story {0} second</p></div></body></html>")
+    data = [(k, "http://copies.example/", page.format("one")) for k in range(20)]
+    data += [(k, "http://mostly.example/", page.format("one" if k < 170 else k)) for k in range(100, 200)]
+    data += [(k, "http://few.example/", page.format(k % 7)) for k in range(300, 340)]  # under 8 distinct pages
+    got = {r.page_id: r.text for r in extract_main_text(
+        spark.createDataFrame(data, "page_id long, url string, html string").repartition(5)).collect()}
+    assert len(got) == len(data)
+    assert got[3] == "Welcome to the site\n\nStory one first\n\nStory one second"
+    assert got[105] == "Story one first\n\nStory one second" and got[185] == "Story 185 first\n\nStory 185 second"
+    assert got[301] == "Welcome to the site\n\nStory 6 first\n\nStory 6 second".replace("6", str(301 % 7))
+
+
 # --- 6 packing ------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["docs", "odd"])
