@@ -67,8 +67,8 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_epo
 
 def mix_sources(docs: DataFrame, weight: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS,
-                seed: int = 17) -> DataFrame:
-    """id, source, size, source_size, target, taken and copies.
+                seed: int = 17, row_col: str | None = None) -> DataFrame:
+    """id, source, size, source_size, target, taken and copies (and ``row_col``, if one is given).
 
     ``taken`` counts the words that the mix takes of the row; ``copies`` is
     the number of whole copies for a mix of whole rows, where the edge row is
@@ -77,7 +77,8 @@ def mix_sources(docs: DataFrame, weight: Column | None = None, id_col: str = "do
     t = F.col(text_col)
     w = F.greatest(weight if weight is not None else quality_weight(t), F.lit(1e-6))
     u = (F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
-    rows = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+    row = [F.col(row_col).alias("row")] if row_col else []
+    rows = stored(docs.select(*row, F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                               F.size(words_of(t)).cast("long").alias("size"), (-F.log(u) / w).alias("key")), "mix-rows")
     targets = stored(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, max_epochs),
                      "mix-targets").withColumnRenamed("source", "s")
@@ -105,18 +106,22 @@ def mix_sources(docs: DataFrame, weight: Column | None = None, id_col: str = "do
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
         (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"),
         F.when(F.col("size") > 0, F.col("epochs") + F.when(2 * part >= F.col("size"), 1).otherwise(0)).otherwise(0)
-        .cast("int").alias("copies"))
+        .cast("int").alias("copies"), *[F.col("row").alias(row_col) for _ in row])
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", weight: Column | None = None, **kw) -> DataFrame:
     """The whole rows of the mix: every row as often as it has copies.
 
+    Rows are written down with a number of their own, by which their copies
+    come back, so rows of null or repeated ids keep their own decisions.
     Texts are not shuffled unless the decisions are too many to broadcast.
     """
-    kw = {"id_col": id_col, **kw}
-    found = stored(mix_sources(docs, **kw).groupBy(F.col(id_col).alias("__id")).agg(
-        F.max("copies").alias("__copies")).filter("__copies > 0 and __id is not null"), "mix-copies")
+    extra = {} if weight is None else {"__weight": weight}
+    rows = stored(docs.withColumns({"__row": F.monotonically_increasing_id(), **extra}), "mix-documents")
+    mix = mix_sources(rows, F.col("__weight") if extra else None, id_col=id_col, row_col="__row", **kw)
+    found = stored(mix.filter("copies > 0").select(F.col("__row").alias("__of"), F.col("copies").alias("__copies")),
+                   "mix-copies")
     side = F.broadcast(found) if found.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else found
-    return (docs.join(side, docs[id_col] == found["__id"])
+    return (rows.join(side, F.col("__row") == F.col("__of"))
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .select(*[docs[c] for c in docs.columns]))
+            .select(*[rows[c] for c in docs.columns]))

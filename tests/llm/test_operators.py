@@ -516,6 +516,22 @@ def test_mixing_prefers_quality_and_whole_epochs(spark, nothing):
     assert mix_sources(nothing).count() == 0 and mixed_documents(nothing).count() == 0
 
 
+def test_mixed_documents_by_row(spark):
+    from ampere.llm.mixing import mix_sources, mixed_documents
+    data = [(None if i % 3 == 0 else i // 10, f"t{i} " * (i % 4), "big" if i < 60 else "small") for i in range(100)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+    out = mixed_documents(df)
+    assert out.columns == df.columns
+    got = Counter((r.source, r.doc_id is None, len(words(r.text))) for r in out.collect())
+    want = Counter()
+    for r in mix_sources(df).collect():
+        if r.copies:
+            want[(r.source, r.doc_id is None, r["size"])] += r.copies
+    assert got == want and any(k[1] for k in got) and all(k[2] for k in got)
+    weighted = mixed_documents(df, weight=F.length(df["text"]) + 1.0).collect()
+    assert weighted and {r.text for r in weighted} <= {t for _, t, _ in data}
+
+
 # --- 10 suffix dedup ------------------------------------------------------
 
 def repeats_brute(texts, length):
@@ -621,3 +637,14 @@ def test_pipeline_takes_odd_rows(spark, odd, nothing):
         for _, f in P.STAGES:
             cur = f(spark, cur, SMALL)
             cur.count()
+
+
+def test_pipeline_keeps_rows_of_null_ids(spark, odd):
+    import corpus_pipeline as P
+    stages = dict(P.STAGES)
+    before = P.near_dedup(spark, P.exact_dedup(spark, odd, SMALL), SMALL).cache()
+    out = stages["mixing"](spark, before, SMALL).collect()
+    sized = {(r.doc_id, r.text) for r in before.collect() if words(r.text)}
+    assert {(r.doc_id, r.text) for r in out} <= sized
+    assert (None, "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau. ") in sized
+    assert any(r.doc_id is None for r in out)
