@@ -119,6 +119,12 @@ def near_dup_components(docs: DataFrame, n_words: int = 3, max_bits: int = 2, id
     ``component_id`` is the smallest id reachable over links. Rows with a null
     id carry the component of their fingerprint and name none.
     """
+    return _labelled(docs, n_words, max_bits, id_col, text_col).select(
+        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _labelled(docs: DataFrame, n_words: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, fp, root, component_id): repeated ids may give components of different root the same component_id."""
     rows = stored(docs.select(F.col(id_col).alias("id"), simhash(F.col(text_col), n_words).alias("fp")), "simhash")
     fps = stored(rows.groupBy("fp").agg(F.min("id").alias("id"), F.count("*").alias("n")), "simhash-distinct")
     pairs = stored(near_pairs(fps.select("fp"), max_bits), "simhash-pairs")
@@ -129,18 +135,31 @@ def near_dup_components(docs: DataFrame, n_words: int = 3, max_bits: int = 2, id
         label = fps.select("fp", "id").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
             "root", F.coalesce("root", "fp"))
     least = label.groupBy("root").agg(F.min("id").alias("component_id"))
-    label = label.join(least, "root").select("fp", "component_id")
-    return rows.join(label, "fp").select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    label = label.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(label, "fp")
 
 
 def drop_near_copies(docs: DataFrame, n_words: int = 3, max_bits: int = 2, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``docs`` with the row of the smallest id of each component; all columns stay.
 
-    Rows with a null id stay. Repeated rows of a kept id all stay: exact
-    dedup before this step removes them.
+    Rows with a null id stay. Rows are dropped by id; where an id is
+    repeated, its rows are told apart by their fingerprint as well, and one
+    of those in a component stays. Only those few rows are shuffled with
+    their texts.
     """
-    found = near_dup_components(docs, n_words, max_bits, id_col, text_col)
-    drop = stored(found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "simhash-drop")
-    return without_ids(docs, drop, id_col)
+    found = stored(_labelled(docs, n_words, max_bits, id_col, text_col).select("id", "fp", "root", "component_id"),
+                   "simhash-decisions").filter("id is not null")
+    repeated = stored(found.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id"), "simhash-repeated")
+    drop = stored(found.filter("id <> component_id").select("id").unionByName(repeated).distinct(), "simhash-drop")
+    out = without_ids(docs, drop, id_col)
+    if not repeated.isEmpty():
+        keep = (found.filter("id = component_id").join(repeated, "id", "left_semi")
+                .groupBy("id", "root").agg(F.min("fp").alias("fp"))
+                .select(F.col("id").alias("__id"), F.col("fp").alias("__keep")))
+        ids = repeated.select(F.col("id").alias("__id"))
+        rows = (docs.join(ids, F.col(id_col) == F.col("__id"), "left_semi")
+                .withColumn("__fp", simhash(F.col(text_col), n_words)).dropDuplicates([id_col, "__fp"]))
+        out = out.unionByName(rows.join(keep, (rows[id_col] == keep["__id"]) & (rows["__fp"] == keep["__keep"]),
+                                        "left_semi").drop("__fp"))
+    return out

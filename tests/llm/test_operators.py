@@ -405,6 +405,17 @@ def test_components_of_a_long_chain(spark):
     assert all(got.get(i, i) == 0 for i in range(n + 1)) and got[1001] == 1000
 
 
+def test_drop_near_copies_of_repeated_ids(spark):
+    from ampere.llm.simhash import drop_near_copies
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    data = [(1, a), (5, a + " "), (5, b), (7, b), (8, c), (8, c.upper()), (8, d), (9, d), (None, a)]
+    df = spark.createDataFrame(data, "doc_id long, text string").withColumn("fp", F.lit("clash"))
+    out = drop_near_copies(df)
+    assert out.columns == df.columns
+    got = Counter((r.doc_id, r.text.lower()) for r in out.collect())
+    assert got == Counter([(1, a), (5, b), (8, c), (8, d), (None, a)])
+
+
 # --- 8 quality rules ------------------------------------------------------
 
 def measures_brute(text):
