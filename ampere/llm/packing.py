@@ -126,7 +126,7 @@ PROBES = ("It's 3 o'clock,  we'll see!\n\n\tEnd ", "\u00e9\u00df\u4e2d\U0001f600
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """A whole-text encoder with the ids of the tokenizers file at ``path``.
+    """A whole-text encoder with the ids of the tokenizers file at ``path``, its added tokens as special tokens.
 
     The file's vocabulary is handed to a byte-pair encoder that takes whole
     texts several times faster than ``tokenizers``, which stays the measure:
@@ -137,23 +137,32 @@ def encoder(path: str):
 
     with open(path, encoding="utf-8") as f:
         file = json.load(f)
-    special = {t["content"] for t in file["added_tokens"]}
+    special = {t["content"]: t["id"] for t in file["added_tokens"]}
+    if any(t.get(k) for t in file["added_tokens"] for k in ("lstrip", "rstrip", "single_word")):
+        raise ValueError(f"{path} has added tokens that depend on the text around them")
     # byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
     ranks = {bytes(byte_of[c] for c in t): i for t, i in file["model"]["vocab"].items() if t not in special}
-    enc = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    for t in PROBES:
-        if enc.encode_ordinary(t) != tok.encode(t, add_special_tokens=False).ids:
+    enc = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    tok, ordinary = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    ordinary.encode_special_tokens = True  # the strings of special tokens are ordinary text
+    for t in (*PROBES, *(f"a {s} b{s}" for s in special)):
+        if (enc.encode(t, allowed_special="all") != tok.encode(t, add_special_tokens=False).ids
+                or enc.encode_ordinary(t) != ordinary.encode(t, add_special_tokens=False).ids):
             raise ValueError(f"{path} is no byte-level vocabulary of the expected kind")
     return enc
 
 
-def encode(path: str, end_id: int, text: str | None) -> bytes:
-    """The ids of a whole text and the closing id, as little-endian 32-bit numbers."""
-    return np.array([*encoder(path).encode_ordinary(text or ""), end_id], dtype="<u4").tobytes()
+def encode(path: str, end_id: int, text: str | None, special: bool = False) -> bytes:
+    """The ids of a whole text and the closing id, as little-endian 32-bit numbers.
+
+    With ``special`` the strings of added tokens in the text become their
+    ids, as ``tokenizers`` does by default; else they are ordinary text.
+    """
+    enc = encoder(path)
+    ids = enc.encode(text or "", allowed_special="all") if special else enc.encode_ordinary(text or "")
+    return np.array([*ids, end_id], dtype="<u4").tobytes()
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0, id_col: str = "doc_id",
@@ -165,7 +174,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int =
         for batch in batches:
             texts, which = batch.column("text").to_pylist(), batch.column("id")
             row, piece, start, length, crc = [], [], [], [], []
-            for r, b in enumerate(encode(tokenizer_path, end_id, t) for t in texts):
+            for r, b in enumerate(encode(tokenizer_path, end_id, t, special=True) for t in texts):
                 n = len(b) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for p, (a, z) in enumerate(zip(cuts, cuts[1:])):

@@ -333,6 +333,22 @@ def test_best_fit_and_ids(nothing, rows):
     assert pack_documents(nothing, tokenizer_path()).count() == 0
 
 
+def test_packed_ids_are_those_of_the_file(spark):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from ampere.llm.packing import pack_documents
+    from ampere.llm.queries import tokenizer_path
+    tok = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext| >", "plain"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in pack_documents(df, tokenizer_path()).collect()}
+    for k, t in enumerate(texts):
+        ids = tok.encode(t, add_special_tokens=False).ids + [0]
+        assert got[k] == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+    assert 50256 in tok.encode(texts[0], add_special_tokens=False).ids
+
+
 # --- 7 SimHash ------------------------------------------------------------
 
 def simhash_brute(text):
