@@ -3,7 +3,9 @@
 Folding maps every character to one character (case, look-alike letters of
 other scripts, digits and signs that stand for letters), so positions in the
 folded text are positions in the text. Accented letters stay what they are;
-plain words are also looked for with accents taken off. A lexicon entry is a
+plain words are also looked for with accents taken off. Signs that stand for
+i also stand for l: l and i are one symbol for the automaton, and a match
+counts unless the text has an l where the entry has an i. A lexicon entry is a
 whole word or a stem (written ``stem*``) that begins a word. A match counts
 where the characters beside it are no letters or digits (behind a stem, they
 may be) and no exception phrase covers it; a place counts once, with its
@@ -55,6 +57,7 @@ POWERS = (0.25, 0.5, 1.0)
 
 _PLAIN = {ord(c): letter for letter, forms in ACCENTED.items() for c in forms}
 _FOLD = {ord(c): letter for letter, forms in STANDS_FOR.items() for c in forms}
+_ONE = {ord("l"): "i"}  # 1 and | are folded to i but also stand for l
 # full-width forms stand at a fixed distance from ASCII
 _FOLD.update({0xFF01 + i: _FOLD.get(0x21 + i, chr(0x21 + i).lower()) for i in range(94)})
 
@@ -84,18 +87,21 @@ class ToxicityModel:
         """Automata for the folded text and for the text without accents (None if it can't differ)."""
         import ahocorasick
 
-        full, plain = ahocorasick.Automaton(), ahocorasick.Automaton()
+        full, plain = {}, {}
         for entry, x in self.weights.items():
             w, stem = entry.rstrip("*"), entry.endswith("*")
-            for form in {w, w.replace("l", "i")}:  # 1 and | are folded to i but also stand for l
-                full.add_word(form, (len(form), x, stem))
-                if not stem and form.isascii():
-                    plain.add_word(form, (len(form), x, False))
-        for p in self.exceptions:
-            full.add_word(fold(p), (len(p), None, False))
-        full.make_automaton()
-        plain.make_automaton()
-        return full, plain if len(plain) else None
+            full.setdefault(w.translate(_ONE), []).append((w, x, stem))
+            if not stem and w.isascii():
+                plain.setdefault(w.translate(_ONE), []).append((w, x, False))
+        for p in map(fold, self.exceptions):
+            full.setdefault(p.translate(_ONE), []).append((p, None, False))
+        automata = []
+        for forms in (full, plain):
+            automata.append(ahocorasick.Automaton())
+            for form, spelled in forms.items():
+                automata[-1].add_word(form, tuple(spelled))
+            automata[-1].make_automaton()
+        return automata[0], automata[1] if plain else None
 
     def places(self, automata, text: str) -> dict[int, float]:
         """The counted matches: where each starts, and its weight."""
@@ -106,16 +112,18 @@ class ToxicityModel:
             runs.append((automata[1], folded.translate(_PLAIN)))
         found, shielded = {}, []
         for automaton, t in runs:
-            for end, (n, x, stem) in automaton.iter(t):
-                start = end - n + 1
+            for end, entries in automaton.iter(t.translate(_ONE)):
+                start = end - len(entries[0][0]) + 1
                 if start and low[start - 1].isalnum():
                     continue
-                if not stem and end + 1 < len(low) and low[end + 1].isalnum():
-                    continue
-                if x is None:
-                    shielded.append((start, end))
-                elif x > found.get(start, (0.0, 0))[0]:
-                    found[start] = (x, end)
+                inside, here = end + 1 < len(low) and low[end + 1].isalnum(), t[start:end + 1]
+                for w, x, stem in entries:
+                    if inside and not stem or any(a == "i" and b == "l" for a, b in zip(w, here)):
+                        continue
+                    if x is None:
+                        shielded.append((start, end))
+                    elif x > found.get(start, (0.0, 0))[0]:
+                        found[start] = (x, end)
         return {a: x for a, (x, b) in found.items() if not any(p <= a and b <= q for p, q in shielded)}
 
     def matches(self, automata, text: str) -> tuple[float, int]:

@@ -76,6 +76,17 @@ def test_toxicity_folding_boundaries_and_exceptions():
     assert hit("") == (0, 0)
 
 
+def test_toxicity_single_letters_l_replaced():
+    from ampere.llm.toxicity import ToxicityModel
+    m = ToxicityModel({"bullshit": 2.0, "slit": 1.0, "idiot": 4.0, "kill*": 8.0}, exceptions=("kill bill",))
+    a = m.automaton()
+    hit = lambda t: m.matches(a, t)
+    assert hit("bu1lshit bul|shit BU11SH!T bullshit") == (8.0, 4)
+    assert hit("silt slit s1it") == (2.0, 2) and hit("ldlot") == (0, 0)
+    assert hit("ki1lers kil1 a k111er") == (24.0, 3)
+    assert hit("ki1l bil1, K!ll Bi1l") == (0, 0)
+
+
 def test_toxicity_held_out_accuracy(spark):
     from ampere.llm.queries import op1_toxicity
     sf = "/root/testdata/sf0.1"
