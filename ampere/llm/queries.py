@@ -6,25 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampere.llm.common import held_out, small_batches, table
+from ampere.llm.conversation_repair import repair_conversations
 from ampere.llm.exact_dedup import exact_groups
 from ampere.llm.html_extract import extract_main_text
 from ampere.llm.language_id import fit_language_id, identify_language
 from ampere.llm.mixing import mix_sources
 from ampere.llm.packing import pack_documents
+from ampere.llm.quality_classifier import classify_quality
 from ampere.llm.quality_rules import apply_rules
 from ampere.llm.sharding import shard_documents
 from ampere.llm.simhash import near_dup_components
 from ampere.llm.suffix_dedup import remove_repeats
+from ampere.llm.token_align import align_documents
 from ampere.llm.toxicity import fit_toxicity, toxicity
 
 N_SHARDS, SEQUENCE = 40, 2048
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file that packing counts by (a parameter of the operator)."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file (a parameter of the operators); packing counts by the byte-level one."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +98,28 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned tokens of two tokenizers in every document, with corpus-wide counts of the linked pairs."""
+    small_batches(spark)
+    return align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(),
+                           tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every damaged conversation."""
+    small_batches(spark)
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labelled rows that aren't held out."""
+    small_batches(spark)
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~fold)
+    scored = classify_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return scored.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline at the repository's top."""
     import corpus_pipeline
@@ -104,7 +129,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_exact_dedup, op3_language_id, op4_sharding, op5_html_extraction, op6_packing, op7_simhash_dedup,
-    op8_quality_rules, op9_mixing, op10_suffix_dedup, pipeline)}
+    op8_quality_rules, op9_mixing, op10_suffix_dedup, op11_token_alignment, op12_conversation_repair,
+    op13_quality_classifier, pipeline)}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
