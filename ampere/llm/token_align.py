@@ -30,6 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ from ampere.llm.perfect_hash import PerfectHash, bucket_of, build
 
 #: Buckets that pairs are dealt to, and lists or vectors that one tree step adds up.
 BUCKETS, FAN_IN = 256, 32
+#: Bytes of stored ids aligned at a time (a longer document alone).
+SLICE_BYTES = 1 << 20
 #: Distinct pairs that a task holds before it hands its counts on.
 HELD_PAIRS = 4_000_000
 #: Pairs whose table (17 bytes each: key, count, hash) may be sent to all tasks.
@@ -97,6 +100,16 @@ def tokens_of(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "d
     return rows.mapInArrow(run, f"row long, id {docs.schema[id_col].dataType.simpleString()}, a binary, b binary")
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in pieces of bounded bytes of ids."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column("a")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        piece = np.cumsum(size) // SLICE_BYTES
+        cuts = [0, *(np.nonzero(np.diff(piece))[0] + 1).tolist(), len(piece)] if len(piece) else [0, 0]
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield batch.slice(lo, hi - lo)
+
+
 class Aligned:
     """The tokens of a batch of documents, cut into groups.
 
@@ -173,7 +186,7 @@ def task_counts(tokens: DataFrame, byte_path: str, piece_path: str) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        for batch in batches:
+        for batch in slices(batches):
             new = np.unique(Aligned(batch, byte_path, piece_path).pairs, return_counts=True)
             held = summed(*(np.concatenate(x) for x in zip(held, new)))
             if len(held[0]) > HELD_PAIRS:
@@ -312,7 +325,7 @@ def align_documents(docs: DataFrame, byte_path: str, piece_path: str, id_col: st
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table, keys, counts, best_of = sent.value
-            for batch in batches:
+            for batch in slices(batches):
                 x = Aligned(batch, byte_path, piece_path)
                 c = counts[verified(table, keys, x.pairs)]
                 yield pa.RecordBatch.from_arrays(_figures(batch, x, c == best_of[x.pairs % n_b], c), names)
@@ -328,7 +341,7 @@ def _joined(tokens: DataFrame, pairs: DataFrame, top: DataFrame, byte_path: str,
     """The second pass for more pairs than may be sent: the documents' distinct pairs are joined to the counts."""
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             x = Aligned(batch, byte_path, piece_path)
             split = np.split(x.pairs, np.cumsum(x.n_links)[:-1]) if len(x.n_links) else []
             links = [[{"pair": p, "n": n} for p, n in zip(*(v.tolist() for v in np.unique(s, return_counts=True)))]
