@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ampere.config import Catalog, WEATHER_REGIONS, WEATHER_VARIABLES
 from ampere.functions.time import floor_minutes, issue_timestamp, shift_hours
 from ampere.operators.merge import latest_per_key
+from ampere.session import cut_lineage
 
 # Fixed binding values: role of each event type.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -56,6 +57,10 @@ EVENTS_CATALOG = Catalog(
 )
 EVENTS_ISSUE_HOURS = {"ERROR_FC": 10}
 
+# Dense binding: first instant, and the quarter-hours of a week.
+DENSE_START = "2024-01-01 00:00:00"
+SLOTS_A_WEEK = 672
+
 RES_MINUTES = {"hour": 60, "quarterhour": 15}
 
 
@@ -71,16 +76,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READS[key]
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with ``ts`` as a UTC instant."""
+def events(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    """Events with ``ts`` as a UTC instant, from the ``events`` table or (dense) from ``orders``."""
+    if source == "orders":
+        return dense_events(spark, sf_dir)
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def raw_signal_rows(spark, sf_dir, resolution: str = "hour", signals=None) -> DataFrame:
+def dense_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without holes, derived from ``orders`` (stored once per session and folder).
+
+    Orders are dealt to the quarter-hours of as many whole weeks as they can
+    fill; each gives an event of every type and region, later orders of a
+    quarter-hour being revisions. Some errors are left out (single gaps) and
+    on some days all clicks (incomplete days). ``plans.oracle.DENSE_EVENTS``
+    is the same in SQL.
+    """
+    key = (id(spark._jsparkSession), sf_dir, "dense events")
+    if key not in _READS:
+        o = table(spark, sf_dir, "orders")
+        slots = o.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / SLOTS_A_WEEK)) * SLOTS_A_WEEK).scalar()
+        e = o.select("o_orderkey", (F.round(F.col("o_totalprice") * 100).cast("long") % 1000 / 100.0).alias("cents"),
+                     (F.col("o_orderkey") % slots).alias("slot"), F.floor(F.col("o_orderkey") / slots).alias("revision"),
+                     F.explode(F.sequence(F.lit(0), F.lit(4 * len(EVENT_TYPES) - 1))).alias("k"))
+        e = e.withColumn("event_type", F.element_at(F.array(*[F.lit(t) for t in EVENT_TYPES]), (F.floor(F.col("k") / 4) + 1).cast("int")))
+        home = F.col("event_type") == "purchase"
+        noise = (F.col("o_orderkey") * 7919 + F.col("k") * 31) % 1000 / 100.0 + F.col("cents")
+        wave = F.sin(2 * F.pi() * (F.col("slot") % 96) / 96)
+        left_out = (((F.col("event_type") == "error") & (F.col("slot") % 97 == 5))
+                    | ((F.col("event_type") == "click") & (F.floor(F.col("slot") / 96) % 23 == 11)))
+        e = e.where(~left_out).select(
+            (F.col("o_orderkey") * 4 * len(EVENT_TYPES) + F.col("k")).alias("event_id"),
+            (F.lit(DENSE_START).cast("timestamp") + F.make_dt_interval(mins=(F.col("slot") * 15).cast("int"),
+                                                                       secs=F.col("revision"))).alias("ts"),
+            (F.col("k") % 4).cast("long").alias("user_id"), "event_type",
+            (F.when(home, 60).otherwise(75) + F.when(home, 30).otherwise(15) * wave + noise).alias("value"))
+        _READS[key] = cut_lineage(e, "dense-events")
+    return _READS[key]
+
+
+def raw_signal_rows(spark, sf_dir, resolution: str = "hour", signals=None, source: str = "events") -> DataFrame:
     """Landed signal rows, revisions included (input of the upsert). With
     ``signals`` the selection is an ``IN`` filter on the stored column, which
     the Parquet reader applies (pushed filter), before any projection."""
-    e = events(spark, sf_dir)
+    e = events(spark, sf_dir, source)
     if signals is not None:
         e = e.where(F.col("event_type").isin(*[s.lower() for s in signals]))
     return e.select(floor_minutes("ts", RES_MINUTES[resolution]).alias("timestamp"),
@@ -90,15 +129,15 @@ def raw_signal_rows(spark, sf_dir, resolution: str = "hour", signals=None) -> Da
                     F.col("ts").alias("fetched_at"), "event_id")
 
 
-def raw_signals(spark, sf_dir, resolution: str = "hour", signals=None) -> DataFrame:
+def raw_signals(spark, sf_dir, resolution: str = "hour", signals=None, source: str = "events") -> DataFrame:
     """``raw_*`` signal table after the keyed upsert (one row per key)."""
-    rows = raw_signal_rows(spark, sf_dir, resolution, signals)
+    rows = raw_signal_rows(spark, sf_dir, resolution, signals, source)
     merged = latest_per_key(rows, ["timestamp", "signal", "resolution"], ["fetched_at", "event_id"])
     return merged.select("timestamp", "signal", "value", "unit", "resolution")
 
 
-def raw_signal_forecast_rows(spark, sf_dir, resolution: str = "hour") -> DataFrame:
-    e = events(spark, sf_dir)
+def raw_signal_forecast_rows(spark, sf_dir, resolution: str = "hour", source: str = "events") -> DataFrame:
+    e = events(spark, sf_dir, source)
     t = shift_hours(floor_minutes("ts", RES_MINUTES[resolution]), 1)
     sig = F.concat(F.upper("event_type"), F.lit("_FC"))
     return e.select(t.alias("timestamp"), sig.alias("signal"),
@@ -107,8 +146,8 @@ def raw_signal_forecast_rows(spark, sf_dir, resolution: str = "hour") -> DataFra
                     ).withColumn("issue_timestamp", issue_timestamp("timestamp", "signal", hours=EVENTS_ISSUE_HOURS))
 
 
-def raw_signal_forecast(spark, sf_dir, resolution: str = "hour") -> DataFrame:
-    rows = raw_signal_forecast_rows(spark, sf_dir, resolution)
+def raw_signal_forecast(spark, sf_dir, resolution: str = "hour", source: str = "events") -> DataFrame:
+    rows = raw_signal_forecast_rows(spark, sf_dir, resolution, source)
     merged = latest_per_key(rows, ["timestamp", "signal", "resolution"], ["fetched_at", "event_id"])
     return merged.select("issue_timestamp", "timestamp", "signal", "value", "unit", "resolution", "fetched_at")
 
@@ -127,23 +166,23 @@ def _unit(var: F.Column) -> F.Column:
     return F.element_at(m, var)
 
 
-def raw_weather_rows(spark, sf_dir) -> DataFrame:
-    e = events(spark, sf_dir)
+def raw_weather_rows(spark, sf_dir, source: str = "events") -> DataFrame:
+    e = events(spark, sf_dir, source)
     return (e.select(F.date_trunc("HOUR", "ts").alias("timestamp"), _region().alias("region"),
                      _variable().alias("signal_type"), F.col("value"),
                      F.col("ts").alias("fetched_at"), "event_id")
              .withColumn("unit", _unit(F.col("signal_type"))))
 
 
-def raw_weather(spark, sf_dir) -> DataFrame:
-    merged = latest_per_key(raw_weather_rows(spark, sf_dir), ["timestamp", "region", "signal_type"],
+def raw_weather(spark, sf_dir, source: str = "events") -> DataFrame:
+    merged = latest_per_key(raw_weather_rows(spark, sf_dir, source), ["timestamp", "region", "signal_type"],
                             ["fetched_at", "event_id"])
     return merged.select("timestamp", "region", "signal_type", "value", "unit")
 
 
-def raw_weather_forecast(spark, sf_dir) -> DataFrame:
+def raw_weather_forecast(spark, sf_dir, source: str = "events") -> DataFrame:
     """All fetched versions (key includes ``fetched_at``)."""
-    e = events(spark, sf_dir)
+    e = events(spark, sf_dir, source)
     t = shift_hours(F.date_trunc("HOUR", "ts"), 1)
     return (e.select(t.alias("timestamp"), shift_hours(t, -18).alias("issue_timestamp"),
                      _region().alias("region"), _variable().alias("signal_type"), "value",

@@ -7,8 +7,8 @@ Spark plans (aggregate-based upsert, fan-out lags) independently.
 
 from __future__ import annotations
 
-from ampere.bindings import (EVENT_WEATHER_VARIABLE, EVENTS_CATALOG, REGION_ORDER, RETIRED_CUT,
-                             VALUE_OFFSET)
+from ampere.bindings import (DENSE_START, EVENT_TYPES, EVENT_WEATHER_VARIABLE, EVENTS_CATALOG, REGION_ORDER,
+                             RETIRED_CUT, SLOTS_A_WEEK, VALUE_OFFSET)
 from ampere.config import EASTER_HOLIDAYS, FIXED_HOLIDAYS, WEATHER_VARIABLES
 
 CAT = EVENTS_CATALOG
@@ -31,6 +31,25 @@ def rounded(sql: str, doubles=(), digits: int = 6, dates=()) -> str:
     return f"SELECT * REPLACE ({', '.join(reps)}) FROM ({sql}) AS _q"
 
 
+#: ``bindings.dense_events`` as a CTE that takes the place of the table ``events``.
+DENSE_EVENTS = f"""events AS MATERIALIZED (
+  WITH n AS (SELECT greatest(1, count(*) // {SLOTS_A_WEEK}) * {SLOTS_A_WEEK} AS slots FROM orders),
+  e AS (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) % 1000 / 100.0 AS cents, o_orderkey % slots AS slot,
+               o_orderkey // slots AS revision, unnest(generate_series(0, {4 * len(EVENT_TYPES) - 1})) AS k FROM orders, n),
+  t AS (SELECT *, ([{inlist(EVENT_TYPES)}])[k // 4 + 1] AS event_type FROM e)
+  SELECT o_orderkey * {4 * len(EVENT_TYPES)} + k AS event_id,
+         TIMESTAMP '{DENSE_START}' + to_minutes(slot * 15) + to_seconds(revision) AS ts, k % 4 AS user_id, event_type,
+         CASE event_type WHEN 'purchase' THEN 60 ELSE 75 END
+         + CASE event_type WHEN 'purchase' THEN 30 ELSE 15 END * sin(2 * pi() * (slot % 96) / 96)
+         + ((o_orderkey * 7919 + k * 31) % 1000 / 100.0 + cents) AS value
+  FROM t WHERE NOT (event_type = 'error' AND slot % 97 = 5) AND NOT (event_type = 'click' AND (slot // 96) % 23 = 11))"""
+
+
+def dense(sql: str) -> str:
+    """A query over the dense binding."""
+    return f"WITH {DENSE_EVENTS} SELECT * FROM ({sql}) AS _d"
+
+
 def floor_expr(resolution: str, col: str = "ts") -> str:
     return f"date_trunc('hour', {col})" if resolution == "hour" else f"time_bucket(INTERVAL 15 MINUTE, {col})"
 

@@ -41,26 +41,26 @@ def register(name: str, sql: str | None = None):
 _WAREHOUSES: dict = {}
 
 
-def warehouse(spark: SparkSession, sf_dir: str, resolution: str = "hour") -> Warehouse:
-    """The products over the test binding, built once per (session, data
-    directory, resolution) and shared by every query — the DataFrame plans
-    play the role of the platform's materialised tables."""
-    key = (id(spark._jsparkSession), sf_dir, resolution)
+def warehouse(spark: SparkSession, sf_dir: str, resolution: str = "hour", source: str = "events") -> Warehouse:
+    """The products over a test binding, built once per (session, data
+    directory, resolution, binding) and shared by every query — the DataFrame
+    plans play the role of the platform's materialised tables."""
+    key = (id(spark._jsparkSession), sf_dir, resolution, source)
     if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = _build_warehouse(spark, sf_dir, resolution)
+        _WAREHOUSES[key] = _build_warehouse(spark, sf_dir, resolution, source)
     return _WAREHOUSES[key]
 
 
-def _build_warehouse(spark: SparkSession, sf_dir: str, resolution: str) -> Warehouse:
+def _build_warehouse(spark: SparkSession, sf_dir: str, resolution: str, source: str) -> Warehouse:
     # each raw table reads only its own signals (IN filter pushed into the scan)
     tables = {t: sorted({s for s, tt in CAT.table_of() if tt == t}) for t in ("generation", "prices", "neighbour_prices")}
     raw = {
-        "generation": B.raw_signals(spark, sf_dir, resolution, tables["generation"]),
-        "prices": B.raw_signals(spark, sf_dir, resolution, tables["prices"]),
-        "neighbour_prices": B.raw_signals(spark, sf_dir, resolution, tables["neighbour_prices"]),
-        "signal_forecast": B.raw_signal_forecast(spark, sf_dir, resolution),
-        "weather": B.raw_weather(spark, sf_dir),
-        "weather_forecast": B.raw_weather_forecast(spark, sf_dir),
+        "generation": B.raw_signals(spark, sf_dir, resolution, tables["generation"], source),
+        "prices": B.raw_signals(spark, sf_dir, resolution, tables["prices"], source),
+        "neighbour_prices": B.raw_signals(spark, sf_dir, resolution, tables["neighbour_prices"], source),
+        "signal_forecast": B.raw_signal_forecast(spark, sf_dir, resolution, source),
+        "weather": B.raw_weather(spark, sf_dir, source),
+        "weather_forecast": B.raw_weather_forecast(spark, sf_dir, source),
     }
     return Warehouse(spark, raw, B.EVENTS_CATALOG)
 
@@ -1772,3 +1772,6 @@ def random_search_cv_stage2(spark, sf_dir):
     Stage-1 refit; CV MAE of the reconstructed price per trial."""
     h, q = _model_frame(spark, sf_dir), _model_frame(spark, sf_dir, "quarterhour")
     return TU.random_search_cv_stage2(h, q, S1_FEATURES, S2_FEATURES, n_trials=10, n_splits=2, gap=4)
+
+
+from ampere import model_queries  # noqa: E402,F401  (registers the queries over the dense binding)
