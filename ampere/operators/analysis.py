@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ampere.operators.quantiles import exact_quantiles, joined_on
+
 from ampere.functions.time import week_label
 
 RESAMPLE_UNITS = ("day", "week", "month", "year")
@@ -38,9 +40,15 @@ def group_mean(df: DataFrame, keys: Sequence[Column | str], values: Sequence[str
 def heatmap(df: DataFrame, row: str, col: str, value: str, col_values: Sequence,
             agg: str = "avg", prefix: str = "c") -> DataFrame:
     """Two-key aggregate unstacked into a matrix (explicit columns).
+
+    ``agg='median'`` is exact by rank selection, cell by cell;
     ``agg='median_approx'`` uses the bounded-memory quantile sketch."""
-    f = {"avg": F.avg, "median": F.median,
-         "median_approx": lambda c: F.percentile_approx(c, 0.5, 10000)}[agg]
+    if agg == "median":
+        rows = df.select(row).distinct()
+        cells = exact_quantiles(df.where(F.col(col).isin(*col_values)), [row, col], value, {"_q": 0.5})
+        wide = cells.groupBy(row).agg(*[F.max(F.when(F.col(col) == v, F.col("_q"))).alias(f"{prefix}{v}") for v in col_values])
+        return joined_on(rows, wide, [row])
+    f = {"avg": F.avg, "median_approx": lambda c: F.percentile_approx(c, 0.5, 10000)}[agg]
     return df.groupBy(row).agg(*[f(F.when(F.col(col) == v, F.col(value))).alias(f"{prefix}{v}")
                                  for v in col_values])
 
@@ -78,19 +86,37 @@ def describe(df: DataFrame, keys: Sequence, value: str,
              accuracy: int = 10000, extra: Sequence[Column] = ()) -> DataFrame:
     """Count, mean, sample std, min, percentiles, max, and ``extra`` aggregates of the same pass.
 
-    Exact percentiles (linear interpolation, as pandas) keep a value -> count
-    map per group: memory grows with the *distinct* values of a group (bounded
-    for prices on a 0.01 grid). For continuous values in very large groups use
-    ``approx=True``: a mergeable quantile sketch of fixed size per group
-    (relative rank error ~ 1/accuracy)."""
-    p = (F.percentile_approx(F.col(value), list(percentiles), accuracy) if approx
-         else F.percentile(F.col(value), list(percentiles)))
+    Exact percentiles (linear interpolation, as pandas) come from
+    ``quantiles.exact_quantiles``, whose memory doesn't grow with a group.
+    ``approx=True`` takes a mergeable quantile sketch of fixed size per group
+    in the same pass (relative rank error ~ 1/accuracy)."""
+    keys = list(keys)
+    names = {f"p{int(round(q * 100)):02d}": q for q in percentiles}
     aggs = [F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"), p.alias("_p"), F.max(value).alias("max"), *extra]
-    out = df.groupBy(*keys).agg(*aggs)
-    for i, q in enumerate(percentiles):
-        out = out.withColumn(f"p{int(round(q * 100)):02d}", F.col("_p")[i])
-    return out.drop("_p")
+            F.min(value).alias("min"), F.max(value).alias("max"), *extra]
+    if approx:
+        out = df.groupBy(*keys).agg(*aggs, F.percentile_approx(F.col(value), list(percentiles), accuracy).alias("_p"))
+        return out.select("*", *[F.col("_p")[i].alias(n) for i, n in enumerate(names)]).drop("_p")
+    return joined_on(df.groupBy(*keys).agg(*aggs), exact_quantiles(df, keys, value, names), keys)
+
+
+def density_histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int, low: float | None = None,
+                      high: float | None = None) -> DataFrame:
+    """``bin`` (0-based), rows ``n`` and ``density`` = n / (rows of the group * bin width), empty bins left out.
+
+    Values are clipped to [low, high] first. Each group has its own range of
+    equal left-closed bins, the last closed on both sides; a group of one value
+    gets a range of width 1 around it.
+    """
+    x = F.col(value).cast("double")
+    x = x if low is None else F.greatest(x, F.lit(float(low)))
+    x = x if high is None else F.least(x, F.lit(float(high)))
+    rows = df.where(F.col(value).isNotNull()).select(*keys, x.alias("_x"))
+    one = F.when(F.min("_x") == F.max("_x"), 0.5).otherwise(0.0)
+    ends = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), (F.min("_x") - one).alias("_lo"), (F.max("_x") + one).alias("_hi"))
+    at = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1))
+    counted = joined_on(rows, ends, keys).groupBy(*keys, at.cast("long").alias("bin"), "_n", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(*keys, "bin", "n", (F.col("n") / (F.col("_n") * ((F.col("_hi") - F.col("_lo")) / bins))).alias("density"))
 
 
 def mode_per_group(df: DataFrame, keys: Sequence[str], value: str, out: str = "mode") -> DataFrame:

@@ -97,6 +97,7 @@ def quarter_hourly_model_contract(spark, sf_dir):
 from ampere.functions import calendar as CAL  # noqa: E402
 from ampere.functions import time as TM  # noqa: E402
 from ampere.operators import lags as LG  # noqa: E402
+from ampere.operators import quantiles as QT  # noqa: E402
 from ampere.operators import reshape as RS  # noqa: E402
 from ampere.operators import windows as WN  # noqa: E402
 from ampere.operators.merge import latest_per_key, merge_latest  # noqa: E402
@@ -740,8 +741,9 @@ def supply_curve_bins(spark, sf_dir):
     ml = warehouse(spark, sf_dir).fct_ml_features.select("total_generation_mw", "price_eur_mwh")
     s = ml.where(F.col("total_generation_mw").isNotNull())
     b = BN.equal_width_bins(s, "total_generation_mw", 30)
-    return b.groupBy("bin").agg(F.median("price_eur_mwh").alias("median_price"), F.count(F.lit(1)).alias("n"),
-                                F.first("bin_left").alias("bin_left"), F.first("bin_right").alias("bin_right"))
+    bins = b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.first("bin_left").alias("bin_left"),
+                                F.first("bin_right").alias("bin_right"))
+    return QT.joined_on(bins, QT.exact_quantiles(b, ["bin"], "price_eur_mwh", {"median_price": 0.5}), ["bin"])
 
 
 HEAT_BELOW, COOL_ABOVE = 150.0, 300.0
@@ -1135,22 +1137,20 @@ def persistence_report_by_window(spark, sf_dir):
 
 
 # -- D40, D41, D43, A15 -----------------------------------------------------------------------
+CLIP_LOW, CLIP_HIGH = 400_000.0, 2_500_000.0
+
+
 @register("histogram_density_by_regime", O.rounded(f"""WITH {DAILY_SQL},
-s AS (SELECT {REGIME_SQL} AS regime, value AS x FROM daily),
-mm AS (SELECT min(x) lo, max(x) hi FROM s),
-b AS (SELECT regime, LEAST(GREATEST(CAST(ceil((x - lo) / ((hi - lo) / 120.0)) AS BIGINT) - 1, 0), 119) AS bin, lo, hi FROM s, mm),
-n AS (SELECT regime, count(*) AS nr FROM s GROUP BY 1)
-SELECT b.regime, bin, count(*) * 1.0 / (any_value(n.nr) * ((any_value(hi) - any_value(lo)) / 120.0)) AS density
-FROM b JOIN n ON b.regime = n.regime GROUP BY 1, 2""", ["density"]))
+s AS (SELECT {REGIME_SQL} AS regime, least(greatest(value, {CLIP_LOW}), {CLIP_HIGH}) AS x FROM daily),
+r AS (SELECT regime, count(*) AS nr, min(x) - CASE WHEN min(x) = max(x) THEN 0.5 ELSE 0 END AS lo,
+             max(x) + CASE WHEN min(x) = max(x) THEN 0.5 ELSE 0 END AS hi FROM s GROUP BY 1)
+SELECT s.regime, CAST(least(floor((x - lo) / (hi - lo) * 120), 119) AS BIGINT) AS bin, count(*) AS n,
+       count(*) / (any_value(nr) * ((any_value(hi) - any_value(lo)) / 120.0)) AS density
+FROM s JOIN r ON s.regime = r.regime GROUP BY 1, 2""", ["density"]))
 def histogram_density_by_regime(spark, sf_dir):
-    """Density histogram (120 equal bins over the value range) per regime:
-    count / (rows of the regime * nominal bin width)."""
+    """Density histogram per regime: values clipped, 120 bins over the regime's own range."""
     d = B.daily_orders(spark, sf_dir).select(regime().alias("regime"), F.col("value").alias("x"))
-    b = BN.equal_width_bins(d, "x", 120)
-    n = d.groupBy("regime").agg(F.count(F.lit(1)).alias("_nr"))
-    width = d.agg((F.max("x") - F.min("x")) / 120.0).scalar()
-    c = b.groupBy("regime", "bin").agg(F.count(F.lit(1)).alias("_c")).join(F.broadcast(n), "regime")
-    return c.select("regime", "bin", (F.col("_c") / (F.col("_nr") * width)).alias("density"))
+    return AN.density_histogram(d, ["regime"], "x", 120, CLIP_LOW, CLIP_HIGH)
 
 
 @register("share_vs_season_average", O.rounded(f"""{W_H}, g AS ({O.pivot_gen_sql()}),
@@ -1550,9 +1550,9 @@ SELECT signal, min(timestamp) AS first_ts, max(timestamp) AS last_ts, quantile_c
 def signal_time_range(spark, sf_dir):
     """first/last instant, median and number of distinct days per signal."""
     s = B.raw_signals(spark, sf_dir)
-    return s.groupBy("signal").agg(F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
-                                   F.median("value").alias("median_value"),
+    ends = s.groupBy("signal").agg(F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
                                    F.countDistinct(F.to_date("timestamp")).alias("n_days"))
+    return QT.joined_on(ends, QT.exact_quantiles(s, ["signal"], "value", {"median_value": 0.5}), ["signal"])
 
 
 @register("incomplete_days", f"""{W_H}
