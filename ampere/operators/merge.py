@@ -67,6 +67,20 @@ def merge_latest(base: DataFrame | None, delta: DataFrame, key: Sequence[str],
     return g.select(*[sel[c] for c in cols])
 
 
+def merge_versions(base: DataFrame | None, delta: DataFrame, key: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """M1: upsert by a stored version: the row with the greatest ``version`` wins, whichever delivery brings it.
+
+    Deliveries can come in any order or twice. Of equal versions the delta's
+    row wins.
+    """
+    cols = delta.columns
+    if base is None:
+        return latest_per_key(delta, key, version, payload=cols)
+    both = (base.select(*cols).withColumn("_is_delta", F.lit(0))
+            .unionByName(delta.select(*cols).withColumn("_is_delta", F.lit(1))))
+    return latest_per_key(both, key, [*version, "_is_delta"], payload=cols).select(*cols)
+
+
 def drop_revisions_first_wins(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """M2 batch twin: keep the *earliest* version per key (first wins)."""
     key, order = list(key), list(order)

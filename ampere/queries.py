@@ -1209,8 +1209,7 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 def _events_stream(spark, sf_dir):
     from pyspark.sql.types import _parse_datatype_string
-    # a glob names the table whether it is one file or a folder of part files
-    s = SI.file_stream(spark, f"{sf_dir}/events.parquet*", _parse_datatype_string(EVENTS_SCHEMA))
+    s = SI.table_stream(spark, f"{sf_dir}/events.parquet", _parse_datatype_string(EVENTS_SCHEMA))
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -1774,4 +1773,4 @@ def random_search_cv_stage2(spark, sf_dir):
     return TU.random_search_cv_stage2(h, q, S1_FEATURES, S2_FEATURES, n_trials=10, n_splits=2, gap=4)
 
 
-from ampere import model_queries  # noqa: E402,F401  (registers the queries over the dense binding)
+from ampere import ingest_queries, model_queries  # noqa: E402,F401  (registers the queries over the dense binding)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ampere.operators.merge import merge_latest
+from ampere.operators.merge import merge_latest, merge_versions
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None,
@@ -32,6 +32,17 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str
     return r.parquet(path)
 
 
+def table_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream over one table: a folder of part files, or a single file (named in its folder, nothing beside it)."""
+    fs, p = _fs(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        return file_stream(spark, path, schema, max_files_per_trigger=max_files_per_trigger)
+    folder, name = path.rsplit("/", 1)
+    # characters that a glob would read as more than themselves
+    glob = "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in name)
+    return file_stream(spark, folder, schema, glob, max_files_per_trigger)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -40,17 +51,24 @@ def _fs(spark: SparkSession, path: str):
 
 def upsert_stream(source: DataFrame, table_root: str, checkpoint: str, key: Sequence[str],
                   order: Sequence[str], update_cols: Sequence[str] | None = None, ts: str = "timestamp",
-                  partition_col: str = "day", files_per_partition: int = 4):
+                  partition_col: str = "day", files_per_partition: int = 4, by_version: bool = True):
     """M1: incremental keyed upsert of a file stream (``availableNow``) into a
     day-partitioned Parquet table, touching only the days in each batch.
 
-    Per micro-batch: the distinct days of the delta (a handful of partition
-    values, never data) select the stored partitions to read; the merged rows
-    are staged under ``_staging/<epoch>`` (a path cannot be overwritten while it
-    is read) and then replace exactly those day partitions (dynamic partition
-    overwrite). A replayed batch recomputes the same partitions: idempotent.
+    A row replaces the stored one if its ``order`` (say, when it was fetched)
+    is not less, so files may arrive in any order; with ``by_version=False``
+    the later batch always wins, and ``update_cols`` can be given. Per
+    micro-batch the distinct days of the delta (partition values, never data)
+    select the stored partitions to read; the merged rows are staged beside
+    the checkpoint (a path cannot be overwritten while it is read), replace
+    exactly those day partitions (dynamic partition overwrite), and the stage
+    goes. A replayed batch recomputes the same partitions: idempotent. Bound
+    a batch by the source's ``maxFilesPerTrigger``.
     """
+    if by_version and update_cols is not None:
+        raise ValueError("columns that keep their stored value need by_version=False")
     spark = source.sparkSession
+    full_key = [*key, partition_col] if partition_col not in key else list(key)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         delta = df.withColumn(partition_col, F.to_date(F.col(ts)))
@@ -61,14 +79,16 @@ def upsert_stream(source: DataFrame, table_root: str, checkpoint: str, key: Sequ
         if _exists(spark, table_root):
             base = (spark.read.parquet(table_root).where(F.col(partition_col).isin(days))
                     .select(*delta.columns))
-        merged = merge_latest(base, delta, [*key, partition_col] if partition_col not in key else key,
-                              order, update_cols)
-        stage = f"{table_root}/_staging/{epoch_id}"
+        merged = (merge_versions(base, delta, full_key, order) if by_version
+                  else merge_latest(base, delta, full_key, order, update_cols))
+        stage = f"{checkpoint.rstrip('/')}-stage/{epoch_id}"
         merged.write.mode("overwrite").parquet(stage)
         staged = spark.read.parquet(stage)
         spread = F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(files_per_partition))
         (staged.repartition(F.col(partition_col), spread).write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_root))
+        fs, p = _fs(spark, stage)
+        fs.delete(p, True)
 
     return (source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
