@@ -51,7 +51,7 @@ def warehouse(spark: SparkSession, sf_dir: str, resolution: str = "hour", source
     return _WAREHOUSES[key]
 
 
-def _build_warehouse(spark: SparkSession, sf_dir: str, resolution: str, source: str) -> Warehouse:
+def _build_warehouse(spark: SparkSession, sf_dir: str, resolution: str, source: str = "events") -> Warehouse:
     # each raw table reads only its own signals (IN filter pushed into the scan)
     tables = {t: sorted({s for s, tt in CAT.table_of() if tt == t}) for t in ("generation", "prices", "neighbour_prices")}
     raw = {

@@ -122,7 +122,7 @@ def test_stream_rollup_watermark_drops_late_rows(spark):
                            T.StructField("v", T.DoubleType())])
     t = dt.datetime(2024, 1, 1)
     first = [(t + dt.timedelta(minutes=10), "a", 1.0), (t + dt.timedelta(hours=5), "a", 2.0)]
-    spark.createDataFrame(first, schema).write.parquet(f"{root}/in/f1")
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{root}/in/f1")
 
     def run():
         s = SI.file_stream(spark, f"{root}/in/*", schema, max_files_per_trigger=1)
@@ -132,6 +132,6 @@ def test_stream_rollup_watermark_drops_late_rows(spark):
     assert out1 == {(t, 1)}                      # 05:00 window still open (watermark 03:00)
     late = [(t + dt.timedelta(minutes=20), "a", 9.0),       # behind the watermark: dropped
             (t + dt.timedelta(hours=9), "a", 3.0)]          # moves the watermark to 07:00
-    spark.createDataFrame(late, schema).write.parquet(f"{root}/in/f2")
+    spark.createDataFrame(late, schema).coalesce(1).write.parquet(f"{root}/in/f2")
     out2 = run()
     assert out2 == {(t, 1), (t + dt.timedelta(hours=5), 1)}
