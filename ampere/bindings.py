@@ -28,7 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.config import Catalog, WEATHER_REGIONS, WEATHER_VARIABLES
+from ampere.config import (GENERATION_SIGNALS, LOAD_SIGNALS, PRICE_SIGNALS, Catalog, WEATHER_REGIONS,
+                           WEATHER_VARIABLES)
 from ampere.functions.time import floor_minutes, issue_timestamp, shift_hours
 from ampere.operators.merge import latest_per_key
 from ampere.session import cut_lineage
@@ -57,6 +58,21 @@ EVENTS_CATALOG = Catalog(
 )
 EVENTS_ISSUE_HOURS = {"ERROR_FC": 10}
 
+def energy_events(dense: DataFrame) -> DataFrame:
+    """Dense events, and one event of every energy signal for each purchase of the first region (``plans.oracle.ENERGY_EVENTS``)."""
+    n = F.lit(len(ENERGY_TYPES))
+    k = F.explode(F.sequence(F.lit(0), n - 1)).alias("k")
+    e = dense.where("event_type = 'purchase' and user_id = 0").select("*", k)
+    e = e.select((-1 - F.col("event_id") * n - F.col("k")).alias("event_id"), "ts", "user_id",
+                 F.element_at(F.array(*[F.lit(t) for t in ENERGY_TYPES]), F.col("k") + 1).alias("event_type"),
+                 (F.col("value") + 30 + (F.col("event_id") * (F.col("k") + 3)) % 17).alias("value"))
+    return dense.unionByName(e)
+
+
+# Energy binding: the event types that play its signals and (with _FC) its forecasts.
+ENERGY_TYPES = [s.lower() for s in (*GENERATION_SIGNALS, *LOAD_SIGNALS, *PRICE_SIGNALS, "WIND_PV", "TOTAL_GENERATION")]
+REVISED_DAY = "2024-03-05"
+
 # Dense binding: first instant, and the quarter-hours of a week.
 DENSE_START = "2024-01-01 00:00:00"
 SLOTS_A_WEEK = 672
@@ -77,9 +93,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
-    """Events with ``ts`` as a UTC instant, from the ``events`` table or (dense) from ``orders``."""
-    if source == "orders":
-        return dense_events(spark, sf_dir)
+    """Events with ``ts`` as a UTC instant, from the ``events`` table or (dense) from ``orders``.
+
+    ``revised`` are the dense events with other values on :data:`REVISED_DAY`;
+    ``energy`` have an event for every signal of the energy catalogue, too.
+    """
+    if source in ("orders", "revised", "energy"):
+        e = dense_events(spark, sf_dir)
+        if source == "revised":
+            e = e.withColumn("value", F.col("value") + F.when(F.to_date("ts") == F.lit(REVISED_DAY).cast("date"), 5.0).otherwise(0.0))
+        return energy_events(e) if source == "energy" else e
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 

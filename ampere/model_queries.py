@@ -7,9 +7,13 @@ predictions replaced by whether there is one.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ampere import bindings as B
 from ampere.functions import time as TM
 from ampere.operators import metrics as MT
 from ampere.operators import splits as SP
@@ -18,10 +22,11 @@ from ampere.plans import boosted as BO
 from ampere.plans import inference as IN
 from ampere.plans import oracle as O
 from ampere.plans import tuning as TU
-from ampere.plans.contracts import build_contract
+from ampere.plans.contracts import build_contract, energy_spec
 from ampere.plans.models import DROP_ALWAYS, METADATA, RAW_CALENDAR, price_model, split_features_target
+from ampere.plans.products import refresh
 from ampere.queries import HOURLY, LOCAL_SQL, QUARTER_HOURLY, register, warehouse
-from ampere.session import cut_lineage
+from ampere.session import cut_lineage, ensure_checkpoint_dir
 
 TARGET = "price_eur_mwh"
 BASELINE = {"hour": "price_lag_24h", "quarterhour": "price_lag_96qh"}
@@ -350,3 +355,28 @@ def inference_hours(spark, sf_dir):
     model = make_model("hour")(feats, TARGET, {}).fit(frame.where(F.col(TARGET).isNotNull()).na.drop(subset=feats))
     out = IN.select_hours(IN.predict_day(frame, model, at["target"]), at["now"], at["target"])
     return out.select("timestamp", F.col("hour").cast("long").alias("hour"), F.col("pred").isNotNull().alias("predicted"))
+
+
+# --- products ------------------------------------------------------------------------
+
+@register("energy_hourly_contract", O.energy(lambda: O.contract_sql(energy_spec("hour"))))
+def energy_hourly_contract(spark, sf_dir):
+    """The platform's hourly contract, all columns by its names, from the energy catalogue's signals."""
+    return build_contract(warehouse(spark, sf_dir, "hour", "energy").fct_ml_features, energy_spec("hour"))
+
+
+@register("energy_quarter_hourly_contract", O.energy(lambda: O.contract_sql(energy_spec("quarterhour"))))
+def energy_quarter_hourly_contract(spark, sf_dir):
+    """The platform's quarter-hourly contract, all columns by its names."""
+    return build_contract(warehouse(spark, sf_dir, "quarterhour", "energy").fct_ml_features, energy_spec("quarterhour"))
+
+
+@register("incremental_contract", O.revised(O.contract_sql(HOURLY)))
+def incremental_contract(spark, sf_dir):
+    """All products built once, one day revised, only what it reaches rebuilt: equal to a build of the revised data."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ampere-products-{uuid.uuid4().hex}"
+    day = dt.date.fromisoformat(B.REVISED_DAY)
+    for source, changed in (("orders", None), ("revised", [day, day + dt.timedelta(days=1)])):   # forecasts are valid an hour later
+        wh = warehouse(spark, sf_dir, "hour", source)
+        refresh(spark, wh.raw, wh.catalog, root, {"hourly_contract": HOURLY}, changed)
+    return spark.read.parquet(f"{root}/hourly_contract").drop("day")

@@ -11,25 +11,35 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampere.operators.quantiles import exact_quantiles, joined_on
-
 from ampere.functions.time import week_label
+from ampere.operators.quantiles import exact_quantiles, joined_on
 
 RESAMPLE_UNITS = ("day", "week", "month", "year")
 
 
+def _bin_start(day: Column, unit: str) -> Column:
+    if unit not in RESAMPLE_UNITS:
+        raise ValueError(f"unknown unit {unit}")
+    return F.to_date(F.date_trunc(unit.upper(), day))
+
+
 def resample_mean(df: DataFrame, ts: str, values: Sequence[str], unit: str,
-                  keys: Sequence[str] = ()) -> DataFrame:
+                  keys: Sequence[str] = (), spine: bool = False) -> DataFrame:
     """Mean per calendar bin. Week bins run Monday-Sunday and are
-    labelled by their Sunday; month/year bins by their first day."""
-    t = F.col(ts)
-    if unit == "week":
-        label = week_label(t)
-    elif unit in ("day", "month", "year"):
-        label = F.to_date(F.date_trunc(unit.upper(), t))
-    else:
-        raise ValueError(f"unknown unit {unit}")
-    return df.groupBy(*keys, label.alias("period")).agg(*[F.avg(v).alias(v) for v in values])
+    labelled by their Sunday; month/year bins by their first day.
+
+    With ``spine`` every bin between the first and the last of a series is
+    there, empty ones with null means, as a regular calendar has them. The bins
+    are generated from each series' first and last bin, inside the tasks.
+    """
+    label = (lambda start: week_label(start)) if unit == "week" else (lambda start: start)
+    means = df.groupBy(*keys, _bin_start(F.col(ts), unit).alias("_bin")).agg(*[F.avg(v).alias(v) for v in values])
+    if spine:
+        ends = means.groupBy(*keys).agg(F.min("_bin").alias("_lo"), F.max("_bin").alias("_hi"))
+        bins = ends.where(F.col("_lo").isNotNull()).select(
+            *keys, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL 1 {unit.upper()}"))).alias("_bin"))
+        means = joined_on(bins, means, [*keys, "_bin"])
+    return means.select(*keys, label(F.col("_bin")).alias("period"), *values)
 
 
 def group_mean(df: DataFrame, keys: Sequence[Column | str], values: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampere.config import Catalog, MARKET_TZ
+from ampere.config import ENERGY, MARKET_TZ, Catalog
 from ampere.functions.time import delivery_date, quarter_of_hour, to_local
 from ampere.operators.lags import lag_fanout, lag_self_join, same_hour_average
 from ampere.session import cut_lineage
@@ -153,3 +153,10 @@ ENERGY_CONSUMPTION = ("total_consumption_forecast_mw", "total_consumption_mw", "
 ENERGY_FORECAST_LAGS_HOURLY = ("wind_offshore_forecast_mw", "solar_forecast_mw")
 ENERGY_FORECAST_LAGS_QH = ("wind_onshore_forecast_mw", "wind_offshore_forecast_mw", "solar_forecast_mw",
                            "residual_load_forecast_mw")
+
+
+def energy_spec(resolution: str = "hour") -> ContractSpec:
+    """The platform's contract of a resolution."""
+    if resolution == "hour":
+        return hourly_spec(ENERGY, ENERGY_LOAD_LAGS, ENERGY_CONSUMPTION, ENERGY_FORECAST_LAGS_HOURLY)
+    return quarter_hourly_spec(ENERGY, ENERGY_LOAD_LAGS, ENERGY_CONSUMPTION, ENERGY_FORECAST_LAGS_QH)

@@ -7,9 +7,11 @@ Spark plans (aggregate-based upsert, fan-out lags) independently.
 
 from __future__ import annotations
 
-from ampere.bindings import (DENSE_START, EVENT_TYPES, EVENT_WEATHER_VARIABLE, EVENTS_CATALOG, REGION_ORDER,
-                             RETIRED_CUT, SLOTS_A_WEEK, VALUE_OFFSET)
-from ampere.config import EASTER_HOLIDAYS, FIXED_HOLIDAYS, WEATHER_VARIABLES
+from collections.abc import Callable
+
+from ampere.bindings import (DENSE_START, ENERGY_TYPES, EVENT_TYPES, EVENT_WEATHER_VARIABLE, EVENTS_CATALOG, REGION_ORDER,
+                             RETIRED_CUT, REVISED_DAY, SLOTS_A_WEEK, VALUE_OFFSET)
+from ampere.config import EASTER_HOLIDAYS, ENERGY, FIXED_HOLIDAYS, WEATHER_VARIABLES
 
 CAT = EVENTS_CATALOG
 
@@ -50,6 +52,32 @@ def dense(sql: str) -> str:
     return f"WITH {DENSE_EVENTS} SELECT * FROM ({sql}) AS _d"
 
 
+def _over_dense(events: str, sql: str) -> str:
+    inner = DENSE_EVENTS.replace("events AS MATERIALIZED", "dense AS MATERIALIZED", 1)
+    return f"WITH {inner}, events AS MATERIALIZED ({events}) SELECT * FROM ({sql}) AS _d"
+
+
+def revised(sql: str) -> str:
+    """A query over the dense binding with the revised day."""
+    return _over_dense(f"SELECT * REPLACE (value + CASE WHEN CAST(ts AS DATE) = DATE '{REVISED_DAY}' THEN 5.0 ELSE 0.0 END AS value) "
+                       "FROM dense", sql)
+
+
+def energy(sql: Callable[[], str]) -> str:
+    """A query over the energy binding, its SQL built with the energy catalogue."""
+    global CAT
+    own, CAT = CAT, ENERGY
+    try:
+        text = sql()
+    finally:
+        CAT = own
+    n = len(ENERGY_TYPES)
+    return _over_dense(f"""SELECT event_id, ts, user_id, event_type, value FROM dense UNION ALL
+  SELECT -1 - event_id * {n} - k AS event_id, ts, user_id, ([{inlist(ENERGY_TYPES)}])[k + 1] AS event_type,
+         value + 30 + (event_id * (k + 3)) % 17 AS value
+  FROM (SELECT *, unnest(generate_series(0, {n - 1})) AS k FROM dense WHERE event_type = 'purchase' AND user_id = 0)""", text)
+
+
 def floor_expr(resolution: str, col: str = "ts") -> str:
     return f"date_trunc('hour', {col})" if resolution == "hour" else f"time_bucket(INTERVAL 15 MINUTE, {col})"
 

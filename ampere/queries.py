@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampere import bindings as B
+from ampere.config import ENERGY
 from ampere.functions.output import tidy
 from ampere.operators.staging import routed
 from ampere.plans import oracle as O
@@ -53,7 +54,8 @@ def warehouse(spark: SparkSession, sf_dir: str, resolution: str = "hour", source
 
 def _build_warehouse(spark: SparkSession, sf_dir: str, resolution: str, source: str = "events") -> Warehouse:
     # each raw table reads only its own signals (IN filter pushed into the scan)
-    tables = {t: sorted({s for s, tt in CAT.table_of() if tt == t}) for t in ("generation", "prices", "neighbour_prices")}
+    catalog = ENERGY if source == "energy" else CAT
+    tables = {t: sorted({s for s, tt in catalog.table_of() if tt == t}) for t in ("generation", "prices", "neighbour_prices")}
     raw = {
         "generation": B.raw_signals(spark, sf_dir, resolution, tables["generation"], source),
         "prices": B.raw_signals(spark, sf_dir, resolution, tables["prices"], source),
@@ -62,7 +64,7 @@ def _build_warehouse(spark: SparkSession, sf_dir: str, resolution: str, source:
         "weather": B.raw_weather(spark, sf_dir, source),
         "weather_forecast": B.raw_weather_forecast(spark, sf_dir, source),
     }
-    return Warehouse(spark, raw, B.EVENTS_CATALOG)
+    return Warehouse(spark, raw, catalog)
 
 
 CAT = B.EVENTS_CATALOG
@@ -1773,4 +1775,4 @@ def random_search_cv_stage2(spark, sf_dir):
     return TU.random_search_cv_stage2(h, q, S1_FEATURES, S2_FEATURES, n_trials=10, n_splits=2, gap=4)
 
 
-from ampere import ingest_queries, model_queries  # noqa: E402,F401  (registers the queries over the dense binding)
+from ampere import ingest_queries, model_queries, report_queries  # noqa: E402,F401  (registers the queries over the dense binding)

@@ -34,25 +34,59 @@ def check_version(version: str) -> str:
     return version
 
 
-def save_versioned(obj, root: str, name: str, now: dt.datetime | None = None) -> str:
-    """Write to ``{root}/{name}/archive/{stamp}`` and mirror to
-    ``{root}/{name}/latest``. ``obj`` is a DataFrame (parameters, betas,
-    reports: written as Parquet) or a Spark ML model/pipeline (ML persistence)."""
+def save_versioned(obj, root: str, name: str, now: dt.datetime | None = None, spark: SparkSession | None = None) -> str:
+    """Write ``obj`` once to ``{root}/{name}/archive/{stamp}``, then publish it as ``latest``.
+
+    ``latest`` is a manifest, one small file that names the archived version
+    and is written only when that is complete: a reader gets the version
+    before or the new one, never half of one, and the plan of a DataFrame
+    (parameters, reports: Parquet) runs once. Other objects are Spark ML
+    models or pipelines (ML persistence). A stamp that is taken is refused.
+    """
     stamp = version_stamp(now)
-    for sub in (f"archive/{stamp}", "latest"):
-        path = f"{root}/{name}/{sub}"
-        if isinstance(obj, DataFrame):
-            obj.write.mode("overwrite").parquet(path)
-        else:
-            obj.write().overwrite().save(path)
+    spark = spark or (obj.sparkSession if isinstance(obj, DataFrame) else SparkSession.active())
+    path = f"{root}/{name}/archive/{stamp}"
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(f"version {stamp} of {name} exists")
+    if isinstance(obj, DataFrame):
+        obj.write.parquet(path)
+    else:
+        obj.write().save(path)
+    _publish(spark, root, name, stamp)
     return stamp
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _publish(spark: SparkSession, root: str, name: str, stamp: str) -> None:
+    """Point ``latest`` at a version: a new file beside it, then one rename over it."""
+    fs, new = _fs(spark, f"{root}/{name}/.latest-{stamp}")
+    out = fs.create(new, True)
+    out.write(bytearray(stamp.encode()))
+    out.close()
+    latest = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/latest")
+    options = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(latest.toUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    args = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    args[0] = overwrite
+    options.rename(new, latest, args)
+
+
+def latest_version(spark: SparkSession, root: str, name: str) -> str:
+    """The version that ``latest`` names."""
+    row = spark.read.text(f"{root}/{name}/latest").first()
+    return check_version(row[0].strip())
+
+
 def load_versioned(spark: SparkSession, root: str, name: str, version: str = "latest", loader=None):
     """Load ``latest`` or an archived version; ``loader`` (e.g.
     ``PipelineModel.load``) for ML models, Parquet otherwise."""
-    check_version(version)
-    path = f"{root}/{name}/latest" if version == "latest" else f"{root}/{name}/archive/{version}"
+    stamp = latest_version(spark, root, name) if check_version(version) == "latest" else version
+    path = f"{root}/{name}/archive/{stamp}"
     return loader(path) if loader is not None else spark.read.parquet(path)
 
 
