@@ -171,8 +171,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     ids = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("y"))
            .orderBy(F.xxhash64("__id"), "__id").limit(max_rows))
-    rows = docs.filter(F.col(text_col).isNotNull()).join(F.broadcast(ids), F.col(id_col) == F.col("__id")).select(
-        F.col(text_col).alias("t"), "y")
+    # only id and text, under own names: other columns may be called anything
+    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("t")).filter("t is not null")
+    rows = texts.join(F.broadcast(ids), F.col("__doc") == F.col("__id")).select("t", "y")
 
     @F.pandas_udf("array<string>")
     def entries(texts: pd.Series) -> pd.Series:
