@@ -20,13 +20,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ampere.llm.common import stored
+
 #: Hash buckets (2**BITS) and size of an embedding.
 BITS, DIM = 14, 16
-#: Sampled rows of one language at about, and languages learned at most.
-ROWS_PER_LANG, MAX_LANGS = 700, 64
+#: Sampled rows of one language at most, and of all languages (each keeps one at least).
+ROWS_PER_LANG, MAX_ROWS = 700, 8_000
 EPOCHS, BATCH, RATE = 12, 32, 0.5
 #: Of the sample, every CALIBRATE-th row is left out of training.
 CALIBRATE = 5
@@ -96,31 +98,38 @@ class LanguageModel:
 
 
 def fit_language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    rows_per_lang: int = ROWS_PER_LANG, seed: int = 7) -> LanguageModel | None:
-    """Train on about ``rows_per_lang`` rows of each language, chosen by hash.
+                    rows_per_lang: int = ROWS_PER_LANG, max_rows: int = MAX_ROWS, seed: int = 7) -> LanguageModel | None:
+    """Train on up to ``rows_per_lang`` rows of every language, least hash first.
 
-    Spark turns the sampled texts into sparse features; the driver holds at
-    most ``rows_per_lang * MAX_LANGS`` of them, of ``2**BITS`` buckets each.
+    With many languages each takes a smaller share of ``max_rows``, but no
+    language is left out that has a row with a letter. Spark turns the sampled
+    texts into sparse features of at most ``2**BITS`` buckets; the driver holds
+    those of ``max_rows`` texts (or one for each language).
     """
-    known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    n = known.groupBy(F.col(lang_col).alias("l")).count().orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()
-    if not n:
+    known = docs.select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"),
+                        F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)).alias("h")).filter(
+                            F.col("l").isNotNull() & F.col("t").rlike("\\p{L}"))
+    counts = known.groupBy(F.col("l").alias("of")).agg(F.count("*").alias("n"))
+    counts = stored(counts, "language-counts")
+    n_langs = counts.count()
+    if not n_langs:
         return None
-    share = F.create_map(*[x for r in n for x in (F.lit(r["l"]), F.lit(rows_per_lang / r["count"]))])
-    pick = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(1_000_003)) / 1_000_003
-    sample = known.filter(pick < F.coalesce(F.try_element_at(share, F.col(lang_col)), F.lit(0.0)))
+    each = max(1, min(rows_per_lang, max_rows // n_langs))
+    # a filter by hash leaves about twice the rows wanted, so that the window below sees few
+    part = (F.pmod(F.col("h"), F.lit(1_000_003)) / 1_000_003) * F.col("n") < 2 * each + 20
+    near = known.join(counts, F.col("l") == F.col("of")).filter(part).select("l", "t", "h")
+    first = F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))
+    sample = near.withColumn("k", first).filter(F.col("k") <= each)
 
     @F.pandas_udf("struct<i:array<int>, v:array<float>>")
     def sparse(texts: pd.Series) -> pd.DataFrame:
-        rows = [features(t) if has_letter(t) else (np.zeros(0, np.int32), np.zeros(0, np.float32)) for t in texts]
+        rows = [features(t) for t in texts]
         return pd.DataFrame({"i": [r[0] for r in rows], "v": [r[1] for r in rows]})
 
-    rows = (sample.select(F.col(lang_col).alias("l"), F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)).alias("h"),
-                          sparse(F.col(text_col)).alias("x")).filter(F.size("x.i") > 0)
-            .orderBy("h", "l").limit(rows_per_lang * 2 * len(n)).select("l", "x.i", "x.v").toPandas())
+    rows = sample.select("l", "h", sparse("t").alias("x")).select("l", "h", "x.i", "x.v").toPandas()
     if rows.empty:
         return None
-    return _train(rows, sorted(rows["l"].unique()), seed)
+    return _train(rows.sort_values(["h", "l"], kind="stable").reset_index(drop=True), sorted(rows["l"].unique()), seed)
 
 
 def _dense(rows: pd.DataFrame) -> np.ndarray:
@@ -147,7 +156,7 @@ def _train(rows: pd.DataFrame, langs: list[str], seed: int) -> LanguageModel:
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS) + 0.01
         for at in range(0, len(train), BATCH):
-            k = rng.permutation(train)[:BATCH] if epoch == 0 else train[at:at + BATCH]
+            k = train[at:at + BATCH]
             x = _dense(rows.iloc[k])
             h = x @ emb
             p = _softmax(h @ w + bias)
