@@ -53,6 +53,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so (names don't tell cases apart)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without_ids(df: DataFrame, drop: DataFrame, id_col: str) -> DataFrame:
     """``df`` without the rows whose id is in ``drop`` (one stored column).
 

@@ -1,11 +1,11 @@
 """Exact dedup by progressive refinement, in DataFrame operations only.
 
-Rows are grouped by the length of the normalised text, then by a hash of its
-prefix; only the rows that still share both with another row have their full
-content hashed and compared. The first pass shuffles two numbers a row,
-counted map-side; the second shuffles one digest a surviving row. Texts
-themselves are never shuffled, unless the surviving (length, prefix) groups
-are too many to broadcast.
+Lengths of the normalised texts are counted first. Only rows of a length that
+repeats get a hash of their prefix, and only rows that still share length and
+prefix with another row have their full content hashed and compared. The
+first two steps shuffle counted numbers, the last one digest a surviving row.
+Texts themselves are never shuffled, unless the surviving lengths or (length,
+prefix) groups are too many to broadcast.
 
 Defined cases: null counts as the empty text; of equal texts the smallest id
 stays (null ids come last; if all are null, none is smallest and all stay);
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ampere.llm.common import one_space, stored, without_ids
+from ampere.llm.common import one_space, stored, unused, without_ids
 
 #: Characters that the prefix hash covers.
 PREFIX_CHARS = 128
@@ -26,20 +26,23 @@ PREFIX_CHARS = 128
 BROADCAST_GROUPS = 2_000_000
 
 
+def _few(groups: DataFrame) -> DataFrame:
+    """Broadcast if counted to at most :data:`BROADCAST_GROUPS` rows."""
+    return F.broadcast(groups) if groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS else groups
+
+
 def surviving_groups(texts: DataFrame, norm: Column) -> DataFrame:
     """The (n_bytes, prefix_hash) groups of two rows or more.
 
-    First lengths, then prefixes of the lengths that repeat. Rows of one
-    length and prefix are counted map-side, so a common text costs no more
-    than a rare one.
+    First lengths alone, then prefixes of the rows whose length repeats. Rows
+    of one length or prefix are counted map-side, so a common text costs no
+    more than a rare one.
     """
-    seen = (texts.select(norm.alias("t"))
-            .select(F.octet_length("t").alias("n_bytes"),
-                    F.xxhash64(F.substring("t", 1, PREFIX_CHARS)).alias("prefix_hash"))
-            .groupBy("n_bytes", "prefix_hash").agg(F.count("*").alias("n")))
-    by_length = seen.groupBy("n_bytes").agg(F.sum("n").alias("n_of_length")).filter("n_of_length > 1")
-    return (seen.join(by_length.select("n_bytes"), "n_bytes", "left_semi")
-            .filter("n > 1").select("n_bytes", "prefix_hash"))
+    sized = texts.select(norm.alias("t")).withColumn("n_bytes", F.octet_length("t"))
+    lengths = stored(sized.groupBy("n_bytes").agg(F.count("*").alias("n")).filter("n > 1").select("n_bytes"), "dedup-lengths")
+    prefix = F.xxhash64(F.substring("t", 1, PREFIX_CHARS)).alias("prefix_hash")
+    return (sized.join(_few(lengths), "n_bytes", "left_semi").select("n_bytes", prefix)
+            .groupBy("n_bytes", "prefix_hash").agg(F.count("*").alias("n")).filter("n > 1").select("n_bytes", "prefix_hash"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -53,12 +56,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     norm = one_space(F.col("text"))
     groups = stored(surviving_groups(docs, norm), "dedup-groups").withColumn("survives", F.lit(True))
-    if groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
-        groups = F.broadcast(groups)
     keyed = (docs.select("id", norm.alias("t"))
              .withColumn("n_bytes", F.octet_length("t"))
              .withColumn("prefix_hash", F.xxhash64(F.substring("t", 1, PREFIX_CHARS)))
-             .join(groups, ["n_bytes", "prefix_hash"], "left"))
+             .join(_few(groups), ["n_bytes", "prefix_hash"], "left"))
     full = F.sha2(F.col("t").cast("binary"), 256)
     rows = stored(keyed.select(
         "id", "survives", (full if digest_all else F.when(F.col("survives"), full)).alias("text_sha256")),
@@ -67,7 +68,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies = stored(rows.filter("survives").groupBy("text_sha256")
                     .agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"),
                     "dedup-copies")
-    return (rows.join(copies, "text_sha256", "left")
+    # rows that survived no step have no copy: they stay out of the join, whose key many of them would share as a null
+    alone = rows.filter("survives is null").withColumns({"keep_id": F.col("id"), "group_size": F.lit(None).cast("long")})
+    both = rows.filter("survives").join(copies, "text_sha256", "left").unionByName(alone)
+    return (both
             .select("id", F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256")
             .withColumn("kept", F.col("keep_id").eqNullSafe(F.col("id")))
@@ -88,16 +92,16 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     out = without_ids(docs.filter(F.col(id_col).isNotNull()),
                       dropped.filter("id is not null").select("id").unionByName(repeated), id_col)
     digest = F.sha2(one_space(F.col(text_col)).cast("binary"), 256)
+    key = unused(docs, "__key")
     if not repeated.isEmpty():
-        ids = repeated.select(F.col("id").alias("__id"))
-        gone = dropped.select(F.col("id").alias("__id"), F.col("text_sha256").alias("__key")).distinct()
-        rows = (docs.join(ids, F.col(id_col) == F.col("__id"), "left_semi")
-                .withColumn("__key", digest).dropDuplicates([id_col, "__key"]))
-        out = out.unionByName(rows.join(gone, (rows[id_col] == gone["__id"]) & (rows["__key"] == gone["__key"]),
-                                        "left_anti").drop("__key"))
+        gone = dropped.select(F.col("id").alias("gone_id"), F.col("text_sha256").alias("gone_key")).distinct()
+        rows = (docs.join(repeated, docs[id_col] == repeated["id"], "left_semi")
+                .withColumn(key, digest).dropDuplicates([id_col, key]))
+        out = out.unionByName(rows.join(gone, (rows[id_col] == gone["gone_id"]) & (rows[key] == gone["gone_key"]),
+                                        "left_anti").drop(key))
     if not groups.filter("id is null").isEmpty():
         named = groups.filter("id is not null and text_sha256 is not null").select(
-            F.col("text_sha256").alias("__sha")).distinct()
-        rows = docs.filter(F.col(id_col).isNull()).withColumn("__key", digest).dropDuplicates(["__key"])
-        out = out.unionByName(rows.join(named, rows["__key"] == named["__sha"], "left_anti").drop("__key"))
+            F.col("text_sha256").alias("named_key")).distinct()
+        rows = docs.filter(F.col(id_col).isNull()).withColumn(key, digest).dropDuplicates([key])
+        out = out.unionByName(rows.join(named, rows[key] == named["named_key"], "left_anti").drop(key))
     return out

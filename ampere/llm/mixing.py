@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampere.llm.common import BROADCAST_IDS, stored, words_of
+from ampere.llm.common import BROADCAST_IDS, stored, words_of, unused
 
 #: Times that a source may be repeated at most.
 MAX_EPOCHS = 3
@@ -116,12 +116,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", weight: Column | No
     come back, so rows of null or repeated ids keep their own decisions.
     Texts are not shuffled unless the decisions are too many to broadcast.
     """
-    extra = {} if weight is None else {"__weight": weight}
-    rows = stored(docs.withColumns({"__row": F.monotonically_increasing_id(), **extra}), "mix-documents")
-    mix = mix_sources(rows, F.col("__weight") if extra else None, id_col=id_col, row_col="__row", **kw)
-    found = stored(mix.filter("copies > 0").select(F.col("__row").alias("__of"), F.col("copies").alias("__copies")),
-                   "mix-copies")
+    row, own, of, copies, copy = (unused(docs, n) for n in ("__row", "__weight", "__of", "__copies", "__copy"))
+    extra = {} if weight is None else {own: weight}
+    rows = stored(docs.withColumns({row: F.monotonically_increasing_id(), **extra}), "mix-documents")
+    mix = mix_sources(rows, F.col(own) if extra else None, id_col=id_col, row_col=row, **kw)
+    found = stored(mix.filter("copies > 0").select(F.col(row).alias(of), F.col("copies").alias(copies)), "mix-copies")
     side = F.broadcast(found) if found.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else found
-    return (rows.join(side, F.col("__row") == F.col("__of"))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return (rows.join(side, F.col(row) == F.col(of))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
             .select(*[rows[c] for c in docs.columns]))

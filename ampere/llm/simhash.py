@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ampere.llm.common import components, stored, without_ids
+from ampere.llm.common import components, stored, unused, without_ids
 
 #: Segments of a fingerprint; with 4 bits each a count takes 0 to 4.
 SEGMENTS = 16
@@ -156,10 +156,10 @@ def drop_near_copies(docs: DataFrame, n_words: int = 3, max_bits: int = 2, id_co
     if not repeated.isEmpty():
         keep = (found.filter("id = component_id").join(repeated, "id", "left_semi")
                 .groupBy("id", "root").agg(F.min("fp").alias("fp"))
-                .select(F.col("id").alias("__id"), F.col("fp").alias("__keep")))
-        ids = repeated.select(F.col("id").alias("__id"))
-        rows = (docs.join(ids, F.col(id_col) == F.col("__id"), "left_semi")
-                .withColumn("__fp", simhash(F.col(text_col), n_words)).dropDuplicates([id_col, "__fp"]))
-        out = out.unionByName(rows.join(keep, (rows[id_col] == keep["__id"]) & (rows["__fp"] == keep["__keep"]),
-                                        "left_semi").drop("__fp"))
+                .select(F.col("id").alias("keep_id"), F.col("fp").alias("keep_fp")))
+        fp = unused(docs, "__fp")
+        rows = (docs.join(repeated, docs[id_col] == repeated["id"], "left_semi")
+                .withColumn(fp, simhash(F.col(text_col), n_words)).dropDuplicates([id_col, fp]))
+        out = out.unionByName(rows.join(keep, (rows[id_col] == keep["keep_id"]) & (rows[fp] == keep["keep_fp"]),
+                                        "left_semi").drop(fp))
     return out
