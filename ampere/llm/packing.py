@@ -9,6 +9,13 @@ need a place, beside the emptiest bins that can give one; the fuller rest
 gains nothing from further rounds and is emitted. Rounds carry numbers only;
 texts are read once, to be tokenised.
 
+Why handing on the :data:`HANDED_ON` emptiest bins of a group loses no merge:
+two bins merge only if one of them is half full or less. Best fit leaves at
+most one such bin in a group, so at most ``FAN_IN`` bins are placed as items
+in a group of the next round, and ``FAN_IN`` times the number of rounds over
+the whole tree can take a place in a group's bins. Whatever fits some bin
+fits the emptiest ones, which are there.
+
 Defined cases: null and empty texts have the closing id alone; longer
 documents are cut so that the first piece may be shorter and the others are
 full; repeated rows are packed each; empty tables give empty results.
@@ -35,7 +42,7 @@ ITEMS_PER_GROUP = 40_000
 FAN_IN = 8
 #: A bin with at most this share of its room left is emitted at once.
 NEARLY_FULL = 1 / 128
-#: Bins handed on by a group at most (the emptiest; the rest are emitted).
+#: Bins handed on by a group (the emptiest; the rest are emitted): far more than can take another one.
 HANDED_ON = 4_000
 
 

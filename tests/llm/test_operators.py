@@ -32,7 +32,8 @@ def rows(docs):
 
 
 #: Columns whose names the operators use inside.
-CLASHING = ("id", "key", "size", "score", "b", "h", "fp", "text_sha256", "n_bytes", "shard", "item", "n", "words", "low", "t")
+CLASHING = ("id", "key", "size", "score", "b", "h", "fp", "text_sha256", "n_bytes", "shard", "item", "n", "words", "low", "t",
+            "y", "l", "of", "__id", "__doc", "__of", "__copies", "__fp", "__key", "__drop_id", "__row", "__sha", "survives")
 
 
 @pytest.fixture(scope="module")
@@ -686,3 +687,60 @@ def test_pipeline_keeps_rows_of_null_ids(spark, odd):
     assert {(r.doc_id, r.text) for r in out} <= sized
     assert (None, "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau. ") in sized
     assert any(r.doc_id is None for r in out)
+
+
+# --- caps that are gone ------------------------------------------------------
+
+def test_every_language_is_learned(spark):
+    """More languages than one batch has rows; each has words of its own."""
+    from ampere.llm.language_id import fit_language_id, identify_language
+    langs = [f"x{k:02d}" for k in range(90)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    stem = {v: "".join(letters[(7 * k + j * (k % 5 + 1) + k // 26) % 26] for j in range(5)) for k, v in enumerate(langs)}
+    rows = [(100 * k + i, f"{stem[v]} {stem[v]}{letters[i]} {letters[i]}{stem[v]}", v) for k, v in enumerate(langs) for i in range(26)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_language_id(df)
+    assert model.langs == langs
+    assert len(fit_language_id(df, max_rows=20).langs) == 90      # the bound is on rows: one of each stays
+    got = identify_language(df, model).join(df, "doc_id").where("lang = lang_pred").count()
+    assert got > 0.6 * len(rows)
+
+
+def test_language_ties_and_repeated_rows(spark):
+    from ampere.llm.language_id import fit_language_id, identify_language
+    rows = [(1, "guten tag", "de"), (1, "guten tag", "de"), (2, "good day", "en"), (None, "good day", "en"), (3, "123", "fr"), (4, None, "es")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    a, b = fit_language_id(df), fit_language_id(df.repartition(5))
+    assert a.langs == ["de", "en"] and (a.table == b.table).all()
+    assert identify_language(df, a).count() == 6
+
+
+def test_refinement_hashes_survivors_only(spark):
+    """Prefixes are taken of rows with a repeated length, digests of rows with a repeated prefix."""
+    from pyspark.sql import functions as F
+
+    from ampere.llm.exact_dedup import exact_groups, surviving_groups
+    from ampere.llm.common import one_space
+    texts = ["a", "bb", "cc", "dd dd", "ddddd", "x" * 200 + "1", "x" * 200 + "2", "bb"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = {r.n_bytes for r in surviving_groups(df, one_space(F.col("text"))).collect()}
+    assert groups == {2, 201}
+    got = {r.doc_id: r for r in exact_groups(df).collect()}
+    assert [k for k, r in got.items() if r.text_sha256 is not None] and got[0].text_sha256 is None and got[3].text_sha256 is None
+    assert got[1].group_size == 2 and not got[7].kept and got[5].kept and got[6].kept
+
+
+def test_toxicity_matches_equal_brute_force():
+    """Whole-word and stem matches of random texts, against a word-by-word reading."""
+    import random
+
+    from ampere.llm.toxicity import ToxicityModel
+    rng = random.Random(3)
+    entries = {"abc": 1.0, "bca*": 2.0, "cab": 4.0, "acc*": 8.0}
+    m = ToxicityModel(entries, exceptions=())
+    a = m.automaton()
+    for _ in range(600):
+        text = "".join(rng.choice("abc  .,") for _ in range(rng.randrange(40)))
+        hits = [x for w in re.findall("[abc]+", text) for e, x in entries.items()
+                if w == e or (e.endswith("*") and w.startswith(e[:-1]))]
+        assert m.matches(a, text) == (sum(hits), len(hits)), text
