@@ -61,7 +61,14 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: The elements beyond which such a closing does not reach.
 SCOPE = frozenset("ul ol dl table body article section div main select".split())
 DROPPED = frozenset("nav footer aside form script style noscript template iframe svg button select textarea dialog menu "
-                    "head title object canvas audio video math input label".split())
+                    "head title object canvas audio video input".split())
+#: Blocks of running text: an inline element inside is a part of the sentence, whatever it is called.
+RUNNING = frozenset("p li dd dt td th blockquote figcaption caption pre h1 h2 h3 h4 h5 h6".split())
+#: Elements nested deeper stand in the tree with the one at this depth, as browsers bound nesting, too.
+MAX_DEPTH = 64
+#: Words of class names that mark the by-line, date and tools of an article's header.
+BYLINE = frozenset("byline author authors meta date time dateline published updated posted tags tag category info kicker "
+                   "credit credits".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 #: Words of class names and ids that mark boilerplate.
@@ -74,9 +81,9 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
 OWN = frozenset("article entry post content story main".split())
 
 
-def _names(attrs: str) -> tuple[tuple[str, ...], bool]:
-    """The classes in order, and whether names or roles mark boilerplate."""
-    classes, marked = (), bool(_HIDDEN.search(attrs))
+def _names(attrs: str) -> tuple[tuple[str, ...], bool, bool]:
+    """The classes in order, whether names or roles mark boilerplate, and whether they mark a by-line."""
+    classes, marked, byline = (), bool(_HIDDEN.search(attrs)), False
     for m in _NAMES.finditer(attrs):
         value = (m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() == "role":
@@ -89,7 +96,8 @@ def _names(attrs: str) -> tuple[tuple[str, ...], bool]:
             if words and words[0] in OWN:
                 words = [w for w in words if w not in ("header", "banner", "content")]
             marked |= any(w in MARKS for w in words)
-    return classes, marked
+            byline |= any(w in BYLINE for w in words)
+    return classes, marked, byline
 
 
 class Page:
@@ -117,20 +125,22 @@ class Page:
 
     def _open(self, tag: str, attrs: str) -> None:
         _, path, dropped, inside = self._stack[-1] if self._stack else ("", "", False, False)
-        classes, marked = _names(attrs) if len(attrs) > 2 else ((), False)
-        here = ".".join((tag, *classes))
+        classes, marked, byline = _names(attrs) if len(attrs) > 2 else ((), False, False)
+        here = ".".join((tag, *classes)).replace("%", "%25").replace("/", "%2F")   # a sign of the path
         drop = tag in DROPPED or (marked and tag not in ("html", "body"))
         if inside and (tag == "header" or tag in HEADINGS):
             drop = False  # an article's own headings are its text
         elif tag == "header":
             drop = True
         elif inside and not dropped and self._stack[-1][0] == "header":
-            drop = True  # bylines and the like
+            drop = drop or byline or tag != "p" or bool(attrs.strip(" />"))  # by-lines and the like; a bare paragraph is a lead
         if tag in ("article", "main") and not drop and not dropped:
             inside, self.marks_article = True, True
         if not dropped:
             self.children.setdefault(path, []).append(here)
-        self._stack.append((tag, f"{path}/{here}", dropped or drop, inside))
+        if len(self._stack) < MAX_DEPTH:
+            path = f"{path}/{here}"
+        self._stack.append((tag, path, dropped or drop, inside))
 
     def _read(self, source: str) -> None:
         at, n = 0, len(source)
@@ -179,7 +189,9 @@ class Page:
         if tag in VOID:
             return
         if tag in BLOCK or tag in DROPPED or self._dropped() or len(attrs) > 2:
-            if tag not in BLOCK and tag not in DROPPED and not self._dropped() and not _names(attrs)[1]:
+            hidden = bool(_HIDDEN.search(attrs))
+            if tag not in BLOCK and tag not in DROPPED and not self._dropped() and (
+                    not _names(attrs)[1] or (not hidden and self._in_sentence())):
                 # an inline element around text of the same block
                 top = self._stack[-1] if self._stack else ("", "", False, False)
                 self._stack.append((tag, top[1], False, top[3]))
@@ -189,6 +201,10 @@ class Page:
             top = self._stack[-1] if self._stack else ("", "", False, False)
             self._stack.append((tag, top[1], top[2], top[3]))
 
+    def _in_sentence(self) -> bool:
+        """Whether text of a running block stands before, so that what begins here goes on with it."""
+        return bool("".join(self._text).strip()) and any(t[0] in RUNNING for t in reversed(self._stack))
+
     def _close_open(self, tags: set[str], scope: frozenset[str]) -> None:
         for depth in range(len(self._stack) - 1, -1, -1):
             if self._stack[depth][0] in tags:

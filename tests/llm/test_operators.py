@@ -744,3 +744,23 @@ def test_toxicity_matches_equal_brute_force():
         hits = [x for w in re.findall("[abc]+", text) for e, x in entries.items()
                 if w == e or (e.endswith("*") and w.startswith(e[:-1]))]
         assert m.matches(a, text) == (sum(hits), len(hits)), text
+
+
+def test_html_keeps_sentences_whole():
+    from ampere.llm.html_extract import main_text
+    text = lambda s: main_text(s, set())
+    assert text("<article><p>Euler: <math><mi>e</mi></math> is it</p></article>") == "Euler: e is it"
+    assert text("<article><p>The <span class='share'>share of voters</span> rose.</p></article>") == "The share of voters rose."
+    assert text("<article><p>Go <b>on</b></p><span class='share'>Share this</span></article>") == "Go on"
+    assert text("<article><p>Go <span class='ad' hidden>hidden</span> on</p></article>") == "Go on"
+    header = "<header><h1>Title</h1><p>The lead.</p><p class='byline'>By X</p><div class='meta'>1 May</div></header>"
+    assert text(f"<article>{header}<p>Body.</p><label>A label</label></article>") == "Title\n\nThe lead.\n\nBody.\n\nA label"
+
+
+def test_html_paths_tell_classes_apart_and_stay_short():
+    from ampere.llm.html_extract import MAX_DEPTH, Page
+    page = Page("<div class='w-1/2'><p>a</p></div><div class='w-1/3'><p>b</p></div><div class='w-1%2F3'><p>c</p></div>")
+    paths = [p for p, _, _ in page.blocks]
+    assert len(set(paths)) == 3 and all(p.count("/") == 2 for p in paths)
+    deep = Page("<div class='c'>w " * 30_000)
+    assert len(deep.blocks) == 30_000 and max(p.count("/") for p, _, _ in deep.blocks) == MAX_DEPTH
