@@ -126,6 +126,15 @@ def holiday_join(spine: DataFrame, holidays: DataFrame, day: str = "date_day") -
     return joined.select(F.col(day), *calendar_columns(day, holiday=F.col("_hname")))
 
 
+def calendar_join(facts: DataFrame, dim: DataFrame, ts: str = "timestamp", day: str = "date_day") -> DataFrame:
+    """C4: attributes of the (UTC) day from a date dimension; rows of days that it doesn't cover keep nulls.
+
+    The dimension is broadcast: it has a row a day and its holidays are known
+    for 300 years, so it has at most 109,573 rows however many facts there are.
+    """
+    return facts.join(F.broadcast(dim), F.to_date(F.col(ts)) == dim[day], "left")
+
+
 def dimension_for(df: DataFrame, ts: str = "timestamp", day: str = "date_day") -> DataFrame:
     """Date dimension covering the (UTC) dates of ``df[ts]``; derived from the data."""
     bounds = df.agg(F.min(F.to_date(ts)).alias("start"), F.max(F.to_date(ts)).alias("end"))

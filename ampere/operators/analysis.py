@@ -226,3 +226,20 @@ def lead_correlation(df: DataFrame, x: str, y: str, order: str = "timestamp",
     led = row_lag_indexed(df, {-1: {y: "_lead"}}, order, partition)
     g = led.groupBy(*partition) if partition else led.groupBy()
     return g.agg(F.corr(x, "_lead").alias(out))
+
+
+#: Multiplicative hash of integer keys: range of the hash (a prime) and factor.
+KEY_RANGE, KEY_FACTOR = 2_147_483_647, 1_103_515_245
+
+
+def sample_by_key(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
+    """Rows whose integer ``key`` hashes below ``fraction``.
+
+    Equal keys are taken or left together, and the same rows come out however
+    the data are partitioned; a null key is left out. Only a filter: no shuffle.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction {fraction} is not between 0 and 1")
+    k = F.col(key).cast("long")
+    h = F.pmod((F.pmod(k, F.lit(KEY_RANGE)) + F.lit(seed % KEY_RANGE)) % KEY_RANGE * F.lit(KEY_FACTOR), F.lit(KEY_RANGE))
+    return df.where(h < fraction * KEY_RANGE)

@@ -101,7 +101,7 @@ def hybrid_day_forecast(stitched: DataFrame, single_run: DataFrame, cutover: str
     return stitched.where(~use_single).unionByName(single_run.where(use_single))
 
 
-def live_forecast_stamp(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Live forecast: fetched now, issued at the start of the valid day."""
-    return (df.withColumn("fetched_at", F.current_timestamp())
+def live_forecast_stamp(df: DataFrame, ts: str = "timestamp", now: Column | None = None) -> DataFrame:
+    """Live forecast: fetched now (or at ``now``), issued at the start of the valid day."""
+    return (df.withColumn("fetched_at", F.current_timestamp() if now is None else now)
               .withColumn("issue_timestamp", F.date_trunc("DAY", F.col(ts))))
