@@ -7,7 +7,10 @@ over the host's distinct pages are taken from counted rows: that of its presenta
 found on all pages says nothing, one found on a single page all). A
 branch is a template if its combined importance is low and no element with
 text in it is important or too rare to judge; templates are removed from
-every page, inside articles and outside. Parts that are boilerplate by their
+every page, inside articles and outside. Sibling elements of one tag and class
+are one element of the tree, whose texts are averaged; so a single text that
+stands in such an element on nearly all pages (``SHARED``) says nothing
+either and goes by itself, beside siblings that stay. Parts that are boilerplate by their
 element, role or class name (menus, footers, adverts, comments and so on) are
 removed in any case. A marked article is one more sign: of what stays, only
 the article is taken, unless most of the text stands outside of it (as with
@@ -41,6 +44,8 @@ MIN_PAGES = 8
 #: Weight of a branch's content against its presentation, and the least
 #: importance that stays.
 CONTENT_WEIGHT, LEAST = 0.8, 0.3
+#: Share of a host's distinct pages that show a text which is removed by itself.
+SHARED = 0.9
 #: Removed branches broadcast at most (about 100 bytes each).
 BROADCAST_BRANCHES = 200_000
 
@@ -230,12 +235,11 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def style_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """Distinct (host, path, kind, digest) of every distinct page: what the tree merges.
+def page_trees(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """(host, tree) of every distinct page, a line for each style and each text of the page.
 
-    Kind 0 is a style, 1 a text in the branch, 2 says that the element has
-    text of its own; path '' stands for the page. Copies are reduced to one
-    by their styles, paths and text digests, before branches are spelled out.
+    Copies are reduced to one by their styles, paths and text digests, before
+    branches are spelled out.
     """
 
     @F.pandas_udf("string")
@@ -246,9 +250,23 @@ def style_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
                 page = Page(s or "")
                 # neither paths nor digests hold white space
                 lines = [f"0 {_digest(' '.join(c))} {p}" for p, c in sorted(page.children.items()) if p]
-                out.append("\n".join(lines + [f"1 {_digest(text)} {path}" for path, text, _ in page.blocks]))
+                out.append("\n".join(lines + [_text_line(path, text) for path, text, _ in page.blocks]))
             yield pd.Series(out, dtype="str")
 
+    return pages.select(host_of(F.col(url_col)).alias("host"), tree(F.col(html_col)).alias("tree")).distinct()
+
+
+def _text_line(path: str, text: str) -> str:
+    return f"1 {_digest(text)} {path}"
+
+
+def style_nodes(trees: DataFrame) -> DataFrame:
+    """Distinct (host, path, kind, digest) of every distinct page: what the tree merges.
+
+    Kind 0 is a style, 1 a text in the branch, 2 says that the element has
+    text of its own; path '' stands for the page.
+    """
+
     @F.pandas_udf("array<struct<path:string, kind:int, digest:bigint>>")
     def nodes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for trees in batches:
@@ -265,8 +283,19 @@ def style_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
                 out.append([{"path": p, "kind": k, "digest": d} for p, k, d in found])
             yield pd.Series(out)
 
-    distinct = pages.select(host_of(F.col(url_col)).alias("host"), tree(F.col(html_col)).alias("tree")).distinct()
-    return distinct.select("host", F.explode(nodes("tree")).alias("x")).select("host", "x.*")
+    return trees.select("host", F.explode(nodes("tree")).alias("x")).select("host", "x.*")
+
+
+def shared_texts(trees: DataFrame) -> DataFrame:
+    """(host, path) of single texts to remove, the path being the text's line of the tree (it begins with '1 ').
+
+    A text goes if at least ``MIN_PAGES`` and ``SHARED`` of the host's distinct pages show it in the same element.
+    """
+    m = trees.groupBy("host").agg(F.count("*").alias("m")).filter(F.col("m") >= MIN_PAGES)
+    lines = F.array_distinct(F.filter(F.split("tree", "\n"), lambda x: x.startswith("1 ")))
+    counts = trees.select("host", F.explode(lines).alias("path")).groupBy("host", "path").agg(F.count("*").alias("c"))
+    return (counts.filter(F.col("c") >= MIN_PAGES).join(m, "host")
+            .filter(F.col("c") >= SHARED * F.col("m")).select("host", "path"))
 
 
 def low_branches(nodes: DataFrame) -> DataFrame:
@@ -314,7 +343,8 @@ def main_text(source: str | None, low: set[str]) -> str:
     blocks = page.blocks
     if low:
         where = {path: _in_branch(path, low) for path in {b[0] for b in blocks}}
-        blocks = [b for b in blocks if not where[b[0]]] or blocks
+        single = any(p.startswith("1 ") for p in low)
+        blocks = [b for b in blocks if not where[b[0]] and not (single and _text_line(b[0], b[1]) in low)] or blocks
     if page.marks_article:
         inside = sum(len(t) for _, t, i in blocks if i)
         if 2 * inside >= sum(len(t) for _, t, _ in blocks):
@@ -326,7 +356,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """id, url, text and n_chars of every page."""
     pages = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                          host_of(F.col(url_col)).alias("host"))
-    low = stored(low_branches(style_nodes(pages, "url", "html")), "style-tree")
+    trees = stored(page_trees(pages, "url", "html"), "page-trees")
+    low = stored(low_branches(style_nodes(trees)).unionByName(shared_texts(trees)), "style-tree")
     few = low.limit(BROADCAST_BRANCHES + 1).count() <= BROADCAST_BRANCHES
     low = low.groupBy(F.col("host").alias("h")).agg(F.collect_list("path").alias("low"))
     rows = pages.join(F.broadcast(low) if few else low, F.col("host") == F.col("h"), "left")

@@ -369,3 +369,31 @@ def test_quality_odd_rows(spark, odd_docs):
     assert classify_quality(odd_docs.filter("false"), labels).collect() == []
     for t in (None, "", " ", "a", "!!!", "\U0001F600"):
         assert len(statistics(t)) == len(STATISTICS) and np.isfinite(statistics(t)).all()
+
+
+def test_html_single_shared_text_goes_beside_own_siblings(spark):
+    from ampere.llm.html_extract import extract_main_text
+    page = ("<html><body><div class=c1><p>Start</p><p>News</p></div><div class=c2><p>Story {0} first</p><p>Story {0} second</p></div>"
+            "<div class=c3><p>All rights reserved</p><p>Read next: story {0}</p></div></body></html>")
+    one = ("<html><body><div class=c2><p>Same notice</p></div></body></html>")
+    data = [(k, "http://plain.example/x", page.format(k)) for k in range(200)]
+    data += [(k, "http://plain.example/x", page.format(k - 200)) for k in range(200, 260)]   # copies count once
+    data += [(k, "http://seven.example/x", page.format(k)) for k in range(300, 307)]   # too few pages to judge
+    data += [(400, "http://plain.example/x", one), (401, "http://plain.example/x", None)]
+    got = {r.page_id: r.text for r in extract_main_text(
+        spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(data)
+    for k in range(200):
+        assert got[k] == f"Story {k} first\n\nStory {k} second\n\nRead next: story {k}"
+    assert got[250] == got[50]
+    assert got[300].startswith("Start\n\nNews\n\nStory 300 first") and "All rights reserved" in got[300]
+    assert got[400] == "Same notice" and got[401] == ""
+
+
+def test_html_text_on_fewer_pages_than_the_share_stays(spark):
+    from ampere.llm.html_extract import extract_main_text
+    page = "<html><body><div class=c2><p>Story {0} first</p>{1}<p>Story {0} second</p></div></body></html>"
+    data = [(k, "http://h.example/", page.format(k, "<p>A passage that many share</p>" if k % 5 else "")) for k in range(100)]
+    got = {r.page_id: r.text for r in extract_main_text(
+        spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert all(("A passage that many share" in got[k]) == bool(k % 5) for k in range(100))
