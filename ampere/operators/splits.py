@@ -90,3 +90,21 @@ def ts_cv_folds(df: DataFrame, n_splits: int, gap: int, order: str = "timestamp"
     role = (F.when((F.col("row_idx") >= test_start) & (F.col("row_idx") < test_start + t), "test")
              .when(F.col("row_idx") < test_start - gap, "train"))
     return j.withColumn("role", role).where(F.col("role").isNotNull()).drop("_n")
+
+
+def ts_cv_roles(df: DataFrame, n_splits: int, gap: int, order: str = "timestamp") -> DataFrame:
+    """The folds of :func:`ts_cv_folds` with every row once.
+
+    The training sets grow, so a row is told by the first fold that trains on
+    it (``train_from``, ``n_splits + 1`` if none does); test sets are disjoint
+    (``test_fold``, null outside of them).
+    """
+    idx = global_row_index(df, order)
+    j = idx.withColumn("_n", idx.agg(F.count(F.lit(1))).scalar())
+    t = F.floor(F.col("_n") / (n_splits + 1))
+    folds, row = F.sequence(F.lit(1), F.lit(n_splits)), F.col("row_idx")
+    start = lambda i: F.col("_n") - (F.lit(n_splits) - i + 1) * t
+    trained = F.get(F.filter(folds, lambda i: row < start(i) - gap), F.lit(0))
+    tested = F.get(F.filter(folds, lambda i: (row >= start(i)) & (row < start(i) + t)), F.lit(0))
+    return (j.withColumn("train_from", F.coalesce(trained, F.lit(n_splits + 1)).cast("long"))
+             .withColumn("test_fold", tested.cast("long")).drop("_n"))
