@@ -134,6 +134,20 @@ class Warehouse:
         return getattr(self, name)
 
 
+#: The layer of a product, by the first part of its name.
+LAYERS = {"stg": "staging", "fct": "analytics", "dim": "analytics"}
+
+
+def schema_name(custom: str | None, default: str) -> str:
+    """N-7: the schema a product is stored in: its own name as it stands (blanks cut off), else the default."""
+    return default if custom is None else custom.strip()
+
+
+def qualified_name(product: str, default: str = "raw") -> str:
+    """``schema.product``, the schema by the product's layer; names of no layer go to the default schema."""
+    return f"{schema_name(LAYERS.get(product.split('_', 1)[0]), default)}.{product}"
+
+
 def dependency_order(deps: dict[str, list[str]]) -> list[str]:
     """Topological order of the model DAG (raw inputs excluded)."""
     order, seen = [], set()
@@ -150,11 +164,13 @@ def dependency_order(deps: dict[str, list[str]]) -> list[str]:
     return order
 
 
-def materialize(wh: Warehouse, out_dir: str, names: list[str] | None = None) -> dict[str, str]:
+def materialize(wh: Warehouse, out_dir: str, names: list[str] | None = None, by_schema: bool = False) -> dict[str, str]:
     """Staging -> temp views; analytics -> Parquet tables, in DAG order.
 
     Each table is written, then re-read, so downstream products start from
-    the stored table (lineage cut at every analytics boundary).
+    the stored table (lineage cut at every analytics boundary). With
+    ``by_schema`` (N-7) a table lies in the folder of its schema and is listed
+    by its qualified name.
     """
     written = {}
     for name in dependency_order(wh.DEPENDENCIES):
@@ -164,12 +180,13 @@ def materialize(wh: Warehouse, out_dir: str, names: list[str] | None = None) ->
         if name.startswith("stg_"):
             df.createOrReplaceTempView(name)
             continue
-        path = f"{out_dir}/{name}"
+        title = qualified_name(name) if by_schema else name
+        path = f"{out_dir}/{title.replace('.', '/')}"
         df.write.mode("overwrite").parquet(path)
         stored = wh.spark.read.parquet(path)
         wh.__dict__[name] = stored
         stored.createOrReplaceTempView(name)
-        written[name] = path
+        written[title] = path
     return written
 
 

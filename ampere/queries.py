@@ -1775,4 +1775,4 @@ def random_search_cv_stage2(spark, sf_dir):
     return TU.random_search_cv_stage2(h, q, S1_FEATURES, S2_FEATURES, n_trials=10, n_splits=2, gap=4)
 
 
-from ampere import ingest_queries, landing_queries, model_queries, report_queries  # noqa: E402,F401  (registers their queries)
+from ampere import ingest_queries, landing_queries, model_queries, report_queries, sink_queries  # noqa: E402,F401  (registers their queries)

@@ -20,30 +20,27 @@ from ampere.sources import payloads as PL
 
 # --- D11 on a calendar ------------------------------------------------------------
 
-RARE_SQL = """daily AS (SELECT o_orderpriority AS priority, CAST(o_orderdate AS TIMESTAMP) AS timestamp, sum(o_totalprice) AS value
-FROM orders WHERE o_custkey % 50 = 7 GROUP BY 1, 2)"""
-
-
-def _rare(spark, sf_dir):
-    """The daily totals of few customers' orders by priority: most days have none."""
-    o = B.table(spark, sf_dir, "orders").where("o_custkey % 50 = 7")
-    return o.groupBy(F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").cast("timestamp").alias("timestamp")).agg(
-        F.sum("o_totalprice").alias("value"))
+#: Series of whole orders that have empty bins: by price band for days and weeks, by customer for months.
+BAND = 25_000
+SERIES = {"day": f"CAST(floor(o_totalprice / {BAND}) AS BIGINT)", "week": f"CAST(floor(o_totalprice / {BAND}) AS BIGINT)", "month": "o_custkey"}
 
 
 def _calendar(unit: str) -> None:
     start = f"CAST(date_trunc('{unit}', timestamp) AS DATE)"
     label = "bin + 6" if unit == "week" else "bin"
-    sql = O.rounded(f"""WITH {RARE_SQL}, m AS (SELECT priority, {start} AS bin, avg(value) AS value FROM daily GROUP BY 1, 2),
-e AS (SELECT priority, min(bin) AS lo, max(bin) AS hi FROM m GROUP BY 1),
-g AS (SELECT priority, CAST(unnest(generate_series(lo, hi, INTERVAL 1 {unit})) AS DATE) AS bin FROM e)
-SELECT g.priority, g.{label} AS period, m.value FROM g LEFT JOIN m ON m.priority = g.priority AND m.bin = g.bin""",
+    sql = O.rounded(f"""WITH daily AS (SELECT {SERIES[unit]} AS series, CAST(o_orderdate AS TIMESTAMP) AS timestamp, sum(o_totalprice) AS value
+FROM orders GROUP BY 1, 2), m AS (SELECT series, {start} AS bin, avg(value) AS value FROM daily GROUP BY 1, 2),
+e AS (SELECT series, min(bin) AS lo, max(bin) AS hi FROM m GROUP BY 1),
+g AS (SELECT series, CAST(unnest(generate_series(lo, hi, INTERVAL 1 {unit})) AS DATE) AS bin FROM e)
+SELECT g.series, g.{label} AS period, m.value FROM g LEFT JOIN m ON m.series = g.series AND m.bin = g.bin""",
                     ["value"], dates=["period"])
 
     @register(f"resample_{unit}_calendar", sql)
     def q(spark, sf_dir, _u=unit):
-        return AN.resample_mean(_rare(spark, sf_dir), "timestamp", ["value"], _u, ["priority"], spine=True)
-    q.__doc__ = f"D11: mean per {unit} and priority on a whole calendar; empty bins are null."
+        daily = B.table(spark, sf_dir, "orders").groupBy(F.expr(SERIES[_u]).alias("series"), F.col("o_orderdate").cast("timestamp").alias(
+            "timestamp")).agg(F.sum("o_totalprice").alias("value"))
+        return AN.resample_mean(daily, "timestamp", ["value"], _u, ["series"], spine=True)
+    q.__doc__ = f"D11: mean per {unit} and series of all orders on a whole calendar; empty bins are null."
 
 
 for _unit in ("day", "week", "month"):

@@ -6,7 +6,7 @@ Payloads are landed as files (JSON text, one payload per line); parsing is
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,15 @@ WEATHER_RESPONSE = T.StructType([
     T.StructField("vars", T.ArrayType(T.ArrayType(T.DoubleType())))])
 
 
+def to_number(text: Column) -> Column:
+    """The number that a text states, null where it states none.
+
+    Blanks around it don't count. A type letter at its end (``1.5f``), which a
+    cast to double takes, makes it no number.
+    """
+    return F.when(~F.coalesce(text.rlike("[0-9.][dDfF]\\s*$"), F.lit(False)), text.try_cast("double"))
+
+
 def parse_series_payload(df: DataFrame, text: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
     """A2: ``{"series": [[epoch_ms, value|null], ...]}`` -> (timestamp UTC,
     value). Values that are not numbers become null; an empty series gives no
@@ -28,7 +37,7 @@ def parse_series_payload(df: DataFrame, text: str = "payload", keep: Sequence[st
     p = df.select(*keep, F.from_json(F.col(text), SERIES_PAYLOAD).alias("_p"))
     pts = p.select(*keep, F.explode(F.col("_p.series")).alias("_pt"))
     return pts.select(*keep, F.timestamp_millis(F.col("_pt")[0].try_cast("bigint")).alias("timestamp"),
-                      F.col("_pt")[1].try_cast("double").alias("value")).where(F.col("timestamp").isNotNull())
+                      to_number(F.col("_pt")[1]).alias("value")).where(F.col("timestamp").isNotNull())
 
 
 def series_payload(df: DataFrame, keys: Sequence[str], ts: str = "timestamp", value: str = "value") -> DataFrame:
@@ -38,6 +47,17 @@ def series_payload(df: DataFrame, keys: Sequence[str], ts: str = "timestamp", va
     return df.groupBy(*keys).agg(F.to_json(F.struct(F.array_sort(F.collect_list(pt)).alias("series"))).alias("payload"))
 
 
+def stamp_series(rows: DataFrame, units: Mapping[str, str], resolution: str, signal: str = "signal") -> DataFrame:
+    """A4: concatenated series rows with the ``unit`` of their signal and the ``resolution`` asked for.
+
+    The units are configuration and become a constant map: no join. Signals
+    that it doesn't name get a null unit.
+    """
+    lookup = F.create_map(*[c for s, u in sorted(units.items()) for c in (F.lit(s), F.lit(u))]) if units else F.lit(None)
+    unit = F.element_at(lookup, F.col(signal)) if units else F.lit(None).cast("string")
+    return rows.withColumn("unit", unit).withColumn("resolution", F.lit(resolution))
+
+
 def select_chunks(index: DataFrame, start, end, key: Sequence[str] = (), chunk: str = "chunk_start") -> DataFrame:
     """A3: chunks needed for [start, end]: from the last chunk starting at or
     before ``start`` (else the first chunk) through every chunk starting at or

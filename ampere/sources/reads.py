@@ -56,6 +56,17 @@ def bounded_local(df: DataFrame, start: str | None = None, end: str | None = Non
     return df.where(wide & exact).orderBy(local, ts)
 
 
+def on_day(column: Column, day: str, tz: str = "UTC") -> Column:
+    """Whether an instant falls on a calendar day of a time zone, as a range of instants.
+
+    ``to_date(column) = day`` isn't pushed into a scan; this is. A day with a
+    clock change has its 23 or 25 hours.
+    """
+    first = dt.date.fromisoformat(day)
+    start, end = (dt.datetime.combine(d, dt.time(), ZoneInfo(tz)).astimezone(dt.timezone.utc) for d in (first, first + dt.timedelta(days=1)))
+    return within(column, start, end)
+
+
 def raw_bounds(raw_ts: str, minutes: int, start: str | None = None, end: str | None = None, closed: bool = False,
                ahead: dt.timedelta = dt.timedelta(0)) -> Column:
     """Bounds on ``floor(raw_ts, minutes) + ahead``, stated on the raw instant itself.
