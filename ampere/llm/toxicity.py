@@ -42,8 +42,6 @@ EXCEPTIONS = ("trash can", "trash cans", "trash bin", "trash bag", "clown fish",
 
 #: Rows of labelled documents that the lexicon is learned from at most.
 MAX_TRAIN_ROWS = 12_000
-#: Entries considered for the lexicon at most, best first.
-MAX_CANDIDATES = 1000
 #: Letters of the stems considered.
 STEMS = (4, 5, 6, 7)
 #: A candidate stands in at least this share of the toxic training texts,
@@ -163,10 +161,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Learn the lexicon and the curve from a bounded sample of labelled rows.
 
     At most ``max_rows`` labelled ids, least hash first, are joined to their
-    whole texts. Spark counts the folded words of both classes; the best
-    :data:`MAX_CANDIDATES` words are tried greedily: a word enters if enough
-    toxic texts that hold fewer than :data:`COVER` words so far hold it, so
-    words that only accompany others stay out.
+    whole texts. Spark counts the folded words of both classes; every word
+    that is much likelier in toxic texts is tried, greedily: a word enters if
+    enough toxic texts that hold fewer than :data:`COVER` words so far hold it,
+    so words that only accompany others stay out. A candidate stands in
+    :data:`MIN_SHARE` of the toxic texts, so there are at most 1 / MIN_SHARE
+    times as many as a toxic text has words and stems on average.
     """
     ids = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("y"))
@@ -195,8 +195,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     lift = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
     cand = [(r.w, r.lift) for r in counts.filter(F.col("a") >= max(2, math.ceil(MIN_SHARE * n1)))
             .withColumn("lift", lift).filter(F.col("lift") > math.log(MIN_LIFT))
-            .orderBy(F.desc(F.col("a") * F.col("lift")), F.col("w").endswith("*"), F.desc(F.length("w")), "w")
-            .limit(MAX_CANDIDATES).collect()]
+            .orderBy(F.desc(F.col("a") * F.col("lift")), F.col("w").endswith("*"), F.desc(F.length("w")), "w").collect()]
     if not cand:
         return ToxicityModel(exceptions=exceptions)
     # each candidate alone, to see which texts hold it: weights are places + 1
@@ -213,12 +212,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
         return texts.map(of)
 
-    seen = rows.select("y", held("t").alias("k")).collect()
-    y = np.array([r.y for r in seen])
-    has = np.zeros((len(seen), len(cand)), dtype=bool)
-    for i, r in enumerate(seen):
-        has[i, r.k] = True
-    chosen = _cover(has[y == 1], [w for w, _ in cand], np.array([x for _, x in cand]))
+    seen = rows.filter("y = 1").select(held("t").alias("k")).collect()
+    chosen = _cover([r.k for r in seen], [w for w, _ in cand], np.array([x for _, x in cand]))
     weights = {cand[j][0]: float(cand[j][1]) for j in chosen}
     model = ToxicityModel(weights, exceptions)
 
@@ -235,26 +230,35 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return ToxicityModel(weights, exceptions, power, bias, slope)
 
 
-def _cover(has: np.ndarray, entries: list[str], weight: np.ndarray) -> list[int]:
+def _cover(held: list[list[int]], entries: list[str], weight: np.ndarray) -> list[int]:
     """Greedy cover of the toxic texts, by the weight that an entry adds to texts still short of entries.
 
-    An entry that begins with another, or begins it, marks the same places
-    and doesn't count beside it.
+    ``held`` has the entries of each text, by place. An entry that begins with
+    another, or begins it, marks the same places and doesn't count beside it.
+    The gains are kept up to date text by text, so the work is in proportion to
+    what the texts hold, not to texts times entries.
     """
-    need, counts = np.full(len(has), COVER), has.copy()
+    need, left = [COVER] * len(held), [set(k) for k in held]
+    holders: list[list[int]] = [[] for _ in entries]
+    for t, k in enumerate(left):
+        for j in k:
+            holders[j].append(t)
+    gain = np.array([len(ts) for ts in holders], dtype=np.int64)
     stems = [e.rstrip("*") for e in entries]
     chosen: list[int] = []
-    while (need > 0).any():
-        gain = counts[need > 0].sum(axis=0)
-        gain[chosen] = 0
+    while any(n > 0 for n in need):
         j = int(np.argmax(gain * weight))
-        if gain[j] < max(1, MIN_GAIN * len(has)):
+        if gain[j] < max(1, MIN_GAIN * len(held)):
             break
         chosen.append(j)
-        need = need - counts[:, j]
-        for k, s in enumerate(stems):
-            if s.startswith(stems[j]) or stems[j].startswith(s):
-                counts[:, k] &= ~has[:, j]
+        kin = {k for k, s in enumerate(stems) if s.startswith(stems[j]) or stems[j].startswith(s)}
+        for t in holders[j]:
+            if need[t] <= 0:
+                continue
+            need[t] -= j in left[t]
+            gone = left[t] & kin if need[t] > 0 else left[t]
+            gain[list(gone)] -= 1
+            left[t] = left[t] - gone
     return chosen
 
 

@@ -418,10 +418,13 @@ def test_near_pairs_by_chains_and_balls(spark, nothing):
                 x ^= 1 << rng.randrange(64)
             fps.add(x)
     fps = sorted(x - (1 << 64) if x >> 63 else x for x in fps)
-    for bits in (1, 2, 3):
+    for bits, segments in ((1, 32), (2, 32), (3, 32), (2, 64), (2, 16), (2, 8)):
         want = {(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= bits}
-        got = near_pairs(spark.createDataFrame([(x,) for x in fps], "fp long"), bits).collect()
+        got = near_pairs(spark.createDataFrame([(x,) for x in fps], "fp long"), bits, segments).collect()
         assert len(got) == len(want) and {tuple(r) for r in got} == want
+    for segments in (12, 128):
+        with pytest.raises(ValueError):
+            near_pairs(spark.createDataFrame([], "fp long"), 2, segments)
     assert near_dup_components(nothing).count() == 0
 
 
@@ -746,6 +749,38 @@ def test_toxicity_matches_equal_brute_force():
         assert m.matches(a, text) == (sum(hits), len(hits)), text
 
 
+def test_lexicon_cover_equals_a_plain_one_and_takes_any_number_of_entries():
+    """The incremental greedy cover against one that counts all gains anew, with more than a thousand entries."""
+    import random
+
+    import numpy as np
+
+    from ampere.llm.toxicity import COVER, MIN_GAIN, _cover
+
+    def plain(held, entries, weight):
+        need, left = [COVER] * len(held), [set(k) for k in held]
+        stems, chosen = [e.rstrip("*") for e in entries], []
+        while any(n > 0 for n in need):
+            gain = np.array([sum(j in k for k, n in zip(left, need) if n > 0) for j in range(len(entries))])
+            j = int(np.argmax(gain * weight))
+            if gain[j] < max(1, MIN_GAIN * len(held)):
+                break
+            chosen.append(j)
+            kin = {k for k, s in enumerate(stems) if s.startswith(stems[j]) or stems[j].startswith(s)}
+            for t, k in enumerate(held):
+                if j in k:
+                    need[t] -= j in left[t]
+                    left[t] = left[t] - kin
+        return chosen
+
+    rng = random.Random(8)
+    for n_entries, n_texts in ((12, 40), (1500, 60), (3, 0)):
+        words = ["".join(rng.choice("ab") for _ in range(rng.randrange(2, 7))) + rng.choice(["", "*"]) for _ in range(n_entries)]
+        held = [sorted(rng.sample(range(n_entries), rng.randrange(0, min(9, n_entries)))) for _ in range(n_texts)]
+        weight = np.array([rng.choice([1.0, 2.0, 3.5]) for _ in words])
+        assert _cover(held, words, weight) == plain(held, words, weight)
+
+
 def test_html_keeps_sentences_whole():
     from ampere.llm.html_extract import main_text
     text = lambda s: main_text(s, set())
