@@ -19,6 +19,7 @@ repeated rows of one id link like copies; empty tables give empty results.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 
 from ampere.llm.common import components, stored, unused, without_ids
 
-#: Segments of a fingerprint; with 4 bits each a count takes 0 to 4.
-SEGMENTS = 16
+#: Numbers of segments to choose from. Longer segments give a fingerprint fewer cells; shorter ones make a finer grid,
+#: in which fewer fingerprints meet that are not close.
+SEGMENTS = (8, 16, 32, 64)
 SEED = 42
 #: Shingles hashed and counted at a time (bounds the bit table of one text).
 SLICE = 1 << 16
@@ -69,16 +71,31 @@ def simhash(text: Column, n_words: int = 3) -> Column:
     return run(text)
 
 
-def cell(fp: Column, segments: int = SEGMENTS) -> Column:
+def segments_for(n: int, max_bits: int = 2) -> int:
+    """The number of segments with the fewest rows to expect: cells of ``n`` fingerprints, and pairs that meet in them.
+
+    For random fingerprints a segment of w bits has 2 - 2^(1-w) neighbours on
+    average, and two segments are equal with probability C(2w, w) / 4^w. Which
+    number is taken changes the work, never the pairs found.
+    """
+    def rows(segments: int) -> float:
+        width, steps = 64 // segments, -(-max_bits // 2)
+        cells = (1 + segments * (2 - 2.0 ** (1 - width))) ** steps
+        return n * cells + n * n / 2 * cells ** 2 * (math.comb(2 * width, width) / 4.0 ** width) ** segments
+
+    return min(SEGMENTS, key=rows)
+
+
+def cell(fp: Column, segments: int) -> Column:
     """The grid cell: the segments' bit counts, a few bits each, in one long."""
-    width = 64 // segments
-    if segments * (width.bit_length() + 1) > 64:
-        raise ValueError("the counts of so many segments don't fit one long")
-    bits, mask = _field(segments), (1 << width) - 1
+    width, bits = 64 // segments, _field(segments)
+    if 64 % segments or segments * bits > 64:
+        raise ValueError("segments have to part 64 bits evenly, and their counts to fit one long")
+    mask = (1 << width) - 1
     out = F.lit(0).cast("long")
     for i in range(segments):
         count = F.bit_count(F.shiftrightunsigned(fp, i * width).bitwiseAND(F.lit(mask).cast("long"))).cast("long")
-        out = out + F.shiftleft(count, i * bits)
+        out = out.bitwiseOR(F.shiftleft(count, i * bits))
     return out
 
 
@@ -86,19 +103,27 @@ def _field(segments: int) -> int:
     return (64 // segments).bit_length()
 
 
-def nearby_cells(c: Column, segments: int = SEGMENTS) -> Column:
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def nearby_cells(c: Column, segments: int) -> Column:
     """The cell and those one step away, as an array."""
     width, bits = 64 // segments, _field(segments)
     steps = [c]
     for i in range(segments):
+        field = ((1 << bits) - 1) << (i * bits)
         at = F.shiftrightunsigned(c, i * bits).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-        one = F.lit(1 << (i * bits)).cast("long")
-        steps += [F.when(at < width, c + one), F.when(at > 0, c - one)]
+        # the other fields as they are; bit by bit, because the highest field ends in the sign
+        rest = c.bitwiseAND(F.lit(_signed(~field & (1 << 64) - 1)).cast("long"))
+        steps += [F.when(at < width, rest.bitwiseOR(F.shiftleft(at + 1, i * bits))),
+                  F.when(at > 0, rest.bitwiseOR(F.shiftleft(at - 1, i * bits)))]
     return F.array_compact(F.array(*steps))
 
 
-def near_pairs(fps: DataFrame, max_bits: int = 2, segments: int = SEGMENTS) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct ``fps(fp)`` at most ``max_bits`` apart."""
+def near_pairs(fps: DataFrame, max_bits: int = 2, segments: int | None = None) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct ``fps(fp)`` at most ``max_bits`` apart (``segments``: by their number)."""
+    segments = segments or segments_for(fps.count(), max_bits)
     grid = fps.select("fp", F.array(cell(F.col("fp"), segments)).alias("cells"))
     for _ in range(-(-max_bits // 2)):
         grid = grid.select("fp", F.explode("cells").alias("c")).distinct().select(

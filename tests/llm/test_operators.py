@@ -406,7 +406,7 @@ def test_near_dup_components(request, which):
 
 def test_near_pairs_by_chains_and_balls(spark, nothing):
     import random
-    from ampere.llm.simhash import near_dup_components, near_pairs
+    from ampere.llm.simhash import near_dup_components, near_pairs, segments_for
     rng = random.Random(3)
     fps = {0, (1 << 64) - 1}
     for _ in range(12):
@@ -418,10 +418,12 @@ def test_near_pairs_by_chains_and_balls(spark, nothing):
                 x ^= 1 << rng.randrange(64)
             fps.add(x)
     fps = sorted(x - (1 << 64) if x >> 63 else x for x in fps)
-    for bits, segments in ((1, 32), (2, 32), (3, 32), (2, 64), (2, 16), (2, 8)):
+    for bits, segments in ((1, 32), (2, 32), (3, 32), (2, 64), (2, 16), (2, 8), (2, None)):
         want = {(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= bits}
         got = near_pairs(spark.createDataFrame([(x,) for x in fps], "fp long"), bits, segments).collect()
         assert len(got) == len(want) and {tuple(r) for r in got} == want
+    # the more fingerprints, the finer the grid
+    assert [segments_for(n) for n in (0, 10**4, 10**6, 10**9, 10**12)] == [8, 8, 16, 32, 64]
     for segments in (12, 128):
         with pytest.raises(ValueError):
             near_pairs(spark.createDataFrame([], "fp long"), 2, segments)
