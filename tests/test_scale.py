@@ -21,3 +21,52 @@ def test_calendar_equals_the_map(spark):
     days = spark.range(0, 365 * 300, 1).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
     differ = days.where(~CAL.holiday_name("d").eqNullSafe(F.expr(CAL.holiday_rule_sql("d"))))
     assert differ.count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lag_fanout_reads_and_exchanges_rows_once(spark):
+    from ampere.operators import lags as LG
+    start = dt.datetime(2024, 1, 1)
+    rows = [(s, start + dt.timedelta(hours=h), float(h * k)) for k, s in enumerate(("a", "b", None), 1) for h in range(0, 2000, 7)]
+    rows += [("a", start + dt.timedelta(hours=7), 9.5), ("a", None, 1.0), ("a", dt.datetime(2285, 5, 1, 3, 0, 0, 1), 5.0),
+             ("a", dt.datetime(2285, 5, 8, 3, 0, 0, 1), 6.0)]
+    df = spark.createDataFrame(rows, "s string, timestamp timestamp, v double").dropDuplicates()
+    once = df.where("timestamp is null or v <> 9.5")
+    lags = {168: {"v": "l168"}, 7: {"v": "l7"}, -14: {"v": "ahead"}}
+    a, b = LG.lag_fanout(once, lags, partition=["s"]), LG.lag_self_join(once, lags, partition=["s"])
+    assert a.columns == ["timestamp", "s", "v", "l168", "l7", "ahead"]
+    assert a.exceptAll(b.select(a.columns)).count() == 0 and a.count() == b.count() == once.count()
+    assert LG.lag_fanout(df, lags, partition=["s"]).count() == df.count()      # a repeated instant makes no more rows
+    base = spark.range(10).select(F.timestamp_seconds(F.col("id") * 3600).alias("timestamp"), F.col("id").alias("v"))
+    plan = _plan(LG.lag_fanout(base, {k: {"v": f"l{k}"} for k in range(1, 9)}))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_dense_events_are_not_stored(spark, tmp_path):
+    from ampere import bindings as B
+    o = spark.range(3000).select(F.col("id").alias("o_orderkey"), (F.col("id") * 1.37 % 1000).alias("o_totalprice"))
+    o.write.parquet(f"{tmp_path}/orders.parquet")
+    files = B.dense_events(spark, str(tmp_path)).inputFiles()
+    assert files and all("orders.parquet" in f for f in files)
+
+
+def test_energy_forecasts_read_their_own_signals(spark):
+    from ampere.config import ENERGY
+    from ampere.queries import _build_warehouse
+    raw = _build_warehouse(spark, "/root/testdata/sf0.001", "hour", "energy").raw["signal_forecast"]
+    assert {r.signal for r in raw.select("signal").distinct().collect()} == set(ENERGY.forecasts)
+
+
+def test_first_build_writes_days_in_many_tasks(spark):
+    import os
+    import tempfile
+
+    from ampere.plans.products import _write_days
+    root = tempfile.mkdtemp(prefix="days-", dir="/tmp")
+    days = spark.range(40).select(F.timestamp_seconds(F.col("id") * 86400).alias("timestamp"), "id")
+    assert len(_write_days(days, f"{root}/t", None)) == 40
+    names = [f for _, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")]
+    assert len(names) == 40 and len({f.split("-")[1] for f in names}) > 1     # part-<task>-...
