@@ -70,3 +70,17 @@ def test_first_build_writes_days_in_many_tasks(spark):
     assert len(_write_days(days, f"{root}/t", None)) == 40
     names = [f for _, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")]
     assert len(names) == 40 and len({f.split("-")[1] for f in names}) > 1     # part-<task>-...
+
+
+def test_days_are_read_without_listing_the_others(spark):
+    import tempfile
+
+    from ampere.plans import products as PR
+    path = tempfile.mkdtemp(prefix="days-", dir="/tmp") + "/t"
+    days = spark.range(60).select(F.timestamp_seconds(F.col("id") * 86400).alias("timestamp"), "id")
+    assert PR._write_days(days, path, None) == [dt.date(1970, 1, 1) + dt.timedelta(days=k) for k in range(60)]
+    some = [dt.date(1970, 1, 5), dt.date(1970, 2, 1), dt.date(1999, 1, 1)]
+    read = PR._read_days(spark, path, some)
+    assert len(read.inputFiles()) == 2 and sorted((r.day, r.id) for r in read.collect()) == [(some[0], 4), (some[1], 31)]
+    assert PR._read_days(spark, path, some[2:]).count() == 0
+    assert PR.stored_partitions_of(spark, path + "-none") == []
