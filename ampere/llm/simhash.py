@@ -131,7 +131,8 @@ def near_pairs(fps: DataFrame, max_bits: int = 2, segments: int | None = None) -
     grid = grid.select("fp", F.explode("cells").alias("cell"))
     if max_bits > 2:
         grid = grid.distinct()
-    a, b = grid.withColumnRenamed("fp", "a"), grid.withColumnRenamed("fp", "b")
+    # by a shuffle: Spark sizes an exploded table like the rows before it, and would broadcast one of many more rows
+    a, b = grid.withColumnRenamed("fp", "a"), grid.withColumnRenamed("fp", "b").hint("merge")
     return (a.join(b, "cell").filter((F.col("a") < F.col("b"))
                                      & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
             .select("a", "b").distinct())

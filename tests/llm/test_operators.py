@@ -404,6 +404,18 @@ def test_near_dup_components(request, which):
     assert Counter(map(tuple, near_dup_components(df).collect())) == want
 
 
+def test_near_pairs_broadcast_no_cells(spark):
+    from pyspark.sql import functions as F
+
+    from ampere.llm.common import stored
+    from ampere.llm.simhash import near_pairs
+    fps = stored(spark.range(2000).select(F.xxhash64("id").alias("fp")), "test-fps")
+    pairs = near_pairs(fps, 2)
+    assert pairs.count() == 0          # the final plan is known now
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_near_pairs_by_chains_and_balls(spark, nothing):
     import random
     from ampere.llm.simhash import near_dup_components, near_pairs, segments_for
