@@ -84,3 +84,45 @@ def test_days_are_read_without_listing_the_others(spark):
     assert len(read.inputFiles()) == 2 and sorted((r.day, r.id) for r in read.collect()) == [(some[0], 4), (some[1], 31)]
     assert PR._read_days(spark, path, some[2:]).count() == 0
     assert PR.stored_partitions_of(spark, path + "-none") == []
+
+
+def test_model_frame_exchanges_whole_rows_once(spark):
+    from ampere.operators import windows as WN
+    from ampere.plans.backtest import model_frame
+    start = dt.datetime(2024, 1, 1)
+    gaps = {5, 6, 24, 49, 50, 51, 52, 53, 120}
+    rows = [("r", start + dt.timedelta(hours=h), start.date() + dt.timedelta(days=h // 24), None if h in gaps else float(h), float(-h))
+            for h in range(24 * 8) if not 72 <= h < 94] + [("r", start, None, 1.0, 1.0), (None, start, start.date(), 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "resolution string, timestamp timestamp, delivery_date date, v double, y double")
+    got = model_frame(df, ["v"], ["v", "y"], partition=["resolution"])
+    known = df.where("resolution is not null and delivery_date is not null")
+    want = WN.complete_days(WN.forward_fill(known, ["v"], partition=["resolution"]), ["v", "y"],
+                            day=F.col("delivery_date"), partition=["resolution"])
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect())) and want.count() == 7 * 24 - 22
+    # the rows, the last rows of each day, and their carries in and out of the running sums
+    assert _plan(model_frame(df, ["v"], ["v", "y"], partition=["resolution"])).count("Exchange hashpartitioning") == 4
+
+
+def test_contract_exchanges_its_rows_once(spark):
+    from ampere.plans.contracts import ContractSpec, build_contract
+    start = dt.datetime(2024, 3, 1)     # the clock goes forward on March 31st, back on October 27th
+    rows = [(start + dt.timedelta(hours=h), "hour", float(h % 89)) for h in range(24 * 270) if h % 97]
+    df = spark.createDataFrame(rows, "timestamp timestamp, resolution string, price_eur_mwh double")
+    from ampere.plans.contracts import CALENDAR_COLUMNS
+    df = df.select("*", *[F.lit(1).alias(c) for c in CALENDAR_COLUMNS])
+    spec = ContractSpec("hour", 1)
+    a, b = build_contract(df, spec), build_contract(df, spec, method="self_join")
+    assert a.columns == b.columns and a.count() == b.count() == len(rows)
+    assert a.exceptAll(b).count() == 0 and a.agg(F.max("horizon")).first()[0] == 25
+    assert _plan(build_contract(df, spec)).count("Exchange hashpartitioning") == 1
+
+
+def test_products_of_dense_events_exchange_orders_only(spark, tmp_path):
+    from ampere.queries import _build_warehouse
+    n = 60_000
+    o = spark.range(n).select(F.col("id").alias("o_orderkey"), (F.col("id") * 1.37 % 1000).alias("o_totalprice"))
+    o.write.parquet(f"{tmp_path}/orders.parquet")
+    for source in ("orders", "energy"):
+        plan = _plan(_build_warehouse(spark, str(tmp_path), "hour", source).fct_ml_features)
+        lines = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        assert lines and all("REPARTITION_BY_NUM" in x for x in lines)
